@@ -175,6 +175,8 @@ class ComputeStamp:
 
     @classmethod
     def for_session(cls, spark, when=None) -> "ComputeStamp":
+        if isinstance(when, ComputeStamp):
+            return when
         return cls.of(when, spark.conf.get("spark.sql.session.timeZone", "UTC"))
 
 
@@ -273,8 +275,9 @@ def to_envelope(
 
 def check_envelope(df: DataFrame) -> None:
     """Raise if ``df`` does not have the record's names, order and types."""
-    got = [(f.name, f.dataType) for f in df.schema.fields]
-    want = [(f.name, f.dataType) for f in ENVELOPE.fields]
+    # nullability may be tighter than the declared schema (literals, maps)
+    got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    want = [(f.name, f.dataType.simpleString()) for f in ENVELOPE.fields]
     if got != want:
         raise ValueError(f"not a metric record schema:\n got  {got}\n want {want}")
 

@@ -116,7 +116,7 @@ class Runner:
         cache_database: str = "cache",
         cache_location: str | None = None,
         params: Mapping[str, Any] | None = None,
-        compute_time: datetime | int | None = None,
+        compute_time: datetime | int | ComputeStamp | None = None,
         mode: str = "append",
         strict: bool = False,
         max_records_per_file: int | None = None,
@@ -259,6 +259,27 @@ class Runner:
             return []
         return pending
 
+    def plan(self, metrics: MetricSpec | Iterable[MetricSpec]) -> DataFrame:
+        """Records the store stages would write, without writing them.
+
+        View and cached-view stages run as usual (later stages need them);
+        the records of all store stages come back as one DataFrame, ready to
+        ``explain``, check or write elsewhere.  Raises on the first failure.
+        """
+        if isinstance(metrics, MetricSpec):
+            metrics = [metrics]
+        stamp = ComputeStamp.for_session(self.spark, self.compute_time)
+        result = RunResult(stamp.epoch)
+        pending: list[_Pending] = []
+        for metric in metrics:
+            pending.extend(self._run_metric(metric, stamp, result, defer=True))
+        if result.failed():
+            first = result.failed()[0]
+            raise RuntimeError(f"{first.stage_id}: {first.error or first.status}")
+        if not pending:
+            raise ValueError("no store stage to plan")
+        return reduce(lambda a, b: a.unionByName(b), [p.records for p in pending])
+
     def run(self, metric: MetricSpec) -> RunResult:
         """Run one definition; each store stage writes as soon as it is reached."""
         stamp = ComputeStamp.for_session(self.spark, self.compute_time)

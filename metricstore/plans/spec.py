@@ -114,10 +114,14 @@ class StageSpec:
         if self.kind is StageKind.PYTHON:
             if self.python is None:
                 raise ValueError(f"{where}: a python stage needs py_mod (a module path or callable)")
+        elif self.kind is StageKind.REMOTE:
+            if self.source is None:
+                raise ValueError(f"{where}: a remote stage needs a source (format and options)")
+            reads_table = any(k in self.source.options for k in ("dbtable", "table", "path"))
+            if not self.sql and not reads_table:
+                raise ValueError(f"{where}: a remote stage needs sql_query or a table/path option")
         elif not self.sql:
             raise ValueError(f"{where}: a {self.kind.value} stage needs sql_query")
-        if self.kind is StageKind.REMOTE and self.source is None:
-            raise ValueError(f"{where}: a remote stage needs a source (format and options)")
         if self.output is OutputKind.VIEW and self.kind is not StageKind.PYTHON and not self.view_name:
             raise ValueError(f"{where}: a view stage needs view_name")
         if self.output is OutputKind.CACHED_VIEW and not (self.cached_view_name or self.view_name):
