@@ -53,7 +53,10 @@ def cached_view(
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
     qualified = f"`{database}`.`{name}`"
-    df.write.mode("overwrite").format(fmt).saveAsTable(qualified)
+    # an explicit path under the database folder makes the table external:
+    # overwrite then replaces whatever a previous session left there
+    base = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    df.write.mode("overwrite").format(fmt).option("path", f"{base}/{name}").saveAsTable(qualified)
     cached = spark.table(qualified)
     cached.createOrReplaceTempView(name)
     return cached
