@@ -104,6 +104,10 @@ class Runner:
     ``params`` are named SQL parameters for every SQL stage of the run (for
     example ``dt_start``/``dt_end``); a stage's own ``params`` add to them.
     ``compute_time`` fixes the run's compute stamp (default: now).
+    ``spread=n`` repartitions each store stage's result into ``n`` parts
+    *before* the record projection (narrow rows shuffle cheaply, records do
+    not); only useful when a row-level stage reads a source that yields too
+    few splits.  Aggregating stages already end in a shuffle sized by AQE.
     """
 
     def __init__(
@@ -120,6 +124,8 @@ class Runner:
         mode: str = "append",
         strict: bool = False,
         max_records_per_file: int | None = None,
+        spread: int | None = None,
+        store_format: str = "orc",
     ) -> None:
         self.spark = spark
         self.store_path = store_path
@@ -132,6 +138,8 @@ class Runner:
         self.mode = mode
         self.strict = strict
         self.max_records_per_file = max_records_per_file
+        self.spread = spread
+        self.store_format = store_format
 
     # -- single stages ------------------------------------------------------
 
@@ -148,6 +156,8 @@ class Runner:
         raise ValueError(f"unknown stage kind {stage.kind!r}")
 
     def records(self, metric: MetricSpec, stage: StageSpec, frame: DataFrame, stamp: ComputeStamp) -> DataFrame:
+        if self.spread:
+            frame = frame.repartition(self.spread)
         return to_envelope(
             frame,
             metric,
@@ -170,6 +180,7 @@ class Runner:
             mode=self.mode,
             max_records_per_file=self.max_records_per_file,
             count_by=count_by,
+            fmt=self.store_format,
         )
         return result
 
@@ -178,7 +189,8 @@ class Runner:
         # from the written files instead of running the stage queries again
         if self.table is None or self.store_path is None:
             return
-        written = read_metrics(self.spark, self.store_path, ids=list(ids), dates=[stamp.date], hours=[stamp.hour])
+        written = read_metrics(self.spark, self.store_path, ids=list(ids), dates=[stamp.date],
+                               hours=[stamp.hour], fmt=self.store_format)
         append_table(written.where(F.col("compute_time") == F.lit(stamp.epoch)), self.table, self.table_format)
 
     def _output(self, metric, stage, frame, stamp, defer: bool) -> tuple[int | None, tuple, _Pending | None]:
@@ -342,6 +354,7 @@ class Runner:
             max_records_per_file=self.max_records_per_file,
             count_by=count_by,
             drop=("_stage",),
+            fmt=self.store_format,
         )
 
 

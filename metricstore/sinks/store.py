@@ -34,9 +34,12 @@ def write_store(
     max_records_per_file: int | None = None,
     count_by: dict | None = None,
     drop: tuple[str, ...] = (),
+    fmt: str = "orc",
 ) -> WriteResult:
     """Append (or replace the touched partitions of) the store at ``path``.
 
+    ``fmt`` is the file format (ORC by default; the record schema, not the
+    format, is the contract, so Parquet stores work the same way).
     ``mode="overwrite_partitions"`` replaces only the partitions this write
     produces (dynamic partition overwrite), which makes a re-run idempotent.
     ``count_by`` maps names to boolean conditions whose row counts are
@@ -56,7 +59,7 @@ def write_store(
     for i, name in enumerate(names):
         measures.append(F.count_if(count_by[name]).alias(f"c{i}"))
     observed = records.observe(observation, *measures).drop(*drop)
-    writer = observed.write.format("orc").partitionBy(*PARTITION_COLUMNS)
+    writer = observed.write.format(fmt).partitionBy(*PARTITION_COLUMNS)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     if mode == "append":
@@ -75,7 +78,10 @@ def write_store(
 
 
 def manifest(spark: SparkSession, path: str, **filters) -> DataFrame:
-    """One row per stored partition: record count and measurement time span."""
+    """One row per stored partition: record count and measurement time span.
+
+    ``filters`` are those of :func:`read_metrics` (ids, dates, ..., fmt).
+    """
     return (
         read_metrics(spark, path, **filters)
         .groupBy(*PARTITION_COLUMNS)
@@ -91,11 +97,11 @@ def _ddl(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def register_store(spark: SparkSession, table: str, path: str) -> None:
+def register_store(spark: SparkSession, table: str, path: str, fmt: str = "orc") -> None:
     """Expose the store as a partitioned catalog table and pick up new partitions."""
     cols = ", ".join(f"`{c}`" for c in PARTITION_COLUMNS)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(ENVELOPE)}) USING orc "
+        f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(ENVELOPE)}) USING {fmt} "
         f"PARTITIONED BY ({cols}) LOCATION '{path}'"
     )
     spark.catalog.recoverPartitions(table)

@@ -35,6 +35,7 @@ def read_metrics(
     vertical_levels: Iterable[int] | None = None,
     measure_range: tuple[int | None, int | None] | None = None,
     latest: bool = False,
+    fmt: str = "orc",
 ) -> DataFrame:
     """Records of the store at ``path`` with the 14 columns in schema order.
 
@@ -43,7 +44,7 @@ def read_metrics(
     group, only the record of the newest run (re-runs append, they do not
     replace).
     """
-    df = spark.read.schema(ENVELOPE).format("orc").load(path)
+    df = spark.read.schema(ENVELOPE).format(fmt).load(path)
     conds: list[Column] = []
     if ids is not None:
         conds.append(_isin("id", ids))
