@@ -139,4 +139,8 @@ def oracle_sql() -> dict[str, str]:
             select {b500} as measure_time, user_id as location_id,
                    quantile_disc(value, 0.9) as val, count(*) as sample_size
             from events group by 1, 2""",
+        "q_p90_salted": f"""
+            select {b3600} as measure_time, event_type,
+                   quantile_disc(value, 0.9) as val, count(*) as sample_size
+            from events group by 1, 2""",
     }

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from metricstore.functions.timebins import bucket_epoch, value_bin
 from metricstore.operators.envelope import ComputeStamp, to_long
 from metricstore.operators.levels import at_levels
+from metricstore.operators.quantiles import salted_quantiles
 from metricstore.plans.runner import Runner
 from metricstore.plans.scratch import scratch_path
 from metricstore.plans.spec import MetricSpec, OutputKind, SourceSpec, StageKind, StageSpec
@@ -218,6 +219,34 @@ def q_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _salted_p90_stage(spark: SparkSession, source: str = "events", salt: int = 16) -> DataFrame:
+    return salted_quantiles(
+        spark.table(source),
+        [bucket_epoch("ts", 3600).alias("measure_time"), F.col("event_type")],
+        "value",
+        {"val": 0.9},
+        salt=salt,
+    )
+
+
+def q_p90_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly p90 per event type with the skew-safe two-level sketch merge."""
+    register_tables(spark, sf_dir, "events")
+    metric = MetricSpec(
+        "p90_value_hourly_sketch", 3600, "p90(value) every hour (KLL sketches, salted)", "1.0",
+        ("sample_size",),
+        stages=(StageSpec(StageKind.PYTHON, OutputKind.STORE, python=_salted_p90_stage,
+                          python_args={"salt": 16}, horizontal_level=1),),
+    )
+    records = Runner(spark, compute_time=FIXED_STAMP).plan(metric)
+    return records.select(
+        "measure_time",
+        group("event_type").alias("event_type"),
+        "val",
+        func("sample_size").alias("sample_size"),
+    )
+
+
 def q_value_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decimal functional variable: integral values tagged long, others double."""
     register_tables(spark, sf_dir, "events")
@@ -299,11 +328,19 @@ def q_join_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     metric = MetricSpec(
         "order_total_monthly_nation", 2592000, "sum(o_totalprice) every month per nation", "1", (),
         stages=(_sql("""
-            select cast(unix_date(trunc(cast(o_orderdate as date), 'MM')) as bigint) * 86400 as measure_time,
+            with monthly as (
+              -- pre-aggregate before the join: orders collapse to one row per
+              -- (month, customer), so even a customer owning a large share of
+              -- all orders reaches the join as a handful of rows
+              select cast(unix_date(trunc(cast(o_orderdate as date), 'MM')) as bigint) * 86400 as month,
+                     o_custkey, sum(o_totalprice) as total, count(1) as n
+              from orders
+              group by 1, 2)
+            select month as measure_time,
                    n_name,
-                   round(sum(o_totalprice), 2) as val,
-                   count(1) as func_var_orders
-            from orders
+                   round(sum(total), 2) as val,
+                   sum(n) as func_var_orders
+            from monthly
             join customer on o_custkey = c_custkey
             join nation on c_nationkey = n_nationkey
             group by 1, 2"""),),
@@ -498,4 +535,5 @@ QUERIES = {
     "q_run_all": q_run_all,
     "q_latest": q_latest,
     "q_sensor_json": q_sensor_json,
+    "q_p90_salted": q_p90_salted,
 }

@@ -159,3 +159,29 @@ def test_golden_m1_m2(spark):
     )
     assert got == [(1, 35, 276.88), (1, 36, 276.8), (2, 20, 279.5), (2, 21, 279.6)]
     assert {r["horizontal_level"] for r in rec2.collect()} == {1}
+
+
+def test_salted_quantiles_exact_on_small_groups(spark):
+    from metricstore.operators.quantiles import salted_quantiles
+
+    df = spark.createDataFrame(
+        [("a", float(v)) for v in range(1, 11)] + [("b", 5.0), ("b", None), ("c", None)], "k string, v double"
+    ).repartition(4)
+    got = {r["k"]: (r["p90"], r["p50"], r["sample_size"]) for r in
+           salted_quantiles(df, ["k"], "v", {"p90": 0.9, "p50": 0.5}, salt=3).collect()}
+    assert got["a"] == (9.0, 5.0, 10)
+    assert got["b"] == (5.0, 5.0, 2)
+    assert got["c"][2] == 1 and got["c"][0] is None
+
+
+def test_spread_repartitions_before_the_projection(spark):
+    from metricstore import OutputKind, Runner, StageKind, StageSpec
+
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").createOrReplaceTempView("ev_spread")
+    metric = MetricSpec("s", 1, "x", "1", (), stages=(
+        StageSpec(StageKind.SQL, OutputKind.STORE, sql="select ts as measure_time, value as val, event_type from ev_spread"),))
+    rec = Runner(spark, compute_time=STAMP, spread=4).plan(metric)
+    plan = rec._jdf.queryExecution().executedPlan().toString()
+    # the shuffle carries the three narrow stage columns, the records are built after it
+    assert "RoundRobinPartitioning(4)" in plan
+    assert rec.rdd.getNumPartitions() == 4
