@@ -190,11 +190,16 @@ def envelope_columns(
     func_vars: Iterable[str] = (),
     horizontal_level: int | str = 0,
     vertical_level: int | str = 0,
-    stamp: ComputeStamp,
+    stamp: ComputeStamp | None,
     strict: bool = False,
     json_columns: Iterable[str] = (),
 ) -> list[Column]:
-    """The 14 record columns, in schema order, for a stage result schema."""
+    """The 14 record columns, in schema order, for a stage result schema.
+
+    ``stamp=None`` takes the compute time from ``current_timestamp()``; on a
+    streaming DataFrame that is the micro-batch time, fixed in the offset log,
+    so a retried batch gets the same stamp.
+    """
     level_cols = [lv for lv in (horizontal_level, vertical_level) if isinstance(lv, str)]
     layout = classify(schema.names, func_vars, level_cols)
     types = {f.name: f.dataType for f in schema.fields}
@@ -215,12 +220,23 @@ def envelope_columns(
         if layout.groups
         else F.array().cast(T.ArrayType(T.StringType()))
     )
+    if stamp is None:
+        now = F.current_timestamp()
+        compute = [
+            F.unix_timestamp(now).alias("compute_time"),
+            F.date_format(now, "yyyy-MM-dd").alias("compute_date"),
+            F.hour(now).cast(T.LongType()).alias("compute_hour"),
+        ]
+    else:
+        compute = [
+            F.lit(stamp.epoch).cast(T.LongType()).alias("compute_time"),
+            F.lit(stamp.date).alias("compute_date"),
+            F.lit(stamp.hour).cast(T.LongType()).alias("compute_hour"),
+        ]
     return [
         F.lit(metric_id).cast(T.StringType()).alias("id"),
         measure.alias("measure_time"),
-        F.lit(stamp.epoch).cast(T.LongType()).alias("compute_time"),
-        F.lit(stamp.date).alias("compute_date"),
-        F.lit(stamp.hour).cast(T.LongType()).alias("compute_hour"),
+        *compute,
         F.lit(time_window).cast(T.LongType()).alias("time_window"),
         val.alias("val"),
         _value_map([(g, encoded(g)) for g in layout.groups]).alias("group_map"),
@@ -252,11 +268,12 @@ def to_envelope(
     ``strict=True`` fails the job on a null ``val``/``measure_time`` or on a
     value that does not convert; otherwise those become null.
     """
-    stamp = (
-        compute_time
-        if isinstance(compute_time, ComputeStamp)
-        else ComputeStamp.for_session(df.sparkSession, compute_time)
-    )
+    if df.isStreaming and compute_time is None:
+        stamp = None  # per micro-batch
+    elif isinstance(compute_time, ComputeStamp):
+        stamp = compute_time
+    else:
+        stamp = ComputeStamp.for_session(df.sparkSession, compute_time)
     cols = envelope_columns(
         df.schema,
         metric_id=metric.metric_id,
