@@ -87,11 +87,11 @@ def oracle_sql() -> dict[str, str]:
                    case when dv % 1 <> 0 then cast(dv as double) end as double
             from (select event_id, cast(value as decimal(18, 1)) as dv from events)""",
         "q_value_vec": """
-            select user_id, case when user_id % 2 = 0 then 'vec_string' else 'vec_long' end as type,
+            select user_id, case when event_type = 'error' then 'vec_string' else 'vec_long' end as type,
                    0 as p, cast(event_id as varchar) as j
             from events
             union all
-            select user_id, 'vec_string', 1, 'null' from events where user_id % 2 = 0""",
+            select user_id, 'vec_string', 1, 'null' from events where event_type = 'error'""",
         "q_value_map": """
             select event_type, 'hi' as key, max(value) as value from events group by 1
             union all
@@ -139,6 +139,12 @@ def oracle_sql() -> dict[str, str]:
             select {b500} as measure_time, user_id as location_id,
                    quantile_disc(value, 0.9) as val, count(*) as sample_size
             from events group by 1, 2""",
+        "q_avg_daily": f"""
+            select {b86400} as measure_time, event_type, round(avg(value), 6) as val,
+                   count(value) as sample_size
+            from events group by 1, 2""",
+        "q_central_table": _TOTAL_HOURLY,
+        "q_registered_store": _TOTAL_HOURLY,
         "q_p90_salted": f"""
             select {b3600} as measure_time, event_type,
                    quantile_disc(value, 0.9) as val, count(*) as sample_size

@@ -9,6 +9,7 @@ back out of the tagged values, so a comparison checks the whole route.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from metricstore.operators.quantiles import salted_quantiles
 from metricstore.plans.runner import Runner
 from metricstore.plans.scratch import scratch_path
 from metricstore.plans.spec import MetricSpec, OutputKind, SourceSpec, StageKind, StageSpec
-from metricstore.sinks.store import manifest
+from metricstore.sinks.store import manifest, register_store
 from metricstore.sources.sql import time_range_params
 from metricstore.sources.store import read_metrics
 
@@ -273,7 +274,8 @@ def q_value_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value_vec", 0, "event ids as a list", "1", ("ids",),
         stages=(_sql("""
             select ts as measure_time, value as val, user_id,
-                   case when user_id % 2 = 0 then array(event_id, null) else array(event_id) end as ids
+                   -- an error event carries a second, unknown id
+                   case when event_type = 'error' then array(event_id, null) else array(event_id) end as ids
             from events"""),),
     )
     records = Runner(spark, compute_time=FIXED_STAMP).plan(metric)
@@ -305,6 +307,59 @@ def q_value_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_avg_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily average per event type (an average metric with its sample size)."""
+    register_tables(spark, sf_dir, "events")
+    metric = MetricSpec(
+        "avg_value_daily", 86400, "avg(value) every day per event type", "1", ("sample_size",),
+        stages=(_sql("""
+            select cast(floor(unix_timestamp(ts) / 86400) * 86400 as bigint) as measure_time,
+                   event_type, round(avg(value), 6) as val, count(value) as sample_size
+            from events group by 1, 2""", horizontal_level=1),),
+    )
+    records = Runner(spark, compute_time=FIXED_STAMP).plan(metric)
+    return records.select(
+        "measure_time", group("event_type").alias("event_type"), "val",
+        func("sample_size").alias("sample_size"),
+    )
+
+
+def _scratch_database(spark: SparkSession, name: str) -> str:
+    spark.sql(
+        f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{scratch_path(spark, name, unique=False)}'"
+    )
+    return name
+
+
+def q_central_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records appended to a central catalog table (besides the store), read from the table."""
+    register_tables(spark, sf_dir, "events")
+    database = _scratch_database(spark, "metricstore_tables")
+    table = f"{database}.metrics_{uuid.uuid4().hex[:12]}"
+    result = Runner(spark, store_path=scratch_path(spark, "store"), table=table,
+                    compute_time=FIXED_STAMP).run(total_hourly())
+    if not result.ok:
+        raise RuntimeError(result.failed())
+    return spark.table(table).where(F.col("id") == "total_value_hourly").select("measure_time", "val")
+
+
+def q_registered_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store exposed as a partitioned catalog table; partitions recovered from the folders."""
+    register_tables(spark, sf_dir, "events")
+    database = _scratch_database(spark, "metricstore_tables")
+    path = scratch_path(spark, "store")
+    result = Runner(spark, store_path=path, compute_time=FIXED_STAMP).run_all([total_hourly(), p90_hourly()])
+    if not result.ok:
+        raise RuntimeError(result.failed())
+    table = f"{database}.store_{uuid.uuid4().hex[:12]}"
+    register_store(spark, table, path)
+    return (
+        spark.table(table)
+        .where((F.col("id") == "total_value_hourly") & (F.col("compute_date") == FIXED_STAMP.date))
+        .select("measure_time", "val")
+    )
+
+
 def q_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run restricted to [dt_start, dt_end) through named SQL parameters."""
     register_tables(spark, sf_dir, "events")
@@ -536,4 +591,7 @@ QUERIES = {
     "q_latest": q_latest,
     "q_sensor_json": q_sensor_json,
     "q_p90_salted": q_p90_salted,
+    "q_avg_daily": q_avg_daily,
+    "q_central_table": q_central_table,
+    "q_registered_store": q_registered_store,
 }
