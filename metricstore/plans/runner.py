@@ -299,20 +299,28 @@ class Runner:
         self._run_metric(metric, stamp, result, defer=False)
         return result
 
-    def run_all(self, metrics: Iterable[MetricSpec]) -> RunResult:
-        """Run many definitions with one combined store write."""
+    def run_all(self, metrics: Iterable[MetricSpec], union_limit: int = 64) -> RunResult:
+        """Run many definitions; their store stages are written together.
+
+        Records of up to ``union_limit`` store stages go into one write (one
+        job, one set of files per task); a larger catalogue is written in
+        several such batches so no single plan grows without bound.
+        """
+        if union_limit < 1:
+            raise ValueError("union_limit must be at least 1")
         stamp = ComputeStamp.for_session(self.spark, self.compute_time)
         result = RunResult(stamp.epoch)
         pending: list[_Pending] = []
         for metric in metrics:
             pending.extend(self._run_metric(metric, stamp, result, defer=True))
-        if not pending:
-            return result
-        marked = [
-            p.records.withColumn("_stage", F.lit(i)) for i, p in enumerate(pending)
-        ]
+        for start in range(0, len(pending), union_limit):
+            self._write_batch(pending[start:start + union_limit], stamp, result)
+        return result
+
+    def _write_batch(self, batch: list[_Pending], stamp: ComputeStamp, result: RunResult) -> None:
+        marked = [p.records.withColumn("_stage", F.lit(i)) for i, p in enumerate(batch)]
         union = reduce(lambda a, b: a.unionByName(b), marked)
-        count_by = {i: F.col("_stage") == F.lit(i) for i in range(len(pending))}
+        count_by = {i: F.col("_stage") == F.lit(i) for i in range(len(batch))}
         started = time.perf_counter()
         try:
             if self.store_path is None:
@@ -320,31 +328,28 @@ class Runner:
                 written = None
             else:
                 written = self._store_marked(union, count_by)
-                self._copy_to_table({p.metric.metric_id for p in pending}, stamp)
-            seconds = time.perf_counter() - started
-            for i, p in enumerate(pending):
-                parts = ()
-                if written is not None:
-                    parts = tuple(
-                        d for d in written.partitions
-                        if d["id"] == p.metric.metric_id
-                    )
-                result.outcomes.append(
-                    StageOutcome(
-                        p.metric.metric_id, p.stage.stage_id, p.stage.kind.value, p.stage.output.value,
-                        "ok", rows=None if written is None else written.counts.get(i),
-                        seconds=p.seconds + seconds, partitions=parts,
-                    )
-                )
-        except Exception as exc:  # noqa: BLE001
-            for p in pending:
+                self._copy_to_table({p.metric.metric_id for p in batch}, stamp)
+        except Exception as exc:  # noqa: BLE001 - reported, run continues
+            for p in batch:
                 result.outcomes.append(
                     StageOutcome(
                         p.metric.metric_id, p.stage.stage_id, p.stage.kind.value, p.stage.output.value,
                         "failed", error=f"{type(exc).__name__}: {exc}",
                     )
                 )
-        return result
+            return
+        seconds = time.perf_counter() - started
+        for i, p in enumerate(batch):
+            parts = ()
+            if written is not None:
+                parts = tuple(d for d in written.partitions if d["id"] == p.metric.metric_id)
+            result.outcomes.append(
+                StageOutcome(
+                    p.metric.metric_id, p.stage.stage_id, p.stage.kind.value, p.stage.output.value,
+                    "ok", rows=None if written is None else written.counts.get(i),
+                    seconds=p.seconds + seconds, partitions=parts,
+                )
+            )
 
     def _store_marked(self, union: DataFrame, count_by):
         return write_store(

@@ -108,3 +108,12 @@ def test_plan_raises_on_failure(spark):
     metric = MetricSpec("x", 1, "x", "1", (), stages=(sql("select 1 as val"),))
     with pytest.raises(RuntimeError):
         Runner(spark, compute_time=STAMP).plan(metric)
+
+
+def test_run_all_in_batches(spark, tmp_store):
+    metrics = [MetricSpec(f"b{i}", 3600, "sum", "1", (), stages=(sql(HOURLY),)) for i in range(5)]
+    result = Runner(spark, store_path=tmp_store, compute_time=STAMP).run_all(metrics, union_limit=2)
+    assert result.ok
+    n = spark.sql(HOURLY).count()
+    assert [o.rows for o in result.outcomes] == [n] * 5
+    assert read_metrics(spark, tmp_store).count() == 5 * n
