@@ -19,7 +19,9 @@ from metricstore.plans.spec import (
     StageKind,
     StageSpec,
     check_definitions,
+    definitions_frame,
     load_definitions,
+    sql_folder_loader,
 )
 from metricstore.sinks.store import manifest, register_store, write_store
 from metricstore.sources.store import read_metrics
@@ -28,6 +30,6 @@ __all__ = [
     "ENVELOPE", "PARTITION_COLUMNS", "VALUE_TYPE", "VALUE_MAP_TYPE", "ComputeStamp",
     "MetricSpec", "StageSpec", "SourceSpec", "StageKind", "OutputKind", "Runner", "RunResult",
     "at_levels", "bucket_epoch", "bucket_of_epoch", "bucket_timestamp", "check_definitions",
-    "classify", "load_definitions", "manifest", "read_metrics", "register_store", "run_all",
+    "classify", "definitions_frame", "load_definitions", "sql_folder_loader", "manifest", "read_metrics", "register_store", "run_all",
     "run_definition", "to_envelope", "to_long", "value_bin", "value_struct", "write_store",
 ]

@@ -281,8 +281,56 @@ def load_definitions(
     return specs
 
 
+def sql_folder_loader(folder: str) -> Callable[[str], str]:
+    """A ``sql_loader`` reading ``sql_query`` names as files below ``folder``."""
+    import os
+
+    root = os.path.abspath(folder)
+
+    def load(name: str) -> str:
+        path = os.path.abspath(os.path.join(root, name))
+        if not path.startswith(root + os.sep):
+            raise ValueError(f"sql file {name!r} is outside {folder!r}")
+        with open(path, encoding="utf-8") as handle:
+            return handle.read()
+
+    return load
+
+
 # --- definitions as a table -------------------------------------------------
 
+DEFINITIONS_DDL = (
+    "metric_id string, description string, time_window bigint, func_expr string, version string, "
+    "func_vars array<string>, stages array<struct<stage_id:string, stage_type:string, "
+    "output_type:string, sql_query:string, py_mod:string, view_name:string, "
+    "cached_view_name:string, horizontal_level:string, vertical_level:string>>"
+)
+
+
+def definitions_frame(spark, specs: Iterable[MetricSpec]) -> DataFrame:
+    """Definitions as rows (one per metric), e.g. to keep beside the store.
+
+    Python-stage callables are recorded by their qualified name.
+    """
+
+    def py_name(target) -> str | None:
+        if target is None or isinstance(target, str):
+            return target
+        return f"{getattr(target, '__module__', '?')}.{getattr(target, '__qualname__', repr(target))}"
+
+    rows = [
+        (
+            m.metric_id, m.description, m.time_window, m.func_expr, m.version, list(m.func_vars),
+            [
+                (s.stage_id, s.kind.value, s.output.value, s.sql, py_name(s.python), s.view_name,
+                 s.cached_view_name, str(s.horizontal_level), str(s.vertical_level))
+                for s in m.stages
+            ],
+        )
+        for m in specs
+    ]
+    return spark.createDataFrame(rows, DEFINITIONS_DDL)
+
 
 def _problem(cond: Column, text: str) -> Column:
     return F.when(cond, F.lit(text))

@@ -36,3 +36,35 @@ def test_windowed_stream_into_store(spark, tmp_path):
     assert all(got[k] == want[k] for k in got)
     assert stored.count() == len(got)
     assert {r["compute_time"] for r in stored.collect()}  # stamped per micro-batch
+
+
+def test_late_rows_are_dropped_once_window_is_final(spark, tmp_path):
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("value", T.DoubleType())])
+    src = tmp_path / "in"
+    src.mkdir()
+
+    def batch(name, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(str(src / name))
+
+    day = dt.datetime(2024, 1, 1)
+    batch("b1", [(day + dt.timedelta(hours=1), 1.0), (day + dt.timedelta(days=2), 5.0)])
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(str(src))
+    daily = (
+        stream.withWatermark("ts", "1 hour")
+        .groupBy(F.window("ts", "1 day"))
+        .agg(F.sum("value").alias("val"))
+        .select(F.col("window.start").alias("measure_time"), "val")
+    )
+    path, ckpt = str(tmp_path / "store"), str(tmp_path / "ckpt")
+    metric = MetricSpec("late", 86400, "sum(value) per day", "1")
+    store_stream(daily, metric, path, checkpoint=ckpt, trigger={"availableNow": True}).awaitTermination(300)
+    # a row for the first day arrives after the watermark passed it: dropped
+    batch("b2", [(day + dt.timedelta(hours=2), 100.0), (day + dt.timedelta(days=4), 7.0)])
+    store_stream(daily, metric, path, checkpoint=ckpt, trigger={"availableNow": True}).awaitTermination(300)
+    got = {r["measure_time"]: r["val"] for r in read_metrics(spark, path).collect()}
+    first_day = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp())
+    assert got[first_day] == 1.0
