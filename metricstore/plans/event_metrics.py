@@ -547,7 +547,13 @@ SENSOR_SCHEMA = T.StructType(
 
 
 def q_sensor_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """p90 of the first sensor reading per 500 s and location, from gzip JSON lines."""
+    """p90 of the first sensor reading per 500 s and location, from gzip JSON lines.
+
+    The sensor metric of the reference also collects ``collect_set(data[0])``
+    as a functional variable; a set of raw readings grows with the group, so
+    it is left out here (a stage may still return arrays: they are stored as
+    ``vec_*`` values, see ``q_p90_samples`` for sets over bounded domains).
+    """
     from metricstore.sources.files import read_json
 
     read_json(spark, _sensor_json(spark, sf_dir), SENSOR_SCHEMA).createOrReplaceTempView("sensor_data")
