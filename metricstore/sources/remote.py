@@ -90,9 +90,28 @@ def jdbc_table(
     return spark.read.format("jdbc").options(**options).load()
 
 
-def reader_source(kind: str, options: Mapping[str, str] | None = None) -> SourceSpec | None:
-    """The source for a reader kind; ``None`` for the session's own catalog."""
+def reader_source(
+    kind: str,
+    options: Mapping[str, str] | None = None,
+    *,
+    uri: str | None = None,
+    user: str | None = None,
+    password: str | None = None,
+    driver: str | None = None,
+) -> SourceSpec | None:
+    """The source for a reader kind; ``None`` for the session's own catalog.
+
+    JDBC-based kinds (``jdbc``, ``presto``) take the connection URI, user,
+    password and driver class; other kinds take their connector options.
+    """
     if kind not in READER_FORMATS:
         raise ValueError(f"unknown reader kind {kind!r}; known: {sorted(READER_FORMATS)}")
     fmt = READER_FORMATS[kind]
-    return None if fmt is None else SourceSpec(fmt, dict(options or {}))
+    if fmt is None:
+        return None
+    if fmt == "jdbc" and uri is not None:
+        return jdbc_source(uri, driver=driver, user=user, password=password, options=options)
+    opts = dict(options or {})
+    if uri is not None:
+        opts.setdefault("url", uri)
+    return SourceSpec(fmt, opts)

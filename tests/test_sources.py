@@ -16,6 +16,8 @@ def test_jdbc_source_options():
     assert reader_source("presto", {"url": "jdbc:presto://h"}).format == "jdbc"
     assert reader_source("bigquery").format == "bigquery"
     assert reader_source("spark") is None
+    presto = reader_source("presto", uri="jdbc:presto://h:8080/hive", user="u", driver="com.facebook.presto.jdbc.PrestoDriver")
+    assert presto.options == {"url": "jdbc:presto://h:8080/hive", "driver": "com.facebook.presto.jdbc.PrestoDriver", "user": "u"}
     with pytest.raises(ValueError):
         reader_source("nope")
 
