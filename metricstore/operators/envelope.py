@@ -108,6 +108,11 @@ def classify(
     return Layout(tuple(by_key.items()), groups, level_columns)
 
 
+def column(name: str) -> Column:
+    """Reference a column by its exact name (dots, spaces and backticks included)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def epoch_seconds(x: Column, dtype: T.DataType, strict: bool = False) -> Column:
     """Epoch seconds (long) of a time given as timestamp or as epoch number."""
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -147,7 +152,7 @@ def _level_expr(level: int | str) -> Column:
         raise TypeError("a level is an integer or a column name")
     if isinstance(level, int):
         return F.lit(level).cast(T.LongType())
-    return F.col(level).cast(T.LongType())
+    return column(level).cast(T.LongType())
 
 
 @dataclass(frozen=True)
@@ -209,10 +214,10 @@ def envelope_columns(
         raise ValueError(f"json_columns not in the stage result: {sorted(unknown)}")
 
     def encoded(name: str) -> Column:
-        return value_struct(F.col(name), types[name], as_json=name in as_json)
+        return value_struct(column(name), types[name], as_json=name in as_json)
 
-    measure = epoch_seconds(F.col("measure_time"), types["measure_time"], strict)
-    val = _val_expr(F.col("val"), types["val"], strict)
+    measure = epoch_seconds(column("measure_time"), types["measure_time"], strict)
+    val = _val_expr(column("val"), types["val"], strict)
     if strict:
         measure, val = _not_null(measure, "measure_time"), _not_null(val, "val")
     group_keys = (

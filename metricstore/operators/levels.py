@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from metricstore.operators.envelope import column
+
 
 def level_of_grouping(sets: Sequence[Sequence[str]], columns: Sequence[str]) -> Column:
     """CASE over ``grouping_id()`` giving each grouping set's position."""
@@ -47,5 +49,5 @@ def at_levels(
                 columns.append(c)
     if len({tuple(sorted(s)) for s in sets}) != len(sets):
         raise ValueError("grouping sets must be distinct")
-    grouped = df.groupingSets([list(s) for s in sets], *columns)
+    grouped = df.groupingSets([[column(c) for c in s] for s in sets], *[column(c) for c in columns])
     return grouped.agg(*aggregates, level_of_grouping(sets, columns).alias(level_column))

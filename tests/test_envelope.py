@@ -185,3 +185,10 @@ def test_spread_repartitions_before_the_projection(spark):
     # the shuffle carries the three narrow stage columns, the records are built after it
     assert "RoundRobinPartitioning(4)" in plan
     assert rec.rdd.getNumPartitions() == 4
+
+
+def test_column_names_with_dots_and_spaces(spark):
+    df = spark.createDataFrame([(1, 2.0, "x", 3)], "measure_time long, val double, `a.b` string, `func_var_n m` long")
+    row = to_envelope(df, MetricSpec("m", 1, "x", "1"), compute_time=STAMP).first()
+    assert row["group_keys"] == ["a.b"] and row["group_map"]["a.b"]["string"] == "x"
+    assert row["func_vars"]["n m"]["long"] == 3
