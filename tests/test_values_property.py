@@ -1,0 +1,74 @@
+"""Property check of the tagging rules over many generated arrays and maps (one Spark job)."""
+
+import json
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from metricstore.functions.values import value_struct
+
+ints = st.one_of(st.none(), st.integers(min_value=-(2**63), max_value=2**63 - 1))
+texts = st.one_of(st.none(), st.text(max_size=5))
+
+
+def decoded(payload, was_json):
+    # JSON texts are compared as values: escapes may be written differently
+    if payload is None or not was_json:
+        return payload
+    if isinstance(payload, dict):
+        return {k: json.loads(v) for k, v in payload.items()}
+    return [json.loads(v) for v in payload]
+
+
+def expected_array(xs, kind):
+    if xs is None:
+        return f"vec_{kind}", None
+    if len(xs) == 0:
+        return "vec_string", []
+    if any(x is None for x in xs):
+        return "vec_string", [json.dumps(x) for x in xs]
+    return f"vec_{kind}", xs
+
+
+def expected_map(m, kind):
+    if m is None:
+        return f"map_{kind}", None
+    if len(m) == 0:
+        return "map_string", {}
+    if any(v is None for v in m.values()):
+        return "map_string", {k: json.dumps(v) for k, v in m.items()}
+    return f"map_{kind}", m
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.one_of(st.none(), st.lists(ints, max_size=4)), min_size=60, max_size=60),
+    st.lists(st.one_of(st.none(), st.dictionaries(st.text(max_size=3), texts, max_size=3)), min_size=60, max_size=60),
+)
+def test_tag_rules_hold(spark, arrays, maps):
+    schema = T.StructType([
+        T.StructField("i", T.IntegerType()),
+        T.StructField("a", T.ArrayType(T.LongType(), True)),
+        T.StructField("m", T.MapType(T.StringType(), T.StringType(), True)),
+    ])
+    rows = [(i, a, m) for i, (a, m) in enumerate(zip(arrays, maps))]
+    df = spark.createDataFrame(rows, schema)
+    out = df.select(
+        "i",
+        value_struct(F.col("a"), schema["a"].dataType).alias("va"),
+        value_struct(F.col("m"), schema["m"].dataType).alias("vm"),
+    ).collect()
+    for r in sorted(out, key=lambda r: r["i"]):
+        a, m = arrays[r["i"]], maps[r["i"]]
+        tag, payload = expected_array(a, "long")
+        as_json = tag == "vec_string"
+        assert r["va"]["type"] == tag
+        assert decoded(r["va"][tag], as_json) == decoded(payload, as_json)
+        filled = [k for k, v in r["va"].asDict().items() if k != "type" and v is not None]
+        assert filled == ([] if payload is None else [tag])
+        tag, payload = expected_map(m, "string")
+        as_json = m is not None and (len(m) == 0 or any(v is None for v in m.values()))
+        assert r["vm"]["type"] == tag
+        assert decoded(r["vm"][tag], as_json) == decoded(payload, as_json)
