@@ -34,3 +34,19 @@ def test_example_definitions_run(spark, tmp_path):
         F.floor(F.unix_timestamp("ts") / 86400), "event_type").distinct().count()
     daily = stored.where("id = 'total_value_daily'").first()
     assert set(daily["func_vars"]) == {"median"} and daily["version"] == "2"
+
+
+def test_command_line_run(spark, tmp_path):
+    from metricstore.__main__ import main
+
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").createOrReplaceTempView("events")
+    store, report = str(tmp_path / "store"), str(tmp_path / "report")
+    code = main([
+        "--definitions", os.path.join(EXAMPLES, "metrics.yaml"), "--sql-dir", os.path.join(EXAMPLES, "sql"),
+        "--store", store, "--dt-start", "2024-01-01 00:00:00", "--dt-end", "2024-02-01 00:00:00",
+        "--cache-database", "cli_cache", "--report", report,
+    ], spark=spark)
+    assert code == 0
+    assert {r["id"] for r in read_metrics(spark, store).select("id").distinct().collect()} == {
+        "p90_value_hourly", "total_value_daily"}
+    assert spark.read.parquet(report).where("status = 'ok'").count() == 4
