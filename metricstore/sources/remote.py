@@ -20,6 +20,8 @@ READER_FORMATS = {
     "presto": "jdbc",
     "bigquery": "bigquery",
 }
+# file formats read a path or table; they have no query to push down
+FILE_FORMATS = {"parquet", "orc", "json", "csv", "text", "avro", "binaryFile", "xml", "delta"}
 # ---------------------------------------------------------------------------
 
 
@@ -32,6 +34,11 @@ def remote_query(
     reader = spark.read.format(source.format)
     options = {k: str(v) for k, v in source.options.items() if v is not None}
     if query is not None:
+        if source.format in FILE_FORMATS:
+            raise ValueError(
+                f"a {source.format} source reads files and cannot run a query; "
+                "register it as a view and query the view in a sql stage"
+            )
         if "dbtable" in options or "table" in options:
             raise ValueError("give either a query or a table option, not both")
         options["query"] = query

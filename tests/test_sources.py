@@ -32,6 +32,19 @@ def test_query_and_table_are_exclusive(spark):
         remote_query(spark, SourceSpec("jdbc", {"dbtable": "t"}), "select 1")
 
 
+def test_file_formats_refuse_queries(spark):
+    # a file reader would silently ignore a query option and return the raw table
+    with pytest.raises(ValueError):
+        remote_query(spark, SourceSpec("parquet", {"path": "/root/testdata/sf0.001/nation.parquet"}), "select 1")
+
+
+def test_partitioned_jdbc_scan_needs_bounds(spark):
+    from metricstore.sources.remote import jdbc_table
+
+    with pytest.raises(ValueError):
+        jdbc_table(spark, jdbc_source("jdbc:postgresql://db/x"), "t", partition_column="id")
+
+
 def test_named_parameters(spark):
     spark.read.parquet("/root/testdata/sf0.001/events.parquet").createOrReplaceTempView("ev_params")
     params = time_range_params("2024-01-05 00:00:00", "2024-01-06 00:00:00")
