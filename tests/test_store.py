@@ -80,3 +80,24 @@ def test_manifest_and_register(spark, tmp_store):
     assert spark.table("metrics_registered").count() == 2 * hourly(spark).count()
     assert set(spark.table("metrics_registered").columns) == set(PARTITION_COLUMNS) | set(hourly(spark).columns)
     spark.sql("drop table metrics_registered")
+
+
+def test_orc_writers_store_equal_records(spark, tmp_path):
+    from metricstore.sinks.store import HIVE_ORC_WRITER, writer_format
+
+    assert writer_format(spark, "orc") == HIVE_ORC_WRITER
+    assert writer_format(spark, "orc", "native") == "orc"
+    assert writer_format(spark, "parquet") == "parquet"
+    rec = hourly(spark)
+    write_store(rec, str(tmp_path / "h"))
+    write_store(rec, str(tmp_path / "n"), orc_writer="native")
+    def entries(m):  # map entries as text, in key order
+        return F.transform(F.array_sort(F.map_keys(m)), lambda k: F.concat(k, F.lit("="), F.to_json(F.col(m)[k])))
+
+    def keyed(df):
+        return df.select("measure_time", "val", "group_keys", entries("group_map").alias("g"),
+                         entries("func_vars").alias("f"))
+
+    h, n = keyed(read_metrics(spark, str(tmp_path / "h"))), keyed(read_metrics(spark, str(tmp_path / "n")))
+    assert h.count() == n.count() == rec.count()
+    assert h.exceptAll(n).count() == 0 and n.exceptAll(h).count() == 0
