@@ -31,6 +31,7 @@ from metricstore.functions.values import (
     PAYLOAD_FIELDS,
     VALUE_MAP_TYPE,
     VALUE_TYPE,
+    payload_as_text,
     value_struct,
 )
 
@@ -318,14 +319,15 @@ LONG_COLUMNS = (
     "kind",
     "key",
     "type",
-) + PAYLOAD_FIELDS
+) + PAYLOAD_FIELDS + ("text",)
 
 
 def to_long(records: DataFrame) -> DataFrame:
     """Explode records into one row per group attribute / functional variable.
 
     Columns: the record's scalars, ``kind`` (``group`` or ``func``), ``key``,
-    ``type`` and the 12 payload columns.  A single ``explode_outer`` over the
+    ``type``, the 12 payload columns and ``text`` (whichever payload is set,
+    as text: atomic values cast, collections as JSON).  A single ``explode_outer`` over the
     concatenated entries: one pass, no union; a record without any entry is
     kept as one row with null ``kind``.
     """
@@ -354,4 +356,5 @@ def to_long(records: DataFrame) -> DataFrame:
         F.col("_e.key").alias("key"),
         F.col("_e.value.type").alias("type"),
         *[F.col(f"_e.value.{p}").alias(p) for p in PAYLOAD_FIELDS],
+        payload_as_text(F.col("_e.value")).alias("text"),
     )

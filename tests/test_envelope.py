@@ -114,7 +114,11 @@ def test_plan_stays_native(spark):
 def test_to_long_one_row_per_entry(spark):
     df = spark.createDataFrame([(1, 2.0, "a", 3)], "measure_time long, val double, g string, func_var_n long")
     rows = to_long(to_envelope(df, MetricSpec("m", 1, "x", "1"), compute_time=STAMP)).collect()
-    assert sorted((r["kind"], r["key"], r["type"]) for r in rows) == [("func", "n", "long"), ("group", "g", "string")]
+    assert sorted((r["kind"], r["key"], r["type"], r["text"]) for r in rows) == [
+        ("func", "n", "long", "3"), ("group", "g", "string", "a")]
+    arr = spark.createDataFrame([(1, 2.0, [1, None], {"k": 1.5})], "measure_time long, val double, a array<long>, m map<string,double>")
+    texts = {r["key"]: r["text"] for r in to_long(to_envelope(arr, MetricSpec("m", 1, "x", "1"), compute_time=STAMP)).collect()}
+    assert texts == {"a": '["1","null"]', "m": '{"k":1.5}'}
     empty = spark.createDataFrame([(1, 2.0)], "measure_time long, val double")
     rows = to_long(to_envelope(empty, MetricSpec("m", 1, "x", "1"), compute_time=STAMP)).collect()
     assert len(rows) == 1 and rows[0]["kind"] is None
