@@ -101,3 +101,21 @@ def test_orc_writers_store_equal_records(spark, tmp_path):
     h, n = keyed(read_metrics(spark, str(tmp_path / "h"))), keyed(read_metrics(spark, str(tmp_path / "n")))
     assert h.count() == n.count() == rec.count()
     assert h.exceptAll(n).count() == 0 and n.exceptAll(h).count() == 0
+
+
+def test_nulls_and_empties_survive_the_store(spark, tmp_store):
+    df = spark.createDataFrame(
+        [(None, None, None, [], {}, None), (1, 2.0, "g", [1, None], {"k": None}, 3)],
+        "measure_time long, val double, g string, a array<long>, m map<string,double>, func_var_n long",
+    )
+    rec = to_envelope(df, MetricSpec("nulls", 1, "x", "1"), compute_time=H12)
+    write_store(rec, tmp_store)
+    back = {r["measure_time"]: r for r in read_metrics(spark, tmp_store).collect()}
+    empty = back[None]
+    assert empty["val"] is None and empty["group_map"]["g"]["type"] == "string" and empty["group_map"]["g"]["string"] is None
+    assert empty["group_map"]["a"]["vec_string"] == [] and empty["group_map"]["m"]["map_string"] == {}
+    assert empty["func_vars"]["n"]["type"] == "long" and empty["func_vars"]["n"]["long"] is None
+    full = back[1]
+    assert full["group_map"]["a"]["vec_string"] == ["1", "null"]
+    assert full["group_map"]["m"]["map_string"] == {"k": "null"}
+    assert full["group_keys"] == ["g", "a", "m"]
