@@ -13,6 +13,9 @@ sketched with mergeable KLL sketches in two levels:
 Counts travel alongside as partial sums.  For groups smaller than the sketch
 size ``k`` the sketch keeps every value, so the result is the exact
 ``quantile_disc`` (the smallest value whose rank reaches the percentage).
+On larger groups KLL compaction is randomised: a re-run (or a retried task)
+can return a slightly different value within the sketch's rank error, where
+``approx_percentile`` would return the same one.
 """
 
 from __future__ import annotations
