@@ -1,4 +1,4 @@
-"""File sources used by stages (JSON lines, Parquet, ORC)."""
+"""File sources used by stages: JSON lines (Parquet/ORC go through ``spark.read`` or a remote stage)."""
 
 from __future__ import annotations
 
@@ -16,6 +16,3 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None
         reader = reader.schema(schema)
     return reader.json(path)
 
-
-def read_table_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
