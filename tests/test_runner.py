@@ -117,3 +117,12 @@ def test_run_all_in_batches(spark, tmp_store):
     n = spark.sql(HOURLY).count()
     assert [o.rows for o in result.outcomes] == [n] * 5
     assert read_metrics(spark, tmp_store).count() == 5 * n
+
+
+def test_run_all_into_a_table_only(spark):
+    metrics = [MetricSpec(f"t{i}", 3600, "sum", "1", (), stages=(sql(HOURLY),)) for i in range(2)]
+    result = Runner(spark, table="metrics_only_table", compute_time=STAMP).run_all(metrics)
+    assert result.ok, result.failed()
+    got = {r["id"]: r["count"] for r in spark.table("metrics_only_table").groupBy("id").count().collect()}
+    assert got == {"t0": spark.sql(HOURLY).count(), "t1": spark.sql(HOURLY).count()}
+    spark.sql("drop table metrics_only_table")

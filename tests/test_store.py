@@ -119,3 +119,15 @@ def test_nulls_and_empties_survive_the_store(spark, tmp_store):
     assert full["group_map"]["a"]["vec_string"] == ["1", "null"]
     assert full["group_map"]["m"]["map_string"] == {"k": "null"}
     assert full["group_keys"] == ["g", "a", "m"]
+
+
+def test_read_filters_by_ranges(spark, tmp_store):
+    write_store(hourly(spark, "r", stamp=H12), tmp_store)
+    write_store(hourly(spark, "r", stamp=H13), tmp_store)
+    all_rows = read_metrics(spark, tmp_store)
+    lo, hi = 1704067200, 1704153600  # the first day of January 2024
+    want = all_rows.where((F.col("measure_time") >= lo) & (F.col("measure_time") < hi)).count()
+    assert read_metrics(spark, tmp_store, measure_range=(lo, hi)).count() == want > 0
+    assert read_metrics(spark, tmp_store, hours=[13]).count() == all_rows.count() // 2
+    assert read_metrics(spark, tmp_store, date_range=("2024-02-01", "2024-02-02")).count() == all_rows.count()
+    assert read_metrics(spark, tmp_store, date_range=(None, "2024-02-01")).count() == 0
