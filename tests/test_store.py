@@ -131,3 +131,13 @@ def test_read_filters_by_ranges(spark, tmp_store):
     assert read_metrics(spark, tmp_store, hours=[13]).count() == all_rows.count() // 2
     assert read_metrics(spark, tmp_store, date_range=("2024-02-01", "2024-02-02")).count() == all_rows.count()
     assert read_metrics(spark, tmp_store, date_range=(None, "2024-02-01")).count() == 0
+
+
+def test_sort_free_write_restores_settings(spark, tmp_store):
+    key = "spark.sql.optimizer.plannedWrite.enabled"
+    before = spark.conf.get(key, None)
+    write_store(hourly(spark), tmp_store)
+    assert spark.conf.get(key, None) == before
+    sorted_path = tmp_store + "_sorted"
+    write_store(hourly(spark), sorted_path, sort_free=False)
+    assert read_metrics(spark, tmp_store).count() == read_metrics(spark, sorted_path).count() == hourly(spark).count()
