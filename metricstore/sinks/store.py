@@ -7,6 +7,7 @@ query runs exactly once (no ``cache``/``count`` before, no ``distinct`` after).
 
 from __future__ import annotations
 
+import threading
 import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -51,19 +52,40 @@ SORT_FREE_WRITE = {
 }
 
 
+_settings_lock = threading.Lock()
+_settings_users: dict[tuple[int, tuple], list] = {}  # (session, keys) -> [count, saved values]
+
+
 @contextmanager
 def session_settings(spark: SparkSession, settings: dict[str, str]):
-    previous = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
+    """Apply ``settings`` while the block runs, restore them afterwards.
+
+    Writes running concurrently in one session share the change: the first
+    one in saves the previous values, the last one out restores them.
+    """
+    if not settings:
+        yield
+        return
+    key = (id(spark), tuple(sorted(settings)))
+    with _settings_lock:
+        entry = _settings_users.get(key)
+        if entry is None:
+            entry = _settings_users[key] = [0, {k: spark.conf.get(k, None) for k in settings}]
+            for k, v in settings.items():
+                spark.conf.set(k, v)
+        entry[0] += 1
     try:
         yield
     finally:
-        for k, v in previous.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        with _settings_lock:
+            entry[0] -= 1
+            if entry[0] == 0:
+                del _settings_users[key]
+                for k, v in entry[1].items():
+                    if v is None:
+                        spark.conf.unset(k)
+                    else:
+                        spark.conf.set(k, v)
 
 
 def writer_format(spark: SparkSession, fmt: str, orc_writer: str = "hive") -> str:

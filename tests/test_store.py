@@ -141,3 +141,16 @@ def test_sort_free_write_restores_settings(spark, tmp_store):
     sorted_path = tmp_store + "_sorted"
     write_store(hourly(spark), sorted_path, sort_free=False)
     assert read_metrics(spark, tmp_store).count() == read_metrics(spark, sorted_path).count() == hourly(spark).count()
+
+
+def test_concurrent_writes_restore_settings(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    key = "spark.sql.optimizer.plannedWrite.enabled"
+    before = spark.conf.get(key, None)
+    # separate folders: concurrent appends to one folder collide in the
+    # committer's shared _temporary folder (run_all writes one union instead)
+    with ThreadPoolExecutor(3) as pool:
+        results = list(pool.map(lambda i: write_store(hourly(spark, f"c{i}"), str(tmp_path / f"s{i}")), range(3)))
+    assert spark.conf.get(key, None) == before
+    assert [r.rows for r in results] == [read_metrics(spark, str(tmp_path / f"s{i}")).count() for i in range(3)]
