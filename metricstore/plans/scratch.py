@@ -16,14 +16,18 @@ from pyspark.sql import SparkSession
 
 def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    try:
+        context = spark.sparkContext
+    except Exception as exc:  # noqa: BLE001 - no local SparkContext to fall back on
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster") from exc
+    root = context.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if not (context.master or "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="metricstore-checkpoint-")
-        spark.sparkContext.setCheckpointDir(root)
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

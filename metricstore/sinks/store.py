@@ -29,8 +29,15 @@ HIVE_ORC_WRITER = "org.apache.spark.sql.hive.orc.OrcFileFormat"
 _hive_orc: dict[str, bool] = {}
 
 
+def _session_key(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        return str(id(spark))
+
+
 def _hive_orc_available(spark: SparkSession) -> bool:
-    key = spark.sparkContext.applicationId
+    key = _session_key(spark)
     if key not in _hive_orc:
         try:  # resolving the source runs no job
             spark.read.format(HIVE_ORC_WRITER).schema("probe int").load()

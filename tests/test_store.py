@@ -154,3 +154,13 @@ def test_concurrent_writes_restore_settings(spark, tmp_path):
         results = list(pool.map(lambda i: write_store(hourly(spark, f"c{i}"), str(tmp_path / f"s{i}")), range(3)))
     assert spark.conf.get(key, None) == before
     assert [r.rows for r in results] == [read_metrics(spark, str(tmp_path / f"s{i}")).count() for i in range(3)]
+
+
+def test_scratch_paths_follow_the_checkpoint_setting(spark):
+    from metricstore.plans.scratch import checkpoint_root, scratch_path
+
+    root = checkpoint_root(spark)
+    assert root and not root.endswith("/")
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root + "/metricstore/x-")
+    assert scratch_path(spark, "fixed", unique=False) == root + "/metricstore/fixed"
