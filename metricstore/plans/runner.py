@@ -313,11 +313,18 @@ class Runner:
         pending: list[_Pending] = []
         for metric in metrics:
             pending.extend(self._run_metric(metric, stamp, result, defer=True))
+        written_ids: set[str] = set()
         for start in range(0, len(pending), union_limit):
-            self._write_batch(pending[start:start + union_limit], stamp, result)
+            batch = pending[start:start + union_limit]
+            if self._write_batch(batch, stamp, result):
+                written_ids.update(p.metric.metric_id for p in batch)
+        # one copy to the central table for the whole run: a metric whose
+        # store stages fall into several batches is copied once
+        if written_ids and self.store_path is not None:
+            self._copy_to_table(sorted(written_ids), stamp)
         return result
 
-    def _write_batch(self, batch: list[_Pending], stamp: ComputeStamp, result: RunResult) -> None:
+    def _write_batch(self, batch: list[_Pending], stamp: ComputeStamp, result: RunResult) -> bool:
         marked = [p.records.withColumn("_stage", F.lit(i)) for i, p in enumerate(batch)]
         union = reduce(lambda a, b: a.unionByName(b), marked)
         count_by = {i: F.col("_stage") == F.lit(i) for i in range(len(batch))}
@@ -328,7 +335,6 @@ class Runner:
                 written = None
             else:
                 written = self._store_marked(union, count_by)
-                self._copy_to_table({p.metric.metric_id for p in batch}, stamp)
         except Exception as exc:  # noqa: BLE001 - reported, run continues
             for p in batch:
                 result.outcomes.append(
@@ -337,7 +343,7 @@ class Runner:
                         "failed", error=f"{type(exc).__name__}: {exc}",
                     )
                 )
-            return
+            return False
         seconds = time.perf_counter() - started
         for i, p in enumerate(batch):
             parts = ()
@@ -350,6 +356,7 @@ class Runner:
                     seconds=p.seconds + seconds, partitions=parts,
                 )
             )
+        return True
 
     def _store_marked(self, union: DataFrame, count_by):
         return write_store(

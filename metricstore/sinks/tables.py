@@ -23,7 +23,12 @@ def append_table(records: DataFrame, table: str, fmt: str | None = None) -> None
         return
     spark = records.sparkSession
     writer = records.write.mode("append")
-    if not _exists(spark, table):
+    if _exists(spark, table):
+        # an append must restate the table's own partitioning
+        parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        if parts:
+            writer = writer.partitionBy(*parts)
+    else:
         writer = writer.partitionBy(*PARTITION_COLUMNS)
         if fmt:
             writer = writer.format(fmt)

@@ -126,3 +126,23 @@ def test_run_all_into_a_table_only(spark):
     got = {r["id"]: r["count"] for r in spark.table("metrics_only_table").groupBy("id").count().collect()}
     assert got == {"t0": spark.sql(HOURLY).count(), "t1": spark.sql(HOURLY).count()}
     spark.sql("drop table metrics_only_table")
+
+
+def test_table_copy_once_across_batches(spark, tmp_store):
+    two_stores = MetricSpec("two", 3600, "sum", "1", (), stages=(
+        sql(HOURLY), sql(HOURLY, horizontal_level=1),
+    ))
+    result = Runner(spark, store_path=tmp_store, table="metrics_two_batches",
+                    compute_time=STAMP).run_all([two_stores], union_limit=1)
+    assert result.ok, result.failed()
+    assert spark.table("metrics_two_batches").count() == read_metrics(spark, tmp_store).count() == 2 * spark.sql(HOURLY).count()
+    spark.sql("drop table metrics_two_batches")
+
+
+def test_repeated_runs_append_to_the_central_table(spark, tmp_store):
+    metric = MetricSpec("again", 3600, "sum", "1", (), stages=(sql(HOURLY),))
+    for hour in (12, 13):
+        stamp = ComputeStamp.of(dt.datetime(2024, 2, 1, hour, tzinfo=dt.timezone.utc))
+        assert Runner(spark, store_path=tmp_store, table="metrics_again", compute_time=stamp).run(metric).ok
+    assert spark.table("metrics_again").count() == read_metrics(spark, tmp_store).count() == 2 * spark.sql(HOURLY).count()
+    spark.sql("drop table metrics_again")
