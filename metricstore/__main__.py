@@ -1,6 +1,7 @@
 """Run metric definitions from the command line (e.g. under spark-submit).
 
     python -m metricstore --definitions metrics.yaml --sql-dir sql \\
+        --view events=s3://bucket/events \\
         --store s3://bucket/metrics --dt-start "2024-01-05 00:00:00" --dt-end "2024-01-06 00:00:00"
 
 Under spark-submit, submit a script that calls ``metricstore.__main__.main()``
@@ -30,9 +31,22 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--cache-database", default="cache")
     p.add_argument("--report", help="folder to append the run report to (Parquet)")
     p.add_argument("--strict", action="store_true", help="fail on null or unconvertible val/measure_time")
+    p.add_argument(
+        "--view", action="append", default=[], metavar="NAME=PATH[@FORMAT]",
+        help="register files as a temp view before the run (format defaults to parquet); repeatable",
+    )
     return p.parse_args(argv)
 
 
+def register_views(spark, specs) -> None:
+    for spec in specs:
+        name, sep, target = spec.partition("=")
+        if not sep or not name or not target:
+            raise SystemExit(f"--view expects NAME=PATH[@FORMAT], got {spec!r}")
+        path, _, fmt = target.partition("@")
+        spark.read.format(fmt or "parquet").load(path).createOrReplaceTempView(name)
+
+
 def main(argv=None, spark=None) -> int:
     from pyspark.sql import SparkSession
 
@@ -47,6 +61,7 @@ def main(argv=None, spark=None) -> int:
         loader = sql_folder_loader(args.sql_dir) if args.sql_dir else None
         specs = load_definitions(handle.read(), sql_loader=loader)
     spark = spark or SparkSession.builder.appName("metricstore").getOrCreate()
+    register_views(spark, args.view)
     runner = Runner(
         spark,
         store_path=args.store,

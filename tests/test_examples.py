@@ -50,3 +50,19 @@ def test_command_line_run(spark, tmp_path):
     assert {r["id"] for r in read_metrics(spark, store).select("id").distinct().collect()} == {
         "p90_value_hourly", "total_value_daily"}
     assert spark.read.parquet(report).where("status = 'ok'").count() == 4
+
+
+def test_command_line_in_a_fresh_process(tmp_path):
+    import subprocess
+    import sys
+
+    root = os.path.dirname(HERE)
+    out = subprocess.run(
+        [sys.executable, "-m", "metricstore", "--definitions", os.path.join(EXAMPLES, "metrics.yaml"),
+         "--sql-dir", os.path.join(EXAMPLES, "sql"), "--view", "events=/root/testdata/sf0.001/events.parquet",
+         "--store", str(tmp_path / "store"), "--dt-start", "2024-01-01 00:00:00", "--dt-end", "2024-02-01 00:00:00",
+         "--cache-database", "cli_fresh"],
+        cwd=str(tmp_path), env={**os.environ, "PYTHONPATH": root}, capture_output=True, text=True, timeout=600,
+    )
+    assert out.returncode == 0, out.stdout[-2000:] + out.stderr[-3000:]
+    assert "p90_value_hourly" in out.stdout and "total_value_daily" in out.stdout
