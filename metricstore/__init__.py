@@ -10,7 +10,10 @@ from metricstore.operators.envelope import (
     to_envelope,
     to_long,
 )
+from metricstore.operators.dedupe import latest_records
+from metricstore.operators.envelope import check_envelope
 from metricstore.operators.levels import at_levels
+from metricstore.operators.quantiles import salted_quantiles
 from metricstore.plans.runner import RunResult, Runner, run_all, run_definition
 from metricstore.plans.spec import (
     MetricSpec,
@@ -23,6 +26,7 @@ from metricstore.plans.spec import (
     load_definitions,
     sql_folder_loader,
 )
+from metricstore.plans.scratch import scratch_path
 from metricstore.sinks.store import manifest, register_store, write_store
 from metricstore.sources.store import read_metrics
 
@@ -32,4 +36,5 @@ __all__ = [
     "at_levels", "bucket_epoch", "bucket_of_epoch", "bucket_timestamp", "check_definitions",
     "classify", "definitions_frame", "load_definitions", "sql_folder_loader", "manifest", "read_metrics", "register_store", "run_all",
     "run_definition", "to_envelope", "to_long", "value_bin", "value_struct", "write_store",
+    "check_envelope", "latest_records", "salted_quantiles", "scratch_path",
 ]
