@@ -1,0 +1,85 @@
+"""Token ids: whole-text encoding, round trip, offsets, single-document access."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from metricstore.llm import queries, token_store
+from metricstore.llm.arrays import buffers
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def whole():
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return token_store.load_tokenizer(open(PATH, encoding="utf-8").read())
+
+
+def in_pieces(tokenizer, texts):
+    ids, counts = token_store.encode(tokenizer, *buffers(pa.array(texts, pa.string())))
+    ends = np.cumsum(counts)
+    return [ids[s:e].tolist() for s, e in zip(ends - counts, ends)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="ab'sé ñ\u00a0\u0085\u3000\u2003\n\t .,1 2ß漢\U0001f600<|endoftext>", max_size=30), max_size=5))
+def test_pieces_give_the_ids_of_whole_texts(whole, pieces, texts):
+    assert in_pieces(pieces, texts) == [whole(t) for t in texts]
+
+
+def test_query_equals_whole_encoding(spark, whole):
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    start, want = 0, {}
+    for r in rows:
+        ids = np.array(whole(r["text"]) + [2], "<u4")
+        want[r["doc_id"]] = (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    got = {r["doc_id"]: tuple(r)[1:] for r in queries.op3_token_output(spark, sf).collect()}
+    assert got == want
+
+
+def test_edges_and_access_to_single_documents(spark, whole, tmp_path):
+    docs = [(5, None), (7, ""), (2, "again"), (2, "again"), (9, "long word " * 200_000), (None, "no id"), (8, "<|endoftext|>")]
+    df = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, start int")
+    path = str(tmp_path / "store")
+    token_store.write_tokens(df, path, PATH)
+    rows = sorted(token_store.read_tokens(spark, path).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == [None, 2, 2, 5, 7, 8, 9]
+    texts = ["no id", "again", "again", None, "", "<|endoftext|>", "long word " * 200_000]
+    at = 0
+    for r, t in zip(rows, texts):
+        ids = np.frombuffer(r["ids"], "<u4").tolist()
+        assert r["start"] == at and r["n_tokens"] == len(ids) and ids == whole(t) + [2]
+        at += len(ids)
+    one = token_store.read_tokens(spark, path, [8]).collect()
+    assert len(one) == 1 and np.frombuffer(one[0]["ids"], "<u4").tolist() == whole("<|endoftext|>") + [2]
+    empty = str(tmp_path / "empty")
+    token_store.write_tokens(df.where("false"), empty, PATH)
+    assert token_store.read_tokens(spark, empty).count() == 0
+
+
+def test_a_changed_dictionary_is_refused(spark, tmp_path):
+    df = spark.range(300).selectExpr("id as doc_id", "concat('a few words of text ', id) as text")
+    path = str(tmp_path / "store")
+    token_store.write_tokens(df, path, PATH, dictionary_bytes=2048)
+    row = spark.read.parquet(f"{path}/dictionary").first()
+    assert len(row["dictionary"]) > 0
+    spark.createDataFrame([(row["dict_sha256"], row["dictionary"][:-1], "", 2)],
+                          "dict_sha256 string, dictionary binary, tokenizer_sha256 string, end_id int"
+                          ).write.mode("overwrite").parquet(f"{path}/dictionary")
+    with pytest.raises(ValueError, match="hash"):
+        token_store.read_tokens(spark, path)
