@@ -20,6 +20,18 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from metricstore.plans.event_metrics import QUERIES, q_p90_envelope  # noqa: E402
 
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+LLM_ORACLES: dict[str, str] = {}
+try:  # the subpackage and the pipeline are optional
+    from metricstore.llm.queries import ORACLES as LLM_ORACLES  # noqa: E402
+    from metricstore.llm.queries import QUERIES as LLM_QUERIES  # noqa: E402
+except ModuleNotFoundError:
+    pass
+try:
+    import corpus_pipeline  # noqa: E402
+except ModuleNotFoundError:
+    corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -29,7 +41,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    pipeline = {"pipeline": corpus_pipeline.run} if corpus_pipeline else {}
+    return {**QUERIES, **LLM_QUERIES, **pipeline}
 
 
 def _bucket(expr: str, seconds: int) -> str:
@@ -54,6 +67,11 @@ from events group by 1
 
 
 def oracle_sql() -> dict[str, str]:
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline and corpus_pipeline.ORACLE_SQL else {}
+    return {**_core_oracles(), **LLM_ORACLES, **pipeline}
+
+
+def _core_oracles() -> dict[str, str]:
     b3600, b86400, b500, b300 = (_bucket("ts", w) for w in (3600, 86400, 500, 300))
     return {
         "q_p90_envelope": _P90_HOURLY,
