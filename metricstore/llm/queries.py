@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricstore.llm import decontam, fingerprint, langid, licenses, mixing, neardup, secrets, token_store, warc
+from metricstore.llm import decontam, fingerprint, langid, licenses, lm_score, mixing, neardup, secrets, token_store, warc
 from metricstore.plans.scratch import scratch_path
 
 
@@ -26,6 +26,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (hit["n_hit"] > 0).alias("contaminated"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = _remainder("doc_id", 5) == 1
+    found = lm_score.score_texts(docs, ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+                        "score", "bits_per_byte")
+
+
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -93,6 +101,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_lm_score": op2_lm_score,
     "op3_token_output": op3_token_output,
     "op4_source_mixing": op4_source_mixing,
     "op5_language_id": op5_language_id,

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from metricstore.plans.scratch import scratch_path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
     """Write ``df`` once and read it back: the lineage ends, every later read sees the same rows."""
     path = scratch_path(df.sparkSession, f"llm/{name}")
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
