@@ -14,12 +14,12 @@ folders.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from metricstore.operators.envelope import PARTITION_COLUMNS, to_envelope
-from metricstore.plans.scratch import scratch_path
 
 
 def stream_records(
@@ -55,13 +55,15 @@ def store_stream(
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g.
     ``{"processingTime": "1 minute"}`` or ``{"availableNow": True}``).  The
-    checkpoint defaults to a folder under ``spark.checkpoint.dir``.
+    checkpoint defaults to a folder of this metric beside the store's data
+    (``<path>/_checkpoints/<metric>``, which readers skip), so a restarted
+    stream goes on where it stopped.
     """
     records = stream_records(
         df, metric, horizontal_level=horizontal_level, vertical_level=vertical_level,
         json_columns=json_columns,
     )
-    checkpoint = checkpoint or scratch_path(df.sparkSession, f"stream-{metric.metric_id}")
+    checkpoint = checkpoint or f"{path.rstrip('/')}/_checkpoints/{quote(metric.metric_id, safe='')}"
     writer = (
         records.writeStream.format(fmt)
         .outputMode("append")

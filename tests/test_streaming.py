@@ -68,3 +68,22 @@ def test_late_rows_are_dropped_once_window_is_final(spark, tmp_path):
     got = {r["measure_time"]: r["val"] for r in read_metrics(spark, path).collect()}
     first_day = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp())
     assert got[first_day] == 1.0
+
+
+def test_a_restart_without_a_checkpoint_argument_goes_on(spark, tmp_path):
+    src, path = str(tmp_path / "in"), str(tmp_path / "store")
+    events = spark.read.parquet(EVENTS)
+    events.coalesce(1).write.parquet(src)
+    metric = MetricSpec("a/b rows", 0, "value", "1")
+
+    def run():
+        stream = spark.readStream.schema(events.schema).parquet(src).select(
+            F.col("ts").alias("measure_time"), F.col("value").alias("val"), "event_id")
+        store_stream(stream, metric, path, trigger={"availableNow": True}).awaitTermination(300)
+        return read_metrics(spark, path).count()
+
+    n = events.count()
+    assert run() == n
+    events.limit(1).coalesce(1).write.mode("append").parquet(src)
+    assert run() == n + 1
+    assert run() == n + 1
