@@ -303,14 +303,20 @@ DEFINITIONS_DDL = (
     "metric_id string, description string, time_window bigint, func_expr string, version string, "
     "func_vars array<string>, stages array<struct<stage_id:string, stage_type:string, "
     "output_type:string, sql_query:string, py_mod:string, view_name:string, "
-    "cached_view_name:string, horizontal_level:string, vertical_level:string>>"
+    "cached_view_name:string, horizontal_level:string, vertical_level:string, "
+    "source:struct<format:string, options:map<string,string>>>>"
 )
 
 
+#: Source options that are not recorded (fixed values).
+SECRET_OPTIONS = {"password", "credentials", "token", "accesstoken", "secret"}
+
+
 def definitions_frame(spark, specs: Iterable[MetricSpec]) -> DataFrame:
     """Definitions as rows (one per metric), e.g. to keep beside the store.
 
-    Python-stage callables are recorded by their qualified name.
+    Python-stage callables are recorded by their qualified name, a remote
+    stage's source with its options except passwords and the like.
     """
 
     def py_name(target) -> str | None:
@@ -323,7 +329,9 @@ def definitions_frame(spark, specs: Iterable[MetricSpec]) -> DataFrame:
             m.metric_id, m.description, m.time_window, m.func_expr, m.version, list(m.func_vars),
             [
                 (s.stage_id, s.kind.value, s.output.value, s.sql, py_name(s.python), s.view_name,
-                 s.cached_view_name, str(s.horizontal_level), str(s.vertical_level))
+                 s.cached_view_name, str(s.horizontal_level), str(s.vertical_level),
+                 s.source and (s.source.format, {k: str(v) for k, v in s.source.options.items() if v is not None
+                                                 and k.lower() not in SECRET_OPTIONS}))
                 for s in m.stages
             ],
         )
@@ -381,6 +389,12 @@ def check_definitions(defs: DataFrame) -> DataFrame:
 
     stype, otype = sf("stage_type"), sf("output_type")
     is_python = stype == F.lit("python")
+    # a remote stage may read a table or path named in its source's options
+    reads_table = F.lit(False)
+    if "source" in stage_fields:
+        options = F.col("s.source.options")
+        reads_table = F.coalesce(F.arrays_overlap(
+            F.map_keys(options), F.array(F.lit("dbtable"), F.lit("table"), F.lit("path"))), F.lit(False))
     known_types = F.lit(sorted(STAGE_KIND_ALIASES))
     known_outputs = F.lit(sorted(OUTPUT_KINDS))
     stage_problems = F.array_compact(
@@ -388,7 +402,7 @@ def check_definitions(defs: DataFrame) -> DataFrame:
             _problem(stype.isNull() | ~F.array_contains(known_types, stype), "unknown stage_type"),
             _problem(otype.isNotNull() & ~F.array_contains(known_outputs, otype), "unknown output_type"),
             _problem(is_python & sf("py_mod").isNull(), "python stage without py_mod"),
-            _problem(~is_python & sf("sql_query").isNull(), "sql stage without sql_query"),
+            _problem(~is_python & sf("sql_query").isNull() & ~reads_table, "sql stage without sql_query"),
             _problem(
                 (F.coalesce(otype, F.lit("view")) == F.lit("view")) & ~is_python & sf("view_name").isNull(),
                 "view stage without view_name",
