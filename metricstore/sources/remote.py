@@ -30,8 +30,18 @@ def remote_query(
     source: SourceSpec,
     query: str | None = None,
 ) -> DataFrame:
-    """Read the result of ``query`` (or a table named in the options)."""
-    reader = spark.read.format(source.format)
+    """Read the result of ``query`` (or a table named in the options).
+
+    With the options ``partitionColumn``, ``lowerBound``, ``upperBound`` and
+    ``numPartitions``, a query is read by that many connections, each taking a
+    range of the column from the query as a subquery; without them the whole
+    result comes through one connection, which suits small results.
+    """
+    return spark.read.format(source.format).options(**remote_options(source, query)).load()
+
+
+def remote_options(source: SourceSpec, query: str | None = None) -> dict[str, str]:
+    """The reader options for ``query`` against ``source``."""
     options = {k: str(v) for k, v in source.options.items() if v is not None}
     if query is not None:
         if source.format in FILE_FORMATS:
@@ -41,8 +51,15 @@ def remote_query(
             )
         if "dbtable" in options or "table" in options:
             raise ValueError("give either a query or a table option, not both")
-        options["query"] = query
-    return reader.options(**options).load()
+        if "partitionColumn" in options:
+            missing = sorted({"lowerBound", "upperBound", "numPartitions"} - set(options))
+            if missing:
+                raise ValueError(f"a partitioned query needs {missing}")
+            # the reader refuses "query" together with a partition column
+            options["dbtable"] = f"({query.strip().rstrip(';')}) stage_query"
+        else:
+            options["query"] = query
+    return options
 
 
 def jdbc_source(

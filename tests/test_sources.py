@@ -69,3 +69,16 @@ def test_gzip_json_lines(spark, tmp_path):
     ).write.option("compression", "gzip").json(path)
     df = read_json(spark, path, SENSOR_SCHEMA)
     assert df.count() == 100 and df.schema == SENSOR_SCHEMA
+
+
+def test_a_partitioned_query_becomes_a_subquery():
+    from metricstore.sources.remote import remote_options
+
+    bounds = {"partitionColumn": "id", "lowerBound": 0, "upperBound": 100, "numPartitions": 8}
+    source = jdbc_source("jdbc:postgresql://db/x", options=bounds)
+    assert remote_options(source, "select id, v from t where v > 1;") == {
+        "url": "jdbc:postgresql://db/x", "partitionColumn": "id", "lowerBound": "0", "upperBound": "100",
+        "numPartitions": "8", "dbtable": "(select id, v from t where v > 1) stage_query"}
+    assert remote_options(jdbc_source("jdbc:x"), "select 1")["query"] == "select 1"
+    with pytest.raises(ValueError):
+        remote_options(jdbc_source("jdbc:x", options={"partitionColumn": "id"}), "select 1")
