@@ -13,7 +13,7 @@ from metricstore.operators.envelope import (
 from metricstore.operators.dedupe import latest_records
 from metricstore.operators.envelope import check_envelope
 from metricstore.operators.levels import at_levels
-from metricstore.operators.quantiles import salted_quantiles
+from metricstore.operators.quantiles import exact_quantiles
 from metricstore.plans.runner import RunResult, Runner, run_all, run_definition
 from metricstore.plans.spec import (
     MetricSpec,
@@ -36,5 +36,5 @@ __all__ = [
     "at_levels", "bucket_epoch", "bucket_of_epoch", "bucket_timestamp", "check_definitions",
     "classify", "definitions_frame", "load_definitions", "sql_folder_loader", "manifest", "read_metrics", "register_store", "run_all",
     "run_definition", "to_envelope", "to_long", "value_bin", "value_struct", "write_store",
-    "check_envelope", "latest_records", "salted_quantiles", "scratch_path",
+    "check_envelope", "latest_records", "exact_quantiles", "scratch_path",
 ]

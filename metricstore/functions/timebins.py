@@ -12,9 +12,15 @@ from pyspark.sql import functions as F
 
 
 def epoch_of(ts: Column | str) -> Column:
-    """Epoch seconds of a timestamp (with or without time zone)."""
+    """Epoch seconds of a timestamp (with or without time zone), floored."""
     col = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_timestamp(col)
+    # unix_timestamp truncates towards zero, which is one too much for part seconds before 1970
+    before = F.when(
+        F.typeof(col) == F.lit("timestamp_ntz"),
+        col.cast("timestamp_ntz") < F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+    ).otherwise(col.cast("timestamp") < F.timestamp_seconds(F.lit(0)))
+    part = F.date_part(F.lit("SECOND"), col) % F.lit(1) != F.lit(0)
+    return F.unix_timestamp(col) - (before & part).cast("long")
 
 
 def bucket_of_epoch(epoch: Column | str, seconds: int) -> Column:
@@ -53,7 +59,3 @@ def value_bin(x: Column | str, width: float = 1.0) -> Column:
         return F.round(col)
     return F.round(col / F.lit(width)) * F.lit(width)
 
-
-def value_bin_expression(name: str, width: float = 1.0) -> str:
-    """Text describing a bin, to record beside the metric's ``func_expr``."""
-    return f"{name}_bin = round({name} / {width:g}) * {width:g}"

@@ -18,6 +18,7 @@ leaves the JVM.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -27,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from metricstore.functions.timebins import epoch_of
 from metricstore.functions.values import (
     PAYLOAD_FIELDS,
     VALUE_MAP_TYPE,
@@ -58,6 +60,8 @@ ENVELOPE_COLUMNS = tuple(f.name for f in ENVELOPE.fields)
 PARTITION_COLUMNS = ("id", "compute_date", "compute_hour", "horizontal_level", "vertical_level")
 FUNC_VAR_PREFIX = "func_var_"
 MANAGED_COLUMNS = ("val", "measure_time")
+#: Column metadata of a level column: the attributes of each level, by position, as JSON.
+LEVEL_SETS = "metricstore.level_sets"
 # ---------------------------------------------------------------------------
 
 
@@ -114,24 +118,31 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def epoch_seconds(x: Column, dtype: T.DataType, strict: bool = False) -> Column:
-    """Epoch seconds (long) of a time given as timestamp or as epoch number."""
+def _converted(x: Column, dtype: T.DataType, what: str, result: Column | None = None) -> Column:
+    """``x`` cast to ``dtype`` (or ``result``); a value that does not convert fails the job, ANSI mode or not."""
+    out = x.try_cast(dtype)
+    bad = F.concat(F.lit(f"{what} does not convert: "), x.cast("string"))
+    return F.when(x.isNotNull() & out.isNull(), F.raise_error(bad).cast(dtype)).otherwise(out if result is None else result)
+
+
+def epoch_seconds(x: Column, dtype: T.DataType) -> Column:
+    """Epoch seconds (long, floored) of a time given as timestamp or as epoch number."""
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_timestamp(x)
+        return epoch_of(x)
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return x.cast(T.LongType())
     if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return x.cast(T.LongType()) if strict else x.try_cast(T.LongType())
+        return _converted(x, T.LongType(), "measure_time", F.floor(x).cast(T.LongType()))
     raise TypeError(
         f"measure_time must be a timestamp or epoch seconds, not {dtype.simpleString()}"
     )
 
 
-def _val_expr(x: Column, dtype: T.DataType, strict: bool) -> Column:
+def _val_expr(x: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.NumericType, T.BooleanType, T.NullType)):
         return x.cast(T.DoubleType())
     if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
-        return x.cast(T.DoubleType()) if strict else x.try_cast(T.DoubleType())
+        return _converted(x, T.DoubleType(), "val")
     raise TypeError(f"val must be numeric, not {dtype.simpleString()}")
 
 
@@ -148,6 +159,10 @@ def _value_map(entries: Sequence[tuple[str, Column]]) -> Column:
     return F.create_map(*args)
 
 
+def _only_keys(entries: Column, keys: Column) -> Column:
+    return F.map_filter(entries, lambda k, v: F.array_contains(keys, k))
+
+
 def _level_expr(level: int | str) -> Column:
     if isinstance(level, bool):
         raise TypeError("a level is an integer or a column name")
@@ -217,15 +232,23 @@ def envelope_columns(
     def encoded(name: str) -> Column:
         return value_struct(column(name), types[name], as_json=name in as_json)
 
-    measure = epoch_seconds(column("measure_time"), types["measure_time"], strict)
-    val = _val_expr(column("val"), types["val"], strict)
+    measure = epoch_seconds(column("measure_time"), types["measure_time"])
+    val = _val_expr(column("val"), types["val"])
     if strict:
         measure, val = _not_null(measure, "measure_time"), _not_null(val, "val")
-    group_keys = (
-        F.array(*[F.lit(g) for g in layout.groups])
-        if layout.groups
-        else F.array().cast(T.ArrayType(T.StringType()))
-    )
+    names = T.ArrayType(T.StringType())
+    group_keys = F.array(*[F.lit(g) for g in layout.groups]).cast(names)
+    group_map = _value_map([(g, encoded(g)) for g in layout.groups])
+    for level in dict.fromkeys(level_cols):
+        sets = schema[level].metadata.get(LEVEL_SETS)
+        if sets is None:
+            continue
+        own = F.lit(None).cast(names)
+        for position, chosen in enumerate(json.loads(sets)):
+            keys = F.array(*[F.lit(g) for g in layout.groups if g in chosen]).cast(names)
+            own = F.when(column(level) == F.lit(position), keys).otherwise(own)
+        group_keys = F.array_intersect(group_keys, F.coalesce(own, group_keys))
+        group_map = _only_keys(group_map, group_keys)
     if stamp is None:
         now = F.current_timestamp()
         compute = [
@@ -245,7 +268,7 @@ def envelope_columns(
         *compute,
         F.lit(time_window).cast(T.LongType()).alias("time_window"),
         val.alias("val"),
-        _value_map([(g, encoded(g)) for g in layout.groups]).alias("group_map"),
+        group_map.alias("group_map"),
         group_keys.alias("group_keys"),
         F.lit(func_expr).cast(T.StringType()).alias("func_expr"),
         _value_map([(k, encoded(c)) for k, c in layout.func_vars]).alias("func_vars"),
@@ -271,8 +294,11 @@ def to_envelope(
     with ``metric_id, time_window, func_expr, version, func_vars``).  Levels
     are integers, or the name of a column of ``df`` that supplies the level
     per row (used by :func:`metricstore.operators.levels.at_levels`).
-    ``strict=True`` fails the job on a null ``val``/``measure_time`` or on a
-    value that does not convert; otherwise those become null.
+    A ``val`` or ``measure_time`` that does not convert fails the job;
+    ``strict=True`` also refuses nulls, which are kept otherwise.
+
+    A level column that carries grouping sets (``at_levels`` adds them) limits
+    ``group_keys`` and ``group_map`` of each row to its own level's attributes.
     """
     if df.isStreaming and compute_time is None:
         stamp = None  # per micro-batch

@@ -1,69 +1,83 @@
-"""Percentiles of groups that may be very large (skew-safe).
+"""Exact percentiles of groups that may be very large.
 
-``approx_percentile`` merges, for every key, one partial summary per map task
-in a single reducer; when one key holds a large share of all rows at scale,
-that reducer merges hundreds of thousands of summaries.  Here the value is
-sketched with mergeable KLL sketches in two levels:
-
-1. per (key, salt) - the salt is the input partition number modulo ``salt``,
-   so each map task still emits one sketch per key, but a hot key's sketches
-   are spread over ``salt`` reducers;
-2. per key - merging at most ``salt`` sketches.
-
-Counts travel alongside as partial sums.  For groups smaller than the sketch
-size ``k`` the sketch keeps every value, so the result is the exact
-``quantile_disc`` (the smallest value whose rank reaches the percentage).
-On larger groups KLL compaction is randomised: a re-run (or a retried task)
-can return a slightly different value within the sketch's rank error, where
-``approx_percentile`` would return the same one.
+``approx_percentile`` merges one summary per map task for every key in one
+reducer, and a sketch's result may change between runs.  Here equal values are
+counted first (a partial aggregate, so a hot value is one row per task), and
+the value at the wanted rank is found by narrowing: in each round the values
+still in question are counted in ``bins`` ranges per key, and the range that
+holds the rank goes on, with the smallest and largest value in it.  A round
+moves at most ``bins`` counts per key and percentage; it ends when one value is
+left.  The result is ``quantile_disc`` (the smallest value whose rank reaches
+the percentage), the same on every run.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from metricstore.plans.scratch import scratch_path
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "quantiles")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
 
-def salted_quantiles(
+def exact_quantiles(
     df: DataFrame,
     keys: Sequence[Column | str],
     value: Column | str,
     percentages: dict[str, float],
     *,
-    salt: int = 16,
-    k: int | None = None,
+    bins: int = 1024,
     count_alias: str | None = "sample_size",
 ) -> DataFrame:
-    """One row per key with a column per requested percentage (and a count).
+    """One row per key with a column per requested percentage (and a count of rows).
 
-    ``keys`` may be expressions; name them with ``alias``.  ``k`` is the KLL
-    sketch size (Spark's default when ``None``); a larger ``k`` is more
-    accurate on big groups.
+    ``keys`` may be expressions; name them with ``alias``.  Null values count
+    as rows but have no rank; a key without any other value has null
+    percentiles.  NaN is the largest value.
     """
-    if salt < 1:
-        raise ValueError("salt must be at least 1")
+    if bins < 2:
+        raise ValueError("bins must be at least 2")
     for name, p in percentages.items():
         if not 0.0 <= p <= 1.0:
             raise ValueError(f"percentage {name}={p} outside [0, 1]")
     key_cols = [F.col(c) if isinstance(c, str) else c for c in keys]
     val = (F.col(value) if isinstance(value, str) else value).cast("double")
-    sketch = F.kll_sketch_agg_double(val) if k is None else F.kll_sketch_agg_double(val, k)
-    first = df.groupBy(*key_cols, (F.spark_partition_id() % F.lit(salt)).alias("_salt")).agg(
-        sketch.alias("_sk"), F.count(F.lit(1)).alias("_n"), F.count(val).alias("_nv")
-    )
-    names = [c for c in first.columns if c not in ("_salt", "_sk", "_n", "_nv")]
-    merge = F.kll_merge_agg_double("_sk") if k is None else F.kll_merge_agg_double("_sk", k)
-    second = first.groupBy(*names).agg(
-        merge.alias("_sk"), F.sum("_n").alias("_n"), F.sum("_nv").alias("_nv")
-    )
-    out = [F.col(n) for n in names]
-    # a group without any non-null value has no quantile (null, as approx_percentile)
-    out += [
-        F.when(F.col("_nv") > 0, F.kll_sketch_get_quantile_double("_sk", F.lit(p))).alias(name)
-        for name, p in percentages.items()
-    ]
+    names = df.select(*key_cols).columns
+    whole = df.select(F.struct(*key_cols).alias("_k"), val.alias("_v"))
+    counts = _stored(whole.groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    real = counts.where("_v is not null")
+    groups = counts.groupBy("_k").agg(F.sum("_n").alias("_rows"), F.sum(F.when(F.col("_v").isNotNull(), F.col("_n"))).alias("_all"),
+                                      F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    wanted = F.explode(F.array(*[F.struct(F.lit(n).alias("_p"), F.lit(float(p)).alias("_q")) for n, p in percentages.items()]))
+    state = groups.where("_all is not null").select("_k", "_lo", "_hi", "_all", wanted.alias("_w")).select(
+        "_k", "_w._p", "_lo", "_hi", F.lit(0).cast("long").alias("_before"),
+        F.greatest(F.lit(1), F.ceil(F.col("_w._q") * F.col("_all"))).cast("long").alias("_rank"))
+    state = _stored(state)
+    done = state.where("_lo = _hi")
+    while not (left := state.where("_lo <> _hi")).isEmpty():
+        # equal ends hold one value; anything without a distance (infinities) shares the middle range
+        share = F.nanvl((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")), F.lit(0.5))
+        place = (F.when(F.col("_v") <= F.col("_lo"), 0).when(F.col("_v") >= F.col("_hi"), bins - 1)
+                 .otherwise(F.greatest(F.lit(1), F.least(F.lit(bins - 2), F.floor(share * bins)))))
+        inside = real.join(left, "_k").where("_v between _lo and _hi")
+        ranges = inside.groupBy("_k", "_p", "_before", "_rank", place.alias("_bin")).agg(
+            F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        upto = F.sum("_n").over(Window.partitionBy("_k", "_p").orderBy("_bin"))
+        state = _stored(
+            ranges.withColumn("_end", F.col("_before") + upto)
+            .where("_end >= _rank and _end - _n < _rank")
+            .select("_k", "_p", "_lo", "_hi", (F.col("_end") - F.col("_n")).alias("_before"), "_rank"))
+        done = done.unionByName(state.where("_lo = _hi"))
+    found = done.groupBy("_k").agg(*[F.max(F.when(F.col("_p") == F.lit(n), F.col("_lo"))).alias(n) for n in percentages])
+    result = groups.select(F.col("_k").alias("_g"), "_rows").join(found, F.col("_g").eqNullSafe(F.col("_k")), "left")
+    out = [F.col(f"_g.`{n}`").alias(n) for n in names] + [F.col(n) for n in percentages]
     if count_alias:
-        out.append(F.col("_n").alias(count_alias))
-    return second.select(*out)
+        out.append(F.col("_rows").alias(count_alias))
+    return result.select(*out)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from metricstore.functions.timebins import bucket_epoch
+from metricstore.functions.timebins import bucket_epoch, metric_bucket
 from metricstore.sources.python_stage import BaseLoader, BaseStage
 
 
@@ -18,11 +18,12 @@ class HourlyPercentileStage(BaseStage):
 
     def run(self, context, spark, stage, metric):
         source = self.args.get("source", "events")
-        seconds = int(self.args.get("seconds", metric.time_window if metric else 3600))
+        seconds = self.args.get("seconds")
+        bucket = metric_bucket("ts", metric) if seconds is None and metric else bucket_epoch("ts", int(seconds or 3600))
         pct = float(self.args.get("percentile", 0.9))
         result = (
             spark.table(source)
-            .groupBy(bucket_epoch("ts", seconds).alias("measure_time"), "event_type")
+            .groupBy(bucket.alias("measure_time"), "event_type")
             .agg(
                 F.percentile_approx("value", pct).alias("val"),
                 F.count(F.lit(1)).alias("sample_size"),

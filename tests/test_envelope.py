@@ -41,28 +41,26 @@ def test_rejects_missing_and_case_variant_columns():
 
 
 def test_metric_record(spark):
-    # volumetric flow rate: mass / density / time, levels 1 and 0
-    metric = MetricSpec("volumetric_flow_rate", 500, "mass / density / time", "1.0",
-                        ("mass", "density", "time"))
+    # discount share of an order line, with a declared variable that the stage lacks
+    metric = MetricSpec("discount_share", 900, "discounted / listed", "2.1", ("discounted", "listed", "absent"))
     schema = T.StructType([
         T.StructField("measure_time", T.LongType()), T.StructField("val", T.DoubleType()),
-        T.StructField("mass", T.DoubleType()), T.StructField("density", T.DoubleType()),
-        T.StructField("location", T.MapType(T.StringType(), T.DoubleType(), False)),
+        T.StructField("discounted", T.DoubleType()), T.StructField("listed", T.LongType()),
+        T.StructField("warehouse", T.MapType(T.StringType(), T.LongType(), False)),
+        T.StructField("carrier", T.StringType()),
     ])
-    df = spark.createDataFrame([(1585098000, 5.0, 25.0, 5.0, {"lat": 120.0, "long": 10.0})], schema)
-    rec = to_envelope(df, metric, horizontal_level=1, vertical_level=0, compute_time=STAMP)
+    df = spark.createDataFrame([(1700000100, 0.25, 12.5, 50, {"aisle": 7, "bay": 3}, "rail")], schema)
+    rec = to_envelope(df, metric, horizontal_level=2, vertical_level=1, compute_time=STAMP)
     check_envelope(rec)
     row = rec.first()
-    assert row["id"] == "volumetric_flow_rate"
-    assert row["measure_time"] == 1585098000
-    assert row["val"] == 5.0
-    assert row["group_keys"] == ["location"]
-    assert row["group_map"]["location"]["type"] == "map_double"
-    assert row["group_map"]["location"]["map_double"] == {"lat": 120.0, "long": 10.0}
-    assert sorted(row["func_vars"]) == ["density", "mass"]
-    assert {v["type"] for v in row["func_vars"].values()} == {"double"}
+    assert (row["id"], row["time_window"], row["func_expr"]) == ("discount_share", 900, "discounted / listed")
+    assert (row["measure_time"], row["val"]) == (1700000100, 0.25)
+    assert row["group_keys"] == ["warehouse", "carrier"]
+    assert row["group_map"]["warehouse"]["map_long"] == {"aisle": 7, "bay": 3}
+    assert {k: v["type"] for k, v in row["group_map"].items()} == {"warehouse": "map_long", "carrier": "string"}
+    assert {k: v["type"] for k, v in row["func_vars"].items()} == {"discounted": "double", "listed": "long"}
     assert (row["compute_time"], row["compute_date"], row["compute_hour"]) == (1706788800, "2024-02-01", 12)
-    assert (row["horizontal_level"], row["vertical_level"], row["version"]) == (1, 0, "1.0")
+    assert (row["horizontal_level"], row["vertical_level"], row["version"]) == (2, 1, "2.1")
 
 
 def test_schema_names_order_types(spark):
@@ -96,6 +94,51 @@ def test_nulls_kept_or_rejected_when_strict(spark):
         to_envelope(df, m, compute_time=STAMP, strict=True).collect()
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_value_that_does_not_convert_fails(spark, ansi):
+    m = MetricSpec("m", 1, "x", "1")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        good = spark.createDataFrame([(1, "2.5"), (2, None)], "measure_time long, val string")
+        assert [r["val"] for r in to_envelope(good, m, compute_time=STAMP).orderBy("measure_time").collect()] == [2.5, None]
+        for row, ddl in (((1, "abc"), "measure_time long, val string"), ((1e300, 1.0), "measure_time double, val double")):
+            with pytest.raises(Exception, match="does not convert"):
+                to_envelope(spark.createDataFrame([row], ddl), m, compute_time=STAMP).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_measure_time_is_floored_before_1970(spark):
+    m = MetricSpec("m", 1, "x", "1")
+    for ddl in ("timestamp", "timestamp_ntz"):
+        df = spark.sql(f"select cast('1969-12-31 23:59:58.5' as {ddl}) as measure_time, 1.0D as val union all "
+                       f"select cast('1970-01-01 00:00:01.5' as {ddl}), 2.0D")
+        got = {r["val"]: r["measure_time"] for r in to_envelope(df, m, compute_time=STAMP).collect()}
+        assert got == {1.0: -2, 2.0: 1}
+    df = spark.createDataFrame([(-1.5, 1.0)], "measure_time double, val double")
+    assert to_envelope(df, m, compute_time=STAMP).first()["measure_time"] == -2
+
+
+def test_level_records_name_their_own_attributes(spark):
+    from metricstore.operators.levels import at_levels, roll_up_levels
+
+    df = spark.createDataFrame([(0, "a", 1, 2.0), (0, "a", 2, 3.0), (0, None, 1, 5.0)], "measure_time long, g string, h long, v double")
+    sets = [["measure_time"], ["measure_time", "g"], ["measure_time", "g", "h"]]
+    for frame in (at_levels(df, sets, [F.sum("v").alias("val"), F.max("v").alias("func_var_top")]),
+                  roll_up_levels(df, sets, {"val": ("sum", "v"), "func_var_top": ("max", "v")})):
+        rec = to_envelope(frame, MetricSpec("m", 1, "x", "1"), horizontal_level="horizontal_level", compute_time=STAMP)
+        got = sorted((r["horizontal_level"], tuple(r["group_keys"]), tuple(sorted(r["group_map"])),
+                      str(r["group_map"]["g"]["string"]) if "g" in r["group_map"] else "-", r["val"]) for r in rec.collect())
+        assert got == [
+            (0, (), (), "-", 10.0),
+            (1, ("g",), ("g",), "None", 5.0), (1, ("g",), ("g",), "a", 5.0),
+            (2, ("g", "h"), ("g", "h"), "None", 5.0), (2, ("g", "h"), ("g", "h"), "a", 2.0), (2, ("g", "h"), ("g", "h"), "a", 3.0),
+        ]
+    with pytest.raises(ValueError):
+        roll_up_levels(df, sets, {"val": ("avg", "v")})
+
+
 def test_plan_stays_native(spark):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     df = events.select(F.unix_timestamp("ts").alias("measure_time"), F.col("value").alias("val"),
@@ -124,58 +167,61 @@ def test_to_long_one_row_per_entry(spark):
     assert len(rows) == 1 and rows[0]["kind"] is None
 
 
-BARRELS = [
-    ("2020-01-01 03:00:00", 1, 35.0, 0.9, 3000, 138.33),
-    ("2020-01-01 03:05:00", 1, 35.5, 0.92, 3300, 138.2),
-    ("2020-01-01 03:10:00", 1, 35.5, 0.92, 3900, 138.6),
-    ("2020-01-01 03:15:00", 1, 35.0, 0.9, 4200, 138.55),
-    ("2020-01-01 03:00:00", 2, 20.0, 0.3, 200, 139.7),
-    ("2020-01-01 03:05:00", 2, 21.0, 0.3, 500, 139.9),
-    ("2020-01-01 03:10:00", 2, 21.0, 0.31, 800, 139.7),
-    ("2020-01-01 03:15:00", 2, 20.0, 0.03, 1100, 139.8),
+PARCELS = [  # time, depot, length in cm, weight in kg; totals by hand below
+    ("2021-06-01 05:10:00", "north", 40.2, 1.25),
+    ("2021-06-01 05:50:00", "north", 40.5, 2.5),
+    ("2021-06-01 05:59:59", "south", 40.4, 4.0),
+    ("2021-06-01 06:00:00", "north", 41.4, 0.75),
+    ("2021-06-01 06:20:00", "south", 39.6, 3.0),
+    ("2021-06-01 06:40:00", "south", 40.0, 1.5),
 ]
 
 
-def barrels(spark):
-    df = spark.createDataFrame(
-        BARRELS, "time string, location int, temperature double, humidity double, since_calibration int, weight double"
-    )
-    return df.withColumn("time", F.to_timestamp("time"))
-
-
-def test_golden_m1_m2(spark):
+def test_totals_by_hand(spark):
     from metricstore import bucket_epoch, value_bin
 
-    b = barrels(spark)
-    m1 = b.groupBy(bucket_epoch("time", 3600).alias("measure_time")).agg(F.round(F.sum("weight"), 2).alias("val"))
-    rec1 = to_envelope(m1, MetricSpec("total_weight_hourly", 3600, "sum(Weight)", "1"), compute_time=STAMP)
-    assert [(r["measure_time"], r["val"]) for r in rec1.collect()] == [(1577847600, 1112.78)]
-
-    m2 = b.groupBy(
-        bucket_epoch("time", 3600).alias("measure_time"), "location",
-        value_bin("temperature", 1).cast("long").alias("func_var_temperature_bin"),
-    ).agg(F.round(F.sum("weight"), 2).alias("val"))
-    rec2 = to_envelope(m2, MetricSpec("total_weight_binned", 3600, "sum(Weight)", "1"),
-                       horizontal_level=1, compute_time=STAMP)
-    got = sorted(
-        (r["group_map"]["location"]["long"], r["func_vars"]["temperature_bin"]["long"], r["val"])
-        for r in rec2.collect()
-    )
-    assert got == [(1, 35, 276.88), (1, 36, 276.8), (2, 20, 279.5), (2, 21, 279.6)]
-    assert {r["horizontal_level"] for r in rec2.collect()} == {1}
-
-
-def test_salted_quantiles_exact_on_small_groups(spark):
-    from metricstore.operators.quantiles import salted_quantiles
-
-    df = spark.createDataFrame(
-        [("a", float(v)) for v in range(1, 11)] + [("b", 5.0), ("b", None), ("c", None)], "k string, v double"
-    ).repartition(4)
-    got = {r["k"]: (r["p90"], r["p50"], r["sample_size"]) for r in
-           salted_quantiles(df, ["k"], "v", {"p90": 0.9, "p50": 0.5}, salt=3).collect()}
-    assert got["a"] == (9.0, 5.0, 10)
-    assert got["b"] == (5.0, 5.0, 2)
-    assert got["c"][2] == 1 and got["c"][0] is None
+    parcels = spark.createDataFrame(PARCELS, "time string, depot string, length double, weight double").withColumn(
+        "time", F.to_timestamp("time"))
+    hourly = parcels.groupBy(bucket_epoch("time", 3600).alias("measure_time")).agg(F.sum("weight").alias("val"))
+    records = to_envelope(hourly, MetricSpec("weight_hourly", 3600, "sum(weight)", "1"), compute_time=STAMP)
+    assert sorted((r["measure_time"], r["val"]) for r in records.collect()) == [(1622523600, 7.75), (1622527200, 5.25)]
+
+    binned = parcels.groupBy(
+        bucket_epoch("time", 86400).alias("measure_time"), "depot",
+        value_bin("length", 1).cast("long").alias("func_var_length_bin"),
+    ).agg(F.sum("weight").alias("val"))
+    records = to_envelope(binned, MetricSpec("weight_binned", 86400, "sum(weight)", "1"), horizontal_level=1, compute_time=STAMP)
+    got = sorted((r["group_map"]["depot"]["string"], r["func_vars"]["length_bin"]["long"], r["val"]) for r in records.collect())
+    assert got == [("north", 40, 1.25), ("north", 41, 3.25), ("south", 40, 8.5)]
+    assert {(r["measure_time"], r["horizontal_level"]) for r in records.collect()} == {(1622505600, 1)}
+
+
+@pytest.mark.parametrize("bins", [2, 1024])
+def test_exact_quantiles(spark, bins):
+    from metricstore.operators.quantiles import exact_quantiles
+
+    inf, nan = float("inf"), float("nan")
+    rows = ([("a", float(v)) for v in range(1, 11)] + [("b", 5.0), ("b", None), ("c", None), (None, 2.0), (None, 1.0)]
+            + [("d", v) for v in (-inf, 1.0, 2.0, inf, nan)] + [("e", 1.0)] * 50 + [("e", 1e300), ("e", -1e300)])
+    df = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    got = {r["k"]: (r["p90"], r["p50"], r["p0"], r["sample_size"]) for r in
+           exact_quantiles(df, ["k"], "v", {"p90": 0.9, "p50": 0.5, "p0": 0.0}, bins=bins).collect()}
+    assert got["a"] == (9.0, 5.0, 1.0, 10)
+    assert got["b"] == (5.0, 5.0, 5.0, 2)
+    assert got["c"] == (None, None, None, 1)
+    assert got[None] == (2.0, 1.0, 1.0, 2)
+    assert str(got["d"]) == str((nan, 2.0, -inf, 5))
+    assert got["e"] == (1.0, 1.0, -1e300, 52)
+    assert exact_quantiles(df.where("false"), ["k"], "v", {"p": 0.5}).count() == 0
+
+
+def test_exact_quantiles_of_one_large_group_are_stable(spark):
+    from metricstore.operators.quantiles import exact_quantiles
+
+    df = spark.range(200_000).select(F.lit("k").alias("k"), F.pmod(F.col("id") * 7919, F.lit(200_000)).alias("v"))
+    for parts in (1, 3, 8):
+        row = exact_quantiles(df.repartition(parts), ["k"], "v", {"p90": 0.9}).first()
+        assert (row["p90"], row["sample_size"]) == (179999.0, 200_000)
 
 
 def test_spread_repartitions_before_the_projection(spark):

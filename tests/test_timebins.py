@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from metricstore import MetricSpec
 from metricstore.functions.timebins import (
-    bucket_epoch, bucket_of_epoch, bucket_timestamp, metric_bucket, value_bin, value_bin_expression,
+    bucket_epoch, bucket_of_epoch, bucket_timestamp, metric_bucket, value_bin,
 )
 
 
@@ -30,8 +30,21 @@ def test_value_bins_round_half_up(spark):
     df = spark.createDataFrame([(35.5,), (35.49,), (-0.5,), (2.25,)], "x double")
     assert [r[0] for r in df.select(value_bin("x")).collect()] == [36.0, 35.0, -1.0, 2.0]
     assert [r[0] for r in df.select(value_bin("x", 0.5)).collect()] == [35.5, 35.5, -0.5, 2.5]
-    assert value_bin_expression("temperature", 1) == "temperature_bin = round(temperature / 1) * 1"
     with pytest.raises(ValueError):
         value_bin("x", 0)
     with pytest.raises(ValueError):
         bucket_epoch(F.col("t"), 0)
+
+
+def test_timestamp_buckets_floor_before_1970_in_any_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    for zone in ("UTC", "Asia/Kolkata", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            df = spark.sql("select ms * 1000 as us from values (-500001L), (-500000L), (-1L), (0L), (1L), (500000L) as t(ms)").select(
+                F.timestamp_micros("us").alias("t"),
+                (F.to_timestamp_ntz(F.lit("1970-01-01")) + F.expr("make_dt_interval(0, 0, 0, us / 1000000.0)")).alias("n"))
+            got = [(r["t"], r["n"]) for r in df.select(bucket_epoch("t", 500).alias("t"), bucket_epoch("n", 500).alias("n")).collect()]
+            assert got == [(x, x) for x in (-1000, -500, -500, 0, 0, 500)], zone
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
