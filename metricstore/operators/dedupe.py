@@ -3,8 +3,12 @@
 Re-running a metric appends; ``compute_hour`` is a partition column, so a
 re-run in another hour lands in another directory.  A measurement is
 identified by metric, version, levels, measurement time and group values; the
-newest ``compute_time`` wins.  ``max_by`` aggregates partially on the map
-side, so a key that is repeated by many runs never gathers in one task.
+newest ``compute_time`` wins, with ALL records of that run: a measurement may
+have several, told apart by functional variables (value bins, say) or, for
+row-level metrics, by nothing but being rows.
+
+The identity is one text key.  The newest time per key is a hash aggregate of
+key and time alone; records then join it on both.
 """
 
 from __future__ import annotations
@@ -18,17 +22,15 @@ MEASUREMENT_KEY = ("id", "version", "horizontal_level", "vertical_level", "measu
 
 
 def latest_records(records: DataFrame) -> DataFrame:
-    # maps are not comparable; the group is keyed by its key list plus the
-    # values in that order (arrays of structs group and hash fine)
+    # maps have no order: the group's values follow the key list
     group_values = F.transform(F.col("group_keys"), lambda k: F.col("group_map")[k])
-    keyed = records.select(
-        *MEASUREMENT_KEY,
-        F.col("group_keys").alias("_gk"),
-        group_values.alias("_gv"),
-        F.struct(*ENVELOPE_COLUMNS).alias("_rec"),
-        F.col("compute_time").alias("_ct"),
-    )
-    newest = keyed.groupBy(*MEASUREMENT_KEY, "_gk", "_gv").agg(
-        F.max_by("_rec", "_ct").alias("_rec")
+    key = F.to_json(F.struct(*MEASUREMENT_KEY, "group_keys", group_values.alias("group_values")),
+                    {"ignoreNullFields": "false"})
+    keyed = records.select(*ENVELOPE_COLUMNS, key.alias("_key"))
+    newest = keyed.groupBy("_key").agg(F.max("compute_time").alias("_newest"))
+    # rows without a compute time count as older than any with one
+    return (
+        keyed.join(newest.withColumnRenamed("_key", "_of"), F.col("_key") == F.col("_of"))
+        .where(F.col("compute_time").eqNullSafe(F.col("_newest")))
+        .select(*ENVELOPE_COLUMNS)
     )
-    return newest.select(*[F.col(f"_rec.{c}").alias(c) for c in ENVELOPE_COLUMNS])

@@ -6,10 +6,13 @@ plus view (cached view), or the metric store.  A store stage is the record
 projection over the stage plan followed by one write, so each store stage's
 query runs exactly once.
 
-``run_all`` turns many metrics into one store write: the record frames of all
-store stages are combined with ``unionByName`` and written together, instead
-of one job (and one set of small files) per metric.  A failing metric is
-reported and the others carry on.
+Store stages are written together: the record frames of a metric's store
+stages, or with ``run_all`` of many metrics, are combined with ``unionByName``
+into one write.  A metric is never split across writes, so replacing partitions
+keeps all it produces.  If a shared write fails, its metrics are written one by
+one, and only those that fail by themselves are reported failed.  With a store
+and a table, the union is written once below ``spark.checkpoint.dir`` and both
+are filled from there, so they hold the same records.
 """
 
 from __future__ import annotations
@@ -27,8 +30,10 @@ from pyspark.sql import types as T
 
 from metricstore.operators.envelope import ComputeStamp, to_envelope
 from metricstore.plans.spec import MetricSpec, OutputKind, StageKind, StageSpec
-from metricstore.sinks.store import write_store
-from metricstore.sinks.tables import append_table, cached_view, temp_view
+from metricstore.plans.scratch import scratch_path
+from metricstore.sinks.observe import MARKER
+from metricstore.sinks.store import write_store, written_partitions
+from metricstore.sinks.tables import cached_view, table_name, temp_view, write_table
 from metricstore.sources.python_stage import StageContext, python_stage
 from metricstore.sources.remote import remote_query
 from metricstore.sources.sql import sql_stage
@@ -67,7 +72,7 @@ class RunResult:
     outcomes: list[StageOutcome] = field(default_factory=list)
 
     def partitions(self) -> dict[str, list[dict]]:
-        """Stored partition tuples per store stage id."""
+        """Partition tuples written (to the store, else to the table) per store stage id."""
         return {
             o.stage_id: list(o.partitions)
             for o in self.outcomes
@@ -168,60 +173,30 @@ class Runner:
             json_columns=stage.json_columns,
         )
 
-    def _store(self, records: DataFrame, count_by=None):
-        if self.store_path is None and self.table is None:
-            raise ValueError("a store stage needs store_path or table")
-        if self.store_path is None:
-            append_table(records, self.table, self.table_format)
-            return None
-        result = write_store(
-            records,
-            self.store_path,
-            mode=self.mode,
-            max_records_per_file=self.max_records_per_file,
-            count_by=count_by,
-            fmt=self.store_format,
-        )
-        return result
-
-    def _copy_to_table(self, ids: Iterable[str], stamp: ComputeStamp) -> None:
-        # the table gets exactly what the store holds for this run, read back
-        # from the written files instead of running the stage queries again
-        if self.table is None or self.store_path is None:
-            return
-        written = read_metrics(self.spark, self.store_path, ids=list(ids), dates=[stamp.date],
-                               hours=[stamp.hour], fmt=self.store_format)
-        append_table(written.where(F.col("compute_time") == F.lit(stamp.epoch)), self.table, self.table_format)
-
-    def _output(self, metric, stage, frame, stamp, defer: bool) -> tuple[int | None, tuple, _Pending | None]:
+    def _output(self, metric, stage, frame, stamp) -> _Pending | None:
         if stage.output is OutputKind.STORE:
             if frame is None:
                 raise ValueError(f"{stage.stage_id}: a store stage must produce a DataFrame")
             recs = self.records(metric, stage, frame, stamp)
             if stage.view_name:
                 temp_view(frame, stage.view_name)
-            if defer:
-                return None, (), _Pending(metric, stage, recs, 0.0)
-            result = self._store(recs)
-            self._copy_to_table([metric.metric_id], stamp)
-            if result is None:
-                return None, (), None
-            return result.rows, result.partitions, None
+            return _Pending(metric, stage, recs, 0.0)
         if frame is None:
-            return None, (), None  # a Python stage that registered its own views
+            return None  # a Python stage that registered its own views
         if stage.output is OutputKind.VIEW:
             if stage.view_name:
                 temp_view(frame, stage.view_name)
-            return None, (), None
+            return None
         name = stage.cached_view_name or stage.view_name
-        cached_view(frame, name, database=self.cache_database, location=self.cache_location)
+        cached = cached_view(frame, name, database=self.cache_database, location=self.cache_location,
+                             table=table_name(metric.metric_id, name))
         if stage.view_name and stage.view_name != name:
-            temp_view(self.spark.table(f"`{self.cache_database}`.`{name}`"), stage.view_name)
-        return None, (), None
+            temp_view(cached, stage.view_name)
+        return None
 
     # -- whole definitions --------------------------------------------------
 
-    def _run_metric(self, metric: MetricSpec, stamp: ComputeStamp, result: RunResult, defer: bool) -> list[_Pending]:
+    def _run_metric(self, metric: MetricSpec, stamp: ComputeStamp, result: RunResult) -> list[_Pending]:
         pending: list[_Pending] = []
         try:
             metric.validate()
@@ -244,15 +219,13 @@ class Runner:
             started = time.perf_counter()
             try:
                 frame = self.stage_frame(metric, stage, stamp)
-                rows, parts, later = self._output(metric, stage, frame, stamp, defer)
+                later = self._output(metric, stage, frame, stamp)
                 seconds = time.perf_counter() - started
                 if later is not None:
                     later.seconds = seconds
                     pending.append(later)
                     continue
-                result.outcomes.append(
-                    StageOutcome(**base, status="ok", rows=rows, seconds=seconds, partitions=parts)
-                )
+                result.outcomes.append(StageOutcome(**base, status="ok", seconds=seconds))
             except Exception as exc:  # noqa: BLE001 - reported, run continues
                 failed = True
                 result.outcomes.append(
@@ -284,7 +257,7 @@ class Runner:
         result = RunResult(stamp.epoch)
         pending: list[_Pending] = []
         for metric in metrics:
-            pending.extend(self._run_metric(metric, stamp, result, defer=True))
+            pending.extend(self._run_metric(metric, stamp, result))
         if result.failed():
             first = result.failed()[0]
             raise RuntimeError(f"{first.stage_id}: {first.error or first.status}")
@@ -293,81 +266,105 @@ class Runner:
         return reduce(lambda a, b: a.unionByName(b), [p.records for p in pending])
 
     def run(self, metric: MetricSpec) -> RunResult:
-        """Run one definition; each store stage writes as soon as it is reached."""
-        stamp = ComputeStamp.for_session(self.spark, self.compute_time)
-        result = RunResult(stamp.epoch)
-        self._run_metric(metric, stamp, result, defer=False)
-        return result
+        """Run one definition; its store stages are written together at the end."""
+        return self.run_all([metric])
 
     def run_all(self, metrics: Iterable[MetricSpec], union_limit: int = 64) -> RunResult:
         """Run many definitions; their store stages are written together.
 
-        Records of up to ``union_limit`` store stages go into one write (one
-        job, one set of files per task); a larger catalogue is written in
-        several such batches so no single plan grows without bound.
+        A write takes whole metrics, up to ``union_limit`` store stages (one
+        metric with more is a write of its own), so no single plan grows
+        without bound.  The limit changes only how many jobs there are.
         """
         if union_limit < 1:
             raise ValueError("union_limit must be at least 1")
+        metrics = list(metrics)
+        ids = [m.metric_id for m in metrics]
+        dupes = sorted({i for i in ids if ids.count(i) > 1})
+        if dupes:
+            raise ValueError(f"duplicate metric ids {dupes}")
         stamp = ComputeStamp.for_session(self.spark, self.compute_time)
         result = RunResult(stamp.epoch)
-        pending: list[_Pending] = []
+        batch: list[_Pending] = []
+        batches = [batch]
         for metric in metrics:
-            pending.extend(self._run_metric(metric, stamp, result, defer=True))
-        written_ids: set[str] = set()
-        for start in range(0, len(pending), union_limit):
-            batch = pending[start:start + union_limit]
-            if self._write_batch(batch, stamp, result):
-                written_ids.update(p.metric.metric_id for p in batch)
-        # one copy to the central table for the whole run: a metric whose
-        # store stages fall into several batches is copied once
-        if written_ids and self.store_path is not None:
-            self._copy_to_table(sorted(written_ids), stamp)
+            pending = self._run_metric(metric, stamp, result)
+            if batch and len(batch) + len(pending) > union_limit:
+                batch = []
+                batches.append(batch)
+            batch.extend(pending)
+        for batch in batches:
+            if batch:
+                self._write_batch(batch, stamp, result)
         return result
 
-    def _write_batch(self, batch: list[_Pending], stamp: ComputeStamp, result: RunResult) -> bool:
-        marked = [p.records.withColumn("_stage", F.lit(i)) for i, p in enumerate(batch)]
-        union = reduce(lambda a, b: a.unionByName(b), marked)
-        count_by = {i: F.col("_stage") == F.lit(i) for i in range(len(batch))}
+    def _write_batch(self, batch: list[_Pending], stamp: ComputeStamp, result: RunResult) -> None:
         started = time.perf_counter()
         try:
-            if self.store_path is None:
-                append_table(union.drop("_stage"), self.table, self.table_format)
-                written = None
-            else:
-                written = self._store_marked(union, count_by)
+            written, parts, table_error = self._write(batch, stamp)
         except Exception as exc:  # noqa: BLE001 - reported, run continues
+            names = list(dict.fromkeys(p.metric.metric_id for p in batch))
+            if len(names) > 1:  # find out which of them fails by itself
+                for name in names:
+                    self._write_batch([p for p in batch if p.metric.metric_id == name], stamp, result)
+                return
             for p in batch:
                 result.outcomes.append(
                     StageOutcome(
                         p.metric.metric_id, p.stage.stage_id, p.stage.kind.value, p.stage.output.value,
-                        "failed", error=f"{type(exc).__name__}: {exc}",
+                        "failed", seconds=p.seconds, error=f"{type(exc).__name__}: {exc}",
                     )
                 )
-            return False
-        seconds = time.perf_counter() - started
+            return
+        share = (time.perf_counter() - started) / len(batch)  # the write's time, shared evenly
         for i, p in enumerate(batch):
-            parts = ()
-            if written is not None:
-                parts = tuple(d for d in written.partitions if d["id"] == p.metric.metric_id)
             result.outcomes.append(
                 StageOutcome(
                     p.metric.metric_id, p.stage.stage_id, p.stage.kind.value, p.stage.output.value,
-                    "ok", rows=None if written is None else written.counts.get(i),
-                    seconds=p.seconds + seconds, partitions=parts,
+                    "ok", rows=written.counts[i], seconds=p.seconds + share, partitions=parts[i],
                 )
             )
-        return True
-
-    def _store_marked(self, union: DataFrame, count_by):
-        return write_store(
-            union,
-            self.store_path,
-            mode=self.mode,
-            max_records_per_file=self.max_records_per_file,
-            count_by=count_by,
-            drop=("_stage",),
-            fmt=self.store_format,
-        )
+        if table_error is not None:  # the store holds the run, the table does not
+            for name in dict.fromkeys(p.metric.metric_id for p in batch):
+                result.outcomes.append(
+                    StageOutcome(name, f"{name}/table", "-", "table", "failed", error=table_error))
+
+    def _write(self, batch: list[_Pending], stamp: ComputeStamp):
+        """(observed result, partitions per stage, error of the table copy)."""
+        if self.store_path is None and self.table is None:
+            raise ValueError("a store stage needs store_path or table")
+        union = reduce(lambda a, b: a.unionByName(b),
+                       [p.records.withColumn(MARKER, F.lit(i)) for i, p in enumerate(batch)])
+        both = self.store_path is not None and self.table is not None
+        if both:
+            path = scratch_path(self.spark, "run")
+            union.write.parquet(path)
+            union = self.spark.read.schema(union.schema).parquet(path)
+        error = None
+        if self.store_path is not None:
+            written = write_store(union, self.store_path, mode=self.mode, markers=len(batch),
+                                  max_records_per_file=self.max_records_per_file, fmt=self.store_format)
+            stored = read_metrics(self.spark, self.store_path, dates=[stamp.date], fmt=self.store_format,
+                                  ids=sorted({p.metric.metric_id for p in batch}))
+        if both:
+            try:
+                write_table(union, self.table, self.table_format, mode=self.mode, markers=len(batch))
+            except Exception as exc:  # noqa: BLE001 - reported beside the stored stages
+                error = f"{type(exc).__name__}: {exc}"
+        elif self.table is not None:
+            written = write_table(union, self.table, self.table_format, mode=self.mode, markers=len(batch))
+            stored = self.spark.table(self.table) if self.table_format in (None, "orc", "parquet", "delta") else None
+        parts = {}
+        for i, p in enumerate(batch):
+            span = written.spans[i]
+            if not span or span[0] == span[1]:
+                parts[i] = span[:1]
+            elif both:
+                mine = union.where(F.col(MARKER) == F.lit(i))
+                parts[i] = tuple(written_partitions(mine, stamp.epoch, span))
+            else:
+                parts[i] = tuple(written_partitions(stored, stamp.epoch, span)) if stored is not None else span
+        return written, parts, error
 
 
 def run_definition(spark: SparkSession, metric: MetricSpec, **options: Any) -> RunResult:

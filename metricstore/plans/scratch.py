@@ -14,6 +14,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_private: dict[str, str] = {}  # application id -> private folder of a local session
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -23,12 +26,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception as exc:  # noqa: BLE001 - no local SparkContext to fall back on
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster") from exc
     root = context.getCheckpointDir()
-    if not root:
-        if not (context.master or "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="metricstore-checkpoint-")
-        context.setCheckpointDir(root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not (context.master or "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    # the session itself keeps its settings
+    if context.applicationId not in _private:
+        _private[context.applicationId] = tempfile.mkdtemp(prefix="metricstore-checkpoint-")
+    return _private[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:

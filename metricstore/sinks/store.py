@@ -8,14 +8,13 @@ query runs exactly once (no ``cache``/``count`` before, no ``distinct`` after).
 from __future__ import annotations
 
 import threading
-import uuid
 from contextlib import contextmanager
-from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricstore.operators.envelope import ENVELOPE, PARTITION_COLUMNS, check_envelope
+from metricstore.sinks.observe import MARKER, ObservedWrite, WriteResult
 from metricstore.sources.store import read_metrics
 
 WRITE_MODES = ("append", "overwrite_partitions")
@@ -104,21 +103,13 @@ def writer_format(spark: SparkSession, fmt: str, orc_writer: str = "hive") -> st
     return fmt
 
 
-@dataclass(frozen=True)
-class WriteResult:
-    rows: int
-    partitions: tuple[dict, ...] = ()
-    counts: dict = field(default_factory=dict)  # per named marker, when asked for
-
-
 def write_store(
     records: DataFrame,
     path: str,
     *,
     mode: str = "append",
     max_records_per_file: int | None = None,
-    count_by: dict | None = None,
-    drop: tuple[str, ...] = (),
+    markers: int = 0,
     fmt: str = "orc",
     orc_writer: str = "hive",
     sort_free: bool = True,
@@ -132,25 +123,16 @@ def write_store(
     planned per-task sort on the partition columns.
     ``mode="overwrite_partitions"`` replaces only the partitions this write
     produces (dynamic partition overwrite), which makes a re-run idempotent.
-    ``count_by`` maps names to boolean conditions whose row counts are
-    observed during the same write; ``drop`` names helper columns those
-    conditions use, removed after observing.
+    With ``markers``, ``records`` carry a column ``_stage`` with values from 0
+    to ``markers - 1``; rows and partitions are observed for each, and the
+    column is not written.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
-    check_envelope(records.drop(*drop))
-    observation = Observation(f"metricstore-store-{uuid.uuid4().hex[:8]}")
-    measures = [
-        F.count(F.lit(1)).alias("rows"),
-        # bounded: the partition tuple is made of run literals and levels
-        F.collect_set(F.struct(*PARTITION_COLUMNS)).alias("partitions"),
-    ]
-    names = list((count_by or {}).keys())
-    for i, name in enumerate(names):
-        measures.append(F.count_if(count_by[name]).alias(f"c{i}"))
-    observed = records.observe(observation, *measures).drop(*drop)
+    check_envelope(records.drop(MARKER) if markers else records)
+    observed = ObservedWrite(records, markers)
     source = writer_format(records.sparkSession, fmt, orc_writer)
-    writer = observed.write.format(source).partitionBy(*PARTITION_COLUMNS)
+    writer = observed.frame.write.format(source).partitionBy(*PARTITION_COLUMNS)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     with session_settings(records.sparkSession, SORT_FREE_WRITE if sort_free else {}):
@@ -158,15 +140,20 @@ def write_store(
             writer.mode("append").save(path)
         else:
             writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
-    got = observation.get
-    parts = tuple(
-        sorted(
-            (row.asDict() for row in got.get("partitions") or []),
-            key=lambda d: tuple(str(d[c]) for c in PARTITION_COLUMNS),
-        )
-    )
-    counts = {name: int(got.get(f"c{i}") or 0) for i, name in enumerate(names)}
-    return WriteResult(int(got.get("rows") or 0), parts, counts)
+    return observed.result()
+
+
+def written_partitions(records: DataFrame, compute_time: int, span: tuple[dict, dict]) -> list[dict]:
+    """Partition tuples that one run wrote between two of them, from stored records.
+
+    For stages whose level is a column: one row per folder of that run.
+    """
+    lo, hi = span
+    rows = records.where(
+        (F.col("id") == F.lit(lo["id"])) & (F.col("compute_time") == F.lit(compute_time))
+        & F.col("horizontal_level").between(lo["horizontal_level"], hi["horizontal_level"])
+    ).select(*PARTITION_COLUMNS).distinct()
+    return sorted((r.asDict() for r in rows.collect()), key=lambda d: [str(d[c]).zfill(20) for c in PARTITION_COLUMNS])
 
 
 def manifest(spark: SparkSession, path: str, **filters) -> DataFrame:
@@ -189,11 +176,31 @@ def _ddl(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def register_store(spark: SparkSession, table: str, path: str, fmt: str = "orc") -> None:
-    """Expose the store as a partitioned catalog table and pick up new partitions."""
+def register_store(spark: SparkSession, table: str, path: str, fmt: str = "orc", partitions=None) -> None:
+    """Expose the store as a partitioned catalog table.
+
+    ``partitions`` (tuples of a ``WriteResult`` or of ``RunResult.partitions()``)
+    adds just those; without it every folder of the store is looked up, which
+    is for a first registration.
+    """
     cols = ", ".join(f"`{c}`" for c in PARTITION_COLUMNS)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(ENVELOPE)}) USING {fmt} "
         f"PARTITIONED BY ({cols}) LOCATION '{path}'"
     )
-    spark.catalog.recoverPartitions(table)
+    if partitions is None:
+        spark.catalog.recoverPartitions(table)
+        return
+
+    def literal(value) -> str:
+        if value is None:
+            return "null"
+        if isinstance(value, int):
+            return str(value)
+        text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{text}'"
+
+    specs = [", ".join(f"`{c}` = {literal(p[c])}" for c in PARTITION_COLUMNS) for p in partitions]
+    if specs:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({x})" for x in specs))
+        spark.catalog.refreshTable(table)

@@ -11,16 +11,42 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricstore.operators.dedupe import latest_records
 from metricstore.operators.envelope import ENVELOPE, ENVELOPE_COLUMNS
 
 
-def _isin(name: str, values: Iterable) -> Column:
-    values = list(values)
-    return F.col(name).isin(values)
+#: Characters that Spark escapes as %XX in the folder name of a partition value (fixed values).
+_ESCAPED = set('"#%\'*/:=?\\{[]^') | {chr(c) for c in range(1, 32)} | {"\x7f"}
+#: More folders than this are left to the partition filters.
+_MOST_FOLDERS = 1000
+
+
+def _folder(value) -> str:
+    if value is None or value == "":
+        return "__HIVE_DEFAULT_PARTITION__"
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in str(value))
+
+
+def _load(spark: SparkSession, path: str, fmt: str, ids, dates) -> DataFrame:
+    """The store, or just the folders of the named metrics and dates: only those are listed."""
+    reader = spark.read.schema(ENVELOPE).format(fmt)
+    if ids is not None:
+        root = path.rstrip("/")
+        folders = [f"{root}/id={_folder(i)}" for i in ids]
+        if dates is not None:
+            folders = [f"{f}/compute_date={_folder(d)}" for f in folders for d in dates]
+        if 0 < len(folders) <= _MOST_FOLDERS:
+            try:
+                return reader.option("basePath", root).load(folders)
+            except AnalysisException as exc:
+                if exc.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                # one of them was never written: the filters below settle it
+    return spark.read.schema(ENVELOPE).format(fmt).load(path)
 
 
 def read_metrics(
@@ -40,35 +66,46 @@ def read_metrics(
     """Records of the store at ``path`` with the 14 columns in schema order.
 
     ``date_range`` and ``measure_range`` are half-open ``[start, end)``.
+    With ``ids`` (and ``dates``) only those folders of the store are listed.
     ``latest=True`` keeps, per metric, version, level, measurement time and
-    group, only the record of the newest run (re-runs append, they do not
+    group, only the records of the newest run (re-runs append, they do not
     replace).
     """
-    df = spark.read.schema(ENVELOPE).format(fmt).load(path)
-    conds: list[Column] = []
-    if ids is not None:
-        conds.append(_isin("id", ids))
-    if dates is not None:
-        conds.append(_isin("compute_date", dates))
-    if date_range is not None:
-        lo, hi = date_range
-        if lo is not None:
-            conds.append(F.col("compute_date") >= F.lit(lo))
-        if hi is not None:
-            conds.append(F.col("compute_date") < F.lit(hi))
-    if hours is not None:
-        conds.append(_isin("compute_hour", hours))
-    if horizontal_levels is not None:
-        conds.append(_isin("horizontal_level", horizontal_levels))
-    if vertical_levels is not None:
-        conds.append(_isin("vertical_level", vertical_levels))
-    if measure_range is not None:
-        lo, hi = measure_range
+    ids = None if ids is None else list(ids)
+    dates = None if dates is None else list(dates)
+    df = _load(spark, path, fmt, ids, dates)
+    return _selected(df, ids, dates, date_range, hours, horizontal_levels, vertical_levels, measure_range, latest)
+
+
+def read_table(
+    spark: SparkSession,
+    table: str,
+    *,
+    ids: Iterable[str] | None = None,
+    dates: Iterable[str] | None = None,
+    date_range: tuple[str | None, str | None] | None = None,
+    hours: Iterable[int] | None = None,
+    horizontal_levels: Iterable[int] | None = None,
+    vertical_levels: Iterable[int] | None = None,
+    measure_range: tuple[int | None, int | None] | None = None,
+    latest: bool = False,
+) -> DataFrame:
+    """As :func:`read_metrics` for a registered store or central table: the catalog prunes partitions."""
+    return _selected(spark.table(table), ids, dates, date_range, hours, horizontal_levels, vertical_levels,
+                     measure_range, latest)
+
+
+def _selected(df, ids, dates, date_range, hours, horizontal_levels, vertical_levels, measure_range, latest) -> DataFrame:
+    lists = {"id": ids, "compute_date": dates, "compute_hour": hours, "horizontal_level": horizontal_levels,
+             "vertical_level": vertical_levels}
+    ranges = {"compute_date": date_range, "measure_time": measure_range}
+    for name, values in lists.items():
+        if values is not None:
+            df = df.where(F.col(name).isin(list(values)))
+    for name, (lo, hi) in ((k, v) for k, v in ranges.items() if v is not None):
         if lo is not None:
-            conds.append(F.col("measure_time") >= F.lit(lo))
+            df = df.where(F.col(name) >= F.lit(lo))
         if hi is not None:
-            conds.append(F.col("measure_time") < F.lit(hi))
-    for cond in conds:
-        df = df.where(cond)
+            df = df.where(F.col(name) < F.lit(hi))
     df = df.select(*ENVELOPE_COLUMNS)
     return latest_records(df) if latest else df

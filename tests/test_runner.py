@@ -92,7 +92,7 @@ def test_cached_view_and_params(spark, tmp_path):
     runner = Runner(spark, compute_time=STAMP, params={"dt_start": "2024-01-02 00:00:00"},
                     cache_database="test_cache", cache_location=str(tmp_path / "cache_db"))
     records = runner.plan(metric)
-    assert records.count() == spark.table("test_cache.hourly_cached").count() > 0
+    assert records.count() == spark.table("test_cache.cached__hourly_cached").count() > 0
     assert records.agg(F.min("measure_time")).first()[0] >= 1704153600
 
 
@@ -146,3 +146,102 @@ def test_repeated_runs_append_to_the_central_table(spark, tmp_store):
         assert Runner(spark, store_path=tmp_store, table="metrics_again", compute_time=stamp).run(metric).ok
     assert spark.table("metrics_again").count() == read_metrics(spark, tmp_store).count() == 2 * spark.sql(HOURLY).count()
     spark.sql("drop table metrics_again")
+
+
+def two(metric_id="two", **kw):
+    return MetricSpec(metric_id, 3600, "sum", "1", (), stages=(
+        sql(HOURLY, **kw), sql("select 0 as measure_time, 1 as val, 'x' as other")))
+
+
+@pytest.mark.parametrize("limit", [1, 64])
+def test_replacing_partitions_keeps_all_stages_of_a_metric(spark, tmp_store, limit):
+    n = spark.sql(HOURLY).count() + 1
+    for _ in range(2):
+        runner = Runner(spark, store_path=tmp_store, compute_time=STAMP, mode="overwrite_partitions")
+        result = runner.run_all([two(), two("other")], union_limit=limit)
+        assert result.ok and [o.rows for o in result.outcomes] == [n - 1, 1, n - 1, 1]
+        assert read_metrics(spark, tmp_store).count() == 2 * n
+    assert Runner(spark, store_path=tmp_store, compute_time=STAMP, mode="overwrite_partitions").run(two()).ok
+    assert read_metrics(spark, tmp_store).count() == 2 * n
+
+
+def test_partitions_are_those_of_each_stage(spark, tmp_store):
+    metric = MetricSpec("levels", 3600, "sum", "1", (), stages=(sql(HOURLY), sql(HOURLY, horizontal_level=1)))
+    result = Runner(spark, store_path=tmp_store, compute_time=STAMP).run_all([metric])
+    assert {k: [p["horizontal_level"] for p in v] for k, v in result.partitions().items()} == {"levels/0": [0], "levels/1": [1]}
+    by_column = MetricSpec("column", 3600, "sum", "1", (), stages=(
+        sql("select 0 as measure_time, id as val, id % 3 as lv from range(9)", horizontal_level="lv"),))
+    result = Runner(spark, store_path=tmp_store, compute_time=STAMP).run(by_column)
+    assert [p["horizontal_level"] for p in result.partitions()["column/0"]] == [0, 1, 2]
+
+
+def test_a_failing_metric_does_not_take_others_down(spark, tmp_store):
+    bad = MetricSpec("bad", 1, "x", "1", (), stages=(
+        sql("select 0 as measure_time, 1 div (id - 5) as val from range(10)"),))
+    good = MetricSpec("good", 3600, "sum", "1", (), stages=(sql(HOURLY),))
+    result = Runner(spark, store_path=tmp_store, compute_time=STAMP).run_all([bad, good])
+    assert {o.stage_id: o.status for o in result.outcomes} == {"bad/0": "failed", "good/0": "ok"}
+    assert "DIVIDE_BY_ZERO" in next(o.error for o in result.outcomes if o.status == "failed")
+    counts = {r["id"]: r["count"] for r in read_metrics(spark, tmp_store).groupBy("id").count().collect()}
+    assert counts == {"good": spark.sql(HOURLY).count()}
+
+
+def test_metrics_may_share_a_cached_view_name(spark, tmp_store, tmp_path):
+    def metric(name, where):
+        return MetricSpec(name, 3600, "sum", "1", (), stages=(
+            sql(f"select * from ({HOURLY}) where {where}", OutputKind.CACHED_VIEW, cached_view_name="shared"),
+            sql("select * from shared")))
+
+    runner = Runner(spark, store_path=tmp_store, compute_time=STAMP, cache_database="shared_cache",
+                    cache_location=str(tmp_path / "db"))
+    result = runner.run_all([metric("low", "val < 50"), metric("high", "val >= 50")])
+    assert result.ok, result.failed()
+    for name, where in (("low", "val < 50"), ("high", "val >= 50")):
+        assert read_metrics(spark, tmp_store, ids=[name]).count() == spark.sql(HOURLY).where(where).count()
+
+
+def test_duplicate_metric_ids_are_refused(spark, tmp_store):
+    with pytest.raises(ValueError, match="duplicate"):
+        Runner(spark, store_path=tmp_store).run_all([two(), two()])
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite_partitions"])
+def test_the_table_holds_what_the_store_holds(spark, tmp_store, mode):
+    table = f"central_{mode}"
+    n = spark.sql(HOURLY).count() + 1
+    try:
+        for times in (1, 2):
+            runner = Runner(spark, store_path=tmp_store, table=table, compute_time=STAMP, mode=mode)
+            assert runner.run(two()).ok
+            want = n * times if mode == "append" else n
+            stored = read_metrics(spark, tmp_store)
+            assert stored.count() == want == spark.table(table).count()
+            cols = ["measure_time", "val", "group_keys"]
+            assert stored.select(cols).exceptAll(spark.table(table).select(cols)).isEmpty()
+    finally:
+        spark.sql(f"drop table if exists {table}")
+
+
+def test_a_table_only_run_has_counts_and_partitions(spark):
+    try:
+        result = Runner(spark, table="central_only", compute_time=STAMP).run(two())
+        assert [o.rows for o in result.outcomes] == [spark.sql(HOURLY).count(), 1]
+        assert [len(p) for p in result.partitions().values()] == [1, 1]
+    finally:
+        spark.sql("drop table if exists central_only")
+
+
+def test_a_failed_table_copy_is_reported_beside_the_stored_stages(spark, tmp_store):
+    spark.sql("create table central_odd (a int) using parquet")
+    try:
+        result = Runner(spark, store_path=tmp_store, table="central_odd", compute_time=STAMP).run(two())
+        assert [(o.stage_id, o.status) for o in result.outcomes] == [("two/0", "ok"), ("two/1", "ok"), ("two/table", "failed")]
+        assert read_metrics(spark, tmp_store).count() == spark.sql(HOURLY).count() + 1
+    finally:
+        spark.sql("drop table central_odd")
+
+
+def test_stage_params(spark):
+    metric = MetricSpec("p", 1, "x", "1", (), stages=(
+        sql("select 0 as measure_time, :a + :b as val", params={"b": 2}),))
+    assert Runner(spark, compute_time=STAMP, params={"a": 40}).plan(metric).first()["val"] == 42.0

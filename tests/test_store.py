@@ -164,3 +164,50 @@ def test_scratch_paths_follow_the_checkpoint_setting(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root + "/metricstore/x-")
     assert scratch_path(spark, "fixed", unique=False) == root + "/metricstore/fixed"
+
+
+def test_latest_keeps_every_record_of_the_newest_run(spark, tmp_store):
+    metric = MetricSpec("rows", 0, "x", "1", ("bin",))
+    rows = [(0, float(i), "g", i % 7) for i in range(2000)] + [(1, 0.0, None, 1)]
+    df = spark.createDataFrame(rows, "measure_time long, val double, g string, bin long")
+    for stamp in (H12, H13):
+        write_store(to_envelope(df, metric, compute_time=stamp), tmp_store)
+    latest = read_metrics(spark, tmp_store, latest=True)
+    assert latest.count() == 2001
+    assert {r["compute_hour"] for r in latest.select("compute_hour").distinct().collect()} == {13}
+    assert "SortAggregate" not in latest._jdf.queryExecution().executedPlan().toString()
+
+
+def test_named_folders_alone_are_listed(spark, tmp_store):
+    for name in ("a", "b", "a/b:x y", "x=[1]"):
+        write_store(hourly(spark, name), tmp_store)
+    n = hourly(spark).count()
+    only = read_metrics(spark, tmp_store, ids=["a/b:x y", "x=[1]"], dates=["2024-02-01"])
+    assert only.count() == 2 * n and all("id=a/" not in f and "id=b/" not in f for f in only.inputFiles())
+    assert read_metrics(spark, tmp_store, ids=["a", "never"]).count() == n
+    assert read_metrics(spark, tmp_store, ids=["a"], dates=["1999-01-01"]).count() == 0
+    assert read_metrics(spark, tmp_store, ids=[]).count() == 0
+
+
+def test_register_adds_just_the_new_partitions(spark, tmp_store):
+    from metricstore.sources.store import read_table
+
+    first = write_store(hourly(spark, "it's"), tmp_store)
+    write_store(hourly(spark, "unlisted"), tmp_store)
+    try:
+        register_store(spark, "metrics_new", tmp_store, partitions=first.partitions)
+        assert {r["id"] for r in spark.table("metrics_new").select("id").distinct().collect()} == {"it's"}
+        register_store(spark, "metrics_new", tmp_store, partitions=first.partitions)
+        assert read_table(spark, "metrics_new", ids=["it's"]).count() == hourly(spark).count()
+        register_store(spark, "metrics_new", tmp_store)
+        assert spark.table("metrics_new").count() == 2 * hourly(spark).count()
+    finally:
+        spark.sql("drop table if exists metrics_new")
+
+
+def test_scratch_leaves_the_session_alone(spark):
+    from metricstore.plans.scratch import checkpoint_root
+
+    before = spark.sparkContext.getCheckpointDir()
+    assert checkpoint_root(spark) == checkpoint_root(spark)
+    assert spark.sparkContext.getCheckpointDir() == before
