@@ -71,6 +71,14 @@ def oracle_sql() -> dict[str, str]:
     return {**_core_oracles(), **LLM_ORACLES, **pipeline}
 
 
+_TWO_WAYS = f"""
+select {_bucket('ts', 3600)} as measure_time, cast(null as varchar) as event_type, round(sum(value), 4) as val
+from events group by 1
+union all
+select {_bucket('ts', 3600)}, event_type, quantile_disc(value, 0.9) from events group by 1, 2
+"""
+
+
 def _core_oracles() -> dict[str, str]:
     b3600, b86400, b500, b300 = (_bucket("ts", w) for w in (3600, 86400, 500, 300))
     return {
@@ -91,13 +99,17 @@ def _core_oracles() -> dict[str, str]:
                    round(sum(value), 4) as val
             from events group by 1, 2, 3""",
         "q_levels": f"""
-            select measure_time, event_type, user_id,
-                   cast(case grouping_id(measure_time, event_type, user_id)
-                        when 3 then 0 when 1 then 1 else 2 end as bigint) as horizontal_level,
-                   round(sum(value), 4) as val
-            from (select {b86400} as measure_time, event_type, user_id, value from events)
-            group by grouping sets ((measure_time), (measure_time, event_type),
-                                    (measure_time, event_type, user_id))""",
+            select measure_time, event_type, user_id, level as horizontal_level,
+                   ['', 'event_type', 'event_type,user_id'][level + 1] as group_keys,
+                   ['', 'event_type', 'event_type,user_id'][level + 1] as map_keys, val
+            from (
+              select measure_time, event_type, user_id,
+                     cast(case grouping_id(measure_time, event_type, user_id)
+                          when 3 then 0 when 1 then 1 else 2 end as bigint) as level,
+                     round(sum(value), 4) as val
+              from (select {b86400} as measure_time, event_type, user_id, value from events)
+              group by grouping sets ((measure_time), (measure_time, event_type),
+                                      (measure_time, event_type, user_id)))""",
         "q_value_decimal": """
             select event_id,
                    case when dv % 1 = 0 then 'long' else 'double' end as type,
@@ -161,7 +173,39 @@ def _core_oracles() -> dict[str, str]:
             select {b86400} as measure_time, event_type, round(avg(value), 6) as val,
                    count(value) as sample_size
             from events group by 1, 2""",
-        "q_central_table": _TOTAL_HOURLY,
+        "q_central_table": _TWO_WAYS,
+        "q_overwrite_rerun": _TWO_WAYS,
+        "q_latest_binned": f"""
+            select {b3600} as measure_time, event_type, cast(round(value) as bigint) as value_bin,
+                   round(sum(value), 4) as val, cast(1706794200 as bigint) as compute_time
+            from events group by 1, 2, 3""",
+        "q_record_metadata": f"""
+            select distinct 'p90_value_hourly' as id, {b3600} as measure_time,
+                   cast(3600 as bigint) as time_window,
+                   'approx_percentile(value, 0.9) every hour' as func_expr, '1.0' as version,
+                   '2024-02-01' as compute_date, cast(12 as bigint) as compute_hour,
+                   'event_type' as group_keys, event_type
+            from events""",
+        "q_value_bool_json": """
+            select event_id, 'bool' as high_type, value >= 50 as high, 'json' as parts_type,
+                   '[' || event_id || ',' || user_id || ']' as parts
+            from events""",
+        "q_stage_params": f"""
+            select {b86400} as measure_time, cast(count(*) as double) as val
+            from events where value >= 60 and ts >= timestamp '2024-01-03 00:00:00' group by 1""",
+        "q_value_map_mixed": """
+            select event_id, 'map_string' as gaps_type, cast(event_id as varchar) as gaps_id, 'null' as gaps_none,
+                   'map_string' as nested_type, '[' || event_id || ',' || user_id || ']' as nested_ids
+            from events""",
+        "q_value_decimal_wide": """
+            select event_id, case when event_id <= 9 then 'long' else 'double' end as type,
+                   case when event_id <= 9 then event_id * 1000000000000000000 end as long,
+                   case when event_id > 9 then cast(event_id as double) * 1e18 end as double
+            from events""",
+        "q_p90_lineitem": """
+            select l_returnflag, quantile_disc(l_extendedprice, 0.9) as val,
+                   quantile_disc(l_extendedprice, 0.5) as median, count(*) as sample_size
+            from lineitem group by 1""",
         "q_registered_store": _TOTAL_HOURLY,
         "q_p90_salted": f"""
             select {b3600} as measure_time, event_type,

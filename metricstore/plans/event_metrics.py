@@ -16,16 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricstore.functions.timebins import bucket_epoch, value_bin
+from metricstore.functions.timebins import bucket_epoch, bucket_of_epoch, value_bin
 from metricstore.operators.envelope import ComputeStamp, to_long
-from metricstore.operators.levels import at_levels
-from metricstore.operators.quantiles import salted_quantiles
+from metricstore.operators.levels import roll_up_levels
+from metricstore.operators.quantiles import exact_quantiles
 from metricstore.plans.runner import Runner
 from metricstore.plans.scratch import scratch_path
 from metricstore.plans.spec import MetricSpec, OutputKind, SourceSpec, StageKind, StageSpec
 from metricstore.sinks.store import manifest, register_store
+from metricstore.sources.files import read_json
 from metricstore.sources.sql import time_range_params
-from metricstore.sources.store import read_metrics
+from metricstore.sources.store import read_metrics, read_table
 
 # one fixed compute stamp, so stored partitions are reproducible
 FIXED_STAMP = ComputeStamp.of(datetime(2024, 2, 1, 12, 0, tzinfo=timezone.utc), "UTC")
@@ -146,7 +147,12 @@ def q_p90_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_max_min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Max/min per 500 s and user; input through a remote-style source stage."""
+    """Max/min per 500 s and user.
+
+    The input is a remote stage of the generic format route, here Parquet
+    files; it shows nothing about a query run by another engine, which needs a
+    database to read from (``tests/test_sources.py`` checks the options).
+    """
     metric = MetricSpec(
         "max_value_500s", 500, "max(value) every 500 s", "1.0", ("sample_size", "min_val"),
         stages=(
@@ -195,15 +201,16 @@ def _levels_stage(spark: SparkSession) -> DataFrame:
     daily = spark.table("events").select(
         bucket_epoch("ts", 86400).alias("measure_time"), "event_type", "user_id", "value"
     )
-    return at_levels(
+    levels = roll_up_levels(
         daily,
         [["measure_time"], ["measure_time", "event_type"], ["measure_time", "event_type", "user_id"]],
-        [F.round(F.sum("value"), 4).alias("val")],
+        {"val": ("sum", "value")},
     )
+    return levels.withColumn("val", F.round("val", 4))
 
 
 def q_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One metric at three levels of a hierarchy, from one grouping-sets pass."""
+    """One metric at three levels of a hierarchy, rolled up from the finest; each record names its own level's keys."""
     register_tables(spark, sf_dir, "events")
     metric = MetricSpec(
         "total_value_daily_levels", 86400, "sum(value) every day", "1", (),
@@ -216,28 +223,28 @@ def q_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
         group("event_type").alias("event_type"),
         group("user_id", "long").alias("user_id"),
         "horizontal_level",
+        F.array_join("group_keys", ",").alias("group_keys"),
+        F.array_join(F.array_sort(F.map_keys("group_map")), ",").alias("map_keys"),
         "val",
     )
 
 
-def _salted_p90_stage(spark: SparkSession, source: str = "events", salt: int = 16) -> DataFrame:
-    return salted_quantiles(
+def _exact_p90_stage(spark: SparkSession, source: str = "events") -> DataFrame:
+    return exact_quantiles(
         spark.table(source),
         [bucket_epoch("ts", 3600).alias("measure_time"), F.col("event_type")],
         "value",
         {"val": 0.9},
-        salt=salt,
     )
 
 
 def q_p90_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly p90 per event type with the skew-safe two-level sketch merge."""
+    """Hourly p90 per event type, exact and safe for groups of any size."""
     register_tables(spark, sf_dir, "events")
     metric = MetricSpec(
-        "p90_value_hourly_sketch", 3600, "p90(value) every hour (KLL sketches, salted)", "1.0",
+        "p90_value_hourly_exact", 3600, "p90(value) every hour (exact)", "1.0",
         ("sample_size",),
-        stages=(StageSpec(StageKind.PYTHON, OutputKind.STORE, python=_salted_p90_stage,
-                          python_args={"salt": 16}, horizontal_level=1),),
+        stages=(StageSpec(StageKind.PYTHON, OutputKind.STORE, python=_exact_p90_stage, horizontal_level=1),),
     )
     records = Runner(spark, compute_time=FIXED_STAMP).plan(metric)
     return records.select(
@@ -248,6 +255,26 @@ def q_p90_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _price_stage(spark: SparkSession) -> DataFrame:
+    return exact_quantiles(
+        spark.table("lineitem"), ["l_returnflag"], "l_extendedprice", {"val": 0.9, "func_var_median": 0.5},
+    ).withColumn("measure_time", F.lit(0).cast("long"))
+
+
+def q_p90_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p90 and median price per return flag: three groups that hold a large share of all rows each."""
+    register_tables(spark, sf_dir, "lineitem")
+    metric = MetricSpec(
+        "p90_price_by_flag", 0, "p90(l_extendedprice)", "1", ("sample_size",),
+        stages=(StageSpec(StageKind.PYTHON, OutputKind.STORE, python=_price_stage, horizontal_level=1),),
+    )
+    records = Runner(spark, compute_time=FIXED_STAMP).plan(metric)
+    return records.select(
+        group("l_returnflag").alias("l_returnflag"), "val", func("median", "double").alias("median"),
+        func("sample_size").alias("sample_size"),
+    )
+
+
 def q_value_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decimal functional variable: integral values tagged long, others double."""
     register_tables(spark, sf_dir, "events")
@@ -331,20 +358,50 @@ def _scratch_database(spark: SparkSession, name: str) -> str:
     return name
 
 
+def _kept(df: DataFrame, table: str) -> DataFrame:
+    # the result outlives the table, which is dropped again
+    spark = df.sparkSession
+    path = scratch_path(spark, "table-result")
+    df.write.parquet(path)
+    spark.sql(f"DROP TABLE {table}")
+    return spark.read.parquet(path)
+
+
+def two_stores() -> MetricSpec:
+    """Two store stages at the same levels, so they share a partition."""
+    return MetricSpec(
+        "value_hourly_two_ways", 3600, "sum and p90 of value every hour", "1", (),
+        stages=(_sql(TOTAL_HOURLY_SQL), _sql(P90_HOURLY_SQL)),
+    )
+
+
 def q_central_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records appended to a central catalog table (besides the store), read from the table."""
+    """A run with two store stages into a store and a central table, read from the table."""
     register_tables(spark, sf_dir, "events")
     database = _scratch_database(spark, "metricstore_tables")
     table = f"{database}.metrics_{uuid.uuid4().hex[:12]}"
     result = Runner(spark, store_path=scratch_path(spark, "store"), table=table,
-                    compute_time=FIXED_STAMP).run(total_hourly())
+                    compute_time=FIXED_STAMP).run(two_stores())
     if not result.ok:
         raise RuntimeError(result.failed())
-    return spark.table(table).where(F.col("id") == "total_value_hourly").select("measure_time", "val")
+    rows = read_table(spark, table, ids=["value_hourly_two_ways"]).select(
+        "measure_time", group("event_type").alias("event_type"), "val")
+    return _kept(rows, table)
+
+
+def q_overwrite_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two store stages in one partition, run twice replacing partitions: all records, once."""
+    register_tables(spark, sf_dir, "events")
+    path = scratch_path(spark, "store")
+    for _ in range(2):
+        result = Runner(spark, store_path=path, compute_time=FIXED_STAMP, mode="overwrite_partitions").run(two_stores())
+        if not result.ok:
+            raise RuntimeError(result.failed())
+    return read_metrics(spark, path).select("measure_time", group("event_type").alias("event_type"), "val")
 
 
 def q_registered_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A store exposed as a partitioned catalog table; partitions recovered from the folders."""
+    """A store exposed as a partitioned catalog table; only the run's partitions are added."""
     register_tables(spark, sf_dir, "events")
     database = _scratch_database(spark, "metricstore_tables")
     path = scratch_path(spark, "store")
@@ -352,12 +409,9 @@ def q_registered_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     if not result.ok:
         raise RuntimeError(result.failed())
     table = f"{database}.store_{uuid.uuid4().hex[:12]}"
-    register_store(spark, table, path)
-    return (
-        spark.table(table)
-        .where((F.col("id") == "total_value_hourly") & (F.col("compute_date") == FIXED_STAMP.date))
-        .select("measure_time", "val")
-    )
+    register_store(spark, table, path, partitions=[p for ps in result.partitions().values() for p in ps])
+    rows = read_table(spark, table, ids=["total_value_hourly"], dates=[FIXED_STAMP.date])
+    return _kept(rows.select("measure_time", "val"), table)
 
 
 def q_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -524,9 +578,112 @@ def q_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_latest_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the binned metric: the newest run keeps every bin of a measurement."""
+    register_tables(spark, sf_dir, "events")
+    path = scratch_path(spark, "store")
+    for stamp in (FIXED_STAMP, LATER_STAMP):
+        result = Runner(spark, store_path=path, compute_time=stamp).run(total_binned())
+        if not result.ok:
+            raise RuntimeError(result.failed())
+    latest = read_metrics(spark, path, ids=["total_value_binned"], latest=True)
+    return latest.select(
+        "measure_time", group("event_type").alias("event_type"), func("value_bin").alias("value_bin"), "val",
+        "compute_time",
+    )
+
+
+def q_record_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The descriptive columns of every record of a metric."""
+    register_tables(spark, sf_dir, "events")
+    records = Runner(spark, compute_time=FIXED_STAMP).plan(p90_hourly())
+    return records.select(
+        "id", "measure_time", "time_window", "func_expr", "version", "compute_date", "compute_hour",
+        F.array_join("group_keys", ",").alias("group_keys"), group("event_type").alias("event_type"),
+    )
+
+
+def q_value_bool_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A boolean functional variable, and an array kept as JSON text by ``json_columns``."""
+    register_tables(spark, sf_dir, "events")
+    metric = MetricSpec(
+        "value_flags", 0, "value of each event", "1", ("high", "parts"),
+        stages=(_sql("""
+            select ts as measure_time, value as val, event_id, value >= 50 as high,
+                   array(event_id, user_id) as parts
+            from events""", json_columns=("parts",)),),
+    )
+    records = Runner(spark, compute_time=FIXED_STAMP).plan(metric)
+    return records.select(
+        group("event_id", "long").alias("event_id"),
+        func("high", "type").alias("high_type"), func("high", "bool").alias("high"),
+        func("parts", "type").alias("parts_type"), func("parts", "string").alias("parts"),
+    )
+
+
+def q_stage_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stage's own named parameter beside the run's."""
+    register_tables(spark, sf_dir, "events")
+    metric = MetricSpec(
+        "count_high_daily", 86400, "count of values of at least :least every day", "1", (),
+        stages=(_sql("""
+            select cast(floor(unix_timestamp(ts) / 86400) * 86400 as bigint) as measure_time,
+                   count(1) as val
+            from events where value >= :least and ts >= to_timestamp_ntz(:dt_start)
+            group by 1""", params={"least": 60.0}),),
+    )
+    records = Runner(spark, compute_time=FIXED_STAMP, params={"dt_start": "2024-01-03 00:00:00"}).plan(metric)
+    return records.select("measure_time", "val")
+
+
+def q_value_map_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps with a null value and with nested values: texts under map_string."""
+    register_tables(spark, sf_dir, "events")
+    metric = MetricSpec(
+        "value_maps", 0, "value of each event", "1", ("gaps", "nested"),
+        stages=(_sql("""
+            select ts as measure_time, value as val, event_id,
+                   map('id', event_id, 'none', cast(null as bigint)) as gaps,
+                   map('ids', array(event_id, user_id)) as nested
+            from events"""),),
+    )
+    records = Runner(spark, compute_time=FIXED_STAMP).plan(metric)
+    gaps, nested = func("gaps", "map_string"), func("nested", "map_string")
+    return records.select(
+        group("event_id", "long").alias("event_id"),
+        func("gaps", "type").alias("gaps_type"), gaps["id"].alias("gaps_id"), gaps["none"].alias("gaps_none"),
+        func("nested", "type").alias("nested_type"), nested["ids"].alias("nested_ids"),
+    )
+
+
+def q_value_decimal_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals beyond the long range are doubles; those inside stay long."""
+    register_tables(spark, sf_dir, "events")
+    metric = MetricSpec(
+        "value_decimal_wide", 0, "value of each event", "1", ("wide",),
+        stages=(_sql("""
+            select ts as measure_time, value as val, event_id,
+                   cast(event_id as decimal(38, 0)) * cast('1000000000000000000' as decimal(19, 0)) as wide
+            from events"""),),
+    )
+    records = Runner(spark, compute_time=FIXED_STAMP).plan(metric)
+    return records.select(
+        group("event_id", "long").alias("event_id"),
+        func("wide", "type").alias("type"), func("wide", "long").alias("long"), func("wide", "double").alias("double"),
+    )
+
+
+SENSOR_SCHEMA = T.StructType(
+    [
+        T.StructField("time", T.LongType()),
+        T.StructField("location_id", T.LongType()),
+        T.StructField("data", T.ArrayType(T.DoubleType())),
+    ]
+)
+
+
 def _sensor_json(spark: SparkSession, sf_dir: str) -> str:
-    # the sensor fixture shape (epoch ``time``, ``location_id``, ``data`` array)
-    # derived from events and written once as gzip JSON lines
+    # readings as gzip JSON lines (epoch ``time``, ``location_id``, ``data`` array), derived from events
     path = scratch_path(spark, "sensor_json")
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     events.select(
@@ -537,42 +694,31 @@ def _sensor_json(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-SENSOR_SCHEMA = T.StructType(
-    [
-        T.StructField("time", T.LongType()),
-        T.StructField("location_id", T.LongType()),
-        T.StructField("data", T.ArrayType(T.DoubleType())),
-    ]
-)
+def _readings_stage(spark: SparkSession, path: str, seconds: int) -> DataFrame:
+    readings = read_json(spark, path, SENSOR_SCHEMA)
+    return readings.groupBy(bucket_of_epoch("time", seconds).alias("measure_time"), "location_id").agg(
+        F.percentile_approx(F.get("data", F.lit(0)), 0.9).alias("val"),
+        F.count(F.lit(1)).alias("func_var_readings"))
 
 
 def q_sensor_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """p90 of the first sensor reading per 500 s and location, from gzip JSON lines.
+    """p90 of the first reading per time bucket and location, from gzip JSON lines.
 
-    The sensor metric of the reference also collects ``collect_set(data[0])``
-    as a functional variable; a set of raw readings grows with the group, so
-    it is left out here (a stage may still return arrays: they are stored as
-    ``vec_*`` values, see ``q_p90_samples`` for sets over bounded domains).
+    A set of raw readings would grow with the group, so none is collected (a
+    stage may still return arrays, see ``q_p90_samples`` for sets over bounded
+    domains).
     """
-    from metricstore.sources.files import read_json
-
-    read_json(spark, _sensor_json(spark, sf_dir), SENSOR_SCHEMA).createOrReplaceTempView("sensor_data")
     metric = MetricSpec(
-        "p90_sensor_0", 500, "P90(sensor[0]) every 500 s", "1.0", ("sample_size",),
-        stages=(_sql("""
-            select cast(from_unixtime(floor(time / 500) * 500) as timestamp) as measure_time,
-                   location_id,
-                   approx_percentile(get(data, 0), 0.90) as val,
-                   count(1) as sample_size
-            from sensor_data
-            group by 1, 2""", horizontal_level=1),),
+        "first_reading_high", 500, "90th percentile of the first reading", "1", (),
+        stages=(StageSpec(StageKind.PYTHON, OutputKind.STORE, python=_readings_stage, horizontal_level=1,
+                          python_args={"path": _sensor_json(spark, sf_dir), "seconds": 500}),),
     )
     records = Runner(spark, compute_time=FIXED_STAMP).plan(metric)
     return records.select(
         "measure_time",
         group("location_id", "long").alias("location_id"),
         "val",
-        func("sample_size").alias("sample_size"),
+        func("readings").alias("sample_size"),
     )
 
 
@@ -600,4 +746,12 @@ QUERIES = {
     "q_avg_daily": q_avg_daily,
     "q_central_table": q_central_table,
     "q_registered_store": q_registered_store,
+    "q_p90_lineitem": q_p90_lineitem,
+    "q_overwrite_rerun": q_overwrite_rerun,
+    "q_latest_binned": q_latest_binned,
+    "q_record_metadata": q_record_metadata,
+    "q_value_bool_json": q_value_bool_json,
+    "q_stage_params": q_stage_params,
+    "q_value_map_mixed": q_value_map_mixed,
+    "q_value_decimal_wide": q_value_decimal_wide,
 }
