@@ -162,7 +162,7 @@ def edited_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # Two rows per range from here on.
     parts = sorted(r["part"] for r in made.where("edge = 'first'").select("part").collect())
     order = made.sparkSession.range(1).select(F.explode(F.from_json(
-        F.lit(json.dumps(dict(zip(parts, parts[1:] + parts[:1])))), "map<int,int>")).alias("part", "follows"))
+        F.lit(json.dumps(dict(zip(parts, parts[1:] + parts[:1])))), "map<string,int>")).alias("part", "follows")).select(F.col("part").cast("int").alias("part"), "follows")
     last = made.where("edge = 'last'").select("id", "part", "text")
     first = made.where("edge = 'first'").select(F.col("part").alias("follows"), F.col("text").alias("next"))
     pairs = last.join(order, "part").join(first, "follows").select("id", "text", "next")
