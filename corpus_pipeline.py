@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricstore.llm import decontam, langid, mixing, neardup, token_store
+from metricstore.llm.store import small_batches
 from metricstore.plans.scratch import scratch_path
 
 #: Documents whose ranks share less than this with the nearest profile are rejected.
@@ -34,6 +35,7 @@ LEAST_LANGUAGE_SCORE = 0.2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     profiles = langid.learn_profiles(docs)
     if not profiles:
         return docs
@@ -43,10 +45,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return neardup.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontam.remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -57,6 +61,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
+    small_batches(spark)
     path = scratch_path(spark, "llm/pipeline-tokens")
     token_store.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
     return token_store.read_tokens(spark, path).select(

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-RUN_BYTES = 2 << 20
-SEGMENT = 1 << 20
+RUN_BYTES = 1 << 19
+SEGMENT = 1 << 18
 
 _ALL = np.arange(256)
 #: A-Z to a-z, every other byte as it is.

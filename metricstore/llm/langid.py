@@ -33,7 +33,8 @@ from metricstore.llm.arrays import Cache, fresh, mix, with_struct
 
 UND = "und"
 FIELDS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
-_CHARS = 4 << 20
+_CHARS = 1 << 18
+_LETTERS_END = 0x40000  # letters lie in the first four planes
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _tables: dict[str, np.ndarray] = Cache()
 
@@ -42,7 +43,7 @@ def _letters() -> np.ndarray:
     """Of every code point: its lower-case letter, or 0 if it is none."""
     if "lower" not in _tables:
         out = np.zeros(sys.maxunicode + 1, np.uint32)
-        for c in range(sys.maxunicode + 1):
+        for c in range(_LETTERS_END):
             if (s := chr(c)).isalpha():
                 low = s.lower()
                 out[c] = ord(low) if len(low) == 1 else c
@@ -177,7 +178,7 @@ class Ranker:
         word, gram = word[order], gram[order]
         first = np.searchsorted(word, np.arange(len(place) + 1))
         bound = np.searchsorted(text_of, np.arange(n + 1))
-        step = max(1, (1 << 21) // max(1, len(self.grams)))
+        step = max(1, (1 << 18) // max(1, len(self.grams)))
         for s in range(0, n, step):
             e = min(n, s + step)
             yield from self._rows(e - s, text_of[bound[s]:bound[e]] - s, word_of[bound[s]:bound[e]], first, gram)

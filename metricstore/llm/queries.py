@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricstore.llm import decontam, fingerprint, langid, licenses, lm_score, mixing, neardup, secrets, token_store, warc
+from metricstore.llm.store import small_batches
 from metricstore.plans.scratch import scratch_path
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
