@@ -116,20 +116,23 @@ def sketches(docs: DataFrame, doc_id: str, text: str, size: int, keys: int, t: i
     return docs.select(doc_id, text).mapInArrow(run, schema)
 
 
-def _sets(docs: DataFrame, size: int, schema: T.StructType) -> DataFrame:
-    """(id, cluster, shingles) of (id, cluster, text)."""
+def _sets(members: DataFrame, size: int) -> DataFrame:
+    """(id, cluster, leader, blocks, n, shingles) of (id, text, cluster, leader, blocks)."""
+    kinds = {f.name: f for f in members.schema.fields}
+    schema = T.StructType([*(kinds[c] for c in ("id", "cluster", "leader", "blocks")),
+                           T.StructField("n", T.LongType()), T.StructField("shingles", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mult = constants(size, 2)
         for batch in batches:
-            for row, end, buf, offs in runs(batch.column(2)):
+            for row, end, buf, offs in runs(batch.column(1)):
                 hashes, first = shingle_sets(words(buf, offs, SOLID), size, mult)
                 sets = [hashes[s:e].tobytes() for s, e in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(row, end - row), batch.column(1).slice(row, end - row),
+                    *(batch.column(k).slice(row, end - row) for k in (0, 2, 3, 4)),
                     pa.array(np.diff(first), pa.int64()), pa.array(sets, pa.binary())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return members.mapInArrow(run, schema)
 
 
 def _links(ids: list, sets: list[np.ndarray], left: np.ndarray, percent: int) -> list[tuple]:
@@ -228,13 +231,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              .select("id", "degree", "i", F.posexplode("b").alias("j", "half"))
              .select("id", "degree", F.xxhash64("i", "j", "half").alias("key")))
     table = stored(table, "neardup-tables")
-    lows = table.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("hi")).where("b < hi").drop("hi")
-    candidates = table.join(lows, "key").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
-    clusters = components(candidates).withColumnRenamed("component", "cluster")
-
-    links = _confirmed(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), clusters,
-                       table.groupBy("id").agg(F.max("degree").alias("degree")), size, percent,
-                       block_sets, block_shingles)
+    links = _confirmed(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), _clusters(table),
+                       alone.select("id", "n"), table.groupBy("id").agg(F.max("degree").alias("degree")), size,
+                       percent, block_sets, block_shingles)
     found = components(links)
     # rows of one id with different texts join their classes
     named = known.select("id", "h1", "h2", "n").join(classes, ["h1", "h2", "n"])
@@ -245,23 +244,38 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "id", "n", F.coalesce("component", "id").alias("component"))
 
 
-def _confirmed(texts: DataFrame, clusters: DataFrame, degrees: DataFrame, size: int, percent: int,
-               block_sets: int, block_shingles: int) -> DataFrame:
-    members = texts.join(clusters, "id").select("id", "cluster", "text")
-    schema = T.StructType([members.schema["id"], members.schema["cluster"],
-                           T.StructField("n", T.LongType()), T.StructField("shingles", T.BinaryType())])
-    sets = stored(_sets(members, size, schema).dropDuplicates(["id"]), "neardup-sets")
-    shape = stored(sets.select("id", "cluster", "n").join(degrees, "id").groupBy("cluster").agg(
+def _clusters(table: DataFrame) -> DataFrame:
+    """(id, cluster) of the ids that meet another in a table key (id, key).
+
+    Each id first joins the smallest id it meets, an edge per id; keys whose ids
+    are then still in several parts join those.
+    """
+    lows = table.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("hi")).where("b < hi").drop("hi")
+    shared = stored(table.select("id", "key").join(lows, "key"), "neardup-shared")
+    near = shared.groupBy("id").agg(F.min("b").alias("b")).select(F.col("id").alias("a"), "b")
+    first = components(near).withColumnRenamed("component", "part")
+    named = stored(shared.select("id", "key").join(first, "id").select("key", "part").distinct(), "neardup-parts")
+    apart = named.groupBy("key").agg(F.min("part").alias("b"), F.max("part").alias("hi")).where("b < hi").drop("hi")
+    second = components(named.join(apart, "key").where("part <> b").select(F.col("part").alias("a"), "b").distinct())
+    return first.join(second.withColumnRenamed("id", "part"), "part", "left").select(
+        "id", F.coalesce("component", "part").alias("cluster"))
+
+
+def _confirmed(texts: DataFrame, clusters: DataFrame, sizes: DataFrame, degrees: DataFrame, size: int,
+               percent: int, block_sets: int, block_shingles: int) -> DataFrame:
+    known = stored(clusters.join(sizes.dropDuplicates(["id"]), "id").join(degrees, "id"), "neardup-clusters")
+    shape = known.groupBy("cluster").agg(
         F.max_by("id", F.struct("degree", "id")).alias("leader"),
-        _blocks(F.count("*"), F.sum("n"), block_sets, block_shingles).alias("blocks")), "neardup-shape")
-    sets = sets.join(shape, "cluster")
+        _blocks(F.count("*"), F.sum("n"), block_sets, block_shingles).alias("blocks"))
+    placed = stored(known.join(shape, "cluster").select("id", "cluster", "leader", "blocks"), "neardup-placed")
+    members = texts.join(placed, "id").select("id", "text", "cluster", "leader", "blocks")
+    sets = stored(_sets(members, size).dropDuplicates(["id"]), "neardup-sets")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     first = sets.select("cluster", "id", "leader", "shingles", F.lit(True).alias("left"), F.explode(
         F.when(F.col("id") == F.col("leader"), every).otherwise(F.array(own))).alias("block"))
     links = stored(_compare(first, ["cluster", "block"], percent), "neardup-links")
-    large = shape.where("blocks > 1")
-    if large.isEmpty():
+    if placed.where("blocks > 1").isEmpty():
         return links
     # Classes that the leader's component lacks, against every block of their cluster.
     part = components(links)
