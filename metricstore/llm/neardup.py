@@ -247,16 +247,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def _clusters(table: DataFrame) -> DataFrame:
     """(id, cluster) of the ids that meet another in a table key (id, key).
 
-    Each id first joins the smallest id it meets, an edge per id; keys whose ids
-    are then still in several parts join those.
+    Every id meets the smallest id of each of its keys.  It first joins the
+    smallest of those, an edge per id; the parts so made then join the parts of
+    all the others they meet, an edge per part and id met.
     """
     lows = table.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("hi")).where("b < hi").drop("hi")
-    shared = stored(table.select("id", "key").join(lows, "key"), "neardup-shared")
-    near = shared.groupBy("id").agg(F.min("b").alias("b")).select(F.col("id").alias("a"), "b")
-    first = components(near).withColumnRenamed("component", "part")
-    named = stored(shared.select("id", "key").join(first, "id").select("key", "part").distinct(), "neardup-parts")
-    apart = named.groupBy("key").agg(F.min("part").alias("b"), F.max("part").alias("hi")).where("b < hi").drop("hi")
-    second = components(named.join(apart, "key").where("part <> b").select(F.col("part").alias("a"), "b").distinct())
+    meets = stored(table.select("id", "key").join(lows, "key").select("id", "b"), "neardup-meets")
+    first = components(meets.groupBy("id").agg(F.min("b").alias("b")).select(F.col("id").alias("a"), "b"))
+    first = first.withColumnRenamed("component", "part")
+    met = stored(meets.join(first, "id").select("part", "b").distinct(), "neardup-met")
+    other = first.select(F.col("id").alias("b"), F.col("part").alias("other"))
+    second = components(met.join(other, "b").where("part <> other").select(F.col("part").alias("a"), F.col("other").alias("b")).distinct())
     return first.join(second.withColumnRenamed("id", "part"), "part", "left").select(
         "id", F.coalesce("component", "part").alias("cluster"))
 
