@@ -220,13 +220,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sketch = stored(sketches(docs, doc_id, text, size, keys, t), "neardup-sketches")
     known = sketch.where("n > 0 and id is not null")
     classes = stored(known.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep")), "neardup-classes")
-    alone = known.join(classes, (known["id"] == classes["rep"]) & (known["h1"] == classes["h1"])
+    alone = known.join(classes.hint("merge"), (known["id"] == classes["rep"]) & (known["h1"] == classes["h1"])
                        & (known["h2"] == classes["h2"]) & (known["n"] == classes["n"]), "left_semi")
 
+    # Both sides of these joins grow with the corpus, so they are shuffled at every size.
     half = alone.select("id", F.explode("a").alias("key"))
     met = half.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
-    central = half.join(met, "key").groupBy("id").agg(F.collect_set("key").alias("met"))
-    table = (alone.select("id", "b").join(central, "id")
+    central = half.join(met.hint("merge"), "key").groupBy("id").agg(F.collect_set("key").alias("met"))
+    table = (alone.select("id", "b").join(central.hint("merge"), "id")
              .select("id", F.size("met").alias("degree"), F.explode("met").alias("i"), "b")
              .select("id", "degree", "i", F.posexplode("b").alias("j", "half"))
              .select("id", "degree", F.xxhash64("i", "j", "half").alias("key")))
@@ -252,10 +253,10 @@ def _clusters(table: DataFrame) -> DataFrame:
     all the others they meet, an edge per part and id met.
     """
     lows = table.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("hi")).where("b < hi").drop("hi")
-    meets = stored(table.select("id", "key").join(lows, "key").select("id", "b"), "neardup-meets")
+    meets = stored(table.select("id", "key").join(lows.hint("merge"), "key").select("id", "b"), "neardup-meets")
     first = components(meets.groupBy("id").agg(F.min("b").alias("b")).select(F.col("id").alias("a"), "b"))
     first = first.withColumnRenamed("component", "part")
-    met = stored(meets.join(first, "id").select("part", "b").distinct(), "neardup-met")
+    met = stored(meets.join(first.hint("merge"), "id").select("part", "b").distinct(), "neardup-met")
     other = first.select(F.col("id").alias("b"), F.col("part").alias("other"))
     second = components(met.join(other, "b").where("part <> other").select(F.col("part").alias("a"), F.col("other").alias("b")).distinct())
     return first.join(second.withColumnRenamed("id", "part"), "part", "left").select(
