@@ -270,7 +270,7 @@ def _confirmed(texts: DataFrame, clusters: DataFrame, sizes: DataFrame, degrees:
         F.max_by("id", F.struct("degree", "id")).alias("leader"),
         _blocks(F.count("*"), F.sum("n"), block_sets, block_shingles).alias("blocks"))
     placed = stored(known.join(shape, "cluster").select("id", "cluster", "leader", "blocks"), "neardup-placed")
-    members = texts.join(placed, "id").select("id", "text", "cluster", "leader", "blocks")
+    members = texts.join(placed.hint("merge"), "id").select("id", "text", "cluster", "leader", "blocks")
     sets = stored(_sets(members, size).dropDuplicates(["id"]), "neardup-sets")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
