@@ -17,9 +17,9 @@ documents of at most ``sample_bytes`` bytes each, in the order of a hash of
 their ids.  Where that is too few to train on, frames are plain zstandard.
 
 Tokenizing: a byte-level pre-tokenizer always splits before a single blank that
-stands between two characters that aren't white space, so the text is cut
-there, each distinct piece of a batch is encoded once, and the pieces' ids are
-joined.  The ids equal those of the whole text (tested).
+stands between two characters that aren't white space, and between a letter or
+digit and a punctuation mark (but for apostrophes), so the text is cut there, each distinct piece is encoded once and kept for the rest of the task (up
+to a number of them), and the pieces' ids are joined.  The ids equal those of the whole text (tested).
 
 Defined results: a null or empty text has the end id alone; rows that repeat an
 id are separate documents next to each other; null ids come first; an empty
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,11 +41,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metricstore.llm.arrays import runs
+from metricstore.llm.store import SMALL_BATCHES
+from metricstore.sinks.store import session_settings
 
 BLOCK_DOCS, BLOCK_BYTES = 512, 4 << 20
+RUN = 1 << 20  # bytes of text encoded at a time
 _B = np.arange(256)
 #: Bytes that surely belong to a visible character: printable ASCII, and the leads of two-byte letters.
 _VISIBLE = ((_B > 0x20) & (_B < 0x7F)) | ((_B >= 0xC3) & (_B <= 0xDF))
+_ALNUM = ((_B >= 0x30) & (_B <= 0x39)) | ((_B | 0x20) >= 0x61) & ((_B | 0x20) <= 0x7A) & (_B < 0x80)
+#: ASCII punctuation, but for the apostrophe, which may belong to the letters before it.
+_MARK = (_B > 0x20) & (_B < 0x7F) & ~_ALNUM & (_B != 0x27)
 
 
 def load_tokenizer(definition: str):
@@ -58,45 +65,69 @@ def load_tokenizer(definition: str):
 
 
 def _pieces(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where pieces start: at each row, and at blanks where the pre-tokenizer always splits."""
+    """Where pieces start: at each row, and at blanks and marks where the pre-tokenizer always splits."""
     cut = np.zeros(len(buf) + 1, bool)
     if len(buf) > 2:
         blank = buf[1:-1] == 0x20
         before = _VISIBLE[buf[:-2]] & (buf[:-2] < 0x80)
         before[1:] |= (buf[1:-2] >= 0x80) & (buf[1:-2] < 0xC0) & (buf[:-3] >= 0xC3) & (buf[:-3] <= 0xDF)
         cut[1:-2] = blank & before & _VISIBLE[buf[2:]]
+        letter = _ALNUM[buf]
+        # A letter of two bytes: C3 and a byte, but for the signs of multiplication and division.
+        letter[1:] |= (buf[:-1] == 0xC3) & (buf[1:] != 0x97) & (buf[1:] != 0xB7)
+        cut[1:-1] |= letter[:-1] & _MARK[buf[1:]]
     cut[offsets] = True
     cut[len(buf)] = False
     return np.flatnonzero(cut)
 
 
-def encode(tokenizer, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all rows, number of ids of each row)."""
-    at = _pieces(buf, offsets)
-    if not len(at):
-        return np.empty(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
-    edges = np.append(at, len(buf)).astype(np.int32)
-    pieces = pa.StringArray.from_buffers(len(at), pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(buf)))
-    coded = pieces.dictionary_encode()
-    index = coded.indices.to_numpy()
-    each = [e.ids for e in tokenizer.encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)]
-    size = np.fromiter(map(len, each), np.int64, len(each))
-    flat = np.fromiter((i for x in each for i in x), np.uint32, int(size.sum()))
-    first = np.cumsum(size) - size
-    sizes = size[index]
-    ends = np.cumsum(sizes)
-    ids = flat[np.repeat(first[index] - ends + sizes, sizes) + np.arange(int(ends[-1]))]
-    upto = np.concatenate([[0], ends])
-    return ids, np.diff(upto[np.searchsorted(at, offsets)])
-
-
-def _documents(tokenizer, col: pa.Array, end_id: int) -> Iterator[bytes]:
-    for _, _, buf, offs in runs(col, 16 << 20):
-        ids, counts = encode(tokenizer, buf, offs)
-        end = np.cumsum(counts)
+class Encoder:
+    """Encodes texts piece by piece; pieces seen before are looked up (at most ``most`` are kept)."""
+
+    def __init__(self, definition: str, most: int = 250_000):
+        self.tokenizer, self.most = load_tokenizer(definition), most
+        self.known: dict[str, bytes] = {}
+
+    def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows, number of ids of each row)."""
+        at = _pieces(buf, offsets)
+        if not len(at):
+            return np.empty(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        edges = np.append(at, len(buf)).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(at), pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(buf)))
+        coded = pieces.dictionary_encode()
+        index = coded.indices.to_numpy()
+        texts = coded.dictionary.to_pylist()
+        if len(self.known) > self.most:
+            self.known.clear()
+        each = list(map(self.known.get, texts))
+        new = [i for i, x in enumerate(each) if x is None]
+        for k in range(0, len(new), 256):
+            part = [texts[i] for i in new[k:k + 256]]
+            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            raw = array("I", found.ids).tobytes()
+            ends = (4 * np.cumsum(np.bincount(found.word_ids, minlength=len(part)))).tolist()
+            for i, t, s, e in zip(new[k:], part, [0, *ends], ends):
+                each[i] = self.known[t] = raw[s:e]
+        flat = np.frombuffer(b"".join(each), np.uint32)
+        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        first = np.cumsum(size) - size
+        sizes = size[index]
+        ends = np.cumsum(sizes)
+        place = np.repeat(first[index] - ends + sizes, sizes)
+        place += np.arange(len(place))
+        upto = np.concatenate([[0], ends])
+        return flat.take(place), np.diff(upto[np.searchsorted(at, offsets)])
+
+    def documents(self, col: pa.Array, end_id: int) -> Iterator[bytes]:
+        """The ids of each text and the end id, as little-endian bytes."""
         last = np.array([end_id], "<u4").tobytes()
-        for s, e in zip(end - counts, end):
-            yield ids[s:e].astype("<u4").tobytes() + last
+        for _, _, buf, offs in runs(col, RUN):
+            ids, counts = self.encode(buf, offs)
+            raw = memoryview(ids.astype("<u4", copy=False).tobytes())
+            end = 4 * np.cumsum(counts)
+            for s, e in zip((end - 4 * counts).tolist(), end.tolist()):
+                yield b"".join((raw[s:e], last))
 
 
 def train_dictionary(docs: DataFrame, definition, doc_id: str, text: str, end_id: int, sample_docs: int,
@@ -107,10 +138,10 @@ def train_dictionary(docs: DataFrame, definition, doc_id: str, text: str, end_id
               .orderBy("o", text).limit(sample_docs).select(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load_tokenizer(definition.value)
+        encoder = Encoder(definition.value)
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(_documents(tokenizer, batch.column(0), end_id)), pa.binary())], names=["ids"])
+                [pa.array(list(encoder.documents(batch.column(0), end_id)), pa.binary())], names=["ids"])
 
     samples = [bytes(r["ids"]) for r in sample.mapInArrow(run, "ids binary").collect()]
     try:
@@ -148,7 +179,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, doc_id: str =
         if dictionary:
             dictionary.precompute_compress(level=level)
         zip_ = zstandard.ZstdCompressor(level=level, dict_data=dictionary)
-        tokenizer = load_tokenizer(shared.value)
+        encoder = Encoder(shared.value)
         shard, block, start = TaskContext.get().partitionId(), 0, 0
         ids, counts, frames, size = [], [], [], 0
 
@@ -163,7 +194,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, doc_id: str =
         of = None
         for batch in batches:
             of = batch.column(0).type
-            for one, raw in zip(batch.column(0).to_pylist(), _documents(tokenizer, batch.column(1), end_id)):
+            for one, raw in zip(batch.column(0).to_pylist(), encoder.documents(batch.column(1), end_id)):
                 ids.append(one)
                 counts.append(len(raw) // 4)
                 frames.append(zip_.compress(raw))
@@ -175,7 +206,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, doc_id: str =
         if ids:
             yield done(of)
 
-    docs.repartitionByRange(doc_id).sortWithinPartitions(doc_id, text).mapInArrow(run, schema).write.parquet(f"{path}/blocks")
+    with session_settings(spark, SMALL_BATCHES):
+        (docs.repartitionByRange(doc_id).sortWithinPartitions(doc_id, text).mapInArrow(run, schema)
+         .write.parquet(f"{path}/blocks"))
     # One row per write task.
     shards = sorted((r["shard"], r["n"]) for r in spark.read.parquet(f"{path}/blocks").groupBy("shard").agg(
         F.sum("n_tokens").alias("n")).collect())
