@@ -64,8 +64,8 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     small_batches(spark)
     path = scratch_path(spark, "llm/pipeline-tokens")
     token_store.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
-    return token_store.read_tokens(spark, path).select(
-        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return token_store.read_tokens(spark, path, payload=False).select(
+        "doc_id", "start", "n_tokens", "ids_crc32")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

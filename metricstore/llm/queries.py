@@ -41,8 +41,8 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = scratch_path(spark, "llm/tokens")
     token_store.write_tokens(_read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    return token_store.read_tokens(spark, path).select(
-        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return token_store.read_tokens(spark, path, payload=False).select(
+        "doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import zlib
 from array import array
 from collections.abc import Iterator
 
@@ -217,10 +218,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, doc_id: str =
                           "shard int, before long").write.parquet(f"{path}/shards")
 
 
-def read_tokens(spark: SparkSession, path: str, ids: list | None = None) -> DataFrame:
-    """(doc_id, start, n_tokens, ids): start counts the ids of all documents before, ids is their bytes.
+def read_tokens(spark: SparkSession, path: str, ids: list | None = None, payload: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, ids): start counts the ids of all documents before, ids is their bytes.
 
     ``ids``: read these documents alone; blocks without them are skipped and only their frames are decompressed.
+    ``payload=False`` leaves ids null; the checksum is that of the decompressed bytes all the same.
     """
     row = spark.read.parquet(f"{path}/dictionary").first()
     known, sha = bytes(row["dictionary"]), row["dict_sha256"]
@@ -232,7 +234,8 @@ def read_tokens(spark: SparkSession, path: str, ids: list | None = None) -> Data
     wanted = set(ids) if ids is not None else None
     kind = blocks.schema["doc_ids"].dataType.elementType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("start", T.LongType()),
-                           T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+                           T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType()),
+                           T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -247,10 +250,12 @@ def read_tokens(spark: SparkSession, path: str, ids: list | None = None) -> Data
                 at = start + np.cumsum([0, *counts[:-1]])
                 take = [i for i, d in enumerate(docs) if wanted is None or d in wanted]
                 view = memoryview(frames)
+                raw = [unzip.decompress(view[offsets[i]:offsets[i + 1]]) for i in take]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([docs[i] for i in take], batch.column(1).type.value_type),
                     pa.array([int(at[i]) for i in take], pa.int64()), pa.array([counts[i] for i in take], pa.int64()),
-                    pa.array([unzip.decompress(view[offsets[i]:offsets[i + 1]]) for i in take], pa.binary())],
+                    pa.array([zlib.crc32(x) for x in raw], pa.int64()),
+                    pa.array(raw, pa.binary()) if payload else pa.nulls(len(raw), pa.binary())],
                     names=schema.names)
 
     return blocks.select("dict_sha256", "doc_ids", "counts", "offsets", F.col("start") + F.col("before"),
