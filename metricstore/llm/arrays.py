@@ -10,8 +10,10 @@ A null text has no bytes and so no words.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -159,6 +161,12 @@ def runs(col: pa.Array, most: int = RUN_BYTES) -> Iterator[tuple[int, int, np.nd
         row = end
 
 
+def worker_cache(name: str) -> dict:
+    """A dict of this Python process, which later tasks of a reused worker find again."""
+    home = sys.modules.setdefault("_metricstore_worker_cache", ModuleType("_metricstore_worker_cache"))
+    return home.__dict__.setdefault(name, {})
+
+
 def fresh(taken: list[str], name: str) -> str:
     """``name``, or it with underscores until no column has that name."""
     have = {c.lower() for c in taken}

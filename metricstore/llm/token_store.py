@@ -18,8 +18,10 @@ their ids.  Where that is too few to train on, frames are plain zstandard.
 
 Tokenizing: a byte-level pre-tokenizer always splits before a single blank that
 stands between two characters that aren't white space, and between a letter or
-digit and a punctuation mark (but for apostrophes), so the text is cut there, each distinct piece is encoded once and kept for the rest of the task (up
-to a number of them), and the pieces' ids are joined.  The ids equal those of the whole text (tested).
+digit and a punctuation mark (but for apostrophes), so the text is cut there.
+Each distinct piece of a run of texts is encoded once (a worker keeps the first
+ones it meets), and the pieces' ids are joined.  The ids equal those of the
+whole text (tested).
 
 Defined results: a null or empty text has the end id alone; rows that repeat an
 id are separate documents next to each other; null ids come first; an empty
@@ -41,12 +43,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricstore.llm.arrays import runs
+from metricstore.llm.arrays import runs, worker_cache
 from metricstore.llm.store import SMALL_BATCHES
 from metricstore.sinks.store import session_settings
 
 BLOCK_DOCS, BLOCK_BYTES = 512, 4 << 20
-RUN = 1 << 20  # bytes of text encoded at a time
+RUN = 4 << 20  # bytes of text encoded at a time
 _B = np.arange(256)
 #: Bytes that surely belong to a visible character: printable ASCII, and the leads of two-byte letters.
 _VISIBLE = ((_B > 0x20) & (_B < 0x7F)) | ((_B >= 0xC3) & (_B <= 0xDF))
@@ -83,12 +85,22 @@ def _pieces(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts piece by piece; pieces seen before are looked up (at most ``most`` are kept)."""
+    """Encodes texts piece by piece; the first ``most`` distinct pieces are kept and looked up."""
 
-    def __init__(self, definition: str, most: int = 250_000):
+    def __init__(self, definition: str, most: int = 500_000):
         self.tokenizer, self.most = load_tokenizer(definition), most
         self.known: dict[str, bytes] = {}
 
+    @staticmethod
+    def of_worker(definition: str) -> Encoder:
+        """The encoder of this Python worker, with what earlier tasks have kept."""
+        have = worker_cache("encoders")
+        key = hashlib.sha256(definition.encode()).hexdigest()
+        if key not in have:
+            have.clear()
+            have[key] = Encoder(definition)
+        return have[key]
+
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, number of ids of each row)."""
         at = _pieces(buf, offsets)
@@ -99,8 +111,7 @@ class Encoder:
         coded = pieces.dictionary_encode()
         index = coded.indices.to_numpy()
         texts = coded.dictionary.to_pylist()
-        if len(self.known) > self.most:
-            self.known.clear()
+        keep = self.known if len(self.known) < self.most else {}
         each = list(map(self.known.get, texts))
         new = [i for i, x in enumerate(each) if x is None]
         for k in range(0, len(new), 256):
@@ -109,7 +120,7 @@ class Encoder:
             raw = array("I", found.ids).tobytes()
             ends = (4 * np.cumsum(np.bincount(found.word_ids, minlength=len(part)))).tolist()
             for i, t, s, e in zip(new[k:], part, [0, *ends], ends):
-                each[i] = self.known[t] = raw[s:e]
+                each[i] = keep[t] = raw[s:e]
         flat = np.frombuffer(b"".join(each), np.uint32)
         size = np.fromiter(map(len, each), np.int64, len(each)) // 4
         first = np.cumsum(size) - size
@@ -139,7 +150,7 @@ def train_dictionary(docs: DataFrame, definition, doc_id: str, text: str, end_id
               .orderBy("o", text).limit(sample_docs).select(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(definition.value)
+        encoder = Encoder.of_worker(definition.value)
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(encoder.documents(batch.column(0), end_id)), pa.binary())], names=["ids"])
@@ -180,7 +191,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, doc_id: str =
         if dictionary:
             dictionary.precompute_compress(level=level)
         zip_ = zstandard.ZstdCompressor(level=level, dict_data=dictionary)
-        encoder = Encoder(shared.value)
+        encoder = Encoder.of_worker(shared.value)
         shard, block, start = TaskContext.get().partitionId(), 0, 0
         ids, counts, frames, size = [], [], [], 0
 
