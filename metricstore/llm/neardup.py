@@ -250,12 +250,15 @@ def _clusters(table: DataFrame) -> DataFrame:
 
     Every id meets the smallest id of each of its keys.  It first joins the
     smallest of those, an edge per id; the parts so made then join the parts of
-    all the others they meet, an edge per part and id met.
+    all the others they meet, an edge per part and id met.  An id that is the
+    smallest of all its keys, and that no other joins, is a part of its own.
     """
     lows = table.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("hi")).where("b < hi").drop("hi")
     meets = stored(table.select("id", "key").join(lows.hint("merge"), "key").select("id", "b"), "neardup-meets")
-    first = components(meets.groupBy("id").agg(F.min("b").alias("b")).select(F.col("id").alias("a"), "b"))
-    first = first.withColumnRenamed("component", "part")
+    joins = stored(meets.groupBy("id").agg(F.min("b").alias("b")), "neardup-joins")
+    parts = components(joins.select(F.col("id").alias("a"), "b"))
+    first = stored(joins.select("id").join(parts.hint("merge"), "id", "left").select(
+        "id", F.coalesce("component", "id").alias("part")), "neardup-parts")
     met = stored(meets.join(first.hint("merge"), "id").select("part", "b").distinct(), "neardup-met")
     other = first.select(F.col("id").alias("b"), F.col("part").alias("other"))
     second = components(met.join(other, "b").where("part <> other").select(F.col("part").alias("a"), F.col("other").alias("b")).distinct())

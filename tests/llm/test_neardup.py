@@ -42,6 +42,22 @@ def test_families_at_the_border_in_small_blocks(spark):
     assert as_map(neardup.near_duplicates(df)) == want
 
 
+def test_an_id_that_is_the_smallest_of_its_keys_stays(spark):
+    table = spark.createDataFrame([(3, 1), (7, 1), (5, 2), (7, 2), (8, 3), (9, 3), (4, 4)], "id long, key long")
+    assert {r["id"]: r["cluster"] for r in neardup._clusters(table).collect()} == {3: 3, 5: 3, 7: 3, 8: 8, 9: 8}
+
+
+def test_chains_whose_smaller_ends_do_not_meet(spark):
+    docs = []
+    for k in range(40):  # the ends share half their shingles, and three quarters with the middle
+        w = [f"c{k}w{j}" for j in range(204)]
+        docs += [(3 * k, " ".join(w[50:])), (3 * k + 1, " ".join(w[:-50])), (3 * k + 2, " ".join(w))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = op9(docs)
+    assert {c for _, c in want.values()} == set(range(0, 120, 3))
+    assert as_map(neardup.near_duplicates(df)) == want
+
+
 def test_edges(spark):
     docs = [(3, None), (1, ""), (2, " \t"), (10, "one two"), (5, "One  TWO"), (7, "one two three"),
             (20, "a b c d e f"), (21, "a b c d e"), (22, "A b c d e f"), (30, "x " * 400_000), (31, "x x x x x x"),
