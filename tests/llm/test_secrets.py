@@ -43,3 +43,22 @@ def test_edges(spark):
         [(5, 0), (5, 0), (None, 1), (6, 0), (7, 0), (7, 1)], key=str)
     assert secrets.scan(df.where("false")).count() == 0
     assert {r["score"] for r in secrets.scan(df.where("doc_id = 5")).collect()} == {1.0}
+
+
+def test_short_and_cut_words_beside_telling_names_are_candidates(spark):
+    texts = ["the password: Tr0ub4dor1 here", "set pwd=hunter2 now", "password is correcthorse !", "x aB3!dE6$gH9%kL2#z y",
+             "secret: пароль-тут", "plain words only", "see xoxb-abcdefghij there"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["value"]) for r in secrets.candidates(df).collect()}
+    assert got >= {(0, "Tr0ub4dor1"), (1, "pwd=hunter2"), (2, "correcthorse"), (3, "aB3!dE6$gH9%kL2#z"),
+                   (4, "пароль-тут"), (6, "xoxb-abcdefghij")}
+    assert not any(d == 5 for d, _ in got)
+
+
+def test_rarity_follows_the_corpus(spark):
+    df = spark.createDataFrame([(1, "the then there " * 50 + "password: zqxjzqxj password: thethere")], "doc_id long, text string")
+    rare = secrets.rarities(secrets._terms(df, "text"))
+    assert rare.count() == 676
+    found = secrets.features(secrets.candidates(df), secrets.dictionary(df), rare).collect()
+    rarity = {r["value"]: r["rarity"] for r in found}
+    assert rarity["zqxjzqxj"] > rarity["thethere"] + 2
