@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricstore.llm import decontam, fingerprint, langid, licenses, lm_score, mixing, neardup, secrets, token_store, warc
+from metricstore.llm import decontam, fingerprint, langid, licenses, lm_score, merkle, mixing, neardup, secrets, token_store, warc
 from metricstore.llm.store import small_batches
 from metricstore.plans.scratch import scratch_path
 
@@ -101,6 +101,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(base, ",").alias("base_labels"), F.array_join(both, ",").alias("labels"), f["score"].alias("score"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "llm/merkle")
+    docs = _read(spark, sf_dir, "documents")
+    shorn = F.when(_remainder("doc_id", 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    presented = merkle.leaf_digest({c: shorn if c == "text" else F.col(c) for c in merkle.LEAF_COLUMNS})
+    merkle.write_manifest(docs, path, carry={"presented": presented})
+    found = merkle.verify(spark, path, "presented")
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_lm_score": op2_lm_score,
@@ -112,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_license_scan": op10_license_scan,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -124,6 +137,19 @@ def _words_sql(pattern: str) -> str:
 _ALNUM_SQL = _words_sql(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _SOLID_SQL = _words_sql(r"[^\x20\x09-\x0D]+")
 
+
+
+def _field_sql(column: str) -> str:
+    return f"coalesce(concat(octet_length(encode(cast({column} as varchar))), ':', cast({column} as varchar)), '-')"
+
+
+#: CRC-32 of the decimal doc_id, bit by bit (DuckDB has no such function).
+_CRC32_SQL = """xor(list_reduce(
+            list_transform(range(1, length(cast(doc_id as varchar)) + 1), lambda i: cast(ascii(cast(doc_id as varchar)[i]) as bigint)),
+            lambda c, b: list_reduce(range(8), lambda e, k: xor(e >> 1, (e & 1) * 3988292384), xor(c, b)),
+            4294967295), 4294967295)"""
+_FIELDS_SQL = ", ".join(map(_field_sql, ("doc_id", "source", "lang", "n_chars")))
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": f"""
         with d as (select doc_id, {_ALNUM_SQL} as w from documents),
@@ -165,4 +191,49 @@ ORACLES: dict[str, str] = {
         comp as (select doc_id, min(other) as component_id from reach group by 1)
         select d.doc_id, coalesce(n.n, 0) as n_shingles, component_id, d.doc_id = component_id as kept
         from d join comp using (doc_id) left join n using (doc_id)""",
+    "op12_merkle_manifest": f"""
+        with recursive
+        docs as (
+          select *, case when {_CRC32_SQL} % 2 = 0 then replace(text, chr(10), '') else text end as shorn
+          from documents),
+        leaves as (
+          select doc_id, dense_rank() over (order by source nulls first) - 1 as s,
+                 row_number() over (partition by source order by doc_id nulls first) - 1 as r,
+                 count(*) over (partition by source) as n,
+                 sha256(concat({_FIELDS_SQL}, {_field_sql('text')})) as leaf,
+                 sha256(concat({_FIELDS_SQL}, {_field_sql('shorn')})) as shown
+          from docs),
+        low(s, h, r, n, digest) as (
+          select s, 0, r, n, leaf from leaves
+          union all
+          select s, h + 1, r // 3, (any_value(n) + 2) // 3, sha256(string_agg(digest, '' order by r))
+          from low where n > 1 group by s, h, r // 3),
+        subroots as (select s, h, digest from low where n = 1),
+        high(h, r, n, digest) as (
+          select 0, s, count(*) over (), digest from subroots
+          union all
+          select h + 1, r // 3, (any_value(n) + 2) // 3, sha256(string_agg(digest, '' order by r))
+          from high where n > 1 group by h, r // 3),
+        steps as (
+          select l.s, l.h, l.r, coalesce(string_agg(o.digest, '' order by o.r) filter (where o.r < l.r), '') as lo,
+                 coalesce(string_agg(o.digest, '' order by o.r) filter (where o.r > l.r), '') as hi
+          from low l left join low o on o.s = l.s and o.h = l.h and o.r // 3 = l.r // 3 and o.r <> l.r
+          where l.n > 1 group by l.s, l.h, l.r
+          union all
+          select t.s, t.h + l.h, l.r, coalesce(string_agg(o.digest, '' order by o.r) filter (where o.r < l.r), ''),
+                 coalesce(string_agg(o.digest, '' order by o.r) filter (where o.r > l.r), '')
+          from subroots t join high l on cast(floor(t.s / pow(3, l.h)) as bigint) = l.r
+          left join high o on o.h = l.h and o.r // 3 = l.r // 3 and o.r <> l.r
+          where l.n > 1 group by t.s, t.h, l.h, l.r),
+        fold(doc_id, s, r, top, h, place, acc, proof) as (
+          select doc_id, leaves.s, r, subroots.h, 0, r, shown, '' from leaves join subroots using (s)
+          union all
+          select f.doc_id, f.s, f.r, top, f.h + 1, place // 3,
+                 sha256(concat(p.lo, acc, p.hi)), concat(proof, p.lo, p.hi)
+          from (select * replace (case when h = top then s else place end as place) from fold) f
+          join steps p on p.s = f.s and p.h = f.h and p.r = f.place),
+        ends as (select doc_id, last(acc order by h) as folded_root, last(proof order by h) as proof from fold group by 1)
+        select doc_id, leaf, subroots.digest as subroot, high.digest as root, sha256(proof) as proof_sha256,
+               folded_root, folded_root = high.digest as verified
+        from leaves join subroots using (s) join high on high.n = 1 join ends using (doc_id)""",
 }
