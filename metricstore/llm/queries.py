@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricstore.llm import decontam, fingerprint, langid, licenses, lm_score, merkle, mixing, neardup, secrets, token_store, warc
+from metricstore.llm import align, decontam, fingerprint, langid, licenses, lm_score, merkle, mixing, neardup, secrets, token_store, warc
 from metricstore.llm.store import small_batches
 from metricstore.plans.scratch import scratch_path
 
@@ -113,6 +113,14 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"), "folded_root", "verified")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = align.align(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        public_tokenizers.path("piece_bpe_32k.model"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_lm_score": op2_lm_score,
@@ -125,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_license_scan": op10_license_scan,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
