@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricstore.llm import align, decontam, fingerprint, langid, licenses, lm_score, merkle, mixing, neardup, secrets, token_store, warc
+from metricstore.llm import align, decontam, fingerprint, langid, licenses, lm_score, merkle, mixing, neardup, secrets, token_store, toxicity, warc
 from metricstore.llm.store import small_batches
 from metricstore.plans.scratch import scratch_path
 
@@ -101,6 +101,16 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(base, ",").alias("base_labels"), F.array_join(both, ",").alias("labels"), f["score"].alias("score"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = _remainder("doc_id", 4) == 2
+    model = toxicity.learn(docs.where(~held_out), _read(spark, sf_dir, "labels"))
+    out, found = toxicity.score_texts(docs, model)
+    score = F.col(found)["score"]
+    return out.select("doc_id", held_out.alias("held_out"), score.alias("score"),
+                      F.when(score >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "llm/merkle")
     docs = _read(spark, sf_dir, "documents")
@@ -132,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_license_scan": op10_license_scan,
+    "op11_toxicity": op11_toxicity,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_token_alignment": op13_token_alignment,
 }
