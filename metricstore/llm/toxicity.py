@@ -95,7 +95,7 @@ def log_count_ratios(counts: np.ndarray, totals: np.ndarray, smooth: float = 1.0
 
 
 def fit(row: np.ndarray, bucket: np.ndarray, label: np.ndarray, weight: np.ndarray, ratio: np.ndarray,
-        ridge: float = 0.01, rounds: int = 60) -> tuple[np.ndarray, float]:
+        ridge: float = 0.1, rounds: int = 60) -> tuple[np.ndarray, float]:
     """Weights of the buckets and the intercept of a weighted logistic regression on the scaled features (L-BFGS)."""
     weight = weight / weight.sum()
     sign = 2.0 * label - 1
