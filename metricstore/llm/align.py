@@ -33,6 +33,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +45,9 @@ from pyspark.sql import types as T
 
 from metricstore.llm.arrays import buffers, mix, worker_cache
 from metricstore.llm.store import stored
-from metricstore.llm.token_store import Encoder
+from metricstore.llm.token_store import load_tokenizer, pieces
 
-KEPT = 150_000  # distinct pieces of text that a worker remembers per side
+KEPT = 400_000  # distinct pieces of text that a worker remembers: the first it meets
 _I64 = np.int64
 
 
@@ -57,102 +58,128 @@ def byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-@dataclass
-class Vocabulary:
-    """The bytes of every id, one after the other."""
-
-    flat: np.ndarray
-    first: np.ndarray
-    size: np.ndarray
-
-    @staticmethod
-    def of(tokens: list[bytes]) -> Vocabulary:
-        size = np.array([len(t) for t in tokens], _I64)
-        return Vocabulary(np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(size) - size, size)
-
-    def joined(self, ids: np.ndarray) -> np.ndarray:
-        size = self.size[ids]
-        ends = np.cumsum(size)
-        place = np.repeat(self.first[ids] - ends + size, size)
-        place += np.arange(len(place))
-        return self.flat[place]
-
-
 class ByteLevel:
     """Side A."""
 
     def __init__(self, definition: str):
-        self.encoder = Encoder(definition, KEPT)
+        self.tokenizer = load_tokenizer(definition)
         byte = byte_of_letter()
-        tokenizer = self.encoder.tokenizer
-        tokens = [b""] * tokenizer.get_vocab_size()
-        for token, i in tokenizer.get_vocab().items():
+        self.tokens = [b""] * self.tokenizer.get_vocab_size()
+        for token, i in self.tokenizer.get_vocab().items():
             known = all(c in byte for c in token)
-            tokens[i] = bytes(byte[c] for c in token) if known else token.encode()
-        self.vocabulary = Vocabulary.of(tokens)
+            self.tokens[i] = bytes(byte[c] for c in token) if known else token.encode()
 
-    def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ids, counts = self.encoder.encode(buf, offsets)
-        return ids.astype(_I64), counts
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        out: list[list[int]] = []
+        for k in range(0, len(texts), 256):
+            part = texts[k:k + 256]
+            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ends = np.cumsum(np.bincount(found.word_ids, minlength=len(part))).tolist()
+            ids = found.ids
+            out += [ids[s:e] for s, e in zip([0, *ends], ends)]
+        return out
 
 
 class Pieces:
-    """Side B.  No piece but a run of blanks holds a blank behind another character, so texts are cut before single blanks."""
+    """Side B."""
 
     def __init__(self, model: bytes):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
-        pieces = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
-        inner = [p for p in pieces if "▁" in p.lstrip("▁")]
-        if inner:
-            raise ValueError(f"pieces with an inner blank: {inner[:3]}")
-        self.vocabulary = Vocabulary.of([
-            bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
-            for i, p in enumerate(pieces)])
-        self.known: dict[str, np.ndarray] = {}
-
-    def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of rows that start with the blank that the model adds by itself."""
-        cut = np.zeros(len(buf) + 1, bool)
-        if len(buf) > 2:
-            blank = buf == 0x20
-            cut[1:-2] = blank[1:-1] & ~blank[:-2] & ~blank[2:]
-        cut[offsets] = True
-        cut[len(buf)] = False
-        at = np.flatnonzero(cut)
-        if not len(at):
-            return np.empty(0, _I64), np.zeros(len(offsets) - 1, _I64)
-        edges = np.append(at, len(buf)).astype(np.int32)
+        self.tokens = []
+        #: Pairs of bytes that stand side by side in some piece; no merge spans any other pair.
+        self.inside = np.zeros(1 << 16, bool)
+        for i in range(self.model.vocab_size()):
+            piece = self.model.id_to_piece(i)
+            if self.model.is_byte(i):
+                self.tokens.append(bytes([int(piece[3:5], 16)]))
+                continue
+            token = piece.replace("▁", " ").encode()
+            self.tokens.append(token)
+            if not self.model.is_control(i) and not self.model.is_unknown(i):
+                both = np.frombuffer(token, np.uint8).astype(np.uint16)
+                self.inside[both[:-1] << 8 | both[1:]] = True
+        line = [i for i, t in enumerate(self.tokens) if t == b"\n"]
+        if self.inside[0x0A00:0x0B00].any() or len(line) != 1 or self.model.encode("\n")[1:] != line:
+            raise ValueError("a piece joins a line's end with what follows")
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Of texts as they are: behind a line's end, which nothing merges with, the model's own blank is cut off."""
+        return [ids[2:] for ids in self.model.encode(["\n" + t for t in texts], num_threads=1)]
+
+    def joins(self, buf: np.ndarray) -> np.ndarray:
+        """Whether a token may span byte k and byte k + 1, for each k."""
+        two = buf[:-1].astype(np.uint16) << 8 | buf[1:]
+        return self.inside[two] | ((buf[1:] & 0xC0) == 0x80)
+
+
+class Encoders:
+    """Both sides' ids of texts, by pieces that neither side's tokens span; each distinct piece is encoded once."""
+
+    def __init__(self, definition: str, model: bytes):
+        self.sides = ByteLevel(definition), Pieces(model)
+        self.wide = 1 << max(len(s.tokens) - 1 for s in self.sides).bit_length()
+        self.size = [np.array([len(t) for t in s.tokens], np.int32) for s in self.sides]
+        self.known: dict[str, int] = {}
+        self.whole = np.empty(0, bool)  # whether both sides' bytes are the piece's
+        self.ids = [np.empty(0, np.int32) for _ in self.sides]
+        self.ends = [np.zeros(1, _I64) for _ in self.sides]
+
+    @staticmethod
+    def of_worker(definition: str, model: bytes) -> Encoders:
+        """The encoders of this Python worker, with what earlier tasks have kept."""
+        have = worker_cache("aligned")
+        key = hashlib.sha256(definition.encode() + model).hexdigest()
+        if key not in have:
+            have.clear()
+            have[key] = Encoders(definition, model)
+        return have[key]
+
+    def forget(self) -> None:
+        """Drop all but the first pieces met."""
+        self.known = dict(islice(self.known.items(), KEPT))
+        self.whole = self.whole[:KEPT]
+        self.ends = [e[:KEPT + 1] for e in self.ends]
+        self.ids = [i[:e[-1]] for i, e in zip(self.ids, self.ends)]
+
+    def learn(self, texts: list[str]) -> None:
+        whole = np.ones(len(texts), bool)
+        raw = [t.encode() for t in texts]
+        for k, side in enumerate(self.sides):
+            found, token = side.encode(texts), side.tokens.__getitem__
+            whole &= np.fromiter((b"".join(map(token, ids)) == r for ids, r in zip(found, raw)), bool, len(raw))
+            sizes = np.fromiter(map(len, found), _I64, len(found))
+            self.ids[k] = np.concatenate([self.ids[k], np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))])
+            self.ends[k] = np.concatenate([self.ends[k], self.ends[k][-1] + np.cumsum(sizes)])
+        self.whole = np.concatenate([self.whole, whole])
+        self.known.update(zip(texts, range(len(self.known), len(self.known) + len(texts))))
+
+    def encode(self, buf: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids of all rows, number of ids of each row) of either side; rows that do not come back whole have none."""
+        if len(self.known) > KEPT:
+            self.forget()
+        edges = pieces(buf, offsets)
+        edges = edges[~self.sides[1].joins(buf)[edges - 1] | np.isin(edges, offsets)] if len(buf) else edges
+        first = np.searchsorted(edges, offsets)
         coded = pa.StringArray.from_buffers(
-            len(at), pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(buf))).dictionary_encode()
-        index, texts = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        keep = self.known if len(self.known) < KEPT else {}
-        each = list(map(self.known.get, texts))
-        new = [i for i, x in enumerate(each) if x is None]
-        for k in range(0, len(new), 4096):
-            part = [texts[i] for i in new[k:k + 4096]]
-            for i, t, ids in zip(new[k:], part, self.model.encode([t[1:] for t in part], num_threads=1)):
-                each[i] = keep[t] = np.array(ids, _I64)
-        size = np.fromiter(map(len, each), _I64, len(each))
-        flat, first = np.concatenate(each), np.cumsum(size) - size
-        sizes = size[index]
-        ends = np.cumsum(sizes)
-        place = np.repeat(first[index] - ends + sizes, sizes)
-        place += np.arange(len(place))
-        upto = np.concatenate([[0], ends])
-        return flat[place], np.diff(upto[np.searchsorted(at, offsets)])
-
-
-def _sides(a: str, b: bytes) -> tuple[ByteLevel, Pieces]:
-    """The encoders of this Python worker, with what earlier tasks have kept."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    have = worker_cache("aligned")
-    key = hashlib.sha256(a.encode() + b).hexdigest()
-    if key not in have:
-        have.clear()
-        have[key] = ByteLevel(a), Pieces(b)
-    return have[key]
+            len(edges), pa.py_buffer(np.append(edges, len(buf)).astype(np.int32)),
+            pa.py_buffer(np.ascontiguousarray(buf))).dictionary_encode()
+        texts = coded.dictionary.to_pylist()
+        new = [t for t in texts if t not in self.known]
+        if new:
+            self.learn(new)
+        index = np.fromiter(map(self.known.__getitem__, texts), _I64, len(texts))[coded.indices.to_numpy()]
+        broken = _first(~self.whole[index])
+        good = broken[first[1:]] == broken[first[:-1]]
+        if not good.all():
+            row = np.repeat(good, np.diff(first))
+            index, first = index[row], _first(np.where(good, np.diff(first), 0))
+        out = []
+        for ids, ends in zip(self.ids, self.ends):
+            sizes = (ends[1:] - ends[:-1])[index]
+            out.append((ids[_spread(ends[index], sizes)], np.diff(_first(sizes)[first])))
+        return out
 
 
 def lockstep(ends_a: np.ndarray, first_a: np.ndarray, ends_b: np.ndarray, first_b: np.ndarray) -> np.ndarray:
@@ -163,22 +190,27 @@ def lockstep(ends_a: np.ndarray, first_a: np.ndarray, ends_b: np.ndarray, first_
     """
     live = np.flatnonzero(np.diff(first_a) > 0)
     i, j, last = first_a[live], first_b[live], first_a[live + 1]
-    open_a, open_b = i.copy(), j.copy()
-    out = []
+    cuts_a, cuts_b = [], []
     while len(i):
         at_a, at_b = ends_a[i], ends_b[j]
         on_a, on_b = at_a <= at_b, at_b <= at_a
         i, j = i + on_a, j + on_b
         cut = np.flatnonzero(on_a & on_b)
         if len(cut):
-            new_a, new_b = i[cut], j[cut]
-            out.append(np.stack([open_a[cut], new_a, open_b[cut], new_b]))
-            open_a[cut], open_b[cut] = new_a, new_b
-            going = i < last
-            if not going.all():
-                i, j, last, open_a, open_b = i[going], j[going], last[going], open_a[going], open_b[going]
-    groups = np.concatenate(out, axis=1) if out else np.empty((4, 0), _I64)
-    return groups[:, np.argsort(groups[0])].T
+            # A cut closes a group: its links are those of the tokens since the document's last cut.
+            new_a = i[cut]
+            cuts_a.append(new_a.astype(np.int32))
+            cuts_b.append(j[cut].astype(np.int32))
+            if (new_a == last[cut]).any():
+                going = i < last
+                i, j, last = i[going], j[going], last[going]
+    if not cuts_a:
+        return np.empty((0, 4), np.int32)
+    out = []
+    for cuts in (cuts_a, cuts_b):
+        ends = np.sort(np.concatenate(cuts))
+        out += [np.concatenate([[0], ends[:-1]]).astype(np.int32), ends]  # documents follow each other
+    return np.stack(out, axis=1)
 
 
 @dataclass
@@ -197,34 +229,6 @@ def _first(counts: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(counts)]).astype(_I64)
 
 
-def aligned(texts: pa.Array, side_a: ByteLevel, side_b: Pieces) -> Aligned:
-    texts = pc.fill_null(texts, "")
-    padded = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(" ", texts, ""))
-    buf, offsets = buffers(padded)
-    n = np.diff(offsets)
-    sides, good = [], n > 0
-    for side in (side_a, side_b):
-        ids, counts = side.encode(buf, offsets)
-        row = np.repeat(np.arange(len(n)), counts)
-        right = np.bincount(row, side.vocabulary.size[ids], len(n)).astype(_I64) == n
-        inside = right if right.all() else np.repeat(right, n)
-        joined = side.vocabulary.joined(ids if right.all() else ids[right[row]])
-        place = np.repeat(np.arange(len(n)), n)
-        if not right.all():
-            place = place[inside]
-        differ = joined != (buf if right.all() else buf[inside])
-        if differ.any():
-            right[place[differ]] = False
-        good &= right
-        sides.append((ids, counts, row))
-    out = []
-    for ids, counts, row in sides:
-        out += [ids if good.all() else ids[good[row]], _first(np.where(good, counts, 0))]
-    a, first_a, b, first_b = out
-    ends_a, ends_b = np.cumsum(side_a.vocabulary.size[a]), np.cumsum(side_b.vocabulary.size[b])
-    return Aligned(a, b, first_a, first_b, lockstep(ends_a, first_a, ends_b, first_b), ends_a)
-
-
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers from each start on, as many as its size, one after the other."""
     ends = np.cumsum(sizes)
@@ -233,21 +237,47 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _kinds(x: Aligned) -> tuple[np.ndarray, np.ndarray]:
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys in order, how often each occurs)."""
+    keys = np.sort(keys)
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, _I64)
+    return keys[at], np.diff(np.append(at, len(keys)))
+
+
+def aligned(texts: pa.Array, encoders: Encoders) -> Aligned:
+    texts = pc.fill_null(texts, "")
+    padded = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(" ", texts, ""))
+    (a, n_a), (b, n_b) = encoders.encode(*buffers(padded))
+    first_a, first_b = _first(n_a), _first(n_b)
+    ends_a, ends_b = (np.cumsum(size[ids]) for size, ids in zip(encoders.size, (a, b)))
+    return Aligned(a, b, first_a, first_b, lockstep(ends_a, first_a, ends_b, first_b), ends_a)
+
+
+def _kinds(x: Aligned, wide: int) -> tuple[np.ndarray, np.ndarray]:
     """(a group of each distinct kind, the kind of each group): kinds differ in their A or B ids."""
-    g = x.groups
-    total = np.zeros(len(g), np.uint64)
-    for ids, start, end, salt in ((x.a, g[:, 0], g[:, 1], 1), (x.b, g[:, 2], g[:, 3], 2)):
-        place = np.arange(len(ids)) - np.repeat(start, end - start)
-        h = mix((ids.astype(np.uint64) << np.uint64(34)) + (place.astype(np.uint64) << np.uint64(2)) + np.uint64(salt))
-        total = mix(total + np.add.reduceat(h, start) + (end - start).astype(np.uint64))
-    _, one, kind = np.unique(total, return_index=True, return_inverse=True)
-    for ids, s, e in ((x.a, g[:, 0], g[:, 1]), (x.b, g[:, 2], g[:, 3])):
-        same = (e - s == (e - s)[one][kind]).all()
-        if not same or (ids != ids[_spread(s[one][kind], e - s)]).any():  # two kinds share a hash: compare in full
-            keys = [(tuple(x.a[r[0]:r[1]].tolist()), tuple(x.b[r[2]:r[3]].tolist())) for r in g.tolist()]
+    g = x.groups.astype(_I64)
+    sizes = g[:, 1] - g[:, 0], g[:, 3] - g[:, 2]
+    key = x.a[g[:, 0]].astype(_I64) * wide + x.b[g[:, 2]]
+    several = np.flatnonzero((sizes[0] > 1) | (sizes[1] > 1))
+    if len(several):  # by a hash of ids and places, below 0
+        total = np.zeros(len(several), np.uint64)
+        for ids, start, size, salt in ((x.a, g[several, 0], sizes[0][several], 1), (x.b, g[several, 2], sizes[1][several], 2)):
+            at = _spread(start, size)
+            place = (at - np.repeat(start, size)).astype(np.uint64)
+            h = mix((ids[at].astype(np.uint64) << np.uint64(34)) + (place << np.uint64(2)) + np.uint64(salt))
+            total = mix(total + np.add.reduceat(h, _first(size)[:-1]) + size.astype(np.uint64))
+        key[several] = (total | np.uint64(1 << 63)).view(_I64)
+    kind = pa.array(key).dictionary_encode().indices.to_numpy().astype(_I64)
+    one = np.empty(int(kind.max()) + 1, _I64)
+    one[kind[::-1]] = np.arange(len(kind))[::-1]
+    other = one[kind[several]]
+    for ids, start, size in ((x.a, g[:, 0], sizes[0]), (x.b, g[:, 2], sizes[1])):
+        of = size[several]
+        if (of != size[other]).any() or (ids[_spread(start[several], of)] != ids[_spread(start[other], of)]).any():
+            # Two kinds share a hash: compare in full.
             seen: dict = {}
-            kind = np.array([seen.setdefault(k, len(seen)) for k in keys], _I64)
+            kind = np.array([seen.setdefault((tuple(x.a[r[0]:r[1]].tolist()), tuple(x.b[r[2]:r[3]].tolist())), len(seen))
+                             for r in g.tolist()], _I64)
             return np.unique(kind, return_index=True)[1], kind
     return one, kind
 
@@ -257,7 +287,7 @@ def _pairs(a: np.ndarray, first_a: np.ndarray, b: np.ndarray, first_b: np.ndarra
     sides = []
     for ids, first, by in ((a, first_a, wide), (b, first_b, wide)):
         kind = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        key, n = np.unique(kind * by + ids, return_counts=True)
+        key, n = _distinct(kind * by + ids)
         kind = key // by
         sides.append((key % by, n, np.searchsorted(kind, np.arange(len(first)))))
     (ids_a, n_a, at_a), (ids_b, n_b, at_b) = sides
@@ -282,8 +312,8 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 def _texts(x: Aligned, one: np.ndarray) -> list[str]:
-    a, b = list(map(str, x.a.tolist())), list(map(str, x.b.tolist()))
-    return [f"{','.join(a[s:e])}|{','.join(b[t:f])}" for s, e, t, f in x.groups[one].tolist()]
+    return [f"{','.join(map(str, x.a[s:e].tolist()))}|{','.join(map(str, x.b[t:f].tolist()))}"
+            for s, e, t, f in x.groups[one].tolist()]
 
 
 _DOC = ["n_a", "n_b", "n_groups", "n_links"]
@@ -311,30 +341,30 @@ def align(docs: DataFrame, tokenizer_path: str, model_path: str, doc_id: str = "
         T.StructField("pairs", longs), T.StructField("held", longs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side_a, side_b = _sides(definition.value, model.value)
-        wide = 1 << max(len(s.vocabulary.size) - 1 for s in (side_a, side_b)).bit_length()
+        encoders = Encoders.of_worker(definition.value, model.value)
+        wide = encoders.wide
         chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = aligned(batch.column(1), side_a, side_b)
+            x = aligned(batch.column(1), encoders)
             n_a, n_b = np.diff(x.first_a), np.diff(x.first_b)
-            rows, g = len(n_a), x.groups
+            rows, g = len(n_a), x.groups.astype(_I64)
             row = np.searchsorted(x.first_a, g[:, 0], "right") - 1
             groups, links = np.bincount(row, minlength=rows), np.zeros(rows, _I64)
             np.add.at(links, row, (g[:, 1] - g[:, 0]) * (g[:, 3] - g[:, 2]))
-            one, kind = _kinds(x) if len(g) else (np.empty(0, _I64), np.empty(0, _I64))
+            one, kind = _kinds(x, wide) if len(g) else (np.empty(0, _I64), np.empty(0, _I64))
             k = g[one]
-            names, sequence, at = _texts(x, one), kind.tolist(), _first(groups).tolist()
-            sha = [hashlib.sha256(";".join(map(names.__getitem__, sequence[s:e])).encode()).hexdigest() if e > s else ""
+            names, at = _texts(x, one), _first(groups).tolist()
+            sha = [hashlib.sha256(";".join(map(names.__getitem__, kind[s:e].tolist())).encode()).hexdigest() if e > s else ""
                    for s, e in zip(at, at[1:])]
             kinds_a, kinds_b = (x.a[_spread(k[:, 0], k[:, 1] - k[:, 0])], x.b[_spread(k[:, 2], k[:, 3] - k[:, 2])])
             first_a, first_b = _first(k[:, 1] - k[:, 0]), _first(k[:, 3] - k[:, 2])
             keys, first, number, _ = _pairs(kinds_a, first_a, kinds_b, first_b, wide)
-            of, times = np.unique(row * max(len(one), 1) + kind, return_counts=True)
+            of, times = _distinct(row * max(len(one), 1) + kind)
             of_row, of_kind = of // max(len(one), 1), of % max(len(one), 1)
             per = np.diff(first)[of_kind]
-            held = np.unique(np.repeat(of_row, per) * max(len(keys), 1) + number[_spread(first[:-1][of_kind], per)])
+            held, _ = _distinct(np.repeat(of_row, per) * max(len(keys), 1) + number[_spread(first[:-1][of_kind], per)])
             held = np.bincount(held % max(len(keys), 1), minlength=len(keys))
             parts = [kinds_a, np.diff(first_a), kinds_b, np.diff(first_b), np.bincount(of_row, minlength=rows),
                      np.diff(of_kind, prepend=0), times]
@@ -394,13 +424,13 @@ def cuts(docs: DataFrame, name: str, tokenizer_path: str, model_path: str, text:
     schema = T.StructType([*docs.schema.fields, T.StructField(name, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side_a, side_b = _sides(definition.value, model.value)
+        encoders = Encoders.of_worker(definition.value, model.value)
         for batch in batches:
-            x = aligned(batch.column(place), side_a, side_b)
+            x = aligned(batch.column(place), encoders)
             at = np.searchsorted(x.groups[:, 0], x.first_a)
             row = np.repeat(np.arange(len(at) - 1), np.diff(at))
             before = np.concatenate([[0], x.ends])[x.first_a]
-            parts = [(x.first_a, x.a), (x.first_b, x.b), (at, x.groups[:, 1] - x.first_a[row]),
+            parts = [(x.first_a, x.a.astype(_I64)), (x.first_b, x.b.astype(_I64)), (at, x.groups[:, 1] - x.first_a[row]),
                      (at, x.groups[:, 3] - x.first_b[row]), (at, x.ends[x.groups[:, 1] - 1] - before[row])]
             lists = [pa.ListArray.from_arrays(pa.array(o.astype(np.int32)), pa.array(v)) for o, v in parts]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.StructArray.from_arrays(lists, names=fields)],

@@ -67,7 +67,7 @@ def load_tokenizer(definition: str):
     return tokenizer
 
 
-def _pieces(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def pieces(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where pieces start: at each row, and at blanks and marks where the pre-tokenizer always splits."""
     cut = np.zeros(len(buf) + 1, bool)
     if len(buf) > 2:
@@ -103,12 +103,12 @@ class Encoder:
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, number of ids of each row)."""
-        at = _pieces(buf, offsets)
+        at = pieces(buf, offsets)
         if not len(at):
             return np.empty(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         edges = np.append(at, len(buf)).astype(np.int32)
-        pieces = pa.StringArray.from_buffers(len(at), pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(buf)))
-        coded = pieces.dictionary_encode()
+        coded = pa.StringArray.from_buffers(
+            len(at), pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(buf))).dictionary_encode()
         index = coded.indices.to_numpy()
         texts = coded.dictionary.to_pylist()
         keep = self.known if len(self.known) < self.most else {}
