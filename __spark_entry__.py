@@ -175,6 +175,15 @@ def _core_oracles() -> dict[str, str]:
             from events group by 1, 2""",
         "q_central_table": _TWO_WAYS,
         "q_overwrite_rerun": _TWO_WAYS,
+        "q_committed_runs": f"""
+            with records as (
+              select 'total_value_hourly' as id, {b3600} as measure_time, cast(null as varchar) as event_type,
+                     round(sum(value), 4) as val
+              from events group by all
+              union all
+              select 'p90_value_hourly', {b3600}, event_type, quantile_disc(value, 0.9)
+              from events group by all)
+            select place, records.* from records, (values ('store'), ('table')) as t(place)""",
         "q_latest_binned": f"""
             select {b3600} as measure_time, event_type, cast(round(value) as bigint) as value_bin,
                    round(sum(value), 4) as val, cast(1706794200 as bigint) as compute_time

@@ -23,7 +23,9 @@ from metricstore.operators.quantiles import exact_quantiles
 from metricstore.plans.runner import Runner
 from metricstore.plans.scratch import scratch_path
 from metricstore.plans.spec import MetricSpec, OutputKind, SourceSpec, StageKind, StageSpec
-from metricstore.sinks.store import manifest, register_store
+from metricstore.sinks.runlog import log_path
+from metricstore.sinks.store import manifest, register_store, write_store
+from metricstore.sinks.tables import write_table
 from metricstore.sources.files import read_json
 from metricstore.sources.sql import time_range_params
 from metricstore.sources.store import read_metrics, read_table
@@ -389,6 +391,30 @@ def q_central_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kept(rows, table)
 
 
+def q_committed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store and a table with a run log: an abandoned attempt in both, a commit after it, and one that replaces.
+
+    Only what commits name is read: each record once, the newest state of replaced partitions.
+    """
+    register_tables(spark, sf_dir, "events")
+    database = _scratch_database(spark, "metricstore_tables")
+    table, path = f"{database}.metrics_{uuid.uuid4().hex[:12]}", scratch_path(spark, "store")
+    options = {"store_path": path, "table": table, "run_log": True, "compute_time": FIXED_STAMP}
+    # An attempt that dies before its commit: its records are in the folders of the run that follows.
+    abandoned = Runner(spark, compute_time=FIXED_STAMP).plan([p90_hourly(), total_hourly()])
+    write_store(abandoned, path)
+    write_table(abandoned, table)
+    for metrics, mode in (([p90_hourly(), total_hourly()], "append"), ([total_hourly()], "overwrite_partitions")):
+        result = Runner(spark, mode=mode, **options).run_all(metrics)
+        if not result.ok:
+            raise RuntimeError(result.failed())
+    ids = ["p90_value_hourly", "total_value_hourly"]
+    columns = ["id", "measure_time", group("event_type").alias("event_type"), "val"]
+    found = read_metrics(spark, path, ids=ids).select(F.lit("store").alias("place"), *columns).unionAll(
+        read_table(spark, table, ids=ids, run_log=log_path(path)).select(F.lit("table").alias("place"), *columns))
+    return _kept(found, table)
+
+
 def q_overwrite_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two store stages in one partition, run twice replacing partitions: all records, once."""
     register_tables(spark, sf_dir, "events")
@@ -748,6 +774,7 @@ QUERIES = {
     "q_registered_store": q_registered_store,
     "q_p90_lineitem": q_p90_lineitem,
     "q_overwrite_rerun": q_overwrite_rerun,
+    "q_committed_runs": q_committed_runs,
     "q_latest_binned": q_latest_binned,
     "q_record_metadata": q_record_metadata,
     "q_value_bool_json": q_value_bool_json,

@@ -13,6 +13,10 @@ keeps all it produces.  If a shared write fails, its metrics are written one by
 one, and only those that fail by themselves are reported failed.  With a store
 and a table, the union is written once below ``spark.checkpoint.dir`` and both
 are filled from there, so they hold the same records.
+
+What a write produced is observed while it runs, so nothing that could fail
+follows it.  ``run_log`` adds atomic publication (``sinks.runlog``): a write's
+records count, in store and table alike, once the run's commit is in the log.
 """
 
 from __future__ import annotations
@@ -32,12 +36,13 @@ from metricstore.operators.envelope import ComputeStamp, to_envelope
 from metricstore.plans.spec import MetricSpec, OutputKind, StageKind, StageSpec
 from metricstore.plans.scratch import scratch_path
 from metricstore.sinks.observe import MARKER
-from metricstore.sinks.store import write_store, written_partitions
+from metricstore.sinks.runlog import Commit, log_path, writes_in
+from metricstore.sinks.store import write_store
 from metricstore.sinks.tables import cached_view, table_name, temp_view, write_table
 from metricstore.sources.python_stage import StageContext, python_stage
 from metricstore.sources.remote import remote_query
 from metricstore.sources.sql import sql_stage
-from metricstore.sources.store import read_metrics
+from metricstore.sources.store import stored_files
 
 REPORT_SCHEMA = T.StructType(
     [
@@ -113,6 +118,10 @@ class Runner:
     *before* the record projection (narrow rows shuffle cheaply, records do
     not); only useful when a row-level stage reads a source that yields too
     few splits.  Aggregating stages already end in a shuffle sized by AQE.
+    ``run_log`` (``True``: beside the store, or a path) commits each write in a
+    log that readers join: a failed or repeated attempt stays invisible, and
+    ``overwrite_partitions`` replaces at the commit.  A table copy that fails
+    then fails the run.
     """
 
     def __init__(
@@ -131,6 +140,7 @@ class Runner:
         max_records_per_file: int | None = None,
         spread: int | None = None,
         store_format: str = "orc",
+        run_log: str | bool | None = None,
     ) -> None:
         self.spark = spark
         self.store_path = store_path
@@ -145,6 +155,11 @@ class Runner:
         self.max_records_per_file = max_records_per_file
         self.spread = spread
         self.store_format = store_format
+        if run_log is True and store_path is None:
+            raise ValueError("without a store, run_log is the path of the log")
+        if run_log and table is not None and table_format not in (None, "orc", "parquet"):
+            raise ValueError(f"a {table_format} table cannot be read through a run log")
+        self.run_log = log_path(store_path) if run_log is True else run_log or None
 
     # -- single stages ------------------------------------------------------
 
@@ -340,31 +355,40 @@ class Runner:
             path = scratch_path(self.spark, "run")
             union.write.parquet(path)
             union = self.spark.read.schema(union.schema).parquet(path)
+        ids = sorted({p.metric.metric_id for p in batch})
+        commit = Commit(self.spark, self.run_log, self.mode) if self.run_log else None
+        mode = "append" if commit else self.mode  # the commit replaces
         error = None
         if self.store_path is not None:
-            written = write_store(union, self.store_path, mode=self.mode, markers=len(batch),
+            before = writes_in(self._store_files(ids, stamp)) if commit else set()
+            written = write_store(union, self.store_path, mode=mode, markers=len(batch),
                                   max_records_per_file=self.max_records_per_file, fmt=self.store_format)
-            stored = read_metrics(self.spark, self.store_path, dates=[stamp.date], fmt=self.store_format,
-                                  ids=sorted({p.metric.metric_id for p in batch}))
-        if both:
+            if commit and written.rows:
+                commit.add("store", self._store_files(ids, stamp), before, stamp.epoch, written.rows)
+        if self.table is not None:
+            before = writes_in(self._table_files(ids, stamp)) if commit else set()
             try:
-                write_table(union, self.table, self.table_format, mode=self.mode, markers=len(batch))
+                copied = write_table(union, self.table, self.table_format, mode=mode, markers=len(batch))
+                if commit and copied.rows:
+                    commit.add("table", self._table_files(ids, stamp), before, stamp.epoch, copied.rows)
             except Exception as exc:  # noqa: BLE001 - reported beside the stored stages
+                if commit or not both:
+                    raise
                 error = f"{type(exc).__name__}: {exc}"
-        elif self.table is not None:
-            written = write_table(union, self.table, self.table_format, mode=self.mode, markers=len(batch))
-            stored = self.spark.table(self.table) if self.table_format in (None, "orc", "parquet", "delta") else None
-        parts = {}
-        for i, p in enumerate(batch):
-            span = written.spans[i]
-            if not span or span[0] == span[1]:
-                parts[i] = span[:1]
-            elif both:
-                mine = union.where(F.col(MARKER) == F.lit(i))
-                parts[i] = tuple(written_partitions(mine, stamp.epoch, span))
             else:
-                parts[i] = tuple(written_partitions(stored, stamp.epoch, span)) if stored is not None else span
-        return written, parts, error
+                written = written if both else copied
+        if commit:
+            commit.publish()
+        return written, written.places, error
+
+    def _store_files(self, ids: list[str], stamp: ComputeStamp) -> DataFrame | None:
+        return stored_files(self.spark, self.store_path, ids, [stamp.date], self.store_format)
+
+    def _table_files(self, ids: list[str], stamp: ComputeStamp) -> DataFrame | None:
+        if not self.spark.catalog.tableExists(self.table):
+            return None
+        self.spark.catalog.refreshTable(self.table)
+        return self.spark.table(self.table).where(F.col("id").isin(ids) & (F.col("compute_date") == F.lit(stamp.date)))
 
 
 def run_definition(spark: SparkSession, metric: MetricSpec, **options: Any) -> RunResult:

@@ -1,10 +1,8 @@
 """Row counts and partitions of a write, observed while it runs.
 
-Per marked stage the write observes the row count and the smallest and largest
-partition tuple: a fixed number of values, however many rows or levels there
-are.  A stage whose levels are literals writes one partition, which is then
-known exactly; one whose level comes from a column may write many, and those
-are listed from the store afterwards (``sinks.store.written_partitions``).
+The write observes, per marked stage, the row count and the distinct partition
+tuples: as many values as it makes folders.  Nothing has to be listed or read
+afterwards, so a write that has succeeded can always be reported.
 """
 
 from __future__ import annotations
@@ -23,10 +21,15 @@ MARKER = "_stage"
 @dataclass(frozen=True)
 class WriteResult:
     rows: int
-    #: the partition written, where it is one; None where there are several
-    partitions: tuple[dict, ...] | None = ()
+    #: the partitions written, in order
+    partitions: tuple[dict, ...] = ()
     counts: dict = field(default_factory=dict)  # rows per marker
-    spans: dict = field(default_factory=dict)  # (smallest, largest) partition per marker
+    places: dict = field(default_factory=dict)  # partitions per marker
+
+
+def _in_order(places: list[dict]) -> tuple[dict, ...]:
+    unique = {tuple(p[c] for c in PARTITION_COLUMNS): p for p in places}
+    return tuple(unique[k] for k in sorted(unique, key=lambda t: tuple((v is not None, v) for v in t)))
 
 
 class ObservedWrite:
@@ -35,24 +38,19 @@ class ObservedWrite:
     def __init__(self, records: DataFrame, markers: int = 0) -> None:
         self.markers = markers
         self.observation = Observation(f"metricstore-{uuid.uuid4().hex[:8]}")
-        place = F.struct(*PARTITION_COLUMNS)
-        measures = [F.count(F.lit(1)).alias("rows"), F.min(place).alias("lo"), F.max(place).alias("hi")]
-        for i in range(markers):
-            mine = F.col(MARKER) == F.lit(i)
-            measures += [F.count_if(mine).alias(f"rows{i}"), F.min(F.when(mine, place)).alias(f"lo{i}"),
-                         F.max(F.when(mine, place)).alias(f"hi{i}")]
+        marker = F.col(MARKER) if markers else F.lit(0)
+        measures = [F.count(F.lit(1)).alias("rows"),
+                    F.collect_set(F.struct(marker.alias(MARKER), *PARTITION_COLUMNS)).alias("places")]
+        measures += [F.count_if(F.col(MARKER) == F.lit(i)).alias(f"rows{i}") for i in range(markers)]
         self.frame = records.observe(self.observation, *measures).drop(MARKER)
 
     def result(self) -> WriteResult:
         got = self.observation.get
-
-        def span(suffix: str) -> tuple[dict, ...]:
-            rows = (got.get(f"lo{suffix}"), got.get(f"hi{suffix}"))
-            return tuple(r.asDict() for r in rows if r is not None)
-
-        ends = span("")
-        one = ends[:1] if not ends or ends[0] == ends[1] else None
+        places: dict[int, list[dict]] = {}
+        for row in got.get("places") or []:
+            place = row.asDict()
+            places.setdefault(place.pop(MARKER), []).append(place)
         return WriteResult(
-            int(got.get("rows") or 0), one,
+            int(got.get("rows") or 0), _in_order([p for ps in places.values() for p in ps]),
             {i: int(got.get(f"rows{i}") or 0) for i in range(self.markers)},
-            {i: span(str(i)) for i in range(self.markers)})
+            {i: _in_order(places.get(i, [])) for i in range(self.markers)})

@@ -3,6 +3,7 @@
 One write per run: the record count and the set of partitions touched are
 gathered with an ``Observation`` while the files are written, so the stage
 query runs exactly once (no ``cache``/``count`` before, no ``distinct`` after).
+With a run log (``sinks.runlog``), records count only once their run is in it.
 """
 
 from __future__ import annotations
@@ -143,19 +144,6 @@ def write_store(
     return observed.result()
 
 
-def written_partitions(records: DataFrame, compute_time: int, span: tuple[dict, dict]) -> list[dict]:
-    """Partition tuples that one run wrote between two of them, from stored records.
-
-    For stages whose level is a column: one row per folder of that run.
-    """
-    lo, hi = span
-    rows = records.where(
-        (F.col("id") == F.lit(lo["id"])) & (F.col("compute_time") == F.lit(compute_time))
-        & F.col("horizontal_level").between(lo["horizontal_level"], hi["horizontal_level"])
-    ).select(*PARTITION_COLUMNS).distinct()
-    return sorted((r.asDict() for r in rows.collect()), key=lambda d: [str(d[c]).zfill(20) for c in PARTITION_COLUMNS])
-
-
 def manifest(spark: SparkSession, path: str, **filters) -> DataFrame:
     """One row per stored partition: record count and measurement time span.
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from metricstore.operators.dedupe import latest_records
 from metricstore.operators.envelope import ENVELOPE, ENVELOPE_COLUMNS
+from metricstore.sinks.runlog import committed, log_path, read_log
 
 
 #: Characters that Spark escapes as %XX in the folder name of a partition value (fixed values).
@@ -62,6 +63,7 @@ def read_metrics(
     measure_range: tuple[int | None, int | None] | None = None,
     latest: bool = False,
     fmt: str = "orc",
+    run_log: str | bool | None = None,
 ) -> DataFrame:
     """Records of the store at ``path`` with the 14 columns in schema order.
 
@@ -70,13 +72,42 @@ def read_metrics(
     ``latest=True`` keeps, per metric, version, level, measurement time and
     group, only the records of the newest run (re-runs append, they do not
     replace).
+
+    ``run_log``: only records of committed runs count (``sinks.runlog``).  By
+    default the log beside the store is used if there is one; a path names
+    another, ``True`` insists on the store's own, ``False`` reads all files.
     """
     ids = None if ids is None else list(ids)
     dates = None if dates is None else list(dates)
     df = _load(spark, path, fmt, ids, dates)
+    log = None
+    if run_log is not False:
+        log = read_log(spark, run_log if isinstance(run_log, str) else log_path(path))
+    if log is not None or run_log:
+        log = None if log is None else _filtered(log, ids, dates)
+        df = committed(df, log, "store")
     return _selected(df, ids, dates, date_range, hours, horizontal_levels, vertical_levels, measure_range, latest)
 
 
+def stored_files(spark: SparkSession, path: str, ids: Iterable[str], dates: Iterable[str], fmt: str = "orc") -> DataFrame | None:
+    """All files of these metrics and dates, committed or not, with ``_metadata`` in reach; None without a store."""
+    ids, dates = list(ids), list(dates)
+    try:
+        df = _load(spark, path, fmt, ids, dates)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return df.where(F.col("id").isin(ids) & F.col("compute_date").isin(dates))
+
+
+def _filtered(log: DataFrame, ids, dates) -> DataFrame:
+    for name, values in (("id", ids), ("compute_date", dates)):
+        if values is not None:
+            log = log.where(F.col(name).isin(values))
+    return log
+
+
 def read_table(
     spark: SparkSession,
     table: str,
@@ -89,9 +120,21 @@ def read_table(
     vertical_levels: Iterable[int] | None = None,
     measure_range: tuple[int | None, int | None] | None = None,
     latest: bool = False,
+    run_log: str | None = None,
+    target: str = "table",
 ) -> DataFrame:
-    """As :func:`read_metrics` for a registered store or central table: the catalog prunes partitions."""
-    return _selected(spark.table(table), ids, dates, date_range, hours, horizontal_levels, vertical_levels,
+    """As :func:`read_metrics` for a registered store or central table: the catalog prunes partitions.
+
+    ``run_log``: path of the log of the runs that count; ``target`` is ``store``
+    for a registered store, whose files are the store's.
+    """
+    ids = None if ids is None else list(ids)
+    dates = None if dates is None else list(dates)
+    df = spark.table(table)
+    if run_log is not None:
+        log = read_log(spark, run_log)
+        df = committed(df, None if log is None else _filtered(log, ids, dates), target)
+    return _selected(df, ids, dates, date_range, hours, horizontal_levels, vertical_levels,
                      measure_range, latest)
 
 
