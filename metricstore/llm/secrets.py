@@ -26,13 +26,14 @@ finding at each place; null ids pass through; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricstore.llm.store import stored
+from metricstore.plans.scratch import scratch_path
 
 LETTERS = r"[A-Za-z]{20,}"
 #: Names that speak of secrets (fixed values), in any case.
@@ -149,7 +150,11 @@ def train(labelled: DataFrame, sample_findings: int = 2000, trees: int = 20, dep
     if len(labels) < 2:
         return labels[0] if labels else 0.0
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="vector", labelCol="label")
-    return forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(sample))
+    fitted = forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(sample))
+    # A fitted model keeps its training summary, which holds the session and cannot always go to tasks; a read one has none.
+    path = scratch_path(labelled.sparkSession, "llm/secrets-forest")
+    fitted.write().save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def score(found: DataFrame, model) -> DataFrame:

@@ -16,6 +16,15 @@ def test_query_on_whole_table(spark):
     assert want and len(got & want) >= 0.98 * len(want) and len(got - want) <= 0.02 * len(want)
 
 
+def test_query_after_an_observed_write(spark, tmp_path):
+    from pyspark.sql import Observation, functions as F
+
+    seen = Observation()
+    spark.range(10).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(str(tmp_path / "w"))
+    assert seen.get["n"] == 10
+    assert queries.op7_secret_scan(spark, "/root/testdata/sf0.01").where("is_secret").count() > 0
+
+
 def test_plan_has_no_python(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     found = secrets.features(secrets.candidates(docs), secrets.dictionary(docs))
