@@ -196,8 +196,8 @@ def test_totals_by_hand(spark):
     assert {(r["measure_time"], r["horizontal_level"]) for r in records.collect()} == {(1622505600, 1)}
 
 
-@pytest.mark.parametrize("bins", [2, 1024])
-def test_exact_quantiles(spark, bins):
+@pytest.mark.parametrize("bits", [2, 10])
+def test_exact_quantiles(spark, bits):
     from metricstore.operators.quantiles import exact_quantiles
 
     inf, nan = float("inf"), float("nan")
@@ -205,7 +205,7 @@ def test_exact_quantiles(spark, bins):
             + [("d", v) for v in (-inf, 1.0, 2.0, inf, nan)] + [("e", 1.0)] * 50 + [("e", 1e300), ("e", -1e300)])
     df = spark.createDataFrame(rows, "k string, v double").repartition(4)
     got = {r["k"]: (r["p90"], r["p50"], r["p0"], r["sample_size"]) for r in
-           exact_quantiles(df, ["k"], "v", {"p90": 0.9, "p50": 0.5, "p0": 0.0}, bins=bins).collect()}
+           exact_quantiles(df, ["k"], "v", {"p90": 0.9, "p50": 0.5, "p0": 0.0}, bits=bits).collect()}
     assert got["a"] == (9.0, 5.0, 1.0, 10)
     assert got["b"] == (5.0, 5.0, 5.0, 2)
     assert got["c"] == (None, None, None, 1)
@@ -224,6 +224,22 @@ def test_exact_quantiles_of_one_large_group_are_stable(spark):
         assert (row["p90"], row["sample_size"]) == (179999.0, 200_000)
 
 
+def test_exact_quantiles_over_all_magnitudes_end_in_seven_rounds(spark, monkeypatch):
+    from metricstore.operators import quantiles
+
+    stored, made = quantiles._stored, []
+    monkeypatch.setattr(quantiles, "_stored", lambda df: made.append(1) or stored(df))
+    df = spark.range(6000).select(F.lit("k").alias("k"), F.pow(F.lit(10.0), F.col("id") / 10 - 300).alias("x")).select(
+        "k", F.explode(F.array(F.col("x"), -F.col("x"))).alias("v"))
+    row = quantiles.exact_quantiles(df, ["k"], "v", {"p90": 0.9, "p10": 0.1}).first()
+    want = sorted(r["v"] for r in df.collect())
+    assert (row["p90"], row["p10"], row["sample_size"]) == (want[10799], want[1199], 12000)
+    assert len(made) <= 2 + 2 * 7
+    # Values that differ in their last bits alone.
+    close = spark.range(5000).select(F.lit(1).alias("k"), (1 + F.col("id") * F.lit(2.0 ** -52)).alias("v"))
+    assert quantiles.exact_quantiles(close, ["k"], "v", {"p": 0.5}).first()["p"] == 1 + 2499 * 2.0 ** -52
+
+
 def test_spread_repartitions_before_the_projection(spark):
     from metricstore import OutputKind, Runner, StageKind, StageSpec
 
