@@ -175,6 +175,39 @@ def _core_oracles() -> dict[str, str]:
             from events group by 1, 2""",
         "q_central_table": _TWO_WAYS,
         "q_overwrite_rerun": _TWO_WAYS,
+        "q_incremental": f"""
+            select {b3600} as measure_time, event_type, max(value) as val,
+                   cast(case when {b3600} < epoch(timestamp '2024-01-15') then 12 else 13 end as bigint) as compute_hour,
+                   cast(case when {b86400} = epoch(timestamp '2024-01-15') then 2 else 1 end as bigint) as runs
+            from events where ts >= timestamp '2024-01-01' and ts < timestamp '2024-02-01' group by all""",
+        "q_fused": f"""
+            select 'f_total_hourly' as id, {b3600} as measure_time, cast(null as varchar) as event_type,
+                   cast(null as bigint) as user_id, round(sum(value), 4) as val, count(*) as n from events group by all
+            union all
+            select 'f_total_daily_type', {b86400}, event_type, null, round(sum(value), 4), count(*) from events group by all
+            union all
+            select 'f_max_daily_user', {b86400}, null, user_id, max(value), count(*) from events group by all
+            union all
+            select 'f_errors_hourly', {b3600}, null, null, count(*), count(distinct user_id)
+            from events where event_type = 'error' group by all
+            union all
+            select 'f_avg_daily', {b86400}, null, null, round(sum(value), 2) / count(value), count(value)
+            from events group by all
+            union all
+            select 'f_range_type', 0, event_type, null, max(value) - min(value), count(*) from events group by all""",
+        "q_sketch_levels": f"""
+            select cast(case when grouping(day) = 1 then 0 when grouping(event_type) = 1 then 1 else 2 end as bigint) as horizontal_level,
+                   day, event_type, count(value) as sample_size, count(distinct user_id) as exact_users,
+                   true as rank_ok, true as distinct_ok
+            from (select {b86400} as day, event_type, user_id, value from events)
+            group by grouping sets ((event_type), (day), (day, event_type))""",
+        "q_distinct_samples": f"""
+            with v as (select {b86400} as measure_time, event_type, user_id, count(*) as n from events group by all),
+            r as (select *, row_number() over (partition by measure_time, event_type
+                                               order by md5(cast(user_id as varchar)), user_id) as place from v)
+            select measure_time, event_type, cast(count(*) as double) as val,
+                   list(user_id order by place) filter (where place <= 5) as samples, cast(sum(n) as bigint) as sample_size
+            from r group by 1, 2""",
         "q_committed_runs": f"""
             with records as (
               select 'total_value_hourly' as id, {b3600} as measure_time, cast(null as varchar) as event_type,

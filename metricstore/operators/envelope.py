@@ -163,12 +163,12 @@ def _only_keys(entries: Column, keys: Column) -> Column:
     return F.map_filter(entries, lambda k, v: F.array_contains(keys, k))
 
 
-def _level_expr(level: int | str) -> Column:
+def _level_expr(level: int | str, pick=column) -> Column:
     if isinstance(level, bool):
         raise TypeError("a level is an integer or a column name")
     if isinstance(level, int):
         return F.lit(level).cast(T.LongType())
-    return column(level).cast(T.LongType())
+    return pick(level).cast(T.LongType())
 
 
 @dataclass(frozen=True)
@@ -214,13 +214,17 @@ def envelope_columns(
     stamp: ComputeStamp | None,
     strict: bool = False,
     json_columns: Iterable[str] = (),
+    within: str | None = None,
 ) -> list[Column]:
     """The 14 record columns, in schema order, for a stage result schema.
 
+    ``within``: the stage result's columns are the fields of this struct column.
+
     ``stamp=None`` takes the compute time from ``current_timestamp()``; on a
     streaming DataFrame that is the micro-batch time, fixed in the offset log,
     so a retried batch gets the same stamp.
     """
+    pick = column if within is None else column(within).getField
     level_cols = [lv for lv in (horizontal_level, vertical_level) if isinstance(lv, str)]
     layout = classify(schema.names, func_vars, level_cols)
     types = {f.name: f.dataType for f in schema.fields}
@@ -230,10 +234,10 @@ def envelope_columns(
         raise ValueError(f"json_columns not in the stage result: {sorted(unknown)}")
 
     def encoded(name: str) -> Column:
-        return value_struct(column(name), types[name], as_json=name in as_json)
+        return value_struct(pick(name), types[name], as_json=name in as_json)
 
-    measure = epoch_seconds(column("measure_time"), types["measure_time"])
-    val = _val_expr(column("val"), types["val"])
+    measure = epoch_seconds(pick("measure_time"), types["measure_time"])
+    val = _val_expr(pick("val"), types["val"])
     if strict:
         measure, val = _not_null(measure, "measure_time"), _not_null(val, "val")
     names = T.ArrayType(T.StringType())
@@ -246,7 +250,7 @@ def envelope_columns(
         own = F.lit(None).cast(names)
         for position, chosen in enumerate(json.loads(sets)):
             keys = F.array(*[F.lit(g) for g in layout.groups if g in chosen]).cast(names)
-            own = F.when(column(level) == F.lit(position), keys).otherwise(own)
+            own = F.when(pick(level) == F.lit(position), keys).otherwise(own)
         group_keys = F.array_intersect(group_keys, F.coalesce(own, group_keys))
         group_map = _only_keys(group_map, group_keys)
     if stamp is None:
@@ -272,8 +276,8 @@ def envelope_columns(
         group_keys.alias("group_keys"),
         F.lit(func_expr).cast(T.StringType()).alias("func_expr"),
         _value_map([(k, encoded(c)) for k, c in layout.func_vars]).alias("func_vars"),
-        _level_expr(horizontal_level).alias("horizontal_level"),
-        _level_expr(vertical_level).alias("vertical_level"),
+        _level_expr(horizontal_level, pick).alias("horizontal_level"),
+        _level_expr(vertical_level, pick).alias("vertical_level"),
         F.lit(version).cast(T.StringType()).alias("version"),
     ]
 

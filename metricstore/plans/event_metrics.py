@@ -20,6 +20,10 @@ from metricstore.functions.timebins import bucket_epoch, bucket_of_epoch, value_
 from metricstore.operators.envelope import ComputeStamp, to_long
 from metricstore.operators.levels import roll_up_levels
 from metricstore.operators.quantiles import exact_quantiles
+from metricstore.operators.samples import distinct_samples
+from metricstore.operators.sketches import Distinct, Percentile, Plain, distinct_bound, rank_bound, sketch_levels
+from metricstore.plans.fused import AggregateMetric, run_fused
+from metricstore.plans.incremental import run_incremental
 from metricstore.plans.runner import Runner
 from metricstore.plans.scratch import scratch_path
 from metricstore.plans.spec import MetricSpec, OutputKind, SourceSpec, StageKind, StageSpec
@@ -415,6 +419,114 @@ def q_committed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kept(found, table)
 
 
+def q_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half a range stored, then the whole range run: only missing buckets and those still open are computed.
+
+    ``compute_hour`` tells which run computed a bucket, ``runs`` how many did.
+    """
+    register_tables(spark, sf_dir, "events")
+    metric = MetricSpec(
+        "max_value_hourly_type", 3600, "max(value) every hour", "1", (),
+        stages=(_sql("""
+            select cast(floor(unix_timestamp(ts) / 3600) * 3600 as bigint) as measure_time, event_type, max(value) as val
+            from events where ts >= to_timestamp_ntz(:dt_start) and ts < to_timestamp_ntz(:dt_end)
+            group by 1, 2""", horizontal_level=1),),
+    )
+    path = scratch_path(spark, "store")
+    for stamp, end in ((FIXED_STAMP, datetime(2024, 1, 16)), (LATER_STAMP, datetime(2024, 2, 1))):
+        result = run_incremental(Runner(spark, store_path=path, compute_time=stamp, run_log=True), metric,
+                                 datetime(2024, 1, 1), end, lookback=86400)
+        if not result.ok:
+            raise RuntimeError(result.failed())
+    stored = read_metrics(spark, path, ids=[metric.metric_id])
+    runs = stored.groupBy(F.col("measure_time").alias("bucket"), group("event_type").alias("of_type")).agg(
+        F.count(F.lit(1)).alias("runs"))
+    latest = read_metrics(spark, path, ids=[metric.metric_id], latest=True).select(
+        "measure_time", group("event_type").alias("event_type"), "val", "compute_hour")
+    return latest.join(runs, (F.col("bucket") == F.col("measure_time")) & (F.col("of_type") == F.col("event_type"))).select(
+        "measure_time", "event_type", "val", "compute_hour", "runs")
+
+
+def six_metrics() -> list[AggregateMetric]:
+    """Metrics over ``events`` with other buckets, groups, conditions and measures."""
+    return [
+        AggregateMetric("f_total_hourly", 3600, {"val": "round(sum(value), 4)", "func_var_n": "count(1)"}),
+        AggregateMetric("f_total_daily_type", 86400, {"val": "round(sum(value), 4)", "func_var_n": "count(1)"},
+                        {"event_type": "event_type"}, horizontal_level=1),
+        AggregateMetric("f_max_daily_user", 86400, {"val": "max(value)", "func_var_n": "count(1)"},
+                        {"user_id": "user_id"}, horizontal_level=1),
+        AggregateMetric("f_errors_hourly", 3600, {"val": "count(1)", "func_var_n": "count(distinct user_id)"},
+                        where="event_type = 'error'"),
+        AggregateMetric("f_avg_daily", 86400, {"val": "round(sum(value), 2) / count(value)", "func_var_n": "count(value)"}),
+        AggregateMetric("f_range_type", 0, {"val": "max(value) - min(value)", "func_var_n": "count(1)"},
+                        {"event_type": "event_type"}, horizontal_level=1),
+    ]
+
+
+def q_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six metrics over one table from one scan, stored together and read back."""
+    register_tables(spark, sf_dir, "events")
+    path = scratch_path(spark, "store")
+    result = run_fused(Runner(spark, store_path=path, compute_time=FIXED_STAMP), "events", "ts", six_metrics())
+    if not result.ok:
+        raise RuntimeError(result.failed())
+    return read_metrics(spark, path).select(
+        "id", "measure_time", group("event_type").alias("event_type"), group("user_id", "long").alias("user_id"),
+        "val", func("n").alias("n"))
+
+
+def q_sketch_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p90 and distinct users at three levels from merged sketches, held against the exact rank and number.
+
+    ``rank_ok``: the rank of the value found is within twice the bound of its sketch
+    (99 %); ``distinct_ok`` the same for the number of users.
+    """
+    register_tables(spark, sf_dir, "events")
+    k, lg_k = 400, 12
+    events = spark.table("events").select(bucket_epoch("ts", 86400).alias("day"), "event_type", "user_id", "value")
+    sets = [["event_type"], ["day"], ["day", "event_type"]]
+    found = sketch_levels(events, sets, {"p90": Percentile("value", 0.9), "users": Distinct("user_id"), "n": Plain("count", "value")},
+                          k=k, lg_k=lg_k)
+    found = found.select(F.col("day").alias("of_day"), F.col("event_type").alias("of_type"), "horizontal_level", "p90", "users", "n")
+    # Every row with the levels it counts in, joined with their estimates (one row per group).
+    held = events.withColumn("level", F.explode(F.array(*[F.lit(i) for i in range(len(sets))])))
+    held = held.select("level", F.when(F.col("level") > 0, F.col("day")).alias("day"),
+                       F.when(F.col("level") != 1, F.col("event_type")).alias("event_type"), "user_id", "value")
+    pairs = held.join(found, (F.col("level") == F.col("horizontal_level")) & F.col("day").eqNullSafe(F.col("of_day"))
+                      & F.col("event_type").eqNullSafe(F.col("of_type")))
+    exact = pairs.groupBy("horizontal_level", "day", "event_type", "p90", "users", "n").agg(
+        F.count("value").alias("rows"), F.count_if(F.col("value") < F.col("p90")).alias("below"),
+        F.count_if(F.col("value") <= F.col("p90")).alias("upto"))
+    users = held.groupBy(F.col("level").alias("l"), F.col("day").alias("d"), F.col("event_type").alias("t")).agg(
+        F.count_distinct("user_id").alias("exact_users"))
+    off = 2 * rank_bound(k)
+    out = exact.join(users, (F.col("l") == F.col("horizontal_level")) & F.col("d").eqNullSafe(F.col("day"))
+                     & F.col("t").eqNullSafe(F.col("event_type")))
+    return out.select(
+        "horizontal_level", "day", "event_type", F.col("n").alias("sample_size"), "exact_users",
+        ((F.col("below") / F.col("rows") <= 0.9 + off) & (F.col("upto") / F.col("rows") >= 0.9 - off)).alias("rank_ok"),
+        (F.abs(F.col("users") - F.col("exact_users")) <= F.greatest(
+            F.lit(1.0), 2 * distinct_bound(lg_k) * F.col("exact_users"))).alias("distinct_ok"))
+
+
+def _samples_stage(spark: SparkSession, k: int) -> DataFrame:
+    events = spark.table("events").select(bucket_epoch("ts", 86400).alias("measure_time"), "event_type", "user_id")
+    return distinct_samples(events, ["measure_time", "event_type"], "user_id", k, distinct="val")
+
+
+def q_distinct_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five sampled users per day and event type with the exact number of distinct ones, as records."""
+    register_tables(spark, sf_dir, "events")
+    metric = MetricSpec(
+        "distinct_users_daily", 86400, "count(distinct user_id) every day per event type", "1", ("samples", "sample_size"),
+        stages=(StageSpec(StageKind.PYTHON, OutputKind.STORE, python=_samples_stage, python_args={"k": 5}, horizontal_level=1),),
+    )
+    records = Runner(spark, compute_time=FIXED_STAMP).plan(metric)
+    return records.select(
+        "measure_time", group("event_type").alias("event_type"), "val", func("samples", "vec_long").alias("samples"),
+        func("sample_size").alias("sample_size"))
+
+
 def q_overwrite_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two store stages in one partition, run twice replacing partitions: all records, once."""
     register_tables(spark, sf_dir, "events")
@@ -775,6 +887,10 @@ QUERIES = {
     "q_p90_lineitem": q_p90_lineitem,
     "q_overwrite_rerun": q_overwrite_rerun,
     "q_committed_runs": q_committed_runs,
+    "q_incremental": q_incremental,
+    "q_fused": q_fused,
+    "q_sketch_levels": q_sketch_levels,
+    "q_distinct_samples": q_distinct_samples,
     "q_latest_binned": q_latest_binned,
     "q_record_metadata": q_record_metadata,
     "q_value_bool_json": q_value_bool_json,

@@ -22,7 +22,7 @@ records count, in store and table alike, once the run's commit is in the log.
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
@@ -142,6 +142,7 @@ class Runner:
         store_format: str = "orc",
         run_log: str | bool | None = None,
     ) -> None:
+        self.options = {k: v for k, v in locals().items() if k not in ("self", "spark")}
         self.spark = spark
         self.store_path = store_path
         self.table = table
@@ -313,15 +314,18 @@ class Runner:
                 self._write_batch(batch, stamp, result)
         return result
 
-    def _write_batch(self, batch: list[_Pending], stamp: ComputeStamp, result: RunResult) -> None:
+    def _write_batch(self, batch: list[_Pending], stamp: ComputeStamp, result: RunResult,
+                     union: DataFrame | None = None, alone: Callable[[int], list[_Pending]] | None = None) -> None:
+        """``union``: the batch's records with their markers, if they come from one plan; ``alone`` gives one's own."""
         started = time.perf_counter()
         try:
-            written, parts, table_error = self._write(batch, stamp)
+            written, parts, table_error = self._write(batch, stamp, union)
         except Exception as exc:  # noqa: BLE001 - reported, run continues
             names = list(dict.fromkeys(p.metric.metric_id for p in batch))
             if len(names) > 1:  # find out which of them fails by itself
-                for name in names:
-                    self._write_batch([p for p in batch if p.metric.metric_id == name], stamp, result)
+                for i, name in enumerate(names):
+                    own = alone(i) if alone else [p for p in batch if p.metric.metric_id == name]
+                    self._write_batch(own, stamp, result)
                 return
             for p in batch:
                 result.outcomes.append(
@@ -344,12 +348,13 @@ class Runner:
                 result.outcomes.append(
                     StageOutcome(name, f"{name}/table", "-", "table", "failed", error=table_error))
 
-    def _write(self, batch: list[_Pending], stamp: ComputeStamp):
+    def _write(self, batch: list[_Pending], stamp: ComputeStamp, union: DataFrame | None = None):
         """(observed result, partitions per stage, error of the table copy)."""
         if self.store_path is None and self.table is None:
             raise ValueError("a store stage needs store_path or table")
-        union = reduce(lambda a, b: a.unionByName(b),
-                       [p.records.withColumn(MARKER, F.lit(i)) for i, p in enumerate(batch)])
+        if union is None:
+            union = reduce(lambda a, b: a.unionByName(b),
+                           [p.records.withColumn(MARKER, F.lit(i)) for i, p in enumerate(batch)])
         both = self.store_path is not None and self.table is not None
         if both:
             path = scratch_path(self.spark, "run")
