@@ -47,7 +47,7 @@ from metricstore.llm.arrays import buffers, mix, worker_cache
 from metricstore.llm.store import stored
 from metricstore.llm.token_store import load_tokenizer, pieces
 
-KEPT = 400_000  # distinct pieces of text that a worker remembers: the first it meets
+KEPT = 250_000  # distinct pieces of text that a worker remembers: the first it meets
 _I64 = np.int64
 
 
