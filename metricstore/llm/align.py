@@ -62,7 +62,7 @@ class ByteLevel:
     """Side A."""
 
     def __init__(self, definition: str):
-        self.tokenizer = load_tokenizer(definition)
+        self.tokenizer = load_tokenizer(definition, special_as_text=True)
         byte = byte_of_letter()
         self.tokens = [b""] * self.tokenizer.get_vocab_size()
         for token, i in self.tokenizer.get_vocab().items():

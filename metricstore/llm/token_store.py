@@ -14,14 +14,16 @@ A frame is one document's ids (little-endian unsigned 32-bit), compressed alone
 with the shared dictionary, so one short document is read without its
 neighbours.  The dictionary is trained on a bounded sample: ``sample_docs``
 documents of at most ``sample_bytes`` bytes each, in the order of a hash of
-their ids.  Where that is too few to train on, frames are plain zstandard.
+their ids.  Where that is too few to train on, the samples themselves are the
+dictionary (frames of a table without any text are plain zstandard).
 
 Tokenizing: a byte-level pre-tokenizer always splits before a single blank that
 stands between two characters that aren't white space, and between a letter or
 digit and a punctuation mark (but for apostrophes), so the text is cut there.
 Each distinct piece of a run of texts is encoded once (a worker keeps the first
-ones it meets), and the pieces' ids are joined.  The ids equal those of the
-whole text (tested).
+ones it meets), and the pieces' ids are joined.  A text that holds the string of
+an added token (``<|endoftext|>``) is encoded in one piece, and the string gives
+that token's id.  The ids equal those of the whole text (tested).
 
 Defined results: a null or empty text has the end id alone; rows that repeat an
 id are separate documents next to each other; null ids come first; an empty
@@ -48,7 +50,9 @@ from metricstore.llm.store import SMALL_BATCHES
 from metricstore.sinks.store import session_settings
 
 BLOCK_DOCS, BLOCK_BYTES = 512, 4 << 20
+RANGE_BYTES = 32 << 20  # bytes of text that a task writes
 RUN = 4 << 20  # bytes of text encoded at a time
+LONG = 1 << 10  # characters of a piece that is not kept
 _B = np.arange(256)
 #: Bytes that surely belong to a visible character: printable ASCII, and the leads of two-byte letters.
 _VISIBLE = ((_B > 0x20) & (_B < 0x7F)) | ((_B >= 0xC3) & (_B <= 0xDF))
@@ -57,13 +61,13 @@ _ALNUM = ((_B >= 0x30) & (_B <= 0x39)) | ((_B | 0x20) >= 0x61) & ((_B | 0x20) <=
 _MARK = (_B > 0x20) & (_B < 0x7F) & ~_ALNUM & (_B != 0x27)
 
 
-def load_tokenizer(definition: str):
-    """The tokenizer of a JSON text; its special tokens' strings are ordinary text."""
+def load_tokenizer(definition: str, special_as_text: bool = False):
+    """The tokenizer of a JSON text; its special tokens' strings in texts give their ids, or are ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(definition)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = special_as_text
     return tokenizer
 
 
@@ -84,11 +88,31 @@ def pieces(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def rows_with(buf: np.ndarray, offsets: np.ndarray, tokens: list[bytes]) -> np.ndarray:
+    """Whether each row holds one of the tokens."""
+    out = np.zeros(len(offsets) - 1, bool)
+    raw = buf.tobytes()
+    for token in tokens:
+        at = raw.find(token)
+        while at >= 0:
+            row = int(np.searchsorted(offsets, at, "right")) - 1
+            if at + len(token) <= offsets[row + 1]:
+                out[row] = True
+                at = raw.find(token, int(offsets[row + 1]))
+            else:  # the bytes of two rows
+                at = raw.find(token, at + 1)
+    return out
+
+
 class Encoder:
-    """Encodes texts piece by piece; the first ``most`` distinct pieces are kept and looked up."""
+    """Encodes texts piece by piece; the first ``most`` distinct pieces are kept and looked up.
+
+    A text that holds an added token's string is one piece, as the library cuts it there first.
+    """
 
     def __init__(self, definition: str, most: int = 500_000):
         self.tokenizer, self.most = load_tokenizer(definition), most
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
     @staticmethod
@@ -106,6 +130,10 @@ class Encoder:
         at = pieces(buf, offsets)
         if not len(at):
             return np.empty(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        whole = rows_with(buf, offsets, self.added)
+        if whole.any():
+            row = np.searchsorted(offsets, at, "right") - 1
+            at = at[~whole[row] | (at == offsets[row])]
         edges = np.append(at, len(buf)).astype(np.int32)
         coded = pa.StringArray.from_buffers(
             len(at), pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(buf))).dictionary_encode()
@@ -120,7 +148,9 @@ class Encoder:
             raw = array("I", found.ids).tobytes()
             ends = (4 * np.cumsum(np.bincount(found.word_ids, minlength=len(part)))).tolist()
             for i, t, s, e in zip(new[k:], part, [0, *ends], ends):
-                each[i] = keep[t] = raw[s:e]
+                each[i] = raw[s:e]
+                if len(t) < LONG:
+                    keep[t] = each[i]
         flat = np.frombuffer(b"".join(each), np.uint32)
         size = np.fromiter(map(len, each), np.int64, len(each)) // 4
         first = np.cumsum(size) - size
@@ -158,8 +188,9 @@ def train_dictionary(docs: DataFrame, definition, doc_id: str, text: str, end_id
     samples = [bytes(r["ids"]) for r in sample.mapInArrow(run, "ids binary").collect()]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
-    except zstandard.ZstdError:  # too few samples
-        return b""
+    except zstandard.ZstdError:  # too few samples to train on: their own content
+        raw = b"".join(samples)[-size:]
+        return raw if len(raw) >= 8 else b""
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text",
@@ -218,8 +249,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, doc_id: str =
         if ids:
             yield done(of)
 
+    # Ranges follow the bytes of the texts.
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    ranges = max(1, -(-size // RANGE_BYTES), min(spark.sparkContext.defaultParallelism, size >> 20))
     with session_settings(spark, SMALL_BATCHES):
-        (docs.repartitionByRange(doc_id).sortWithinPartitions(doc_id, text).mapInArrow(run, schema)
+        (docs.repartitionByRange(ranges, doc_id).sortWithinPartitions(doc_id, text).mapInArrow(run, schema)
          .write.parquet(f"{path}/blocks"))
     # One row per write task.
     shards = sorted((r["shard"], r["n"]) for r in spark.read.parquet(f"{path}/blocks").groupBy("shard").agg(

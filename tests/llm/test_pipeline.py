@@ -18,7 +18,6 @@ SF = "/root/testdata/sf0.001"
 
 def token_rows(rows):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     start, out = 0, []
     for r in sorted(rows, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or "")):
         ids = np.array(t.encode(r["text"] or "", add_special_tokens=False).ids + [2], "<u4")

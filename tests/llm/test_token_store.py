@@ -19,7 +19,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def whole():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -40,6 +39,20 @@ def test_pieces_give_the_ids_of_whole_texts(whole, pieces, texts):
     assert in_pieces(pieces, texts) == [whole(t) for t in texts]
 
 
+def test_added_tokens_in_texts(whole, pieces):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x ", "x<|endof", "text|>y", "<|endoftext|", ">",
+             "it's <|endoftext|>'s fine", "plain words, here", None, "word " * 5000 + "<|endoftext|>"]
+    assert in_pieces(pieces, texts) == [whole(t) for t in texts]
+    assert in_pieces(pieces, ["a <|endoftext|> b"]) == [[64, 220, 50256, 275]]
+
+
+def test_few_samples_still_give_a_dictionary(spark, tmp_path):
+    df = spark.createDataFrame([(1, "one text of some words"), (2, "one text of other words")], "doc_id long, text string")
+    token_store.write_tokens(df, str(tmp_path / "s"), PATH)
+    assert len(spark.read.parquet(str(tmp_path / "s/dictionary")).first()["dictionary"]) > 8
+    assert [r["n_tokens"] for r in token_store.read_tokens(spark, str(tmp_path / "s")).orderBy("doc_id").collect()] == [6, 6]
+
+
 def test_query_equals_whole_encoding(spark, whole):
     sf = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
