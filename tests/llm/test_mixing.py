@@ -74,6 +74,52 @@ def test_repeated_rows_and_empty_table(spark):
     assert mixing.mixed_documents(df.where("false")).count() == 0
 
 
+def by_sorting(sized, plan):
+    """Copies of each (source, id, size, key) that sorting every source by key gives: {row: times of all its copies}."""
+    out = defaultdict(int)
+    for p in plan:
+        rows = sorted((r["key"], (r["id"] is not None, r["id"] or 0), r["size"], r["id"]) for r in sized if r["source"] == p["source"])
+        rest = max(0.0, p["target"] - p["epochs"] * p["source_size"])
+        at = 0
+        for key, _, size, i in rows:
+            more = rest > 0 and (at + size <= rest or rest - at > at + size - rest)
+            at += size
+            out[(p["source"], i, size, key)] += p["epochs"] + int(more)
+    return dict(out)
+
+
+@pytest.mark.parametrize("bucket", [3, 4096])
+def test_samples_equal_those_of_sorting(spark, bucket):
+    docs = [(i % 150 if i % 11 else None, "w " * (1 + i % 5), "abc"[i * i % 3]) for i in range(700)] + [(7, "eq eq eq eq", "d")] * 300
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(6)
+    rows, plan = mixing.mix_plan(df, bucket_docs=bucket)
+    sized = mixing._sized(df, "doc_id", "source", "text", None, 17).collect()
+    want = by_sorting(sized, plan.collect())
+    key = {(r["source"], r["id"], r["size"]): r["key"] for r in sized}  # one text a size here
+    assert len(key) == len(want)
+    got = defaultdict(int)
+    source_of = {p["source_size"]: p["source"] for p in plan.collect()}
+    for r in rows.collect():
+        s = source_of[r["source_size"]]
+        got[(s, r["id"], r["size"], key[s, r["id"], r["size"]])] += r["times"]
+    assert got == want
+    mixed = defaultdict(int)
+    for r in mixing.mixed_documents(df, bucket_docs=bucket).collect():
+        n = len(solid_words(r["text"]))
+        mixed[(r["source"], r["doc_id"], n, key[r["source"], r["doc_id"], n])] += 1
+    assert mixed == {k: n for k, n in want.items() if n}
+
+
+def test_equal_rows_are_taken_up_to_the_target(spark):
+    df = spark.createDataFrame([(None, "a b c d", "s")] * 100 + [(i, "w " * 60, "t") for i in range(5)], "doc_id long, text string, source string")
+    for parts in (1, 7):
+        rows, plan = mixing.mix_plan(df.repartition(parts), weights=(2, 5), most=3.0)
+        target = {p["source"]: p["target"] for p in plan.collect()}["s"]
+        taken = sum(r["taken"] for r in rows.where("id is null").collect())
+        assert 0 < target < 400 and abs(taken - target) <= 2
+        assert mixing.mixed_documents(df.repartition(parts), weights=(2, 5), most=3.0).where("doc_id is null").count() == taken / 4
+
+
 def test_quality_weights_prefer_good_documents(spark):
     from pyspark.sql import functions as F
 
