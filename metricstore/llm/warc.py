@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from metricstore.llm.store import stored
 
 END = "\r\n\r\n"
+TASK_BYTES = 32 << 20  # of an archive that a task indexes or reads
 _DIGITS, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -71,7 +72,8 @@ def records(pages: DataFrame, page_id: str, url: str, html: str, least: int, dat
 
 
 def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html",
-                   least: int = 0, date: str = "2024-01-01T00:00:00Z", per_file: int = 50_000) -> None:
+                   least: int = 0, date: str = "2024-01-01T00:00:00Z", per_file: int = 5_000) -> None:
+    """Files of at most ``per_file`` records: a file is what one task indexes."""
     made = records(pages, page_id, url, html, least, date)
     made.write.option("lineSep", END).option("maxRecordsPerFile", per_file).text(path)
 
@@ -94,7 +96,8 @@ INDEX = ("file string, offset long, length long, url string, digest string, page
 
 def index_archives(spark: SparkSession, path: str, chunk: int = 4 << 20) -> DataFrame:
     """A row per record of all files at ``path`` (see INDEX), from one pass of reads of ``chunk`` bytes."""
-    files = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")
+    files = stored(spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0"), "warc-files")
+    tasks = _tasks(files, "length", spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,7 +108,14 @@ def index_archives(spark: SparkSession, path: str, chunk: int = 4 << 20) -> Data
     shape = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("url", pa.string()),
                        ("digest", pa.string()), ("page_id", pa.string()), ("record_type", pa.string()),
                        ("refers_to", pa.string())])
-    return stored(files.repartition("path").mapInArrow(run, INDEX), "warc-index")
+    return stored(files.repartitionByRange(tasks, F.xxhash64("path")).mapInArrow(run, INDEX), "warc-index")
+
+
+def _tasks(rows: DataFrame, length: str, spark: SparkSession) -> int:
+    """One for each ``TASK_BYTES`` of the archives, not of the rows that describe them; at most one a row."""
+    total, n = rows.agg(F.sum(length), F.count(F.lit(1))).first()
+    total = total or 0
+    return max(1, min(n, max(-(-total // TASK_BYTES), min(spark.sparkContext.defaultParallelism, total >> 20))))
 
 
 def _name(value: str | None) -> str | None:
@@ -181,5 +191,6 @@ def read_records(index: DataFrame, gap: int = 64 << 10, most: int = 8 << 20, pay
         if ranges:
             yield read(uri, ranges)
 
-    rows = index.select("file", "offset", "length").repartitionByRange("file", "offset")
+    tasks = _tasks(index, "length", index.sparkSession)
+    rows = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset")
     return rows.sortWithinPartitions("file", "offset").mapInArrow(run, READ)

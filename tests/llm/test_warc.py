@@ -60,3 +60,18 @@ def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archives(df, str(tmp_path / "w"))
     assert warc.read_records(warc.index_archives(spark, str(tmp_path / "w"))).count() == 0
+
+
+def test_archives_are_read_by_several_tasks(spark, tmp_path):
+    import pyspark.sql.functions as F
+
+    pages = spark.range(600).select(F.col("id").alias("page_id"), F.lit("u").alias("url"),
+                                    F.concat(F.col("id").cast("string"), F.repeat(F.lit("some html "), 1500)).alias("html"))
+    path = str(tmp_path / "w")
+    warc.write_archives(pages.repartition(4), path, per_file=40)
+    index = warc.index_archives(spark, path)
+    made = index.select(F.input_file_name().alias("f")).distinct().count()
+    assert made > 1  # a file per task that indexed
+    read = warc.read_records(index).select(F.spark_partition_id().alias("p"), "page_id", "payload_bytes")
+    assert read.select("p").distinct().count() > 1
+    assert read.count() == 600 == read.select("page_id").distinct().count()
