@@ -106,13 +106,25 @@ class FuzzySearch:
                 s = words.rfind(b" ", 0, max(1, s))
                 e = words.find(b" ", min(max(e, s + 1), len(words) - 1)) + 1
                 part = words[s:e].decode("utf-8", "replace")
-                for m in pattern.finditer(part):
-                    if not m.group().strip():
-                        continue
-                    start = s + len(part[:m.start()].encode())
-                    first = words.count(b" ", 0, start) - 1
-                    edits = sum(m.fuzzy_counts)
-                    yield label, first, first + m.group().strip().count(" ") + 1, edits, max(0.0, 1 - edits / len(notice))
+                for start, found, edits in _best_first(pattern, part):
+                    first = words.count(b" ", 0, s + len(part[:start].encode())) - 1
+                    yield label, first, first + found.strip().count(" ") + 1, edits, max(0.0, 1 - edits / len(notice))
+
+
+def _best_first(pattern, part: str) -> Iterator[tuple[int, str, int]]:
+    """(start, text, edits) of the best match, then of those before it and behind it."""
+    left = [(0, len(part))]
+    while left:
+        start, end = left.pop()
+        m = pattern.search(part, start, end)
+        if m is None:
+            continue
+        if m.end() <= m.start():
+            left.append((m.end() + 1, end))
+            continue
+        if m.group().strip():
+            yield m.start(), m.group(), sum(m.fuzzy_counts)
+        left += [(start, m.start()), (m.end(), end)]
 
 
 def _joined(near: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:

@@ -45,6 +45,13 @@ def test_edited_notices(spark, text, label, edits, span):
     assert 0 < got["score"] <= 1
 
 
+def test_neighbouring_notices_are_all_reported(spark):
+    text = "gnu generl public license gnu general public license mit licence x gnu genral publc license and the mit license"
+    got = find(spark, [text])[0]
+    assert [(s["label"], s["start"], s["end"]) for s in got["spans"] if s["label"] == "gpl"] == [
+        ("gpl", 0, 4), ("gpl", 4, 8), ("gpl", 11, 15)]
+
+
 def test_edges(spark):
     texts = [None, "", "...", "under the mit license", "under the mit license under the mit license", "CC BY-NC 4.0",
              "plain words about nothing", "the the the the", "x " * 300_000 + "under the MIT license",
