@@ -2,13 +2,10 @@
 
 A language's profile is the list of its ``top`` most frequent character n-grams
 (1 to ``longest`` letters, words padded with blanks), counted over all training
-documents.  A document is compared by out-of-place distance: its own n-grams are
-ranked by frequency, and each of them adds how far its rank is from the one in
-the profile, or ``top`` if the profile lacks it.  The nearest language is the
-prediction.
-
-Ranks are taken among the n-grams that occur in some profile; any other n-gram
-would add the same to every language.  Ties in rank go by the n-gram's code.
+documents.  A document is compared by out-of-place distance: its own ``top`` most
+frequent n-grams, of all it holds, are ranked, and each of them adds how far its
+rank is from the one in the profile, or ``top`` if the profile lacks it.  The
+nearest language is the prediction.  Ties in rank go by the n-gram's code.
 
 The score is 1 - distance / (largest possible distance): 1 for a document whose
 ranks equal the profile's, 0 for one that shares nothing with it.
@@ -171,31 +168,41 @@ class Ranker:
             return
         place, word_of = _distinct(low, starts, ends)
         word, code = _grams(low, starts[place], ends[place], self.longest)
-        gram = np.minimum(np.searchsorted(self.grams, code), len(self.grams) - 1)
-        known = self.grams[gram] == code
-        word, gram = word[known], gram[known]  # by word after a stable sort
         order = np.argsort(word, kind="stable")
-        word, gram = word[order], gram[order]
+        word, code = word[order], code[order]
+        coded = pa.array(code.view(np.int64)).dictionary_encode()
+        codes = coded.dictionary.to_numpy().view(np.uint64)
+        by_code = np.argsort(codes)
+        number = np.empty(len(codes), np.int64)
+        number[by_code] = np.arange(len(codes))
+        gram, codes = number[coded.indices.to_numpy()], codes[by_code]
+        known = np.minimum(np.searchsorted(self.grams, codes), len(self.grams) - 1)
+        ranks = np.where(self.grams[known] == codes, self.ranks[:, known], -1)
         first = np.searchsorted(word, np.arange(len(place) + 1))
         bound = np.searchsorted(text_of, np.arange(n + 1))
-        step = max(1, (1 << 18) // max(1, len(self.grams)))
+        step = max(1, (1 << 18) // max(1, len(codes)))
         for s in range(0, n, step):
             e = min(n, s + step)
-            yield from self._rows(e - s, text_of[bound[s]:bound[e]] - s, word_of[bound[s]:bound[e]], first, gram)
+            yield from self._rows(e - s, text_of[bound[s]:bound[e]] - s, word_of[bound[s]:bound[e]], first, gram, ranks)
 
-    def _rows(self, n, text_of, word_of, first, gram):
+    def _rows(self, n, text_of, word_of, first, gram, ranks):
         pairs, times = np.unique(text_of * len(first) + word_of, return_counts=True)
         of, word = pairs // len(first), pairs % len(first)
         size = first[word + 1] - first[word]
         at = np.repeat(first[word] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-        wide = len(self.grams)
-        count = np.bincount(np.repeat(of, size) * wide + gram[at], np.repeat(times, size), n * wide).reshape(n, wide)
-        order = np.argsort(-count, axis=1, kind="stable")[:, :self.top]
+        wide = ranks.shape[1]
+        count = np.bincount(np.repeat(of, size) * wide + gram[at], np.repeat(times, size), n * wide).astype(np.int64).reshape(n, wide)
+        sought = -(count * wide - np.arange(wide))  # by frequency, then by code
+        if wide > self.top:
+            order = np.argpartition(sought, self.top - 1, axis=1)[:, :self.top]
+            order = np.take_along_axis(order, np.argsort(np.take_along_axis(sought, order, 1), axis=1), 1)
+        else:
+            order = np.argsort(sought, axis=1)
         there = np.take_along_axis(count, order, 1) > 0
         own = np.arange(order.shape[1])
         far = np.empty((len(self.names), n), np.int64)
         for k in range(len(self.names)):
-            rank = self.ranks[k][order]
+            rank = ranks[k][order]
             off = np.where(rank < 0, self.top, np.abs(rank - own[None, :]))
             far[k] = (off * there).sum(axis=1)
         most = there.sum(axis=1) * self.top

@@ -40,8 +40,7 @@ def plain_profiles(docs, top):
 def plain_predict(text, profiles, top):
     if not any(c.isalpha() for c in text or ""):
         return "und", 0.0
-    known = {g for p in profiles.values() for g in p}
-    own = [(g, n) for g, n in ((code(g), n) for g, n in plain_grams(text).items()) if g in known]
+    own = [(code(g), n) for g, n in plain_grams(text).items()]
     own = [g for g, _ in sorted(own, key=lambda x: (-x[1], x[0]))[:top]]
     best = None
     for lang in sorted(profiles):
@@ -71,6 +70,13 @@ def test_query_equals_plain_version_and_is_right_on_held_out_rows(spark, docs):
     assert right / total > 0.97
 
 
+def test_other_alphabets_are_far_from_every_profile(docs):
+    profiles = langid.Ranker(plain_profiles([(r["text"], r["lang"]) for r in docs], 400), 400, 3)
+    other = "это текст на другом языке и он довольно длинный чтобы его узнать the of " * 20
+    (_, far), (_, near) = profiles.predict([other, next(r["text"] for r in docs if r["lang"] == "en" and len(r["text"]) > 2000)])
+    assert far < 0.15 < 0.4 < near
+
+
 def test_edges(spark):
     texts = [None, "", "123 !!", "ÀÉ ñ", "abc abc", "漢字 ひらがな", "x" * 400_000, "abc " * 200_000, "İstanbul ß", "abc abc"]
     df = spark.createDataFrame([(t, "en", 1.0) for t in texts], "text string, language string, score double")
