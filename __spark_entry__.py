@@ -175,6 +175,28 @@ def _core_oracles() -> dict[str, str]:
             from events group by 1, 2""",
         "q_central_table": _TWO_WAYS,
         "q_overwrite_rerun": _TWO_WAYS,
+        "q_as_of": f"""
+            with runs as (
+              select 1706788800 as compute_time, {b3600} as measure_time, event_type, round(sum(value), 4) as val
+              from events where event_id % 3 > 0 group by all
+              union all
+              select 1706794200, {b3600}, event_type, round(sum(value), 4) from events group by all),
+            asked as (
+              select event_id, {b3600} as measure_time, event_type, 1706788800 + (event_id % 4 - 1) * 3000 as as_of from events),
+            found as (
+              select event_id, max(compute_time) as compute_time
+              from asked join runs using (measure_time, event_type) where compute_time <= as_of group by 1)
+            select event_id, as_of, cast(found.compute_time as bigint) as compute_time, val
+            from asked left join found using (event_id)
+            left join runs on runs.compute_time = found.compute_time and runs.measure_time = asked.measure_time
+              and runs.event_type = asked.event_type""",
+        "q_wide": """
+            select event_id as measure_time, value as val, user_id,
+                   case when event_type <> 'error' then event_type end as event_type,
+                   cast(user_id / 2 as double) as half, value >= 50 as high,
+                   case when event_type = 'error' then [event_id, null] when event_type = 'view' then []
+                        else [event_id] end as ids
+            from events""",
         "q_incremental": f"""
             select {b3600} as measure_time, event_type, max(value) as val,
                    cast(case when {b3600} < epoch(timestamp '2024-01-15') then 12 else 13 end as bigint) as compute_hour,

@@ -7,30 +7,44 @@ newest ``compute_time`` wins, with ALL records of that run: a measurement may
 have several, told apart by functional variables (value bins, say) or, for
 row-level metrics, by nothing but being rows.
 
-The identity is one text key.  The newest time per key is a hash aggregate of
-key and time alone; records then join it on both.
+The group's values, which may hold maps, enter the identity as two independent
+64-bit hashes beside the group's keys and the plain columns.  The newest time per
+identity is a hash aggregate of numbers and short texts; records then join it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from metricstore.functions.values import PAYLOAD_FIELDS
 from metricstore.operators.envelope import ENVELOPE_COLUMNS
 
 MEASUREMENT_KEY = ("id", "version", "horizontal_level", "vertical_level", "measure_time")
 
 
+def _hashable(value: Column) -> Column:
+    """A tagged value without maps, which have no order."""
+    fields = [value["type"].alias("type")]
+    for name in PAYLOAD_FIELDS:
+        payload = value[name]
+        fields.append((F.array_sort(F.map_entries(payload)) if name.startswith("map_") else payload).alias(name))
+    return F.struct(*fields)
+
+
 def latest_records(records: DataFrame) -> DataFrame:
     # maps have no order: the group's values follow the key list
-    group_values = F.transform(F.col("group_keys"), lambda k: F.col("group_map")[k])
-    key = F.to_json(F.struct(*MEASUREMENT_KEY, "group_keys", group_values.alias("group_values")),
-                    {"ignoreNullFields": "false"})
-    keyed = records.select(*ENVELOPE_COLUMNS, key.alias("_key"))
-    newest = keyed.groupBy("_key").agg(F.max("compute_time").alias("_newest"))
+    group = F.struct("group_keys", F.transform("group_keys", lambda k: _hashable(F.col("group_map")[k])))
+    hashes = [F.xxhash64(group).alias("_h1"), F.xxhash64(F.lit(1), group).alias("_h2")]
+    keyed = records.select(*ENVELOPE_COLUMNS, *hashes)
+    key = [*MEASUREMENT_KEY, "_h1", "_h2"]
+    newest = keyed.groupBy(*[F.col(k).alias(f"_of_{k}") for k in key]).agg(F.max("compute_time").alias("_newest"))
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
     # rows without a compute time count as older than any with one
     return (
-        keyed.join(newest.withColumnRenamed("_key", "_of"), F.col("_key") == F.col("_of"))
+        keyed.join(newest, same)
         .where(F.col("compute_time").eqNullSafe(F.col("_newest")))
         .select(*ENVELOPE_COLUMNS)
     )

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metricstore.functions.timebins import bucket_epoch, bucket_of_epoch, value_bin
+from metricstore.operators.asof import read_as_of
 from metricstore.operators.envelope import ComputeStamp, to_long
 from metricstore.operators.levels import roll_up_levels
 from metricstore.operators.quantiles import exact_quantiles
 from metricstore.operators.samples import distinct_samples
 from metricstore.operators.sketches import Distinct, Percentile, Plain, distinct_bound, rank_bound, sketch_levels
+from metricstore.operators.wide import to_wide
 from metricstore.plans.fused import AggregateMetric, run_fused
 from metricstore.plans.incremental import run_incremental
 from metricstore.plans.runner import Runner
@@ -527,6 +529,50 @@ def q_distinct_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         func("sample_size").alias("sample_size"))
 
 
+def q_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each event, what the hourly total of its hour and type was known to be at a time of its own.
+
+    Two runs are stored, the first over part of the events; the times lie before,
+    between and after them.
+    """
+    register_tables(spark, sf_dir, "events")
+    path = scratch_path(spark, "store")
+    for stamp, where in ((FIXED_STAMP, "event_id % 3 > 0"), (LATER_STAMP, "true")):
+        metric = MetricSpec("total_hourly_type", 3600, "sum(value) every hour", "1", (), stages=(_sql(f"""
+            select cast(floor(unix_timestamp(ts) / 3600) * 3600 as bigint) as measure_time, event_type,
+                   round(sum(value), 4) as val
+            from events where {where} group by 1, 2""", horizontal_level=1),))
+        result = Runner(spark, store_path=path, compute_time=stamp).run(metric)
+        if not result.ok:
+            raise RuntimeError(result.failed())
+    asked = spark.table("events").select(
+        "event_id", bucket_epoch("ts", 3600).alias("measure_time"), "event_type",
+        (F.lit(FIXED_STAMP.epoch) + (F.col("event_id") % 4 - 1) * 3000).alias("as_of"))
+    return read_as_of(read_metrics(spark, path, ids=["total_hourly_type"]), asked,
+                      {"measure_time": F.col("measure_time"), "event_type": group("event_type")},
+                      columns={"val": F.col("val")}).select("event_id", "as_of", "compute_time", "val")
+
+
+def q_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored records of a metric with nulls, numbers of two types and collections, as typed rows again."""
+    register_tables(spark, sf_dir, "events")
+    metric = MetricSpec(
+        "value_wide", 0, "value of each event", "1", ("half", "ids", "high"),
+        stages=(_sql("""
+            select event_id as measure_time, value as val, user_id,
+                   case when event_type <> 'error' then event_type end as event_type,
+                   cast(user_id / 2 as decimal(10, 1)) as half, value >= 50 as high,
+                   case when event_type = 'error' then array(event_id, null) when event_type = 'view' then array()
+                        else array(event_id) end as ids
+            from events""", horizontal_level=1),),
+    )
+    path = scratch_path(spark, "store")
+    result = Runner(spark, store_path=path, compute_time=FIXED_STAMP).run(metric)
+    if not result.ok:
+        raise RuntimeError(result.failed())
+    return to_wide(read_metrics(spark, path, ids=["value_wide"]))
+
+
 def q_overwrite_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two store stages in one partition, run twice replacing partitions: all records, once."""
     register_tables(spark, sf_dir, "events")
@@ -888,6 +934,8 @@ QUERIES = {
     "q_overwrite_rerun": q_overwrite_rerun,
     "q_committed_runs": q_committed_runs,
     "q_incremental": q_incremental,
+    "q_as_of": q_as_of,
+    "q_wide": q_wide,
     "q_fused": q_fused,
     "q_sketch_levels": q_sketch_levels,
     "q_distinct_samples": q_distinct_samples,
