@@ -175,6 +175,10 @@ def _core_oracles() -> dict[str, str]:
             from events group by 1, 2""",
         "q_central_table": _TWO_WAYS,
         "q_overwrite_rerun": _TWO_WAYS,
+        "q_compacted": """
+            select cast(user_id % 3 as bigint) as horizontal_level, 2 * count(*) as n, round(2 * sum(value), 2) as total,
+                   cast(2 * sum(event_id) as bigint) as ids, cast(1 as bigint) as files
+            from events group by 1""",
         "q_as_of": f"""
             with runs as (
               select 1706788800 as compute_time, {b3600} as measure_time, event_type, round(sum(value), 4) as val

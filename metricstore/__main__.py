@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from datetime import datetime
 
 
 def parse_args(argv=None) -> argparse.Namespace:
@@ -28,6 +29,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--mode", default="append", choices=("append", "overwrite_partitions"))
     p.add_argument("--dt-start", help="start of the run's time range, bound as :dt_start")
     p.add_argument("--dt-end", help="end of the run's time range (exclusive), bound as :dt_end")
+    p.add_argument("--run-log", action="store_true", help="commit runs in a log beside the store; only committed runs count")
+    p.add_argument("--lookback", type=int, metavar="SECONDS",
+                   help="compute only the buckets of [dt-start, dt-end) that are missing or whose data may still come")
     p.add_argument("--cache-database", default="cache")
     p.add_argument("--report", help="folder to append the run report to (Parquet)")
     p.add_argument("--strict", action="store_true", help="fail on null or unconvertible val/measure_time")
@@ -50,6 +54,7 @@ def register_views(spark, specs) -> None:
 def main(argv=None, spark=None) -> int:
     from pyspark.sql import SparkSession
 
+    from metricstore.plans.incremental import run_incremental
     from metricstore.plans.runner import Runner
     from metricstore.plans.spec import load_definitions, sql_folder_loader
     from metricstore.sources.sql import time_range_params
@@ -71,8 +76,15 @@ def main(argv=None, spark=None) -> int:
         params=time_range_params(args.dt_start, args.dt_end),
         cache_database=args.cache_database,
         strict=args.strict,
+        run_log=args.run_log or None,
     )
-    result = runner.run_all(specs)
+    if args.lookback is None:
+        result = runner.run_all(specs)
+    else:
+        if not (args.store and args.dt_start and args.dt_end):
+            raise SystemExit("--lookback needs --store, --dt-start and --dt-end")
+        result = run_incremental(runner, specs, datetime.fromisoformat(args.dt_start), datetime.fromisoformat(args.dt_end),
+                                 lookback=args.lookback)
     report = result.report(spark)
     report.show(len(result.outcomes), truncate=120)
     if args.report:

@@ -29,12 +29,13 @@ from metricstore.plans.incremental import run_incremental
 from metricstore.plans.runner import Runner
 from metricstore.plans.scratch import scratch_path
 from metricstore.plans.spec import MetricSpec, OutputKind, SourceSpec, StageKind, StageSpec
-from metricstore.sinks.runlog import log_path
+from metricstore.sinks.compact import compact_store, live_files
+from metricstore.sinks.runlog import log_path, read_log
 from metricstore.sinks.store import manifest, register_store, write_store
 from metricstore.sinks.tables import write_table
 from metricstore.sources.files import read_json
 from metricstore.sources.sql import time_range_params
-from metricstore.sources.store import read_metrics, read_table
+from metricstore.sources.store import read_metrics, read_table, stored_files
 
 # one fixed compute stamp, so stored partitions are reproducible
 FIXED_STAMP = ComputeStamp.of(datetime(2024, 2, 1, 12, 0, tzinfo=timezone.utc), "UTC")
@@ -529,6 +530,25 @@ def q_distinct_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         func("sample_size").alias("sample_size"))
 
 
+def q_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store of many small files compacted: records per partition and the number of files that hold them."""
+    register_tables(spark, sf_dir, "events")
+    metric = MetricSpec("value_rows", 0, "value of each event", "1", (), stages=(_sql(
+        "select ts as measure_time, value as val, event_id, user_id % 3 as lv from events", horizontal_level="lv"),))
+    path = scratch_path(spark, "store")
+    for _ in range(2):
+        result = Runner(spark, store_path=path, compute_time=FIXED_STAMP, spread=8, run_log=True).run(metric)
+        if not result.ok:
+            raise RuntimeError(result.failed())
+    compact_store(spark, path, ids=["value_rows"], dates=[FIXED_STAMP.date])
+    files = live_files(stored_files(spark, path, ["value_rows"], [FIXED_STAMP.date]), read_log(spark, log_path(path)))
+    files = files.groupBy(F.col("horizontal_level").alias("level")).agg(F.count(F.lit(1)).alias("files"))
+    held = read_metrics(spark, path, ids=["value_rows"]).groupBy("horizontal_level").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("val"), 2).alias("total"),
+        F.sum(group("event_id", "long")).alias("ids"))
+    return held.join(files, F.col("horizontal_level") == F.col("level")).select("horizontal_level", "n", "total", "ids", "files")
+
+
 def q_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each event, what the hourly total of its hour and type was known to be at a time of its own.
 
@@ -934,6 +954,7 @@ QUERIES = {
     "q_overwrite_rerun": q_overwrite_rerun,
     "q_committed_runs": q_committed_runs,
     "q_incremental": q_incremental,
+    "q_compacted": q_compacted,
     "q_as_of": q_as_of,
     "q_wide": q_wide,
     "q_fused": q_fused,

@@ -16,6 +16,8 @@ records stay as they are and stores without a log are read as before.
 ``mode="overwrite_partitions"`` writes beside the old files; the commit itself
 replaces: in each of its partitions only its own files and those of later
 commits count.  A crash at any time leaves the earlier state readable.
+``mode="compacted"`` names a write whose files of a partition no longer count
+(``sinks.compact``), ``mode="compaction"`` the one that took them over.
 
 One writer per log at a time, as for the store itself.  The log is as large as
 the number of partitions ever written; readers prune it by the same id and date
@@ -76,8 +78,9 @@ def live_writes(log: DataFrame, target: str) -> DataFrame:
     """(partition columns, write): what counts after all replacements."""
     last = F.max(F.when(F.col("mode") == F.lit("overwrite_partitions"), F.col("seq"))).over(
         Window.partitionBy(*PARTITION_COLUMNS))
-    rows = log.where(F.col("target") == F.lit(target)).withColumn("_from", last)
-    kept = rows.where(F.col("_from").isNull() | (F.col("seq") >= F.col("_from")))
+    gone = F.max(F.col("mode") == F.lit("compacted")).over(Window.partitionBy(*PARTITION_COLUMNS, "write"))
+    rows = log.where(F.col("target") == F.lit(target)).withColumn("_from", last).withColumn("_gone", gone)
+    kept = rows.where(~F.col("_gone") & (F.col("_from").isNull() | (F.col("seq") >= F.col("_from"))))
     return kept.select(*PARTITION_COLUMNS, F.col("write").alias(WRITE)).distinct()
 
 
@@ -112,6 +115,7 @@ class Commit:
         self.spark, self.path, self.mode = spark, path, mode
         self.run = uuid.uuid4().hex
         self.rows: list[tuple] = []
+        self.replaced: list[tuple] = []
 
     def add(self, target: str, records: DataFrame, before: set[str], compute_time: int, expected: int) -> None:
         """Find the files written since ``before`` among ``records`` of the run's metrics and dates.
@@ -132,7 +136,8 @@ class Commit:
         log = read_log(self.spark, self.path)
         seq = 1 + (0 if log is None else log.agg(F.max("seq")).first()[0] or 0)
         now = time.time()
-        rows = [(self.run, target, seq, self.mode, write, n, *rest, now) for target, write, n, *rest in self.rows]
+        rows = [(self.run, target, seq, mode, write, n, *rest, now)
+                for mode, some in ((self.mode, self.rows), ("compacted", self.replaced)) for target, write, n, *rest in some]
         if rows:
             self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
