@@ -72,3 +72,28 @@ def test_edges(spark):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(
         [None, 1, 2, 3, 5, 7, 20, 21, 30, 40, 40], key=str)
     assert neardup.near_duplicates(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("hot,most", [(1000, 1_000_000), (3, 1_000_000), (3, 0)])
+def test_components_of_hubs_paths_and_random_graphs(spark, monkeypatch, hot, most):
+    import random
+
+    from metricstore.llm import components
+
+    monkeypatch.setattr(components, "HOT", hot)
+    monkeypatch.setattr(components, "MOST_HOT", most)
+    rng = random.Random(hot)
+    edges = [(50, 1000 + i) for i in range(200)] + [(2000 + i, 2001 + i) for i in range(40)] + [(7, 7), (1003, 2)]
+    edges += [(rng.randrange(5000, 5100), rng.randrange(5000, 5100)) for _ in range(60)]
+    up = {x: x for e in edges for x in e}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        lo, hi = sorted((root(a), root(b)))
+        up[hi] = lo
+    got = {r["id"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: root(x) for a, b in edges if a != b for x in (a, b)}
