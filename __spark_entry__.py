@@ -175,6 +175,13 @@ def _core_oracles() -> dict[str, str]:
             from events group by 1, 2""",
         "q_central_table": _TWO_WAYS,
         "q_overwrite_rerun": _TWO_WAYS,
+        "q_frequency_bins": """
+            with e as (
+              select event_type, quantile_disc(value, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875]) as edges
+              from events group by 1)
+            select event_type, cast(1 + len(list_filter(edges, lambda x: x < value)) as bigint) as bin, edges,
+                   cast(count(*) as double) as val
+            from events join e using (event_type) group by all""",
         "q_compacted": """
             select cast(user_id % 3 as bigint) as horizontal_level, 2 * count(*) as n, round(2 * sum(value), 2) as total,
                    cast(2 * sum(event_id) as bigint) as ids, cast(1 as bigint) as files

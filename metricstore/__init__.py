@@ -13,6 +13,7 @@ from metricstore.operators.envelope import (
 from metricstore.operators.dedupe import latest_records
 from metricstore.operators.envelope import check_envelope
 from metricstore.operators.asof import read_as_of
+from metricstore.operators.bins import equal_frequency_bins
 from metricstore.operators.levels import at_levels, roll_up_levels
 from metricstore.operators.quantiles import exact_quantiles
 from metricstore.operators.samples import distinct_samples
@@ -44,6 +45,6 @@ __all__ = [
     "classify", "definitions_frame", "load_definitions", "sql_folder_loader", "manifest", "read_metrics", "register_store", "run_all",
     "run_definition", "to_envelope", "to_long", "value_bin", "value_struct", "write_store",
     "check_envelope", "latest_records", "exact_quantiles", "scratch_path",
-    "AggregateMetric", "Distinct", "Percentile", "Plain", "compact_store", "distinct_samples", "read_as_of", "read_table",
+    "AggregateMetric", "Distinct", "Percentile", "Plain", "compact_store", "distinct_samples", "equal_frequency_bins", "read_as_of", "read_table",
     "roll_up_levels", "run_fused", "run_incremental", "sketch_levels", "to_wide",
 ]

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from metricstore.functions.timebins import bucket_epoch, bucket_of_epoch, value_bin
 from metricstore.operators.asof import read_as_of
+from metricstore.operators.bins import equal_frequency_bins
 from metricstore.operators.envelope import ComputeStamp, to_long
 from metricstore.operators.levels import roll_up_levels
 from metricstore.operators.quantiles import exact_quantiles
@@ -530,6 +531,25 @@ def q_distinct_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         func("sample_size").alias("sample_size"))
 
 
+def _frequency_stage(spark: SparkSession, bins: int) -> DataFrame:
+    binned = equal_frequency_bins(spark.table("events"), ["event_type"], "value", bins)
+    return binned.groupBy(F.lit(0).cast("long").alias("measure_time"), "event_type", F.col("bin").alias("func_var_bin"),
+                          F.col("edges").alias("func_var_edges")).agg(F.count(F.lit(1)).alias("val"))
+
+
+def q_frequency_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per type in eight bins of equal frequency; the records keep the edges."""
+    register_tables(spark, sf_dir, "events")
+    metric = MetricSpec(
+        "events_by_frequency_bin", 0, "count(*) by eighths of value", "1", (),
+        stages=(StageSpec(StageKind.PYTHON, OutputKind.STORE, python=_frequency_stage, python_args={"bins": 8},
+                          horizontal_level=1),),
+    )
+    records = Runner(spark, compute_time=FIXED_STAMP).plan(metric)
+    return records.select(
+        group("event_type").alias("event_type"), func("bin").alias("bin"), func("edges", "vec_double").alias("edges"), "val")
+
+
 def q_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A store of many small files compacted: records per partition and the number of files that hold them."""
     register_tables(spark, sf_dir, "events")
@@ -954,6 +974,7 @@ QUERIES = {
     "q_overwrite_rerun": q_overwrite_rerun,
     "q_committed_runs": q_committed_runs,
     "q_incremental": q_incremental,
+    "q_frequency_bins": q_frequency_bins,
     "q_compacted": q_compacted,
     "q_as_of": q_as_of,
     "q_wide": q_wide,

@@ -88,3 +88,25 @@ def test_samples_limit_groups_before_the_shuffle(spark):
         distinct_samples(df, ["k"], "v", 0)
     with pytest.raises(ValueError, match="name both"):
         distinct_samples(df.withColumnRenamed("k", "samples"), ["samples"], "v")
+
+
+def plain_bins(values, n):
+    ranked = sorted(v for v in values if v is not None)
+    edges = [ranked[max(0, -(-i * len(ranked) // n) - 1)] for i in range(1, n)] if ranked else None
+    return edges, [None if v is None else 1 + sum(e < v for e in edges) for v in values]
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 10])
+def test_equal_frequency_bins(spark, n):
+    from metricstore.operators.bins import equal_frequency_bins
+
+    groups = {"a": [float(i * 7 % 40) for i in range(40)], "ties": [1.0] * 9 + [2.0], "one": [5.0], None: [3.0, 1.0, None], "none": [None]}
+    rows = [(k, i, v) for k, vs in groups.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "k string, i int, v double").repartition(3)
+    got = {(r["k"], r["i"]): (r["bin"], r["edges"]) for r in equal_frequency_bins(df, ["k"], "v", n).collect()}
+    for k, vs in groups.items():
+        edges, bins = plain_bins(vs, n)
+        assert [got[k, i] for i in range(len(vs))] == [(b, edges) for b in bins]
+    assert equal_frequency_bins(df.where("false"), ["k"], "v", n).count() == 0
+    with pytest.raises(ValueError, match="already"):
+        equal_frequency_bins(df, ["k"], "v", n, name="i")
