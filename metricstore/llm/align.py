@@ -17,7 +17,7 @@ frequent pair is a row a batch; the sums come back to the batches that hold the
 pair.  Batches keep their documents as numbers of distinct groups; nothing is
 tokenized twice, and no table of pairs is broadcast (it grows with the corpus).
 
-Memory follows a batch (``SMALL_BATCHES``, or one longer text) and the distinct
+Memory follows a batch (runs of ``RUN`` bytes, or one longer text) and the distinct
 id pairs within it.
 
 Defined results: a null or empty text, and one whose joined tokens of either
@@ -43,11 +43,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricstore.llm.arrays import buffers, mix, worker_cache
+from metricstore.llm.arrays import buffers, mix, runs, worker_cache
 from metricstore.llm.store import stored
 from metricstore.llm.token_store import load_tokenizer, pieces
 
 KEPT = 250_000  # distinct pieces of text that a worker remembers: the first it meets
+RUN = 3 << 20  # bytes of text aligned together, or one longer text
 _I64 = np.int64
 
 
@@ -231,7 +232,7 @@ def _first(counts: np.ndarray) -> np.ndarray:
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers from each start on, as many as its size, one after the other."""
-    ends = np.cumsum(sizes)
+    ends = np.cumsum(sizes, dtype=_I64)
     out = np.repeat(starts - ends + sizes, sizes)
     out += np.arange(len(out))
     return out
@@ -255,7 +256,7 @@ def aligned(texts: pa.Array, encoders: Encoders) -> Aligned:
 
 def _kinds(x: Aligned, wide: int) -> tuple[np.ndarray, np.ndarray]:
     """(a group of each distinct kind, the kind of each group): kinds differ in their A or B ids."""
-    g = x.groups.astype(_I64)
+    g = x.groups
     sizes = g[:, 1] - g[:, 0], g[:, 3] - g[:, 2]
     key = x.a[g[:, 0]].astype(_I64) * wide + x.b[g[:, 2]]
     several = np.flatnonzero((sizes[0] > 1) | (sizes[1] > 1))
@@ -340,40 +341,42 @@ def align(docs: DataFrame, tokenizer_path: str, model_path: str, doc_id: str = "
         *[T.StructField(n, T.BinaryType()) for n in _PARTS],
         T.StructField("pairs", longs), T.StructField("held", longs)])
 
+    def one_chunk(batch: pa.RecordBatch, chunk: int, encoders: Encoders, wide: int) -> pa.RecordBatch:
+        x = aligned(batch.column(1), encoders)
+        n_a, n_b = np.diff(x.first_a), np.diff(x.first_b)
+        rows, g = len(n_a), x.groups
+        row = np.searchsorted(x.first_a, g[:, 0], "right") - 1
+        groups, links = np.bincount(row, minlength=rows), np.zeros(rows, _I64)
+        np.add.at(links, row, (g[:, 1] - g[:, 0]).astype(_I64) * (g[:, 3] - g[:, 2]))
+        one, kind = _kinds(x, wide) if len(g) else (np.empty(0, _I64), np.empty(0, _I64))
+        k = g[one].astype(_I64)
+        names, at = _texts(x, one), _first(groups).tolist()
+        sha = [hashlib.sha256(";".join(map(names.__getitem__, kind[s:e].tolist())).encode()).hexdigest() if e > s else ""
+               for s, e in zip(at, at[1:])]
+        kinds_a, kinds_b = (x.a[_spread(k[:, 0], k[:, 1] - k[:, 0])], x.b[_spread(k[:, 2], k[:, 3] - k[:, 2])])
+        first_a, first_b = _first(k[:, 1] - k[:, 0]), _first(k[:, 3] - k[:, 2])
+        keys, first, number, _ = _pairs(kinds_a, first_a, kinds_b, first_b, wide)
+        of, times = _distinct(row * max(len(one), 1) + kind)
+        of_row, of_kind = of // max(len(one), 1), of % max(len(one), 1)
+        per = np.diff(first)[of_kind]
+        held, _ = _distinct(np.repeat(of_row, per) * max(len(keys), 1) + number[_spread(first[:-1][of_kind], per)])
+        held = np.bincount(held % max(len(keys), 1), minlength=len(keys))
+        parts = [kinds_a, np.diff(first_a), kinds_b, np.diff(first_b), np.bincount(of_row, minlength=rows),
+                 np.diff(of_kind, prepend=0), times]
+        one_row = [[chunk], [wide], [batch.column(0).to_pylist()], *[[v.tolist()] for v in (n_a, n_b, groups, links)],
+                   [sha], *[[_pack(p)] for p in parts], [keys.tolist()], [held.tolist()]]
+        kinds = [pa.int64(), pa.int64(), pa.list_(batch.column(0).type), *[pa.list_(pa.int64())] * 4, pa.list_(pa.string()),
+                 *[pa.binary()] * len(parts), *[pa.list_(pa.int64())] * 2]
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(one_row, kinds)], names=schema.names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoders = Encoders.of_worker(definition.value, model.value)
         wide = encoders.wide
         chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = aligned(batch.column(1), encoders)
-            n_a, n_b = np.diff(x.first_a), np.diff(x.first_b)
-            rows, g = len(n_a), x.groups.astype(_I64)
-            row = np.searchsorted(x.first_a, g[:, 0], "right") - 1
-            groups, links = np.bincount(row, minlength=rows), np.zeros(rows, _I64)
-            np.add.at(links, row, (g[:, 1] - g[:, 0]) * (g[:, 3] - g[:, 2]))
-            one, kind = _kinds(x, wide) if len(g) else (np.empty(0, _I64), np.empty(0, _I64))
-            k = g[one]
-            names, at = _texts(x, one), _first(groups).tolist()
-            sha = [hashlib.sha256(";".join(map(names.__getitem__, kind[s:e].tolist())).encode()).hexdigest() if e > s else ""
-                   for s, e in zip(at, at[1:])]
-            kinds_a, kinds_b = (x.a[_spread(k[:, 0], k[:, 1] - k[:, 0])], x.b[_spread(k[:, 2], k[:, 3] - k[:, 2])])
-            first_a, first_b = _first(k[:, 1] - k[:, 0]), _first(k[:, 3] - k[:, 2])
-            keys, first, number, _ = _pairs(kinds_a, first_a, kinds_b, first_b, wide)
-            of, times = _distinct(row * max(len(one), 1) + kind)
-            of_row, of_kind = of // max(len(one), 1), of % max(len(one), 1)
-            per = np.diff(first)[of_kind]
-            held, _ = _distinct(np.repeat(of_row, per) * max(len(keys), 1) + number[_spread(first[:-1][of_kind], per)])
-            held = np.bincount(held % max(len(keys), 1), minlength=len(keys))
-            parts = [kinds_a, np.diff(first_a), kinds_b, np.diff(first_b), np.bincount(of_row, minlength=rows),
-                     np.diff(of_kind, prepend=0), times]
-            one_row = [[chunk], [wide], [batch.column(0).to_pylist()], *[[v.tolist()] for v in (n_a, n_b, groups, links)],
-                       [sha], *[[_pack(p)] for p in parts], [keys.tolist()], [held.tolist()]]
-            kinds = [pa.int64(), pa.int64(), pa.list_(batch.column(0).type), *[pa.list_(pa.int64())] * 4, pa.list_(pa.string()),
-                     *[pa.binary()] * len(parts), *[pa.list_(pa.int64())] * 2]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(one_row, kinds)], names=schema.names)
-            chunk += 1
+            for start, end, _, _ in runs(batch.column(1), RUN):
+                yield one_chunk(batch.slice(start, end - start), chunk, encoders, wide)
+                chunk += 1
 
     made = stored(docs.mapInArrow(run, schema), "aligned", {"compression": "zstd"})
     held = made.select("chunk", "wide", F.explode(F.arrays_zip("pairs", "held")).alias("h")).select(
