@@ -112,10 +112,10 @@ def index_archives(spark: SparkSession, path: str, chunk: int = 4 << 20) -> Data
 
 
 def _tasks(rows: DataFrame, length: str, spark: SparkSession) -> int:
-    """One for each ``TASK_BYTES`` of the archives, not of the rows that describe them; at most one a row."""
+    """One for each ``TASK_BYTES`` of the archives, not of the rows that describe them; two at least, else one a row at most."""
     total, n = rows.agg(F.sum(length), F.count(F.lit(1))).first()
     total = total or 0
-    return max(1, min(n, max(-(-total // TASK_BYTES), min(spark.sparkContext.defaultParallelism, total >> 20))))
+    return max(2, min(n, max(-(-total // TASK_BYTES), min(spark.sparkContext.defaultParallelism, total >> 20))))
 
 
 def _name(value: str | None) -> str | None:
