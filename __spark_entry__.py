@@ -22,14 +22,25 @@ from metricstore.plans.event_metrics import QUERIES, q_p90_envelope  # noqa: E40
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
+
+
+def _needed(missing: ModuleNotFoundError) -> bool:
+    """Whether a module is missing that does not belong to the optional parts."""
+    name = missing.name or ""
+    return name != "corpus_pipeline" and name != "metricstore.llm" and not name.startswith("metricstore.llm.")
+
+
 try:  # the subpackage and the pipeline are optional
     from metricstore.llm.queries import ORACLES as LLM_ORACLES  # noqa: E402
     from metricstore.llm.queries import QUERIES as LLM_QUERIES  # noqa: E402
-except ModuleNotFoundError:
-    pass
+except ModuleNotFoundError as exc:
+    if _needed(exc):
+        raise
 try:
     import corpus_pipeline  # noqa: E402
-except ModuleNotFoundError:
+except ModuleNotFoundError as exc:
+    if _needed(exc):
+        raise
     corpus_pipeline = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
