@@ -38,24 +38,26 @@ def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every node of ``edges`` (a, b); component: the smallest reachable id.
 
     Each round takes the smallest label among a node's neighbours, then the
-    label of its label, so a path of length d needs about log(d) rounds.  A
-    round's labels are written before the next, and only counts reach the
-    driver.  A node of many edges, and a label of many nodes, are split over
-    several tasks.  An empty edge table gives no rows.
+    label of its label, so a path of length d needs about log(d) rounds.  Once
+    no neighbour has a smaller label, labels are equal along every edge, and a
+    component's smallest id has kept its own: that is the end.  A round's labels
+    are written before the next, and only counts reach the driver.  A node of
+    many edges, and a label of many nodes, are split over several tasks.  An
+    empty edge table gives no rows.
     """
     both = edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionAll(
         edges.select(F.col("b").alias("src"), F.col("a").alias("dst")))
     both = stored(both.where("src <> dst").distinct(), "component-edges")
     hubs = _hot(both, "dst")
     labels = stored(both.groupBy("src").agg(F.min("dst").alias("low"))
-                    .select(F.col("src").alias("id"), F.least("src", "low").alias("label"),
-                            F.lit(True).alias("moved")), "component-labels")
-    while not labels.where("moved").isEmpty():
+                    .select(F.col("src").alias("id"), F.least("src", "low").alias("label")), "component-labels")
+    while True:
         near = (_joined(both, labels.select(F.col("id").alias("dst"), "label"), "dst", "src", hubs)
                 .groupBy("src").agg(F.min("label").alias("low")))
         step = stored(labels.join(near, F.col("id") == F.col("src")).select(
             "id", F.col("label").alias("old"), F.least("label", "low").alias("label")), "component-step")
+        if step.where("label < old").isEmpty():
+            return labels.select("id", F.col("label").alias("component"))
         up = step.select(F.col("id").alias("label"), F.col("label").alias("top"))
-        labels = stored(_joined(step, up, "label", "id", _hot(step, "label")).select(
-            "id", F.col("top").alias("label"), (F.col("top") < F.col("old")).alias("moved")), "component-labels")
-    return labels.select("id", F.col("label").alias("component"))
+        labels = stored(_joined(step, up, "label", "id", _hot(step, "label")).select("id", F.col("top").alias("label")),
+                        "component-labels")

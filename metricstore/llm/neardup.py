@@ -219,9 +219,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(id, n, component): a row per input row; component: the smallest id linked directly or through others."""
     sketch = stored(sketches(docs, doc_id, text, size, keys, t), "neardup-sketches")
     known = sketch.where("n > 0 and id is not null")
-    classes = stored(known.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep")), "neardup-classes")
-    alone = known.join(classes.hint("merge"), (known["id"] == classes["rep"]) & (known["h1"] == classes["h1"])
-                       & (known["h2"] == classes["h2"]) & (known["n"] == classes["n"]), "left_semi")
+    classes = stored(known.groupBy("h1", "h2", "n").agg(
+        F.min("id").alias("rep"), F.min_by(F.struct("a", "b"), "id").alias("keys")), "neardup-classes")
+    alone = classes.select(F.col("rep").alias("id"), "n", "keys.a", "keys.b")
 
     # Both sides of these joins grow with the corpus, so they are shuffled at every size.
     half = alone.select("id", F.explode("a").alias("key"))
@@ -232,12 +232,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              .select("id", "degree", "i", F.posexplode("b").alias("j", "half"))
              .select("id", "degree", F.xxhash64("i", "j", "half").alias("key")))
     table = stored(table, "neardup-tables")
-    links = _confirmed(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), _clusters(table),
+    found = _confirmed(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), _clusters(table),
                        alone.select("id", "n"), table.groupBy("id").agg(F.max("degree").alias("degree")), size,
                        percent, block_sets, block_shingles)
-    found = components(links)
     # rows of one id with different texts join their classes
-    named = known.select("id", "h1", "h2", "n").join(classes, ["h1", "h2", "n"])
+    named = known.select("id", "h1", "h2", "n").join(classes.drop("keys"), ["h1", "h2", "n"])
     top = named.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", F.coalesce("component", "rep").alias("component"))
     top = top.groupBy("id").agg(F.min("component").alias("component"))
@@ -248,26 +247,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def _clusters(table: DataFrame) -> DataFrame:
     """(id, cluster) of the ids that meet another in a table key (id, key).
 
-    Every id meets the smallest id of each of its keys.  It first joins the
-    smallest of those, an edge per id; the parts so made then join the parts of
-    all the others they meet, an edge per part and id met.  An id that is the
-    smallest of all its keys, and that no other joins, is a part of its own.
+    Every id meets the smallest id of each of its keys.  Ids with the same
+    smallest of those are a part, named by it; parts then join the parts of all
+    the others they meet, an edge per part and id met.  The smallest id of a key
+    meets itself there, so it is in a part, too.
     """
     lows = table.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("hi")).where("b < hi").drop("hi")
     meets = stored(table.select("id", "key").join(lows.hint("merge"), "key").select("id", "b"), "neardup-meets")
-    joins = stored(meets.groupBy("id").agg(F.min("b").alias("b")), "neardup-joins")
-    parts = components(joins.select(F.col("id").alias("a"), "b"))
-    first = stored(joins.select("id").join(parts.hint("merge"), "id", "left").select(
-        "id", F.coalesce("component", "id").alias("part")), "neardup-parts")
-    met = stored(meets.join(first.hint("merge"), "id").select("part", "b").distinct(), "neardup-met")
-    other = first.select(F.col("id").alias("b"), F.col("part").alias("other"))
-    second = components(met.join(other, "b").where("part <> other").select(F.col("part").alias("a"), F.col("other").alias("b")).distinct())
-    return first.join(second.withColumnRenamed("id", "part"), "part", "left").select(
+    parts = stored(meets.groupBy("id").agg(F.min("b").alias("part")), "neardup-parts")
+    met = meets.join(parts.hint("merge"), "id").select("part", "b").distinct()
+    other = parts.select(F.col("id").alias("b"), F.col("part").alias("other"))
+    joined = components(met.join(other, "b").where("part <> other").select(F.col("part").alias("a"), F.col("other").alias("b")))
+    return parts.join(joined.withColumnRenamed("id", "part"), "part", "left").select(
         "id", F.coalesce("component", "part").alias("cluster"))
 
 
 def _confirmed(texts: DataFrame, clusters: DataFrame, sizes: DataFrame, degrees: DataFrame, size: int,
                percent: int, block_sets: int, block_shingles: int) -> DataFrame:
+    """(id, component) of the ids with a confirmed link."""
     known = stored(clusters.join(sizes.dropDuplicates(["id"]), "id").join(degrees, "id"), "neardup-clusters")
     shape = known.groupBy("cluster").agg(
         F.max_by("id", F.struct("degree", "id")).alias("leader"),
@@ -279,11 +276,10 @@ def _confirmed(texts: DataFrame, clusters: DataFrame, sizes: DataFrame, degrees:
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     first = sets.select("cluster", "id", "leader", "shingles", F.lit(True).alias("left"), F.explode(
         F.when(F.col("id") == F.col("leader"), every).otherwise(F.array(own))).alias("block"))
-    links = stored(_compare(first, ["cluster", "block"], percent), "neardup-links")
+    part = components(stored(_compare(first, ["cluster", "block"], percent), "neardup-links"))
     if placed.where("blocks > 1").isEmpty():
-        return links
+        return part
     # Classes that the leader's component lacks, against every block of their cluster.
-    part = components(links)
     large = sets.where("blocks > 1").join(part, "id", "left").withColumn("part", F.coalesce("component", "id"))
     main = large.where("id = leader").select("cluster", F.col("part").alias("main"))
     large = large.join(main, "cluster")
@@ -299,8 +295,8 @@ def _confirmed(texts: DataFrame, clusters: DataFrame, sizes: DataFrame, degrees:
     left = large.where("outside").select("cluster", "id", F.lit(True).alias("left"), "shingles",
                                          outer_own.alias("outer"),
                                          F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    more = _compare(left.unionByName(right), ["cluster", "outer", "block"], percent)
-    return links.unionAll(stored(more, "neardup-links"))
+    more = stored(_compare(left.unionByName(right), ["cluster", "outer", "block"], percent), "neardup-links")
+    return part if more.isEmpty() else components(part.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(more))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -97,3 +97,14 @@ def test_components_of_hubs_paths_and_random_graphs(spark, monkeypatch, hot, mos
         up[hi] = lo
     got = {r["id"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: root(x) for a, b in edges if a != b for x in (a, b)}
+
+
+def test_labels_that_agree_along_every_edge_take_no_further_round(spark, monkeypatch):
+    from metricstore.llm import components
+
+    written = []
+    monkeypatch.setattr(components, "stored", lambda df, name, f=components.stored: written.append(name) or f(df, name))
+    stars = spark.createDataFrame([(1, 2), (1, 3), (4, 5), (6, 4)], "a long, b long")
+    got = {r["id"]: r["component"] for r in components.components(stars).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4}
+    assert written == ["component-edges", "component-hot", "component-labels", "component-step"]
