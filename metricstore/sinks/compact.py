@@ -18,19 +18,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metricstore.operators.envelope import ENVELOPE_COLUMNS, PARTITION_COLUMNS
-from metricstore.sinks.runlog import Commit, committed, log_path, read_log, write_of_file, writes_in
+from metricstore.sinks.runlog import WRITE, Commit, files_of, live_writes, log_path, read_log, writes_in
 from metricstore.sinks.store import write_store
 from metricstore.sources.store import stored_files
 
 
 def live_files(files: DataFrame, log: DataFrame) -> DataFrame:
     """(partition columns, file, write, bytes, rows) of the files that commits of ``log`` name."""
-    named = files.select(*PARTITION_COLUMNS, "_metadata.*", write_of_file().alias("write"))
-    held = named.groupBy(*PARTITION_COLUMNS, F.col("file_path").alias("file"), "write").agg(
-        F.max("file_size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-    live = committed(files, log, "store").select(*PARTITION_COLUMNS, F.col("_metadata.file_path").alias("file")).distinct()
-    on = held["file"] == live["file"]
-    return held.join(live.select("file"), on, "left_semi")
+    held = files_of(files)
+    live = live_writes(log, "store").withColumnRenamed(WRITE, "_live")
+    on = held[WRITE] == live["_live"]
+    for c in PARTITION_COLUMNS:
+        on = on & held[c].eqNullSafe(live[c])
+    return held.join(live, on, "left_semi").withColumnRenamed(WRITE, "write")
 
 
 def compact_store(spark: SparkSession, path: str, *, ids: list[str], dates: list[str], target_bytes: int = 128 << 20,

@@ -68,12 +68,23 @@ def read_log(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def write_of_file() -> Column:
+def write_of_file(name: str = "_metadata.file_name") -> Column:
     """The write that made a record's file; null where the name does not tell."""
-    found = F.regexp_extract(F.col("_metadata.file_name"), WRITE_IN_NAME, 1)
+    found = F.regexp_extract(F.col(name), WRITE_IN_NAME, 1)
     return F.when(found != "", F.lower(found))
 
 
+def files_of(records: DataFrame) -> DataFrame:
+    """(partition columns, file, write, bytes, rows): one pass over the records, which reads no data column.
+
+    Records are counted by what is fixed for a file; its name is looked at once, afterwards.
+    """
+    fixed = [*PARTITION_COLUMNS, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("_name"),
+             F.col("_metadata.file_size").alias("bytes")]
+    held = records.groupBy(*fixed).agg(F.count(F.lit(1)).alias("rows"))
+    return held.select(*PARTITION_COLUMNS, "file", write_of_file("_name").alias(WRITE), "bytes", "rows")
+
+
 def live_writes(log: DataFrame, target: str) -> DataFrame:
     """(partition columns, write): what counts after all replacements."""
     last = F.max(F.when(F.col("mode") == F.lit("overwrite_partitions"), F.col("seq"))).over(
@@ -101,7 +112,8 @@ def writes_in(records: DataFrame | None) -> set[str]:
     if records is None:
         return set()
     try:
-        return {r[0] for r in records.select(write_of_file()).distinct().collect()}
+        names = records.select(F.col("_metadata.file_name").alias("_name")).distinct()
+        return {r[0] for r in names.select(write_of_file("_name")).distinct().collect()}
     except AnalysisException as exc:
         if not _missing(exc):
             raise
@@ -122,8 +134,7 @@ class Commit:
 
         Reads no data column; refuses a count other than the write observed.
         """
-        fresh = records.withColumn(WRITE, write_of_file())
-        found = fresh.groupBy(*PARTITION_COLUMNS, WRITE).agg(F.count(F.lit(1)).alias("n")).collect()
+        found = files_of(records).groupBy(*PARTITION_COLUMNS, WRITE).agg(F.sum("rows").alias("n")).collect()
         if any(r[WRITE] is None for r in found):
             raise ValueError("a run log needs file names that name their write")
         mine = [r for r in found if r[WRITE] not in before]
@@ -144,8 +155,7 @@ class Commit:
 
 def unpublished(records: DataFrame, log: DataFrame | None, target: str) -> DataFrame:
     """(partition columns, file, rows) of files that no live commit names: left by failed attempts or replaced."""
-    files = records.select(*PARTITION_COLUMNS, F.col("_metadata.file_path").alias("file"), write_of_file().alias(WRITE))
-    files = files.groupBy(*PARTITION_COLUMNS, "file", WRITE).agg(F.count(F.lit(1)).alias("rows"))
+    files = files_of(records).drop("bytes")
     if log is not None:
         live = live_writes(log, target)
         on = files[WRITE] == live[WRITE]

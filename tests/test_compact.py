@@ -92,3 +92,12 @@ def test_a_store_without_log_is_refused(spark, tmp_store):
         StageSpec(StageKind.SQL, OutputKind.STORE, sql="select 0 as measure_time, 1 as val"),))).ok
     with pytest.raises(ValueError, match="run log"):
         compact_store(spark, tmp_store, ids=IDS, dates=DATES)
+
+
+def test_live_files_read_the_store_once(spark, tmp_store):
+    run(spark, tmp_store, spread=3)
+    run(spark, tmp_store, spread=3)
+    files = compact.live_files(stored_files(spark, tmp_store, IDS, DATES), read_log(spark, log_path(tmp_store)))
+    plan = files._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation" in line and "orc" in line for line in plan.splitlines()) == 1
+    assert len({r["write"] for r in files.collect()}) == 2
