@@ -18,15 +18,17 @@ are updated after every block of it (the first after ``BLOCK`` bytes, then each
 time it is four times as long).  A document's score depends on its own text
 alone, and adds up log probabilities of every bit.
 
-What is gathered: bit tables and token counts come from all training documents,
-by partial tables and sums that Spark adds up; the tables' size is fixed
-(``2**16`` slots for pair and triple, ``2**WORD_BITS`` for word), so they may be
-broadcast; token counts grow with the corpus and are only ever joined.  Of one
-training document in ``HELD``, those of at most ``mix_bytes`` bytes, the first
-``mix_docs`` in hash order train the weights, on one task; they alone stay out
-of the tables.  As the tables do not grow, contexts beyond some millions share
-slots of the word table, and the weights are not learned further over the
-corpus.
+What is gathered comes from all training documents, by partial tables and sums
+that Spark adds up: bit tables, token counts, and the tally that the weights are
+learned from.  The tables' and the tally's size is fixed (``2**16`` slots for
+pair and triple, ``2**WORD_BITS`` for word, ``TALLY`` counts), so they may come
+to the driver and be broadcast; token counts grow with the corpus and are only
+ever joined.  Training documents are split into halves by their id's hash, with
+tables for each: a document's bits are tallied under the tables of the half it
+is not in, by gate, by its predictions (in 32 steps each) and by value.  The
+weights are the logistic regression over the whole tally, gate by gate.  Texts
+are scored with the tables of both halves together.  As the tables do not grow,
+contexts beyond some millions share slots of the word table.
 
 Token counts reach documents without a row per document and word: texts are
 taken in runs of about ``run_bytes``, and a run's distinct tokens are dealt into
@@ -61,12 +63,14 @@ BLOCK = 512
 HELD = 64
 GATES = 36
 PREDICTORS = 4
+TALLY = GATES * 32**3 * 3 * 2  # gate, three predictions in 32 steps, the match's, value
 _STEP = 1 << 14  # bytes mixed at a time
 _PART = 1 << 18  # bytes of whole documents whose contexts are made together
 _SCALE = 16.0  # stretched probabilities are kept as sixteenths, in one byte
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_PRIME), -1, 1 << 64))
 _SPACE, _END = 0x20, 0x0A
+START = np.array([0.2, 0.3, 0.5, 1, 0], np.float32)  # weights without any training document
 _powers: dict[str, np.ndarray] = Cache()
 
 
@@ -272,7 +276,7 @@ class Model:
                  pair: np.ndarray | None = None):
         """Without a table of pairs, that predictor is even everywhere."""
         self.tree, self.pair, self.triple, self.word = tree, pair, triple, word
-        self.weights = np.tile(np.array([0.2, 0.3, 0.5, 1, 0], np.float32), (GATES, 1)) if weights is None else weights
+        self.weights = np.tile(START, (GATES, 1)) if weights is None else weights
 
     def _bits(self, x, pair, triple, word, place, match, trust):
         """(byte, sign, stretched predictions and gate of every bit)."""
@@ -354,23 +358,85 @@ class Model:
             low = high
         return total / np.log(10)
 
-    def train(self, s: Stream, rate: float = 0.03, passes: int = 2, block: int = 256) -> np.ndarray:
-        """Weights after going through the stream online, one small block of bits at a time."""
-        w, seen = self.weights.astype(np.float64), np.full((GATES, PREDICTORS + 1), 1e-3)
-        ctx = contexts(s.x, s.starts)
-        for _ in range(passes):
-            for k in range(0, len(s.x), _STEP):
-                _, sign, st, gate = self._bits(s.x[k:k + _STEP], *(c[k:k + _STEP] for c in ctx))
-                bit = sign < 0
-                rows = np.vstack([st, np.ones(len(bit), np.float32)]).T
-                for b in range(0, len(bit), block):
-                    r, g = rows[b:b + block], gate[b:b + block]
-                    error = bit[b:b + block] - 1 / (1 + np.exp(-np.clip((r * w[g]).sum(axis=1), -12, 12)))
-                    push = np.zeros_like(w)
-                    np.add.at(push, g, r * error[:, None])
-                    seen += push * push
-                    w += rate * push / np.sqrt(seen)
-        return w.astype(np.float32)
+    def tally(self, s: Stream, counts: np.ndarray) -> None:
+        """Add every bit of the stream to ``counts`` (TALLY of them), a few documents at a time."""
+        k, ends = 0, s.starts + s.sizes
+        while k < len(ends):
+            e = max(k + 1, int(np.searchsorted(ends, s.starts[k] + _PART, "right")))
+            x = s.x[s.starts[k]:ends[e - 1]]
+            ctx = contexts(x, s.starts[k:e] - s.starts[k])
+            for low in range(0, len(x), _STEP):
+                np.add.at(counts, self._places(x[low:low + _STEP], *(c[low:low + _STEP] for c in ctx)), np.uint32(1))
+            k = e
+
+    def _places(self, x, pair, triple, word, place, match, trust) -> np.ndarray:
+        """Place in the tally of every bit; ``_bits`` has the same predictions and gates."""
+        size, of, node, path = self.tree.expand(x)
+        at = word.take(of)
+        at ^= self.tree.salt.take(node)
+        whole = self.word.take(at).astype(np.int32)
+        gate = (place.astype(np.int32) << 2).take(of)
+        gate += whole & 3
+        expected = np.ones(len(node), np.int32)
+        some = np.flatnonzero(trust)
+        if len(some):
+            at, sign = self.tree.expected(x, size, node, some, match)
+            expected[at] += sign.astype(np.int32)
+            gate[at] += 12 * trust.take(of.take(at)).astype(np.int32)
+        for table, slot in ((self.pair, pair), (self.triple, triple)):
+            gate <<= 5
+            if table is None:
+                gate += 16
+                continue
+            at = (slot << 8).take(of)
+            at += node
+            gate += (table.take(at) >> 3) + np.int8(16)
+        gate <<= 5
+        gate += (whole >> 5) + 16
+        gate *= 3
+        gate += expected
+        gate <<= 1
+        gate += self.tree.bits.take(path)
+        return gate
+
+
+def mixing_weights(at: np.ndarray, n: np.ndarray, ridge: float = 20.0, rounds: int = 50) -> np.ndarray:
+    """Weights that make the bits of a tally (places, counts) likeliest, gate by gate; close to START where it has few bits.
+
+    Newton's method, with a step halved as long as it does not help.
+    """
+    out = np.tile(START.astype(np.float64), (GATES, 1))
+    order = np.argsort(at, kind="stable")
+    at, n = at[order], n[order].astype(np.float64)
+    edges = np.searchsorted(at, np.arange(GATES + 1) * (TALLY // GATES))
+    for g in range(GATES):
+        k, times = at[edges[g]:edges[g + 1]], n[edges[g]:edges[g + 1]]
+        if not len(k):
+            continue
+        sign = 2.0 * (k & 1) - 1
+        k = k >> 1
+        rows = np.stack([*((((k // 3) >> by & 31) - 15.5) * (8 / _SCALE) for by in (10, 5, 0)), k % 3 - 1.0, np.ones(len(k))], axis=1)
+        rows[:, :3] *= sign[:, None]
+        rows[:, 3:] *= sign[:, None]
+
+        def loss(w: np.ndarray) -> float:
+            return float(times @ np.logaddexp(0, -(rows @ w)) + ridge / 2 * ((w - START) ** 2).sum())
+
+        w, now = out[g], loss(out[g])
+        for _ in range(rounds):
+            wrong = 1 / (1 + np.exp(np.clip(rows @ w, -30, 30)))
+            push = rows.T @ (times * wrong) - ridge * (w - START)
+            bend = (rows * (times * wrong * (1 - wrong))[:, None]).T @ rows + ridge * np.eye(PREDICTORS + 1)
+            step = np.linalg.solve(bend, push)
+            while (then := loss(w + step)) > now and np.abs(step).max() > 1e-6:
+                step /= 2
+            if then > now:
+                break
+            w, now = w + step, then
+            if np.abs(step).max() <= 1e-6:
+                break
+        out[g] = w
+    return out.astype(np.float32)
 
 
 def _pack(at: np.ndarray, n: np.ndarray) -> bytes:
@@ -430,22 +496,21 @@ def _added(rows: DataFrame, then, schema: str) -> DataFrame:
 def _runs(docs: DataFrame, run_bytes: int) -> DataFrame:
     """A row per run of texts, and the parts of each task's tables: the bytes behind each triple (0) and pair (2).
 
-    ``docs``: id, text, trains, held.
+    ``docs``: id, text, trains, half.  Tables of documents with ``half`` have numbers greater by 3.
     """
     kind = docs.schema["id"].dataType
     schema = T.StructType([
         T.StructField("run", T.LongType()), T.StructField("ids", T.ArrayType(kind)),
         T.StructField("texts", T.ArrayType(T.StringType())), T.StructField("trains", T.ArrayType(T.BooleanType())),
-        T.StructField("held", T.ArrayType(T.BooleanType())),
+        T.StructField("half", T.ArrayType(T.BooleanType())),
         T.StructField("tab", T.IntegerType()), T.StructField("chunk", T.IntegerType()),
         T.StructField("counts", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, kinds = TaskContext.get().partitionId(), 0, ()
-        tables = {k: np.zeros(1 << 24, np.uint32) for k in (0, 2)}
+        tables = {k: np.zeros(1 << 24, np.uint32) for k in (0, 2, 3, 5)}
         for batch in batches:
-            use = np.logical_and(batch.column(2).to_numpy(zero_copy_only=False).astype(bool),
-                                 ~batch.column(3).to_numpy(zero_copy_only=False).astype(bool))
+            trains, half = (batch.column(k).to_numpy(zero_copy_only=False).astype(bool) for k in (2, 3))
             for row, end, buf, offs in runs(batch.column(1), run_bytes):
                 edges = pa.array([0, end - row], pa.int32())
                 lists = [pa.ListArray.from_arrays(edges, batch.column(k).slice(row, end - row)) for k in range(4)]
@@ -455,12 +520,13 @@ def _runs(docs: DataFrame, run_bytes: int) -> DataFrame:
                     pa.nulls(1, pa.binary())], names=schema.names)
                 seq += 1
                 s = Stream(buf, offs)
-                mine = use[row:end]
+                uses = [np.repeat(trains[row:end] & (half[row:end] == bool(k)), s.sizes) for k in (0, 3)]
                 for tab, slots in ((0, triples), (2, pairs)):
                     slot = slots(s.x, s.starts)
                     slot <<= np.uint32(8)
                     slot |= s.x
-                    np.add.at(tables[tab], slot if mine.all() else slot[np.repeat(mine, s.sizes)], np.uint32(1))
+                    for k, mine in zip((0, 3), uses):
+                        np.add.at(tables[tab + k], slot[mine], np.uint32(1))
         for tab, chunk, blob in _table_rows(tables) if seq else ():
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(1, pa.int64()), *(pa.nulls(1, k) for k in kinds), pa.array([tab], pa.int32()),
@@ -473,21 +539,21 @@ def _parts(made: DataFrame, buckets: int) -> DataFrame:
     """The distinct tokens of each run, dealt into buckets by their hash: a row with lists per run and bucket.
 
     pos is a token's number in its run (the end token is the last), n its count in training documents, m in those
-    of the tables.
+    with ``half``.
     """
     schema = "bucket int, run long, tokens array<string>, pos array<int>, n array<long>, m array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, name in enumerate(batch.column(0).to_pylist()):
-                texts, trains, held = (batch.column(c).slice(k, 1).flatten() for c in (1, 2, 3))
-                trains, held = (x.to_numpy(zero_copy_only=False).astype(bool) for x in (trains, held))
+                texts, trains, half = (batch.column(c).slice(k, 1).flatten() for c in (1, 2, 3))
+                trains, half = (x.to_numpy(zero_copy_only=False).astype(bool) for x in (trains, half))
                 s = Stream(*buffers(texts))
                 coded = s.tokens()
                 code = coded.indices.to_numpy()
                 known = pa.concat_arrays([coded.dictionary, pa.array([""], pa.string())])
                 counts = []
-                for use in (trains, trains & ~held):
+                for use in (trains, trains & half):
                     mine = code if use.all() else code[np.repeat(use, s.words)]
                     counts.append(np.append(np.bincount(mine, minlength=len(known) - 1), use.sum()).astype(np.int64))
                 bucket = _token_hashes(*buffers(known)) % np.uint64(buckets)
@@ -500,7 +566,7 @@ def _parts(made: DataFrame, buckets: int) -> DataFrame:
                     *(pa.ListArray.from_arrays(edges, v) for v in values)],
                     names=["bucket", "run", "tokens", "pos", "n", "m"])
 
-    rows = made.where("ids is not null").select("run", "texts", "trains", "held")
+    rows = made.where("ids is not null").select("run", "texts", "trains", "half")
     return rows.mapInArrow(run, schema)
 
 
@@ -577,22 +643,30 @@ def _word_tables(counts: DataFrame, tree: Tree) -> DataFrame:
     return counts.mapInArrow(run, _TABLE)
 
 
-def _fit(made: DataFrame, counts: DataFrame) -> dict[str, np.ndarray]:
-    """Byte sums and tables, added up by Spark; their chunks (a fixed number) come to the driver as one byte an entry."""
-    rows = made.where("tab is not null").select("tab", "chunk", "counts")
+def _byte_sums(made: DataFrame) -> np.ndarray:
+    """Bytes of all training documents, added up by Spark."""
 
     def byte_sums(now, total) -> bytes:
         return total.reshape(-1, 256).sum(axis=0).astype("<i8").tobytes()
 
+    rows = made.where("tab % 3 = 0").select(F.lit(0).alias("tab"), "chunk", "counts")
     sums = np.zeros(256, np.int64)
-    for r in _added(rows.where("tab = 0"), byte_sums, "tab int, chunk int, sums binary").collect():
+    for r in _added(rows, byte_sums, "tab int, chunk int, sums binary").collect():
         sums += np.frombuffer(r["sums"], "<i8")
+    return sums
+
+
+def _fit(made: DataFrame, counts: DataFrame, sums: np.ndarray, half: bool | None = None) -> dict[str, np.ndarray]:
+    """Tables of all training documents or of one half, added up by Spark; their chunks (a fixed number) come to the driver
+    as one byte an entry."""
     tree = Tree(sums)
+    rows = made.where("tab is not null" if half is None else f"tab {'>=' if half else '<'} 3")
 
     def fold(now, total) -> bytes:
         return stretched(*tree.fold(total.reshape(-1, 256))).tobytes()
 
     bytewise = {k: np.zeros(1 << 24, np.int8) for k in (0, 2)}
+    rows = rows.select((F.col("tab") % 3).alias("tab"), "chunk", "counts")
     for r in _added(rows, fold, "tab int, chunk int, table binary").collect():
         bytewise[r["tab"]][r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["table"], np.int8)
 
@@ -601,7 +675,9 @@ def _fit(made: DataFrame, counts: DataFrame) -> dict[str, np.ndarray]:
         seen = np.searchsorted([1, 4, 32], n0 + n1, "right").astype(np.int16)
         return (stretched(n0, n1).astype(np.int16) * 4 + seen).tobytes()
 
-    halves = _added(_word_tables(counts.select("tokens", "m"), tree), with_trust, "tab int, chunk int, table binary")
+    times = F.col("c") if half is None else F.col("m") if half else F.zip_with("c", "m", lambda c, m: c - m)
+    halves = _added(_word_tables(counts.select("tokens", times.alias("m")), tree), with_trust,
+                    "tab int, chunk int, table binary")
     word = np.zeros(1 << WORD_BITS, np.int16)
     for r in halves.collect():
         word[r["chunk"] * CHUNK // 2:(r["chunk"] + 1) * CHUNK // 2] = np.frombuffer(r["table"], np.int16)
@@ -612,8 +688,52 @@ def _model(fit: dict[str, np.ndarray], weights: np.ndarray | None = None) -> Mod
     return Model(Tree(fit["sums"]), fit["triple"], fit["word"], weights, fit["pair"])
 
 
+def _learned(made: DataFrame, counts: DataFrame, sums: np.ndarray) -> np.ndarray:
+    """The mixing weights, from every training document, its bits under the tables of the other half."""
+    shared = made.sparkSession.sparkContext.broadcast([_fit(made, counts, sums, half) for half in (False, True)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models, table = [], np.zeros(TALLY, np.uint32)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                models = models or [_model(fit) for fit in shared.value]
+                texts, trains, half = (batch.column(c).slice(k, 1).flatten() for c in range(3))
+                trains, half = (x.to_numpy(zero_copy_only=False).astype(bool) for x in (trains, half))
+                for of in (False, True):
+                    mine = np.flatnonzero(trains & (half == of))
+                    if len(mine):
+                        models[not of].tally(Stream(*buffers(texts.take(pa.array(mine)))), table)
+        for row in _table_rows({0: table}) if models else ():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.binary()))],
+                names=["tab", "chunk", "counts"])
+
+    parts = made.where("ids is not null").select("texts", "trains", "half").mapInArrow(run, _TABLE)
+
+    def packed(now, total) -> bytes:
+        at = np.flatnonzero(total)
+        return _pack(at, total[at])
+
+    at, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for r in _added(parts, packed, "tab int, chunk int, tally binary").collect():
+        places, times = _unpack(r["tally"])
+        at.append(places + r["chunk"] * CHUNK)
+        n.append(times)
+    shared.unpersist()
+    return mixing_weights(np.concatenate(at), np.concatenate(n))
+
+
+def _halves(docs: DataFrame, trains: Column, doc_id: str, text: str) -> DataFrame:
+    """(id, text, trains, half); half: whether a document is of the second half."""
+    return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.coalesce(trains, F.lit(False)).alias("trains"),
+                       (F.pmod(F.xxhash64(F.col(doc_id), F.lit("mix")), F.lit(2)) == 1).alias("half"))
+
+
 def _rows(docs: DataFrame, trains: Column, doc_id: str, text: str, mix_docs: int, mix_bytes: int) -> DataFrame:
-    """(id, text, trains, held); held: the training documents, at most ``mix_docs``, kept for the weights."""
+    """(id, text, trains, held); held: the training documents, at most ``mix_docs``, kept aside.
+
+    A bounded sample; ``score_texts`` learns from all training documents (``_halves``) and does not use it.
+    """
     trains = F.coalesce(trains, F.lit(False))
     order = F.xxhash64(F.col(doc_id))
     able = (trains & (F.pmod(F.xxhash64(F.col(doc_id), F.lit("mix")), F.lit(HELD)) == 0)
@@ -625,31 +745,23 @@ def _rows(docs: DataFrame, trains: Column, doc_id: str, text: str, mix_docs: int
                        F.coalesce(held, F.lit(False)).alias("held"))
 
 
-def score_texts(docs: DataFrame, trains: Column, doc_id: str = "doc_id", text: str = "text", mix_docs: int = 256,
-                mix_bytes: int = 64 << 10, run_bytes: int = 2 << 20, buckets_each: int = 4) -> DataFrame:
+def score_texts(docs: DataFrame, trains: Column, doc_id: str = "doc_id", text: str = "text",
+                run_bytes: int = 2 << 20, buckets_each: int = 4) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte): a row per row of ``docs``.
 
     ``trains``: whether a row is learned from; base_score: log10 probability under add-half unigram counts.
     """
     spark = docs.sparkSession
-    rows = _rows(docs, trains, doc_id, text, mix_docs, mix_bytes)
+    rows = _halves(docs, trains, doc_id, text)
     buckets = max(16, rows.rdd.getNumPartitions() * buckets_each)  # of the scan; runs no job
     made = stored(_runs(rows, run_bytes), "lm-runs", {"parquet.block.size": 16 << 20})
     counted = stored(_counted(_parts(made, buckets)), "lm-counts", {"parquet.block.size": 16 << 20})
     counts = counted.where("tokens is not null")
     total, distinct = (int(x or 0) for x in counts.agg(F.sum("total"), F.sum("seen")).first())
 
-    shared = spark.sparkContext.broadcast(_fit(made, counts))  # about 42 MB, whatever the corpus
-    sample = rows.where("held").select(F.xxhash64("id").alias("o"), "text").orderBy("o", "text").select("text")
-
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = pa.concat_arrays([pa.array([], pa.string()), *(b.column(0).cast(pa.string()) for b in batches)])
-        for _, _, buf, offs in runs(texts, 1 << 40):
-            weights = _model(shared.value).train(Stream(buf, offs))
-            yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary())], names=["w"])
-
-    row = sample.coalesce(1).mapInArrow(weigh, "w binary").first()
-    weights = np.frombuffer(row["w"], np.float32).reshape(GATES, PREDICTORS + 1) if row else None
+    sums = _byte_sums(made)
+    weights = _learned(made, counts, sums)
+    shared = spark.sparkContext.broadcast(_fit(made, counts, sums))  # about 42 MB, whatever the corpus
 
     known = counted.where("of is not null").select("of", "pos", "c")
     denominator = np.log10(total + 0.5 * (distinct + 1))

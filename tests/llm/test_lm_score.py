@@ -134,3 +134,46 @@ def test_only_the_documents_of_the_weights_stay_out_of_the_tables(spark):
     assert all(r["trains"] and r["id"] % 2 == 0 for r in held)
     few = [r for r in lm_score._rows(df, F.lit(True), "doc_id", "text", 256, 1000).collect() if r["held"]]
     assert 10 < len(few) < 4009 / 32
+
+
+def test_weights_come_from_every_training_document(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm_score, "mixing_weights", lambda at, n, f=lm_score.mixing_weights: seen.append((at, n)) or f(at, n))
+    docs = [(i, "a b " * (1 + 7 * (i % 5)) + "w" * (i % 3)) for i in range(600)] + [(None, None), (601, "long word " * 9000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    trains = F.coalesce(F.col("doc_id") % 5 != 1, F.lit(False))
+    rows = lm_score.score_texts(df, trains).collect()
+    assert len(rows) == len(docs)
+    learned = [t for i, t in docs if i is not None and i % 5 != 1]
+    s = lm_score.Stream(*buffers(pa.array(learned)))
+    tree = lm_score.Tree(np.bincount(s.x, minlength=256))
+    (at, n), = seen
+    assert n.sum() == tree.size[s.x].sum()  # every bit of every training document, the long one too
+    ones = int((tree.bits[np.concatenate([np.arange(f, f + k) for f, k in zip(tree.first[s.x], tree.size[s.x])])] == 1).sum())
+    assert n[at & 1 == 1].sum() == ones
+
+
+def test_places_of_the_tally_are_the_bits_predictions_and_gates():
+    m = model(TEXTS)
+    s = lm_score.Stream(*buffers(pa.array([t for t in TEXTS if t])))
+    ctx = lm_score.contexts(s.x, s.starts)
+    _, sign, st, gate = m._bits(s.x, *ctx)
+    at = m._places(s.x, *ctx)
+    assert (at & 1).tolist() == (sign < 0).astype(int).tolist()
+    at = at >> 1
+    assert (at % 3 - 1).tolist() == st[3].tolist()
+    assert (at // 3 >> 15).tolist() == gate.tolist()
+    for by, i in ((10, 0), (5, 1), (0, 2)):
+        middle = ((at // 3 >> by & 31) - 15.5) * 0.5
+        assert np.abs(middle - st[i]).max() <= 0.5
+
+
+def test_weights_learn_which_prediction_to_trust():
+    # Gate 0: the second prediction is right three times in four, the others say nothing.
+    def place(second, value):
+        return ((((16 << 5 | second) << 5 | 16) * 3 + 1) << 1) | value
+
+    at = np.array([place(20, 1), place(20, 0), place(11, 0), place(11, 1)])
+    w = lm_score.mixing_weights(at, np.array([75_000, 25_000, 75_000, 25_000]))
+    assert w[0, 1] * 2.25 == pytest.approx(np.log(3), abs=0.15)
+    assert (w[1:] == lm_score.START).all()
