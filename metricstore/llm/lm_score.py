@@ -494,47 +494,59 @@ def _added(rows: DataFrame, then, schema: str) -> DataFrame:
 
 
 def _runs(docs: DataFrame, run_bytes: int) -> DataFrame:
-    """A row per run of texts, and the parts of each task's tables: the bytes behind each triple (0) and pair (2).
-
-    ``docs``: id, text, trains, half.  Tables of documents with ``half`` have numbers greater by 3.
-    """
+    """A row per run of texts; ``docs``: id, text, trains, half."""
     kind = docs.schema["id"].dataType
     schema = T.StructType([
         T.StructField("run", T.LongType()), T.StructField("ids", T.ArrayType(kind)),
         T.StructField("texts", T.ArrayType(T.StringType())), T.StructField("trains", T.ArrayType(T.BooleanType())),
-        T.StructField("half", T.ArrayType(T.BooleanType())),
-        T.StructField("tab", T.IntegerType()), T.StructField("chunk", T.IntegerType()),
-        T.StructField("counts", T.BinaryType())])
+        T.StructField("half", T.ArrayType(T.BooleanType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, kinds = TaskContext.get().partitionId(), 0, ()
-        tables = {k: np.zeros(1 << 24, np.uint32) for k in (0, 2, 3, 5)}
+        part, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
-            trains, half = (batch.column(k).to_numpy(zero_copy_only=False).astype(bool) for k in (2, 3))
-            for row, end, buf, offs in runs(batch.column(1), run_bytes):
+            for row, end, _, _ in runs(batch.column(1), run_bytes):
                 edges = pa.array([0, end - row], pa.int32())
                 lists = [pa.ListArray.from_arrays(edges, batch.column(k).slice(row, end - row)) for k in range(4)]
-                kinds = [x.type for x in lists]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([part << 32 | seq], pa.int64()), *lists, pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()),
-                    pa.nulls(1, pa.binary())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([pa.array([part << 32 | seq], pa.int64()), *lists], names=schema.names)
                 seq += 1
-                s = Stream(buf, offs)
-                uses = [np.repeat(trains[row:end] & (half[row:end] == bool(k)), s.sizes) for k in (0, 3)]
-                for tab, slots in ((0, triples), (2, pairs)):
-                    slot = slots(s.x, s.starts)
-                    slot <<= np.uint32(8)
-                    slot |= s.x
-                    for k, mine in zip((0, 3), uses):
-                        np.add.at(tables[tab + k], slot[mine], np.uint32(1))
-        for tab, chunk, blob in _table_rows(tables) if seq else ():
-            yield pa.RecordBatch.from_arrays([
-                pa.nulls(1, pa.int64()), *(pa.nulls(1, k) for k in kinds), pa.array([tab], pa.int32()),
-                pa.array([chunk], pa.int32()), pa.array([blob], pa.binary())], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
+def _learners(batches: Iterator[pa.RecordBatch], half: bool) -> Iterator[Stream]:
+    """Streams of the training documents of one half, a run at a time; columns: texts, trains, half."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            texts, trains, halves = (batch.column(c).slice(k, 1).flatten() for c in range(3))
+            mine = np.flatnonzero(trains.to_numpy(zero_copy_only=False).astype(bool)
+                                  & (halves.to_numpy(zero_copy_only=False).astype(bool) == half))
+            if len(mine):
+                yield Stream(*buffers(texts.take(pa.array(mine))))
+
+
+def _counts(tables: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for row in _table_rows(tables):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.binary()))], names=["tab", "chunk", "counts"])
+
+
+def _byte_tables(made: DataFrame, half: bool) -> DataFrame:
+    """The parts of each task's tables of one half: the bytes behind each triple (0) and pair (2)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = {}
+        for s in _learners(batches, half):
+            tables = tables or {k: np.zeros(1 << 24, np.uint32) for k in (0, 2)}
+            for tab, slots in ((0, triples), (2, pairs)):
+                slot = slots(s.x, s.starts)
+                slot <<= np.uint32(8)
+                slot |= s.x
+                np.add.at(tables[tab], slot, np.uint32(1))
+        yield from _counts(tables)
+
+    return made.select("texts", "trains", "half").mapInArrow(run, _TABLE).withColumn("half", F.lit(half))
+
+
 def _parts(made: DataFrame, buckets: int) -> DataFrame:
     """The distinct tokens of each run, dealt into buckets by their hash: a row with lists per run and bucket.
 
@@ -566,7 +578,7 @@ def _parts(made: DataFrame, buckets: int) -> DataFrame:
                     *(pa.ListArray.from_arrays(edges, v) for v in values)],
                     names=["bucket", "run", "tokens", "pos", "n", "m"])
 
-    rows = made.where("ids is not null").select("run", "texts", "trains", "half")
+    rows = made.select("run", "texts", "trains", "half")
     return rows.mapInArrow(run, schema)
 
 
@@ -643,31 +655,30 @@ def _word_tables(counts: DataFrame, tree: Tree) -> DataFrame:
     return counts.mapInArrow(run, _TABLE)
 
 
-def _byte_sums(made: DataFrame) -> np.ndarray:
+def _byte_sums(parts: DataFrame) -> np.ndarray:
     """Bytes of all training documents, added up by Spark."""
 
     def byte_sums(now, total) -> bytes:
         return total.reshape(-1, 256).sum(axis=0).astype("<i8").tobytes()
 
-    rows = made.where("tab % 3 = 0").select(F.lit(0).alias("tab"), "chunk", "counts")
+    rows = parts.where("tab = 0").select("tab", "chunk", "counts")
     sums = np.zeros(256, np.int64)
     for r in _added(rows, byte_sums, "tab int, chunk int, sums binary").collect():
         sums += np.frombuffer(r["sums"], "<i8")
     return sums
 
 
-def _fit(made: DataFrame, counts: DataFrame, sums: np.ndarray, half: bool | None = None) -> dict[str, np.ndarray]:
+def _fit(parts: DataFrame, counts: DataFrame, sums: np.ndarray, half: bool | None = None) -> dict[str, np.ndarray]:
     """Tables of all training documents or of one half, added up by Spark; their chunks (a fixed number) come to the driver
     as one byte an entry."""
     tree = Tree(sums)
-    rows = made.where("tab is not null" if half is None else f"tab {'>=' if half else '<'} 3")
+    rows = parts if half is None else parts.where(F.col("half") == half)
 
     def fold(now, total) -> bytes:
         return stretched(*tree.fold(total.reshape(-1, 256))).tobytes()
 
     bytewise = {k: np.zeros(1 << 24, np.int8) for k in (0, 2)}
-    rows = rows.select((F.col("tab") % 3).alias("tab"), "chunk", "counts")
-    for r in _added(rows, fold, "tab int, chunk int, table binary").collect():
+    for r in _added(rows.select("tab", "chunk", "counts"), fold, "tab int, chunk int, table binary").collect():
         bytewise[r["tab"]][r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["table"], np.int8)
 
     def with_trust(now, total) -> bytes:
@@ -688,39 +699,31 @@ def _model(fit: dict[str, np.ndarray], weights: np.ndarray | None = None) -> Mod
     return Model(Tree(fit["sums"]), fit["triple"], fit["word"], weights, fit["pair"])
 
 
-def _learned(made: DataFrame, counts: DataFrame, sums: np.ndarray) -> np.ndarray:
+def _learned(made: DataFrame, parts: DataFrame, counts: DataFrame, sums: np.ndarray) -> np.ndarray:
     """The mixing weights, from every training document, its bits under the tables of the other half."""
-    shared = made.sparkSession.sparkContext.broadcast([_fit(made, counts, sums, half) for half in (False, True)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, table = [], np.zeros(TALLY, np.uint32)
-        for batch in batches:
-            for k in range(batch.num_rows):
-                models = models or [_model(fit) for fit in shared.value]
-                texts, trains, half = (batch.column(c).slice(k, 1).flatten() for c in range(3))
-                trains, half = (x.to_numpy(zero_copy_only=False).astype(bool) for x in (trains, half))
-                for of in (False, True):
-                    mine = np.flatnonzero(trains & (half == of))
-                    if len(mine):
-                        models[not of].tally(Stream(*buffers(texts.take(pa.array(mine)))), table)
-        for row in _table_rows({0: table}) if models else ():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.binary()))],
-                names=["tab", "chunk", "counts"])
-
-    parts = made.where("ids is not null").select("texts", "trains", "half").mapInArrow(run, _TABLE)
 
     def packed(now, total) -> bytes:
         at = np.flatnonzero(total)
         return _pack(at, total[at])
 
-    at, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for r in _added(parts, packed, "tab int, chunk int, tally binary").collect():
-        places, times = _unpack(r["tally"])
-        at.append(places + r["chunk"] * CHUNK)
-        n.append(times)
-    shared.unpersist()
-    return mixing_weights(np.concatenate(at), np.concatenate(n))
+    tally = np.zeros(TALLY, np.int64)
+    for half in (False, True):  # one after the other, so that a task holds the tables of one
+        shared = made.sparkSession.sparkContext.broadcast(_fit(parts, counts, sums, not half))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, half=half) -> Iterator[pa.RecordBatch]:
+            model, table = None, np.zeros(TALLY, np.uint32)
+            for s in _learners(batches, half):
+                model = model or _model(shared.value)
+                model.tally(s, table)
+            yield from _counts({0: table} if model else {})
+
+        found = made.select("texts", "trains", "half").mapInArrow(run, _TABLE)
+        for r in _added(found, packed, "tab int, chunk int, tally binary").collect():
+            places, times = _unpack(r["tally"])
+            tally[places + r["chunk"] * CHUNK] += times
+        shared.unpersist()
+    at = np.flatnonzero(tally)
+    return mixing_weights(at, tally[at])
 
 
 def _halves(docs: DataFrame, trains: Column, doc_id: str, text: str) -> DataFrame:
@@ -759,9 +762,10 @@ def score_texts(docs: DataFrame, trains: Column, doc_id: str = "doc_id", text: s
     counts = counted.where("tokens is not null")
     total, distinct = (int(x or 0) for x in counts.agg(F.sum("total"), F.sum("seen")).first())
 
-    sums = _byte_sums(made)
-    weights = _learned(made, counts, sums)
-    shared = spark.sparkContext.broadcast(_fit(made, counts, sums))  # about 42 MB, whatever the corpus
+    parts = stored(_byte_tables(made, False).unionAll(_byte_tables(made, True)), "lm-tables")
+    sums = _byte_sums(parts)
+    weights = _learned(made, parts, counts, sums)
+    shared = spark.sparkContext.broadcast(_fit(parts, counts, sums))  # about 42 MB, whatever the corpus
 
     known = counted.where("of is not null").select("of", "pos", "c")
     denominator = np.log10(total + 0.5 * (distinct + 1))
@@ -790,7 +794,7 @@ def score_texts(docs: DataFrame, trains: Column, doc_id: str = "doc_id", text: s
             [ids.flatten(), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(len(base), total, np.int64)),
              pa.array(base), pa.array(score), pa.array(bits)], names=names)
 
-    left = made.where("ids is not null").select("run", "ids", "texts").groupBy("run")
+    left = made.select("run", "ids", "texts").groupBy("run")
     return left.cogroup(known.groupBy("of")).applyInArrow(finish, schema)
 
 
