@@ -10,6 +10,7 @@ A null text has no bytes and so no words.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -161,6 +162,14 @@ def runs(col: pa.Array, most: int = RUN_BYTES) -> Iterator[tuple[int, int, np.nd
         row = end
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system; Python processes stay for later tasks and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # glibc
+        trim(0)
+
+
 def worker_cache(name: str) -> dict:
     """A dict of this Python process, which later tasks of a reused worker find again."""
     home = sys.modules.setdefault("_metricstore_worker_cache", ModuleType("_metricstore_worker_cache"))

@@ -54,11 +54,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricstore.llm.arrays import LOWER, SOLID, Cache, buffers, mix, runs
+from metricstore.llm.arrays import LOWER, SOLID, Cache, buffers, give_back, mix, runs
 from metricstore.llm.store import stored
+from metricstore.sinks.store import session_settings
 
 WORD_BITS = 22
 CHUNK = 1 << 18  # entries of a table that are added up together
+HOLD = 1 << 18  # entries or keys that a task holds before it adds them up
 BLOCK = 512
 HELD = 64
 GATES = 36
@@ -71,6 +73,8 @@ _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_PRIME), -1, 1 << 64))
 _SPACE, _END = 0x20, 0x0A
 START = np.array([0.2, 0.3, 0.5, 1, 0], np.float32)  # weights without any training document
+#: Rows of whole runs go to Python one by one.
+_SINGLE = {"spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 20)}
 _powers: dict[str, np.ndarray] = Cache()
 
 
@@ -104,6 +108,22 @@ class Stream:
         self.starts = np.concatenate([[0], ends[:-1] + 1])
         self.sizes = ends + 1 - self.starts
 
+    @classmethod
+    def of(cls, col: pa.Array) -> Stream:
+        """The stream of a column, made from pieces of it so that memory beyond the stream's own stays small."""
+        parts = list(streams(col))
+        if len(parts) == 1:
+            return parts[0]
+        whole = cls.__new__(cls)
+        before = np.cumsum([0] + [len(s.x) for s in parts])
+        solid = np.cumsum([0] + [len(s.packed) for s in parts])
+        whole.x, whole.packed, whole.words, whole.sizes = (
+            np.concatenate([getattr(s, k) for s in parts]) for k in ("x", "packed", "words", "sizes"))
+        whole.starts = np.concatenate([s.starts + n for s, n in zip(parts, before)])
+        whole.word_offsets = np.concatenate(
+            [s.word_offsets[:-1] + n for s, n in zip(parts, solid)] + [solid[-1:]]).astype(np.int32)
+        return whole
+
     def tokens(self) -> pa.DictionaryArray:
         """The words, in order, as codes of the distinct ones."""
         n = len(self.word_offsets) - 1
@@ -111,6 +131,12 @@ class Stream:
             n, pa.py_buffer(self.word_offsets), pa.py_buffer(np.ascontiguousarray(self.packed))).dictionary_encode()
 
 
+def streams(col: pa.Array) -> Iterator[Stream]:
+    """Streams of whole documents, about ``_PART`` bytes each."""
+    for _, _, buf, offs in runs(col, _PART):
+        yield Stream(buf, offs)
+
+
 def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
     have = _powers.get(name)
     if have is None or len(have) < n:
@@ -136,9 +162,10 @@ def pairs(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def triples(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Of each byte: the slot of the three bytes before it."""
-    h = _before(x, starts, 1).astype(np.uint32)
-    for k, by in ((2, 8), (3, 16)):
-        h |= _before(x, starts, k).astype(np.uint32) << np.uint32(by)
+    return _triple_slots(pairs(x, starts) | _before(x, starts, 3).astype(np.uint32) << np.uint32(16))
+
+
+def _triple_slots(h: np.ndarray) -> np.ndarray:
     h *= np.uint32(0x9E3779B1)
     h ^= h >> np.uint32(13)
     h >>= np.uint32(8)
@@ -158,6 +185,51 @@ def contexts(x: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     return pairs(x, starts).astype(np.int32), triples(x, starts).astype(np.int32), slot, place, match, trust
 
 
+def context_keys(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Of each byte: 64 bits that hold it and all its ``contexts``: word slot, three bytes before, byte, match, trust.
+
+    Equal keys have the same bits under the same predictions.  Where nothing matches, the match is 0.
+    """
+    word, _, tokens = word_contexts(x, starts)
+    match, trust = _matches(x, tokens, word, starts)
+    word >>= np.uint64(64 - WORD_BITS)
+    word <<= np.uint64(24)
+    word |= pairs(x, starts) | _before(x, starts, 3).astype(np.uint32) << np.uint32(16)
+    word <<= np.uint64(8)
+    word |= x
+    word <<= np.uint64(8)
+    word |= np.where(trust > 0, match, np.uint8(0))
+    word <<= np.uint64(2)
+    word |= trust.astype(np.uint8)
+    return word
+
+
+def of_keys(keys: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Byte and ``contexts`` of each key."""
+    before = (keys >> np.uint64(18) & np.uint64(0xFFFFFF)).astype(np.uint32)
+    opens = [(b == _SPACE) | (b == _END) for b in (before >> np.uint32(by) & np.uint32(0xFF) for by in (0, 8, 16))]
+    place = np.where(opens[0], 0, np.where(opens[1] | opens[2], 1, 2)).astype(np.int8)
+    return ((keys >> np.uint64(10)).astype(np.uint8), (before & np.uint32(0xFFFF)).astype(np.int32),
+            _triple_slots(before).astype(np.int32), (keys >> np.uint64(42)).astype(np.int32), place,
+            (keys >> np.uint64(2)).astype(np.uint8), (keys & np.uint64(3)).astype(np.int8))
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and how often each stands there."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(first, append=len(keys))
+
+
+def _summed(some: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of keys and counts as one: distinct keys, ascending, and the sum of each."""
+    keys, n = (np.concatenate(x) for x in zip(*some))
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n[order], first)
+
+
 def word_contexts(x: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of the word's bytes so far, place in the word, where words start)."""
     n = len(x)
@@ -193,14 +265,20 @@ def _matches(x: np.ndarray, tokens: np.ndarray, word: np.ndarray, starts: np.nda
     good = (past >= 0) & (name == name[past])
     trust = (past >= 0).astype(np.int64)
     trust[1:] += (past[1:] >= 0) & good[:-1]
-    size = ends + 1 - tokens
-    at = np.repeat(np.where(past >= 0, tokens[past] - tokens, 0), size)
-    at += np.arange(n)
-    match = x[at]
-    wrong = np.zeros(n + 1, np.int32)
-    np.cumsum(match != x, out=wrong[1:])
-    held = wrong[:-1] == np.repeat(wrong[tokens], size)
-    return match, (np.repeat(trust, size) * held).astype(np.int8)
+    # Bytes of the words that have one before, side by side.
+    some = np.flatnonzero(past >= 0)
+    size = (ends + 1 - tokens)[some]
+    begin = np.cumsum(size) - size
+    at = np.repeat(tokens[some] - begin, size)
+    at += np.arange(len(at))
+    found = x[at + np.repeat((tokens[past] - tokens)[some], size)]
+    wrong = np.zeros(len(at) + 1, np.int32)
+    np.cumsum(found != x[at], out=wrong[1:])
+    held = wrong[:-1] == np.repeat(wrong[begin], size)
+    match, trusted = x.copy(), np.zeros(n, np.int8)
+    match[at] = found
+    trusted[at] = np.repeat(trust[some], size) * held
+    return match, trusted
 
 
 class Tree:
@@ -233,13 +311,9 @@ class Tree:
     def expand(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(number of bits of each byte, byte of every bit, node of every bit, its place among all paths)."""
         size = self.size[x]
-        ends = np.cumsum(size)
-        n = int(ends[-1])
-        step = np.zeros(n, np.int64)
-        step[ends[:-1]] = 1
-        of = np.cumsum(step)
-        at = (self.first[x] - ends + size).take(of)
-        at += np.arange(n)
+        of = np.repeat(np.arange(len(x)), size)
+        at = np.repeat(self.first[x] - np.cumsum(size) + size, size)
+        at += np.arange(len(at))
         return size, of, self.nodes.take(at), at
 
     def expected(self, x: np.ndarray, size: np.ndarray, node: np.ndarray, of: np.ndarray, match: np.ndarray):
@@ -311,35 +385,46 @@ class Model:
             k = e
         return np.concatenate(out)
 
+    def _mixed(self, x, *ctx) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(byte, mixed prediction times the sign, 2 * gate + value) of every bit."""
+        weights = np.ascontiguousarray(self.weights.T)
+        of, sign, st, gate = self._bits(x, *ctx)
+        mixed = weights[PREDICTORS].take(gate)
+        for i in range(PREDICTORS):
+            st[i] *= weights[i].take(gate)
+            mixed += st[i]
+        mixed *= sign
+        gate <<= 1
+        gate += sign < 0
+        return of, mixed, gate
+
     def _score(self, x: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         n = len(sizes)
-        ctx = contexts(x, starts)
+        # Contexts that come again are mixed once; in a few bytes there are hardly any.
+        known = Known(self, context_keys(x, starts)) if len(x) > _STEP else None
+        ctx = () if known else contexts(x, starts)
         doc = np.repeat(np.arange(n, dtype=np.int32), sizes)
         inside = np.arange(len(x), dtype=np.int32) - starts.astype(np.int32).take(doc)
         total = np.zeros(n)
         scale, shift = np.ones(n * GATES, np.float32), np.zeros(n * GATES, np.float32)
-        weights = np.ascontiguousarray(self.weights.T)
         low = 0
         while low < int(sizes.max(initial=0)):
             high = low * 4 if low else BLOCK
             at = np.flatnonzero((inside >= low) & (inside < high))
             goes_on = sizes > high
-            sums = np.zeros((3, n * GATES))
+            sums = np.zeros((3, n * GATES * 2))
+            scales, shifts = np.repeat(scale, 2), np.stack([shift, -shift], axis=1).ravel()
             for k in range(0, len(at), _STEP):
                 part = at[k:k + _STEP]
-                of, sign, st, gate = self._bits(x[part], *(c[part] for c in ctx))
-                mixed = weights[PREDICTORS].take(gate)
-                for i in range(PREDICTORS):
-                    st[i] *= weights[i].take(gate)
-                    mixed += st[i]
+                of, mixed, key = known.bits(part) if known else self._mixed(x[part], *(c[part] for c in ctx))
                 docs = doc[part]
-                gate += (docs * GATES).take(of)
+                key += (docs * (2 * GATES)).take(of)
                 final = mixed
                 if low:
-                    final = mixed * scale.take(gate)
-                    final += shift.take(gate)
+                    final = mixed * scales.take(key)
+                    final += shifts.take(key)
                 np.clip(final, -12, 12, out=final)
-                flip = np.exp(final * sign)
+                flip = np.exp(final)
                 flip += 1
                 cost = np.log(flip)
                 first = np.flatnonzero(np.diff(docs, prepend=-1))
@@ -348,26 +433,27 @@ class Model:
                 use = np.flatnonzero(goes_on[docs].take(of)) if goes_on.any() else ()
                 if len(use):
                     # the bit's error is 1 - 1 / flip towards its value
-                    error = (1 / flip.take(use) - 1) * sign.take(use)
-                    key = gate.take(use)
+                    error = 1 / flip.take(use) - 1
+                    key = key.take(use)
                     for j, v in enumerate((error * mixed.take(use), error, None)):
-                        sums[j] += np.bincount(key, v, n * GATES)
+                        sums[j] += np.bincount(key, v, n * GATES * 2)
             if goes_on.any():
-                scale += (sums[0] / (0.3 * sums[2] + 50)).clip(-0.3, 0.3).astype(np.float32)
-                shift += (sums[1] / (0.1 * sums[2] + 20)).clip(-0.5, 0.5).astype(np.float32)
+                push, count = (sums[k, ::2] + sums[k, 1::2] for k in (0, 2))
+                scale += (push / (0.3 * count + 50)).clip(-0.3, 0.3).astype(np.float32)
+                shift += ((sums[1, ::2] - sums[1, 1::2]) / (0.1 * count + 20)).clip(-0.5, 0.5).astype(np.float32)
             low = high
         return total / np.log(10)
 
     def tally(self, s: Stream, counts: np.ndarray) -> None:
-        """Add every bit of the stream to ``counts`` (TALLY of them), a few documents at a time."""
-        k, ends = 0, s.starts + s.sizes
-        while k < len(ends):
-            e = max(k + 1, int(np.searchsorted(ends, s.starts[k] + _PART, "right")))
-            x = s.x[s.starts[k]:ends[e - 1]]
-            ctx = contexts(x, s.starts[k:e] - s.starts[k])
-            for low in range(0, len(x), _STEP):
-                np.add.at(counts, self._places(x[low:low + _STEP], *(c[low:low + _STEP] for c in ctx)), np.uint32(1))
-            k = e
+        """Add every bit of the stream to ``counts`` (TALLY of them)."""
+        self.tally_keys(*_distinct(context_keys(s.x, s.starts)), counts)
+
+    def tally_keys(self, keys: np.ndarray, n: np.ndarray, counts: np.ndarray) -> None:
+        """Add the bits of ``context_keys`` that stand there n times; bytes with the same contexts are taken once."""
+        for low in range(0, len(keys), _STEP):
+            x, *ctx = of_keys(keys[low:low + _STEP])
+            times = np.repeat(n[low:low + _STEP].astype(np.uint32), self.tree.size[x])
+            np.add.at(counts, self._places(x, *ctx), times)
 
     def _places(self, x, pair, triple, word, place, match, trust) -> np.ndarray:
         """Place in the tally of every bit; ``_bits`` has the same predictions and gates."""
@@ -400,6 +486,33 @@ class Model:
         return gate
 
 
+class Known:
+    """Mixed bits of a stream's bytes, made once for each distinct key."""
+
+    def __init__(self, model: Model, keys: np.ndarray):
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.concatenate([[True], keys[1:] != keys[:-1]])
+        self.which = np.empty(len(keys), np.int32)
+        self.which[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        keys, made = keys[new], []
+        del order, new
+        self.size = model.tree.size[(keys >> np.uint64(10)).astype(np.uint8)]
+        self.first = np.cumsum(self.size) - self.size
+        for low in range(0, len(keys), _STEP):
+            made.append(model._mixed(*of_keys(keys[low:low + _STEP]))[1:])
+        self.mixed, self.key = (np.concatenate(x) for x in zip(*made))
+
+    def bits(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``Model._mixed``, of the bytes at the places ``part``."""
+        which = self.which.take(part)
+        size = self.size.take(which)
+        of = np.repeat(np.arange(len(part)), size)
+        at = np.repeat(self.first.take(which) - np.cumsum(size) + size, size)
+        at += np.arange(len(at))
+        return of, self.mixed.take(at), self.key.take(at)
+
+
 def mixing_weights(at: np.ndarray, n: np.ndarray, ridge: float = 20.0, rounds: int = 50) -> np.ndarray:
     """Weights that make the bits of a tally (places, counts) likeliest, gate by gate; close to START where it has few bits.
 
@@ -467,6 +580,14 @@ def _table_rows(tables: dict[int, np.ndarray]) -> Iterator[tuple[int, int, bytes
                 yield tab, c // CHUNK, _pack(at, part[at])
 
 
+def _sum_rows(tab: int, keys: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """As ``_table_rows``, from the entries that are not 0, ascending."""
+    keys = keys.astype(np.int64)
+    for c in np.unique(keys // CHUNK).tolist():
+        low, high = np.searchsorted(keys, [c * CHUNK, (c + 1) * CHUNK])
+        yield tab, c, _pack(keys[low:high] - c * CHUNK, n[low:high])
+
+
 def _added(rows: DataFrame, then, schema: str) -> DataFrame:
     """Chunks of tables added up, one (tab, chunk) after the other; ``then`` makes the output row of one."""
 
@@ -489,97 +610,117 @@ def _added(rows: DataFrame, then, schema: str) -> DataFrame:
                 total[at] += n
         if now is not None:
             yield done()
+        give_back()
 
     return rows.repartition("tab", "chunk").sortWithinPartitions("tab", "chunk").mapInArrow(run, schema)
 
 
 def _runs(docs: DataFrame, run_bytes: int) -> DataFrame:
-    """A row per run of texts; ``docs``: id, text, trains, half."""
-    kind = docs.schema["id"].dataType
+    """A row per run of texts of one kind: 0 not learned from, 1 and 2 the halves; ``docs``: id, text, trains, half."""
     schema = T.StructType([
-        T.StructField("run", T.LongType()), T.StructField("ids", T.ArrayType(kind)),
-        T.StructField("texts", T.ArrayType(T.StringType())), T.StructField("trains", T.ArrayType(T.BooleanType())),
-        T.StructField("half", T.ArrayType(T.BooleanType()))])
+        T.StructField("run", T.LongType()), T.StructField("kind", T.IntegerType()),
+        T.StructField("ids", T.ArrayType(docs.schema["id"].dataType)), T.StructField("texts", T.ArrayType(T.StringType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for row, end, _, _ in runs(batch.column(1), run_bytes):
-                edges = pa.array([0, end - row], pa.int32())
-                lists = [pa.ListArray.from_arrays(edges, batch.column(k).slice(row, end - row)) for k in range(4)]
-                yield pa.RecordBatch.from_arrays([pa.array([part << 32 | seq], pa.int64()), *lists], names=schema.names)
-                seq += 1
+            trains, half = (batch.column(k).to_numpy(zero_copy_only=False).astype(bool) for k in (2, 3))
+            kinds = np.where(trains, 1 + half, 0)
+            for kind in range(3):
+                ids, texts = (batch.column(k).take(pa.array(np.flatnonzero(kinds == kind))) for k in (0, 1))
+                for row, end, _, _ in runs(texts, run_bytes):
+                    edges = pa.array([0, end - row], pa.int32())
+                    lists = [pa.ListArray.from_arrays(edges, x.slice(row, end - row)) for x in (ids, texts)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part << 32 | seq], pa.int64()), pa.array([kind], pa.int32()), *lists], names=schema.names)
+                    seq += 1
+        give_back()
 
     return docs.mapInArrow(run, schema)
 
 
-def _learners(batches: Iterator[pa.RecordBatch], half: bool) -> Iterator[Stream]:
-    """Streams of the training documents of one half, a run at a time; columns: texts, trains, half."""
-    for batch in batches:
-        for k in range(batch.num_rows):
-            texts, trains, halves = (batch.column(c).slice(k, 1).flatten() for c in range(3))
-            mine = np.flatnonzero(trains.to_numpy(zero_copy_only=False).astype(bool)
-                                  & (halves.to_numpy(zero_copy_only=False).astype(bool) == half))
-            if len(mine):
-                yield Stream(*buffers(texts.take(pa.array(mine))))
+class Sums:
+    """Counts by key of the tables of a task, added up when there are many, to be written out when there are still many."""
 
+    def __init__(self):
+        self.lists, self.size, self.full = {}, 0, False
 
-def _counts(tables: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    for row in _table_rows(tables):
+    def add(self, name, keys: np.ndarray, n: np.ndarray) -> None:
+        self.lists.setdefault(name, []).append((keys, n))
+        self.size += len(keys)
+        if self.size > HOLD:
+            self.lists = {k: [_summed(v)] for k, v in self.lists.items()}
+            self.size = sum(len(v[0][0]) for v in self.lists.values())
+            self.full = self.size > HOLD // 2
+
+    def take(self) -> Iterator[tuple]:
+        """(name, keys, counts) of all, which are not held any longer."""
+        for name, some in self.lists.items():
+            yield name, *_summed(some)
+        self.__init__()
+
+
+def _counts(rows: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+    for row in rows:
         yield pa.RecordBatch.from_arrays(
             [pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.binary()))], names=["tab", "chunk", "counts"])
 
 
-def _byte_tables(made: DataFrame, half: bool) -> DataFrame:
-    """The parts of each task's tables of one half: the bytes behind each triple (0) and pair (2)."""
+def _byte_tables(made: DataFrame) -> DataFrame:
+    """The parts of each task's tables of each half: the bytes behind each triple (0) and pair (2), as 3 and 5 in the second.
+
+    A task holds what it has seen, and writes it out when that is much."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = {}
-        for s in _learners(batches, half):
-            tables = tables or {k: np.zeros(1 << 24, np.uint32) for k in (0, 2)}
-            for tab, slots in ((0, triples), (2, pairs)):
-                slot = slots(s.x, s.starts)
-                slot <<= np.uint32(8)
-                slot |= s.x
-                np.add.at(tables[tab], slot, np.uint32(1))
-        yield from _counts(tables)
+        sums = Sums()
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for tab, keys, n in sums.take():
+                yield from _counts(_sum_rows(tab, keys, n))
 
-    return made.select("texts", "trains", "half").mapInArrow(run, _TABLE).withColumn("half", F.lit(half))
+        for batch in batches:
+            for k, kind in enumerate(batch.column(0).to_pylist()):
+                for s in streams(batch.column(1).slice(k, 1).flatten()):
+                    for tab, slots in ((0, triples), (2, pairs)):
+                        slot = slots(s.x, s.starts)
+                        slot <<= np.uint32(8)
+                        slot |= s.x
+                        sums.add(tab + 3 * (kind - 1), *_distinct(slot))
+                    if sums.full:
+                        yield from rows()
+        yield from rows()
+        give_back()
+
+    return made.where("kind > 0").select("kind", "texts").mapInArrow(run, _TABLE)
 
 
 def _parts(made: DataFrame, buckets: int) -> DataFrame:
     """The distinct tokens of each run, dealt into buckets by their hash: a row with lists per run and bucket.
 
-    pos is a token's number in its run (the end token is the last), n its count in training documents, m in those
-    with ``half``.
+    pos is a token's number in its run (the end token is the last), n its count there; kind: that of the run.
     """
-    schema = "bucket int, run long, tokens array<string>, pos array<int>, n array<long>, m array<long>"
+    schema = "bucket int, run long, kind int, tokens array<string>, pos array<int>, n array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, name in enumerate(batch.column(0).to_pylist()):
-                texts, trains, half = (batch.column(c).slice(k, 1).flatten() for c in (1, 2, 3))
-                trains, half = (x.to_numpy(zero_copy_only=False).astype(bool) for x in (trains, half))
-                s = Stream(*buffers(texts))
+            for k, (name, kind) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1)))):
+                s = Stream.of(batch.column(2).slice(k, 1).flatten())
                 coded = s.tokens()
                 code = coded.indices.to_numpy()
                 known = pa.concat_arrays([coded.dictionary, pa.array([""], pa.string())])
-                counts = []
-                for use in (trains, trains & half):
-                    mine = code if use.all() else code[np.repeat(use, s.words)]
-                    counts.append(np.append(np.bincount(mine, minlength=len(known) - 1), use.sum()).astype(np.int64))
+                n = np.append(np.bincount(code, minlength=len(known) - 1), len(s.words)).astype(np.int32)
                 bucket = _token_hashes(*buffers(known)) % np.uint64(buckets)
                 order = np.argsort(bucket, kind="stable")
                 there, first = np.unique(bucket[order], return_index=True)
                 edges = pa.array(np.append(first, len(order)), pa.int32())
-                values = [known.take(pa.array(order)), *(pa.array(x) for x in (order.astype(np.int32), *(c[order] for c in counts)))]
+                values = [known.take(pa.array(order)), pa.array(order.astype(np.int32)), pa.array(n[order])]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(there.astype(np.int32)), pa.array(np.full(len(there), name), pa.int64()),
-                    *(pa.ListArray.from_arrays(edges, v) for v in values)],
-                    names=["bucket", "run", "tokens", "pos", "n", "m"])
+                    pa.array(np.full(len(there), kind, np.int32)), *(pa.ListArray.from_arrays(edges, v) for v in values)],
+                    names=["bucket", "run", "kind", "tokens", "pos", "n"])
+            give_back()
 
-    rows = made.select("run", "texts", "trains", "half")
-    return rows.mapInArrow(run, schema)
+    return made.select("run", "kind", "texts").mapInArrow(run, schema)
 
 
 def _token_hashes(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -599,42 +740,63 @@ def _counted(parts: DataFrame) -> DataFrame:
     schema = ("of long, pos array<int>, c array<long>, tokens array<string>, m array<long>, total long, seen long")
     names = ["of", "pos", "c", "tokens", "m", "total", "seen"]
 
-    def run(group: pa.Table) -> pa.Table:
+    def one(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pa.Table.from_batches(rows).combine_chunks()
         lists = group.column("tokens").combine_chunks()
-        flat = pa.table([lists.flatten(), *(group.column(k).combine_chunks().flatten() for k in ("n", "m"))],
-                        names=["token", "n", "m"])
+        size = pc.list_value_length(lists).to_numpy()
+        kind = np.repeat(group.column("kind").to_numpy(), size)
+        n = group.column("n").combine_chunks().flatten().to_numpy().astype(np.int64)
+        flat = pa.table([lists.flatten(), n * (kind > 0), n * (kind == 2)], names=["token", "n", "m"])
         sums = flat.group_by("token").aggregate([("n", "sum"), ("m", "sum")]).combine_chunks()
         token, c, m = (sums.column(k).combine_chunks() for k in ("token", "n_sum", "m_sum"))
         mine = c.take(pc.index_in(flat.column("token").combine_chunks(), value_set=token))
-        size = pc.list_value_length(lists).to_numpy()
         edges = pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32())
         k = group.num_rows
         first = pa.table([
             group.column("run"), pa.ListArray.from_arrays(edges, group.column("pos").combine_chunks().flatten()),
             pa.ListArray.from_arrays(edges, mine), pa.nulls(k, lists.type), pa.nulls(k, pa.list_(pa.int64())),
             pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names=names)
-        cuts = list(range(0, len(token), 1 << 16))
+        cuts = list(range(0, len(token), 1 << 14))
         cut = lambda x: pa.ListArray.from_arrays(pa.array([*cuts, len(token)], pa.int32()), x)
         known = c.to_numpy()
         second = pa.table([
             pa.nulls(len(cuts), pa.int64()), pa.nulls(len(cuts), pa.list_(pa.int32())), cut(c), cut(token), cut(m),
-            pa.array([int(known[i:i + (1 << 16)].sum()) for i in cuts], pa.int64()),
-            pa.array([int((known[i:i + (1 << 16)] > 0).sum()) for i in cuts], pa.int64())], names=names)
-        return pa.concat_tables([first, second])
-
-    return parts.groupBy("bucket").applyInArrow(run, schema)
+            pa.array([int(known[i:i + (1 << 14)].sum()) for i in cuts], pa.int64()),
+            pa.array([int((known[i:i + (1 << 14)] > 0).sum()) for i in cuts], pa.int64())], names=names)
+        yield from first.to_batches(max_chunksize=256)
+        yield from second.to_batches(max_chunksize=1)
 
-
-def _word_tables(counts: DataFrame, tree: Tree) -> DataFrame:
-    """Partial table 1 of the word contexts, from lists of tokens and their counts m: entry 2 * slot + bit."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            buckets = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(buckets)) + 1).tolist(), len(buckets)]
+            for low, high in zip(edges, edges[1:]):
+                if held and low < high and held[0].column(0)[0].as_py() != buckets[low]:
+                    yield from one(held)
+                    held.clear()
+                    give_back()
+                if low < high:
+                    held.append(batch.slice(low, high - low))
+        if held:
+            yield from one(held)
+        held.clear()
+        give_back()
+
+    # In batches of bounded size; a whole bucket at once would grow Spark's own buffers.
+    return parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+
+
+def _word_tables(counts: DataFrame, tree: Tree, tab: int) -> DataFrame:
+    """Partial table ``tab`` of the word contexts, from lists of tokens and their counts m: entry 2 * slot + bit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(2 << WORD_BITS, np.int64)
-        some = False
         for batch in batches:
-            some = some or batch.num_rows > 0
             times = batch.column(1).flatten().to_numpy()
-            for row, end, buf, offs in runs(batch.column(0).flatten(), 1 << 16):
+            some = np.flatnonzero(times)
+            times = times[some]
+            for row, end, buf, offs in runs(batch.column(0).flatten().take(pa.array(some)), 1 << 16):
                 s = Stream(buf, offs)
                 # A token's stream ends with an end byte of its own; it belongs to the end token alone.
                 word = (word_contexts(s.x, s.starts)[0] >> np.uint64(64 - WORD_BITS)).astype(np.int32)
@@ -647,10 +809,9 @@ def _word_tables(counts: DataFrame, tree: Tree) -> DataFrame:
                 at <<= 1
                 at |= tree.bits.take(path)
                 np.add.at(table, at, weight.take(of))
-        for row in _table_rows({1: table}) if some else ():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int32(), pa.binary()))],
-                names=["tab", "chunk", "counts"])
+        yield from _counts(_table_rows({tab: table}))
+        del table
+        give_back()
 
     return counts.mapInArrow(run, _TABLE)
 
@@ -661,24 +822,25 @@ def _byte_sums(parts: DataFrame) -> np.ndarray:
     def byte_sums(now, total) -> bytes:
         return total.reshape(-1, 256).sum(axis=0).astype("<i8").tobytes()
 
-    rows = parts.where("tab = 0").select("tab", "chunk", "counts")
+    rows = parts.where("tab % 3 = 0").select(F.lit(0).alias("tab"), "chunk", "counts")
     sums = np.zeros(256, np.int64)
     for r in _added(rows, byte_sums, "tab int, chunk int, sums binary").collect():
         sums += np.frombuffer(r["sums"], "<i8")
     return sums
 
 
-def _fit(parts: DataFrame, counts: DataFrame, sums: np.ndarray, half: bool | None = None) -> dict[str, np.ndarray]:
+def _fit(parts: DataFrame, sums: np.ndarray, half: bool | None = None) -> dict[str, np.ndarray]:
     """Tables of all training documents or of one half, added up by Spark; their chunks (a fixed number) come to the driver
     as one byte an entry."""
     tree = Tree(sums)
-    rows = parts if half is None else parts.where(F.col("half") == half)
+    rows = parts if half is None else parts.where(f"tab {'>=' if half else '<'} 3")
+    rows = rows.select((F.col("tab") % 3).alias("tab"), "chunk", "counts")
 
     def fold(now, total) -> bytes:
         return stretched(*tree.fold(total.reshape(-1, 256))).tobytes()
 
     bytewise = {k: np.zeros(1 << 24, np.int8) for k in (0, 2)}
-    for r in _added(rows.select("tab", "chunk", "counts"), fold, "tab int, chunk int, table binary").collect():
+    for r in _added(rows.where("tab != 1"), fold, "tab int, chunk int, table binary").collect():
         bytewise[r["tab"]][r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["table"], np.int8)
 
     def with_trust(now, total) -> bytes:
@@ -686,9 +848,7 @@ def _fit(parts: DataFrame, counts: DataFrame, sums: np.ndarray, half: bool | Non
         seen = np.searchsorted([1, 4, 32], n0 + n1, "right").astype(np.int16)
         return (stretched(n0, n1).astype(np.int16) * 4 + seen).tobytes()
 
-    times = F.col("c") if half is None else F.col("m") if half else F.zip_with("c", "m", lambda c, m: c - m)
-    halves = _added(_word_tables(counts.select("tokens", times.alias("m")), tree), with_trust,
-                    "tab int, chunk int, table binary")
+    halves = _added(rows.where("tab = 1"), with_trust, "tab int, chunk int, table binary")
     word = np.zeros(1 << WORD_BITS, np.int16)
     for r in halves.collect():
         word[r["chunk"] * CHUNK // 2:(r["chunk"] + 1) * CHUNK // 2] = np.frombuffer(r["table"], np.int16)
@@ -699,7 +859,7 @@ def _model(fit: dict[str, np.ndarray], weights: np.ndarray | None = None) -> Mod
     return Model(Tree(fit["sums"]), fit["triple"], fit["word"], weights, fit["pair"])
 
 
-def _learned(made: DataFrame, parts: DataFrame, counts: DataFrame, sums: np.ndarray) -> np.ndarray:
+def _learned(made: DataFrame, parts: DataFrame, sums: np.ndarray) -> np.ndarray:
     """The mixing weights, from every training document, its bits under the tables of the other half."""
 
     def packed(now, total) -> bytes:
@@ -708,17 +868,28 @@ def _learned(made: DataFrame, parts: DataFrame, counts: DataFrame, sums: np.ndar
 
     tally = np.zeros(TALLY, np.int64)
     for half in (False, True):  # one after the other, so that a task holds the tables of one
-        shared = made.sparkSession.sparkContext.broadcast(_fit(parts, counts, sums, not half))
+        shared = made.sparkSession.sparkContext.broadcast(_fit(parts, sums, not half))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, half=half) -> Iterator[pa.RecordBatch]:
-            model, table = None, np.zeros(TALLY, np.uint32)
-            for s in _learners(batches, half):
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            give_back()
+            model, keys, table = None, Sums(), np.zeros(TALLY, np.uint32)
+            for batch in batches:
                 model = model or _model(shared.value)
-                model.tally(s, table)
-            yield from _counts({0: table} if model else {})
-
-        found = made.select("texts", "trains", "half").mapInArrow(run, _TABLE)
-        for r in _added(found, packed, "tab int, chunk int, tally binary").collect():
+                for k in range(batch.num_rows):
+                    for s in streams(batch.column(0).slice(k, 1).flatten()):
+                        keys.add(0, *_distinct(context_keys(s.x, s.starts)))
+                        if keys.full:
+                            for _, *some in keys.take():
+                                model.tally_keys(*some, table)
+            for _, *some in keys.take():
+                model.tally_keys(*some, table)
+            yield from _counts(_table_rows({0: table}))
+            give_back()
+
+        found = made.where(F.col("kind") == 1 + half).select("texts").mapInArrow(run, _TABLE)
+        with session_settings(made.sparkSession, _SINGLE):
+            rows = _added(found, packed, "tab int, chunk int, tally binary").collect()
+        for r in rows:
             places, times = _unpack(r["tally"])
             tally[places + r["chunk"] * CHUNK] += times
         shared.unpersist()
@@ -762,10 +933,13 @@ def score_texts(docs: DataFrame, trains: Column, doc_id: str = "doc_id", text: s
     counts = counted.where("tokens is not null")
     total, distinct = (int(x or 0) for x in counts.agg(F.sum("total"), F.sum("seen")).first())
 
-    parts = stored(_byte_tables(made, False).unionAll(_byte_tables(made, True)), "lm-tables")
+    parts = stored(_byte_tables(made), "lm-tables", batches=_SINGLE)
     sums = _byte_sums(parts)
-    weights = _learned(made, parts, counts, sums)
-    shared = spark.sparkContext.broadcast(_fit(parts, counts, sums))  # about 42 MB, whatever the corpus
+    tree, first = Tree(sums), F.zip_with("c", "m", lambda c, m: c - m)
+    words = [_word_tables(counts.select("tokens", times.alias("m")), tree, tab) for tab, times in ((1, first), (4, F.col("m")))]
+    parts = parts.unionAll(stored(words[0].unionAll(words[1]), "lm-words"))
+    weights = _learned(made, parts, sums)
+    shared = spark.sparkContext.broadcast(_fit(parts, sums))  # about 42 MB, whatever the corpus
 
     known = counted.where("of is not null").select("of", "pos", "c")
     denominator = np.log10(total + 0.5 * (distinct + 1))
@@ -784,10 +958,8 @@ def score_texts(docs: DataFrame, trains: Column, doc_id: str = "doc_id", text: s
         m = models["whole"]
         ids = one.column("ids").combine_chunks()
         texts = one.column("texts").combine_chunks().flatten()
-        out = []
-        for _, _, buf, offs in runs(texts, 1 << 40):
-            out.append(_finished(m, Stream(buf, offs), c))
-        n_tokens, n_known, logs, score, size = (np.concatenate(x) for x in zip(*out))
+        n_tokens, n_known, logs, score, size = _finished(m, Stream.of(texts), c)
+        give_back()
         base = logs - n_tokens * denominator
         bits = -score / np.log10(2) / size
         return pa.Table.from_arrays(

@@ -14,14 +14,14 @@ SMALL_BATCHES = {
 }
 
 
-def stored(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, options: dict | None = None, batches: dict | None = None) -> DataFrame:
     """Write ``df`` once and read it back: the lineage ends, every later read sees the same rows.
 
-    The write runs with small Arrow batches; the session's settings stay as they were.
+    The write runs with small Arrow batches, or with the settings ``batches``; the session's settings stay as they were.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{name}")
-    with session_settings(spark, SMALL_BATCHES):
+    with session_settings(spark, {**SMALL_BATCHES, **(batches or {})}):
         df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -177,3 +177,86 @@ def test_weights_learn_which_prediction_to_trust():
     w = lm_score.mixing_weights(at, np.array([75_000, 25_000, 75_000, 25_000]))
     assert w[0, 1] * 2.25 == pytest.approx(np.log(3), abs=0.15)
     assert (w[1:] == lm_score.START).all()
+
+
+def test_contexts_that_come_again_are_mixed_once():
+    rng = np.random.default_rng(3)
+    m = model(TEXTS)
+    m.pair = rng.integers(-127, 128, 1 << 24).astype(np.int8)
+    m.word = rng.integers(-508, 508, 1 << lm_score.WORD_BITS).astype(np.int16)
+    m.weights = rng.normal(0.3, 0.1, m.weights.shape).astype(np.float32)
+    s = lm_score.Stream(*buffers(pa.array([t for t in TEXTS if t] * 3 + ["the dog sat on the cat " * 9])))
+    ctx = lm_score.contexts(s.x, s.starts)
+    keys = lm_score.context_keys(s.x, s.starts)
+    x, pair, triple, word, place, match, trust = lm_score.of_keys(keys)
+    for have, want in zip((x, pair, triple, word, place, trust), (s.x, *ctx[:4], ctx[5])):
+        assert have.tolist() == want.tolist()
+    assert match[trust > 0].tolist() == ctx[4][trust > 0].tolist()
+    assert len(np.unique(keys)) < len(keys) / 3
+    for have, want in zip(lm_score.Known(m, keys).bits(np.arange(len(keys))), m._mixed(s.x, *ctx)):
+        assert have.tolist() == want.tolist()
+    counts, plain = (np.zeros(lm_score.TALLY, np.uint32) for _ in range(2))
+    m.tally(s, counts)
+    np.add.at(plain, m._places(s.x, *ctx), np.uint32(1))
+    assert (counts == plain).all()
+
+
+def test_score_of_many_bytes_is_that_of_few(monkeypatch):
+    m = model(TEXTS)
+    s = lm_score.Stream(*buffers(pa.array(TEXTS * 9)))
+    many = m.score(s)
+    monkeypatch.setattr(lm_score, "_PART", 1)  # each document by itself, in fewer bytes than are taken together
+    assert len(s.x) > lm_score._STEP > s.sizes.max() and m.score(s).tolist() == many.tolist()
+
+
+def test_stream_made_of_pieces(monkeypatch):
+    texts = pa.array(["  Ab\tc ", None, "d", " ", "é\n\nf", "", "ab c ab"])
+    whole = lm_score.Stream(*buffers(texts))
+    monkeypatch.setattr(lm_score, "_PART", 4)
+    pieces = lm_score.Stream.of(texts)
+    for k in ("x", "starts", "sizes", "words", "packed", "word_offsets"):
+        assert getattr(pieces, k).tolist() == getattr(whole, k).tolist()
+    assert pieces.tokens().to_pylist() == whole.tokens().to_pylist()
+
+
+def test_tasks_hold_few_entries_and_write_the_rest(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i} some ä{i * 7919} text " * (1 + i % 9)) for i in range(300)], "doc_id long, text string")
+    want = {r["doc_id"]: r for r in lm_score.score_texts(docs, F.col("doc_id") % 5 != 1).collect()}
+    sizes = []
+
+    class Small(lm_score.Sums):
+        def add(self, name, keys, n):
+            super().add(name, keys, n)
+            sizes.append(self.size)
+
+    monkeypatch.setattr(lm_score, "HOLD", 64)
+    sums, total = Small(), {}
+    for k in range(200):
+        sums.add(k % 2, np.arange(k, k + 10), np.full(10, 3))
+        if sums.full:
+            for name, keys, n in sums.take():
+                for a, b in zip(keys.tolist(), n.tolist()):
+                    total[name, a] = total.get((name, a), 0) + b
+    for name, keys, n in sums.take():
+        for a, b in zip(keys.tolist(), n.tolist()):
+            total[name, a] = total.get((name, a), 0) + b
+    assert max(sizes) <= 64 + 10 and sum(total.values()) == 200 * 30
+    assert all(n == 3 * sum(k % 2 == name and k <= a < k + 10 for k in range(200)) for (name, a), n in total.items())
+    again = lm_score.score_texts(docs, F.col("doc_id") % 5 != 1, run_bytes=500, buckets_each=1).collect()
+    assert len(again) == 300
+    for r in again:
+        assert r["base_score"] == pytest.approx(want[r["doc_id"]]["base_score"], rel=1e-9)
+        assert r["score"] == pytest.approx(want[r["doc_id"]]["score"], rel=1e-6)
+
+
+def test_word_tables_hold_only_what_is_seen(spark):
+    # Before, a task made whole tables of 64 to 256 MB whatever it read.
+    made = lm_score._runs(lm_score._halves(spark.createDataFrame([(i, "a few words") for i in range(40)], "doc_id long, text string"),
+                                           F.col("doc_id") != 3, "doc_id", "text"), 1 << 20)
+    assert {r["kind"] for r in made.collect()} == {0, 1, 2}
+    rows = lm_score._byte_tables(made).collect()
+    sums = {0: 0, 2: 0}
+    for r in rows:
+        _, n = lm_score._unpack(r["counts"])
+        sums[r["tab"] % 3] += int(n.sum())
+    assert sums == {0: 39 * len("a few words \n"), 2: 39 * len("a few words \n")}
