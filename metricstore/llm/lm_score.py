@@ -928,8 +928,9 @@ def score_texts(docs: DataFrame, trains: Column, doc_id: str = "doc_id", text: s
     spark = docs.sparkSession
     rows = _halves(docs, trains, doc_id, text)
     buckets = max(16, rows.rdd.getNumPartitions() * buckets_each)  # of the scan; runs no job
-    made = stored(_runs(rows, run_bytes), "lm-runs", {"parquet.block.size": 16 << 20})
-    counted = stored(_counted(_parts(made, buckets)), "lm-counts", {"parquet.block.size": 16 << 20})
+    small = {"parquet.block.size": 16 << 20, "compression": "zstd"}
+    made = stored(_runs(rows, run_bytes), "lm-runs", small)
+    counted = stored(_counted(_parts(made, buckets)), "lm-counts", small)
     counts = counted.where("tokens is not null")
     total, distinct = (int(x or 0) for x in counts.agg(F.sum("total"), F.sum("seen")).first())
 
